@@ -1,0 +1 @@
+"""Intentionally empty: every source is a finished file and every sink replaces its target, so nothing here streams."""
