@@ -23,58 +23,68 @@ def membership_of(df: DataFrame, groups: dict[str, Sequence]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, f"`group` string, entity {entity_type}")
 
 
-def group_members(panel: DataFrame, membership: DataFrame) -> DataFrame:
-    return panel.join(membership, "entity")
+def present_entities(panel: DataFrame) -> DataFrame:
+    return panel.select("entity").distinct()
 
 
-def group_member_count(panel: DataFrame, membership: DataFrame) -> DataFrame:
-    """Distinct members present anywhere in the panel; entities are reduced before the join."""
-    present = panel.select("entity").distinct()
-    return present.join(membership.distinct(), "entity").groupBy("group").agg(F.count("*").alias("n_members"))
+def group_member_count(entities: DataFrame, membership: DataFrame) -> DataFrame:
+    """Distinct members present anywhere in the panel, per group. Input: distinct entities."""
+    return entities.join(membership.distinct(), "entity").groupBy("group").agg(F.count("*").alias("n_members"))
 
 
 def group_cells(panel: DataFrame, membership: DataFrame) -> DataFrame:
-    """Mean and sum of every item per group and period, all overlapping groups in one pass."""
+    """Mean (skipping NULLs) and sum of every item per group and period, all overlapping groups in one pass.
+
+    Members are combined map-side, so the shuffle carries groups x periods x items per task, whatever a group's size.
+    """
     return (
-        group_members(panel, membership)
+        panel.join(membership, "entity")
         .groupBy("group", *_PERIOD, "item")
         .agg(F.avg("value").alias("mean"), F.sum("value").alias("total"))
     )
 
 
-def group_mean(panel: DataFrame, membership: DataFrame) -> DataFrame:
-    """Mean that skips NULLs."""
-    return group_cells(panel, membership).select("group", *_PERIOD, "item", F.col("mean").alias("value"))
-
-
 def panel_items(panel: DataFrame) -> Column:
     """All item ids of the panel as one array: a scalar subquery, as large as the chart of accounts."""
     return panel.agg(F.collect_set("item")).scalar()
 
 
-def _filled_totals(cells: DataFrame, items: Column) -> DataFrame:
-    grid = cells.select("group", *_PERIOD).distinct().withColumn("item", F.explode(items))
-    sums = cells.filter(F.col("item").isNotNull())
-    return grid.join(sums, ["group", *_PERIOD, "item"], "left").select(
-        "group", *_PERIOD, "item", F.coalesce("total", F.lit(0.0)).alias("value")
+def filled_group_cells(panel: DataFrame, membership: DataFrame, items: Column | None = None) -> DataFrame:
+    """`group_cells` with every item of the panel in every period of a group.
+
+    A statement table has all columns in every row, so an item that no member reports has no mean and a total of 0.
+    The items of one group and period are put into a map, which is as wide as the chart of accounts.
+    """
+    items = panel_items(panel) if items is None else items
+    cell = F.when(F.col("item").isNotNull(), F.struct("item", F.struct("mean", "total")))
+    known = F.array_compact(F.collect_list(cell))
+    return (
+        group_cells(panel, membership)
+        .groupBy("group", *_PERIOD)
+        .agg(F.map_from_entries(known).alias("cells"))
+        .select("group", *_PERIOD, "cells", F.explode(items).alias("item"))
+        .withColumn("cell", F.try_element_at("cells", F.col("item")))
+        .select(
+            "group", *_PERIOD, "item", F.col("cell.mean").alias("mean"), F.coalesce("cell.total", F.lit(0.0)).alias("total")
+        )
     )
 
 
+def group_mean(panel: DataFrame, membership: DataFrame) -> DataFrame:
+    return group_cells(panel, membership).select("group", *_PERIOD, "item", F.col("mean").alias("value"))
+
+
 def group_sum(panel: DataFrame, membership: DataFrame, items: Column | None = None) -> DataFrame:
-    """Total per item; 0 where no member holds a value, for every item of the panel."""
-    items = panel_items(panel) if items is None else items
-    return _filled_totals(group_cells(panel, membership), items)
+    cells = filled_group_cells(panel, membership, items)
+    return cells.select("group", *_PERIOD, "item", F.col("total").alias("value"))
 
 
-def _labelled(rows: DataFrame, counts: DataFrame, labels: dict[str, str]) -> DataFrame:
+def _label(labels: dict[str, str | None]) -> Column:
     label = F.lit(None).cast("string")
     for key, pattern in labels.items():
-        label = F.when(F.col("group") == key, F.format_string(pattern, "n_members")).otherwise(label)
-    return (
-        rows.filter(F.col("group").isin(*labels))
-        .join(counts, "group")
-        .select(label.alias("entity"), "item", *_PERIOD, "value")
-    )
+        if pattern:
+            label = F.when(F.col("group") == key, F.format_string(pattern, "n_members")).otherwise(label)
+    return label
 
 
 def group_rows(
@@ -83,19 +93,23 @@ def group_rows(
     groups: Sequence[PeerGroup],
     means: bool = True,
     items: Column | None = None,
+    entities: DataFrame | None = None,
 ) -> DataFrame:
-    """The pseudo-entities alone, in panel form. `items` names the chart of accounts where the caller knows it."""
-    cells = group_cells(panel, membership)
-    counts = group_member_count(panel, membership)
-    totals = _labelled(
-        _filled_totals(cells, panel_items(panel) if items is None else items),
-        counts,
-        {g.key: g.total_label for g in groups if g.total_label},
+    """The pseudo-entities alone, in panel form: one pass over the panel gives means and totals.
+
+    `items` (the chart of accounts) and `entities` (those present) are read from the panel unless the caller has a
+    cheaper source for them.
+    """
+    counts = group_member_count(present_entities(panel) if entities is None else entities, membership)
+    total_rows = F.struct(_label({g.key: g.total_label for g in groups}).alias("entity"), F.col("total").alias("value"))
+    mean_rows = F.struct(_label({g.key: g.mean_label for g in groups}).alias("entity"), F.col("mean").alias("value"))
+    return (
+        filled_group_cells(panel, membership, items)
+        .join(counts, "group")
+        .select("item", *_PERIOD, F.inline(F.array(mean_rows, total_rows) if means else F.array(total_rows)))
+        .filter(F.col("entity").isNotNull())
+        .select("entity", "item", *_PERIOD, "value")
     )
-    if not means:
-        return totals
-    mean_rows = cells.select("group", *_PERIOD, "item", F.col("mean").alias("value"))
-    return _labelled(mean_rows, counts, {g.key: g.mean_label for g in groups if g.mean_label}).unionByName(totals)
 
 
 def summarize_by_group(

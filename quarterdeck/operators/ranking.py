@@ -33,7 +33,7 @@ def rank_latest_period(values: DataFrame, peers: Sequence | DataFrame, latest: C
         return number_by_order(kept, ["metric"], order, "latest_rank")
     kept = latest_values(values.filter(F.col("entity").isin(*peers)), latest)
     rank = F.row_number().over(Window.partitionBy("metric").orderBy(*order))
-    return kept.withColumn("latest_rank", rank)
+    return kept.withColumn("latest_rank", rank.cast("long"))
 
 
 def published_entities(entity: Column, peers: Sequence, everyone: Sequence) -> Column:

@@ -44,10 +44,15 @@ def known_items(facts: DataFrame, items: Sequence[str]) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
+def _reported(facts: DataFrame) -> DataFrame:
+    """Facts whose entity and period appear in the merged panel: precedence replaces rows, it never removes a period."""
+    reported = with_index(facts.filter((F.col("freq") != QUARTERLY) | (F.col("quarter") <= 3)))
+    return reported.filter(F.col("qidx").isNotNull())
+
+
 def calendar_of(facts: DataFrame) -> Column:
     """All periods of the panel as one array (a scalar subquery over three columns of the facts)."""
-    reported = with_index(facts.filter((F.col("freq") != QUARTERLY) | (F.col("quarter") <= 3)))
-    return reported.agg(F.sort_array(F.collect_set("qidx"))).scalar()
+    return _reported(facts).agg(F.sort_array(F.collect_set("qidx"))).scalar()
 
 
 def fill_calendar(evaluated: DataFrame, calendar: Column) -> DataFrame:
@@ -101,7 +106,8 @@ def build_metrics(
     present = known_items(facts, used) if items is None else [i for i in used if i in set(items)]
     panel = merge_panel(prune_items(facts, used), rules)
     chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
-    group_panel = group_rows(panel, membership, groups, items=chart)
+    entities = _reported(facts).select("entity").distinct()
+    group_panel = group_rows(panel, membership, groups, items=chart, entities=entities)
 
     wide = [
         widen(derive_series(part, rules), formulas, present)

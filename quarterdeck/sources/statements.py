@@ -55,7 +55,7 @@ def statement_items(
     """Line items: the rows below the header whose unit cell is filled.
 
     Output: file, sheet, *keep, row_pos, item, label, cells (map col_pos -> text), header (map col_pos -> cleaned
-    name). `item` is the sheet key and the position among the kept rows of the sheet. `keep` names columns that are
+    name or period). `item` is the sheet key and the position among the kept rows of the sheet. `keep` names columns that are
     constant within a sheet.
     """
     scope = [*_SHEET, *keep]
@@ -66,7 +66,8 @@ def statement_items(
         .groupBy(*scope, "chunk", "row_pos")
         .agg(F.map_from_entries(F.collect_list(F.struct("col_pos", "text"))).alias("cells"))
     )
-    named = F.struct("col_pos", clean_name(F.col("text")).alias("name"))
+    # periods are read here, once per column, not once per fact
+    named = F.struct("col_pos", normalise_period(clean_name(F.col("text"))).alias("name"))
     headers = (
         table.filter(F.col("row_pos") == header_row)
         .groupBy(*_SHEET)
@@ -99,8 +100,7 @@ def statement_facts(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Line items to long facts; one row per item and period column, a missing cell being NULL."""
     periods = F.map_filter("header", lambda _, n: ~n.isin(LABEL_COLUMN, UNIT_COLUMN))
     return (
-        items.select(*_SHEET, *keep, "item", "label", "cells", F.explode(periods).alias("col_pos", "name"))
-        .withColumn("period", normalise_period(F.col("name")))
+        items.select(*_SHEET, *keep, "item", "label", "cells", F.explode(periods).alias("col_pos", "period"))
         .withColumn("value", safe_double(F.try_element_at("cells", F.col("col_pos"))))
         .select(*_SHEET, *keep, "item", "label", "period", "value")
     )

@@ -104,7 +104,7 @@ def group_sum(spark, sf):
 
 def group_member_count(spark, sf):
     panel = dense(spark, sf)
-    return G.group_member_count(panel, nation_groups(panel))
+    return G.group_member_count(G.present_entities(panel), nation_groups(panel))
 
 
 def summarize(spark, sf):

@@ -139,7 +139,7 @@ QUERIES = {
     ),
     "fn_text_misc": (
         text_misc,
-        """SELECT doc_id, length(trim(text)) AS trimmed, lang AS unguarded, lang || '$' || lang AS first_replaced,
+        """SELECT doc_id, CAST(length(trim(text)) AS INT) AS trimmed, lang AS unguarded, lang || '$' || lang AS first_replaced,
              CASE WHEN doc_id % 2 = 0 THEN lang || ' | ' || source ELSE lang END AS joined,
              CASE WHEN doc_id % 3 = 0 THEN lang ELSE '?' END AS filled,
              md5(replace(text, 'e', 'E')) AS replaced_md5 FROM documents""",

@@ -104,8 +104,12 @@ def _supplier_quarters(spark, sf):
 
 
 def workbook_files(spark, sf):
-    """Three workbooks per supplier, as the binaryFile reader would give them. A group has one row per quarter."""
-    quarters = _supplier_quarters(spark, sf)
+    """Three workbooks per supplier, as the binaryFile reader would give them. A group has one row per quarter.
+
+    The rows are few but each group costs Python time, so the number of tasks is fixed rather than left to AQE.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    quarters = _supplier_quarters(spark, sf).repartition(tasks, "supplier")
     return quarters.groupBy("supplier").applyInPandas(_supplier_books, "path string, content binary")
 
 
@@ -200,8 +204,8 @@ QUERIES = {
         workbook_cells,
         f"""WITH {WORKBOOKS_SQL}
         SELECT 'S' || r.supplier || '.xlsx' AS file, 'file:' || r.tail AS path, s.title || ' - S' || r.supplier AS sheet,
-          8 + 2 + 1 + 2 * 2 + 3 * coalesce(b.n, 0) AS n_cells, 11 AS last_row,
-          CASE WHEN b.n IS NULL THEN 1 ELSE b.n + 1 END AS last_col, b.total
+          8 + 2 + 1 + 2 * 2 + 3 * coalesce(b.n, 0) AS n_cells, CAST(11 AS BIGINT) AS last_row,
+          CAST(1 + coalesce(b.n, 0) AS INT) AS last_col, b.total
         FROM readable r CROSS JOIN sheets s
         LEFT JOIN (SELECT supplier, freq, count(*) AS n,
                           CAST(sum(money) + coalesce(sum(CASE WHEN lines % 5 <> 0 THEN lines END), 0) AS BIGINT) AS total
