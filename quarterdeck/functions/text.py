@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Characters a cleaned name turns into an underscore, and those it drops.
-_TO_UNDERSCORE = "[ /:,?().\\-\u00a0]"
-_DROPPED = r"['’]"
+_TO_UNDERSCORE = " /:,?()\\.\\-\u00a0"
+_DROPPED = "'\u2019"
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -20,32 +20,41 @@ ITEM_ID = r"[A-Z]+_\d+"
 
 @cache
 def _accent_table() -> tuple[str, str]:
-    """Characters whose canonical decomposition is one base character plus combining marks, and those bases.
+    """Argument pair for `translate`: accented characters with their bases, then combining marks, which it drops.
 
     Generated over the Basic Multilingual Plane without Hangul, whose decomposition has no marks.
     """
-    accented, bases = [], []
+    accented, bases, marks = [], [], []
     for code in range(0x80, 0x10000):
         if 0xAC00 <= code <= 0xD7A3 or 0xD800 <= code <= 0xDFFF:
             continue
         char = chr(code)
+        if unicodedata.combining(char):
+            marks.append(char)
+            continue
         base = "".join(c for c in unicodedata.normalize("NFD", char) if not unicodedata.combining(c))
         if len(base) == 1 and base != char:
             accented.append(char)
             bases.append(base)
-    return "".join(accented), "".join(bases)
+    return "".join(accented + marks), "".join(bases)
+
 
+def strip_accents(text: Column, also: str = "", also_to: str = "") -> Column:
+    """Base characters without marks, in one pass; plain ASCII text is passed through.
 
-def strip_accents(text: Column) -> Column:
+    `also`/`also_to` are further characters to map one to one.
+    """
     accented, bases = _accent_table()
-    return F.regexp_replace(F.translate(text, accented, bases), r"\p{Mn}+", "")
+    mapped = F.translate(text, also + accented, also_to + bases)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), mapped).otherwise(text)
 
 
 def clean_name(text: Column) -> Column:
-    """Text to an ASCII snake_case name; the Vietnamese d with stroke has no decomposition, so it is mapped first."""
-    lowered = F.lower(F.translate(text, "đĐ", "dD"))
-    marked = F.regexp_replace(F.regexp_replace(lowered, _TO_UNDERSCORE, "_"), _DROPPED, "")
-    return F.regexp_replace(strip_accents(marked), "_+", "_")
+    """Text to an ASCII snake_case name; the Vietnamese d with stroke has no decomposition, so it is mapped too."""
+    plain = strip_accents(F.lower(text), "đ", "d")
+    for dropped in _DROPPED:
+        plain = F.replace(plain, F.lit(dropped), F.lit(""))
+    return F.regexp_replace(plain, f"[{_TO_UNDERSCORE}_]+", "_")
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:

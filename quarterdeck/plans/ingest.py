@@ -18,7 +18,7 @@ from quarterdeck.sources.statements import (
     structure_of,
     with_period_parts,
 )
-from quarterdeck.sources.workbooks import good_cells, quarantine, read_workbooks
+from quarterdeck.sources.workbooks import good_cells, land, quarantine, read_workbooks
 
 
 @dataclass(frozen=True)
@@ -31,8 +31,7 @@ class Ingested:
 def land_cells(spark: SparkSession, folder: str, target: str) -> DataFrame:
     """Decode every workbook once and write the cells; later steps read them with filters pushed to the scan."""
     cells = read_workbooks(spark, folder, titles=list(SHEET_TITLES.values()))
-    cells.withColumn("freq", frequency_of(F.col("path"))).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    return land(cells.withColumn("freq", frequency_of(F.col("path"))), target)
 
 
 def ingest(landed: DataFrame) -> Ingested:

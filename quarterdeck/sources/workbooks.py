@@ -21,6 +21,7 @@ CELLS_SCHEMA = (
 )
 _COLUMNS = ["path", "file", "sheet", "row_pos", "col_pos", "text", "error"]
 _BATCH_ROWS = 20000
+_KEPT_CELLS = 100000
 _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -56,7 +57,7 @@ def _cell_text(cell, shared: Sequence[str]) -> str | None:
     kind = cell.attrib.get("t", "n")
     if kind == "inlineStr":
         return _joined_text(cell) or None
-    raw = next((v.text for v in cell if _tag(v) == "v"), None)
+    raw = next((v.text for v in cell if v.tag.endswith("v")), None)
     if raw is None or kind == "e":
         return None
     if kind == "s":
@@ -67,9 +68,10 @@ def _cell_text(cell, shared: Sequence[str]) -> str | None:
 
 
 def _absolute_cells(book: zipfile.ZipFile, part: str, shared: Sequence[str]) -> Iterator[tuple[int, int, str]]:
+    """Filled cells with their 1-based row and column; rows are dropped from memory as they are read."""
     with book.open(part) as stream:
         for _, element in ElementTree.iterparse(stream):
-            if _tag(element) != "row":
+            if not element.tag.endswith("row"):
                 continue
             for cell in element:
                 text = _cell_text(cell, shared)
@@ -82,11 +84,25 @@ def _absolute_cells(book: zipfile.ZipFile, part: str, shared: Sequence[str]) ->
             element.clear()
 
 
+def _survey(cells: Iterator[tuple[int, int, str]]) -> tuple[int, int, list | None]:
+    """First used row and column, and the cells themselves while they are few."""
+    first_row = first_column = 0
+    kept: list | None = []
+    for row, column, text in cells:
+        first_row = min(first_row or row, row)
+        first_column = min(first_column or column, column)
+        if kept is not None:
+            kept.append((row, column, text))
+            if len(kept) > _KEPT_CELLS:
+                kept = None
+    return first_row, first_column, kept
+
+
 def workbook_cells(content: bytes, titles: Sequence[str] = ()) -> Iterator[tuple[str, int, int, str]]:
     """(sheet, row, column, text) of every filled cell, 0-based within the sheet's used range.
 
-    The first pass finds the used ranges and so meets any damage before a cell is handed out. A required title is a
-    sheet name's part before ` - `.
+    The first pass finds the used ranges and so meets any damage before a cell is handed out; large sheets are then
+    streamed a second time rather than held. A required title is a sheet name's part before ` - `.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         parts = _sheet_parts(book)
@@ -94,16 +110,10 @@ def workbook_cells(content: bytes, titles: Sequence[str] = ()) -> Iterator[tuple
         if absent:
             raise ValueError(f"missing sheets: {', '.join(absent)}")
         shared = _shared_strings(book)
-        origins = {}
-        for name, part in parts.items():
-            first_row = first_column = None
-            for row, column, _ in _absolute_cells(book, part, shared):
-                first_row = row if first_row is None else min(first_row, row)
-                first_column = column if first_column is None else min(first_column, column)
-            origins[name] = (first_row, first_column)
-        for name, part in parts.items():
-            first_row, first_column = origins[name]
-            for row, column, text in _absolute_cells(book, part, shared):
+        surveys = {name: _survey(_absolute_cells(book, part, shared)) for name, part in parts.items()}
+        for name, (first_row, first_column, kept) in surveys.items():
+            cells = _absolute_cells(book, parts[name], shared) if kept is None else kept
+            for row, column, text in cells:
                 yield name, row - first_row, column - first_column, text
 
 
@@ -149,6 +159,12 @@ def read_workbooks(spark: SparkSession, folder: str, name_part: str = "", titles
     return decode_workbooks(files, titles)
 
 
+def land(cells: DataFrame, target: str) -> DataFrame:
+    """Write decoded cells and read them back, so that files are decoded once however often the cells are used."""
+    cells.write.mode("overwrite").parquet(target)
+    return cells.sparkSession.read.parquet(target)
+
+
 def good_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("error").isNull()).drop("error")
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from quarterdeck.config import SHEET_TITLES
 from quarterdeck.operators.exports import dedup_latest_export, prefer_reports
-from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, YEARLY
+from quarterdeck.session import scratch_path
 from quarterdeck.sources import statements as S
-from quarterdeck.sources.workbooks import decode_workbooks, good_cells, quarantine
+from quarterdeck.sources.workbooks import decode_workbooks, good_cells, land, quarantine
 from quarterdeck.workloads.panels import PART_ITEMS_SQL, cents, part_cells, r4, table
 
 _EPOCH = (1980, 1, 1, 0, 0, 0)
@@ -134,8 +134,9 @@ def rejected_files(spark, sf):
 
 
 def freq_union(spark, sf):
-    """Facts of all suppliers and frequencies from one scan, no loop."""
-    cells = good_cells(_cells(spark, sf)).withColumn("file", F.col("path"))
+    """Facts of all suppliers and frequencies from one landed cell table, no loop."""
+    landed = land(_cells(spark, sf), scratch_path(spark, "cells"))
+    cells = good_cells(landed).withColumn("file", F.col("path"))
     cells = S.statement_sheets(cells.withColumn("freq", S.frequency_of(F.col("path"))))
     facts = S.statement_facts(S.statement_items(cells, ["freq", "entity"]), ["freq", "entity"])
     return facts.select("freq", "entity", "item", "label", "period", "value")
