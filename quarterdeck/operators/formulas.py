@@ -30,10 +30,13 @@ def referenced_items(formulas: Sequence[Formula]) -> list[str]:
     return sorted({item for item, _ in panel_columns(formulas).values()})
 
 
-def widen(series: DataFrame, formulas: Sequence[Formula], items: Sequence[str]) -> DataFrame:
+def widen(
+    series: DataFrame, formulas: Sequence[Formula], items: Sequence[str], calendar: DataFrame | None = None
+) -> DataFrame:
     """One row per entity and period with the referenced columns of the `items` that exist.
 
-    Input is `derive_series` output. When it is already partitioned by entity, no exchange is added.
+    Input is `derive_series` output. `calendar` (panel form, NULL items) adds the periods in which an entity has none
+    of the items. Cells are combined map-side, so the shuffle carries wide rows.
     """
     present = [c for c in SERIES if c in series.columns]
     cells = [
@@ -41,8 +44,9 @@ def widen(series: DataFrame, formulas: Sequence[Formula], items: Sequence[str])
         for name, (item, kind) in sorted(panel_columns(formulas).items())
         if item in items and (kind == "value" or kind in present)
     ]
-    grouped = series.groupBy(*_IDS)
-    return grouped.agg(*cells) if cells else grouped.agg(F.lit(None).cast("double").alias("_none")).drop("_none")
+    rows = series if calendar is None else series.unionByName(calendar, allowMissingColumns=True)
+    grouped = rows.groupBy(*_IDS)
+    return grouped.agg(*cells) if cells else rows.select(*_IDS).distinct()
 
 
 def check_formulas(spark: SparkSession, columns: Sequence[str], formulas: Sequence[Formula]):

@@ -1,15 +1,18 @@
 """From discrete reports to one year-to-date panel.
 
-Facts are long: `entity, item, year, quarter, value`, one row per key, plus `freq` where several export frequencies
-are mixed. A statement table has a cell for every item of an entity in every period that entity reports, so a missing
-row and a NULL cell mean the same thing; `to_year_to_date` fills that grid before it sums.
+Facts are long: `entity, item, year, quarter, value`, plus `freq` where several export frequencies are mixed, one value
+per key. A statement table has a cell for every item of an entity in every period that entity reports, so a missing row
+and a NULL cell mean the same thing; the entity's calendar supplies the periods.
+
+Facts are grouped by (entity, item), so a group is as long as the calendar and an entity with very many items spreads
+over many tasks. Calendars are one row per entity and are joined to those groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.config import ItemRules
@@ -17,9 +20,6 @@ from quarterdeck.functions.period import index_quarter, index_year, period_index
 
 QUARTERLY, CUMULATIVE, YEARLY = "quarterly", "cumulative", "yearly"
 
-# Which frequency supplies an (entity, period) when several do; the smallest wins.
-SOURCE_RANK = {YEARLY: 0, CUMULATIVE: 1, QUARTERLY: 2}
-
 
 def is_stock(item: Column, rules: ItemRules) -> Column:
     """Balances at a point in time: balance-sheet items and the listed notes."""
@@ -30,105 +30,125 @@ def with_index(df: DataFrame) -> DataFrame:
     return df.withColumn("qidx", period_index(F.col("year"), F.col("quarter")))
 
 
-def prune_items(facts: DataFrame, items: Sequence[str]) -> DataFrame:
-    """Keep the listed items; all others shrink to one placeholder row (NULL item) per entity and period.
+def reported(facts: DataFrame) -> DataFrame:
+    """Facts with a readable period, less the discrete fourth quarters, which year-to-date values do not use."""
+    on_panel = (F.col("freq") != QUARTERLY) | (F.col("quarter") <= 3)
+    return with_index(facts).filter(F.col("qidx").isNotNull() & on_panel)
 
-    The placeholder keeps the period on the entity's calendar. Collapsing happens map-side, before the shuffle, and
-    a duplicate cell among the listed items fails the job.
-    """
-    wanted = F.col("item").isin(*items)
-    keys = [c for c in facts.columns if c not in ("item", "value")]
-    clash = F.raise_error(F.concat(F.lit("duplicate cell for item "), F.col("item")))
-    return (
-        facts.select(
-            *keys,
-            F.when(wanted, F.col("item")).alias("item"),
-            F.when(wanted, F.col("value")).alias("value"),
-        )
-        .groupBy(*keys, "item")
-        .agg(F.count("*").alias("_n"), F.max("value").alias("value"))
-        .withColumn("value", F.when(F.col("item").isNotNull() & (F.col("_n") > 1), clash).otherwise(F.col("value")))
-        .drop("_n")
+
+def entity_calendar(facts: DataFrame) -> DataFrame:
+    """Periods each entity reports, per frequency. Reads no item or value; combined map-side."""
+    return reported(facts).groupBy("entity").agg(
+        *[
+            F.collect_set(F.when(F.col("freq") == freq, F.col("qidx"))).alias(f"{freq}_periods")
+            for freq in (QUARTERLY, CUMULATIVE, YEARLY)
+        ]
     )
 
 
-def to_year_to_date(facts: DataFrame, rules: ItemRules) -> DataFrame:
-    """Turn discrete quarters 1-3 into year-to-date values; other frequencies pass through.
+def calendar_rows(calendar: DataFrame) -> DataFrame:
+    """The calendar in panel form: one row per entity and period, with a NULL item."""
+    union = F.array_union(F.array_union("quarterly_periods", "cumulative_periods"), "yearly_periods")
+    return calendar.select("entity", F.explode(union).alias("qidx")).select(
+        "entity",
+        F.lit(None).cast("string").alias("item"),
+        index_year(F.col("qidx")).alias("year"),
+        index_quarter(F.col("qidx")).alias("quarter"),
+        "qidx",
+        F.lit(None).cast("double").alias("value"),
+    )
+
 
-    Input has a `freq` column. Stock, closing-cash and listed note items keep the quarter's own value (also when
-    it is NULL), opening cash takes the year's earliest reported quarter, every other item is a running sum that skips
-    NULLs and starts at 0. Discrete fourth quarters only show that the entity has the item; they are not on its
-    calendar and so drop out. A year need not be complete. Facts without a readable period are left out.
+def item_cells(facts: DataFrame) -> DataFrame:
+    """One row per entity and item with its cells per frequency as maps qidx -> value.
 
-    Everything is partitioned by entity: one exchange serves the entity's calendar, the grid and the running sums. An
-    entity holds at most items x periods rows, because its cells are unique.
+    Repeated equal rows count once; two values for one cell fail the job.
     """
-    quarterly = F.col("freq") == QUARTERLY
-    placed = with_index(facts).filter(F.col("qidx").isNotNull()).repartition("entity")
-    on_calendar = quarterly & (F.col("quarter") <= 3)
-    calendar = F.collect_set(F.when(on_calendar, F.col("qidx"))).over(Window.partitionBy("entity"))
-    cells = (
-        placed.withColumn("calendar", calendar)
-        .groupBy("freq", "entity", "item")
+    cell = F.struct("qidx", "value")
+    return (
+        with_index(facts)
+        .filter(F.col("qidx").isNotNull())
+        .groupBy("entity", "item")
         .agg(
-            F.map_from_entries(F.collect_list(F.struct("qidx", "value"))).alias("cells"),
-            F.any_value("calendar").alias("calendar"),
+            *[
+                F.map_from_entries(F.collect_set(F.when(F.col("freq") == freq, cell))).alias(f"{freq}_cells")
+                for freq in (QUARTERLY, CUMULATIVE, YEARLY)
+            ]
         )
     )
-    periods = F.when(quarterly, F.col("calendar")).otherwise(F.map_keys("cells"))
-    grid = (
-        cells.select("freq", "entity", "item", "cells", F.explode(periods).alias("qidx"))
-        .withColumn("value", F.try_element_at("cells", F.col("qidx")))
-        .withColumn("year", index_year(F.col("qidx")))
-        .withColumn("quarter", index_quarter(F.col("qidx")))
-        .drop("cells")
-    )
-    so_far = (
-        Window.partitionBy("freq", "entity", "item", "year")
-        .orderBy("quarter")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    item = F.col("item")
-    as_reported = ~quarterly | item.isNull() | is_stock(item, rules) | item.isin(*rules.closing_items)
-    value = (
-        F.when(as_reported, F.col("value"))
-        .when(item.isin(*rules.opening_items), F.first("value").over(so_far))
-        .otherwise(F.coalesce(F.sum("value").over(so_far), F.lit(0.0)))
-    )
-    return grid.withColumn("value", value).select("freq", "entity", "item", "year", "quarter", "qidx", "value")
 
 
-def ytd_cumulate(quarterly: DataFrame, rules: ItemRules) -> DataFrame:
-    """`to_year_to_date` for purely quarterly facts."""
-    return to_year_to_date(quarterly.withColumn("freq", F.lit(QUARTERLY)), rules).drop("freq")
+def _periods_by_source() -> Column:
+    """Periods of an item with the frequency that supplies them.
+
+    Precedence holds at (entity, period) grain, whichever items a source has: yearly before cumulative before quarterly.
+    """
 
+    def supplied(freq: str, periods: Column) -> Column:
+        return F.transform(periods, lambda p: F.struct(F.lit(freq).alias("freq"), p.alias("qidx")))
 
-def drop_covered_periods(facts: DataFrame, preferred: DataFrame) -> DataFrame:
-    """Drop the (entity, period) rows that a preferred source covers, whichever items it holds."""
-    return facts.join(preferred.select("entity", "year", "quarter").distinct(), ["entity", "year", "quarter"], "left_anti")
+    grid = F.when(F.size("quarterly_cells") > 0, F.col("quarterly_periods")).otherwise(F.array().cast("array<int>"))
+    return F.concat(
+        supplied(QUARTERLY, F.array_except(grid, F.array_union("cumulative_periods", "yearly_periods"))),
+        supplied(CUMULATIVE, F.array_except(F.map_keys("cumulative_cells"), F.col("yearly_periods"))),
+        supplied(YEARLY, F.map_keys("yearly_cells")),
+    )
 
 
-def keep_best_source(reports: DataFrame) -> DataFrame:
-    """Precedence at (entity, period) grain over a `freq` column, as one window instead of chained anti-joins."""
-    rank = F.lit(None).cast("int")
-    for freq, position in SOURCE_RANK.items():
-        rank = F.when(F.col("freq") == freq, F.lit(position)).otherwise(rank)
-    best = F.min("_rank").over(Window.partitionBy("entity", "qidx"))
+def _quarterly_value(rules: ItemRules) -> Column:
+    """Year-to-date value of a discrete quarter, from the cells of its year."""
+    year_start = F.col("qidx") - F.col("quarter")
+    first, second, third = (F.try_element_at("quarterly_cells", year_start + q) for q in (1, 2, 3))
+    own = F.try_element_at("quarterly_cells", F.col("qidx"))
+    earliest = (
+        F.when(F.array_contains("quarterly_periods", year_start + 1), first)
+        .when(F.array_contains("quarterly_periods", year_start + 2), second)
+        .otherwise(third)
+    )
+    zero = F.lit(0.0)
+    running = (
+        F.coalesce(first, zero)
+        + F.when(F.col("quarter") >= 2, F.coalesce(second, zero)).otherwise(zero)
+        + F.when(F.col("quarter") >= 3, F.coalesce(third, zero)).otherwise(zero)
+    )
+    item = F.col("item")
     return (
-        reports.withColumn("_rank", rank)
-        .withColumn("_best", best)
-        .filter(F.col("_rank") == F.col("_best"))
-        .drop("_rank", "_best", "freq")
+        F.when(is_stock(item, rules) | item.isin(*rules.closing_items), own)
+        .when(item.isin(*rules.opening_items), earliest)
+        .otherwise(running)
     )
 
 
-def merge_panel(facts: DataFrame, rules: ItemRules) -> DataFrame:
+def merge_panel(facts: DataFrame, rules: ItemRules, items: Sequence[str] | None = None) -> DataFrame:
     """Quarterly, cumulative and yearly facts (column `freq`) to one year-to-date panel.
 
-    The exchange on entity inside `to_year_to_date` also serves the precedence window.
+    Discrete quarters 1-3 become year-to-date: stock, closing-cash and listed note items keep the quarter's own value
+    (also when it is NULL), opening cash takes the year's earliest reported quarter, every other item is a running sum
+    that skips NULLs and starts at 0. A year need not be complete. The other frequencies pass through.
+
+    `items` limits the panel; the filter reaches the scan of the facts, while the calendar still sees all of them.
     """
-    return keep_best_source(to_year_to_date(facts, rules)).select("entity", "item", "year", "quarter", "qidx", "value")
+    wanted = facts if items is None else facts.filter(F.col("item").isin(*items))
+    rows = item_cells(wanted).join(entity_calendar(facts), "entity")
+    placed = (
+        rows.select("*", F.inline(_periods_by_source()))
+        .withColumn("year", index_year(F.col("qidx")))
+        .withColumn("quarter", index_quarter(F.col("qidx")))
+    )
+    value = (
+        F.when(F.col("freq") == YEARLY, F.try_element_at("yearly_cells", F.col("qidx")))
+        .when(F.col("freq") == CUMULATIVE, F.try_element_at("cumulative_cells", F.col("qidx")))
+        .otherwise(_quarterly_value(rules))
+    )
+    return placed.select("entity", "item", "year", "quarter", "qidx", value.alias("value"))
 
 
-def tag(facts: DataFrame, freq: str) -> DataFrame:
-    return facts.select(F.lit(freq).alias("freq"), "entity", "item", "year", "quarter", "value")
+def ytd_cumulate(quarterly: DataFrame, rules: ItemRules) -> DataFrame:
+    """Year-to-date panel of purely quarterly facts."""
+    return merge_panel(quarterly.withColumn("freq", F.lit(QUARTERLY)), rules)
+
+
+def drop_covered_periods(facts: DataFrame, preferred: DataFrame) -> DataFrame:
+    """Drop the (entity, period) rows that a preferred source covers, whichever items it holds."""
+    covered = preferred.select("entity", "year", "quarter").distinct()
+    return facts.join(covered, ["entity", "year", "quarter"], "left_anti")

@@ -95,18 +95,19 @@ def add_trailing_year(panel: DataFrame, rules: ItemRules) -> DataFrame:
 def add_two_point_average(panel: DataFrame) -> DataFrame:
     """Mean of this and the entity's previous reported period, whatever its distance.
 
-    The previous period is the entity's, not the item's: an item missing there gives NULL. Both windows share the
-    partitioning by entity, which holds items x quarters rows.
+    The previous period is the entity's, not the item's: an item missing there gives NULL. The entity's calendar is
+    joined after the window, so that join can be split if an entity is very large.
     """
-    ordinal = F.dense_rank().over(Window.partitionBy("entity").orderBy("qidx"))
     by_item = Window.partitionBy("entity", "item").orderBy("qidx")
-    adjacent = F.col("_ord") - F.lag("_ord").over(by_item) == 1
-    both = (F.col("value") + F.lag("value").over(by_item)) / 2
+    calendar = panel.groupBy("entity").agg(F.sort_array(F.collect_set("qidx")).alias("_periods"))
+    position = F.array_position("_periods", F.col("qidx")).cast("int")
+    previous = F.get("_periods", position - 2)
     return (
-        panel.repartition("entity")
-        .withColumn("_ord", ordinal)
-        .withColumn("avg", F.when(adjacent, both))
-        .drop("_ord")
+        panel.withColumn("_before", F.lag("qidx").over(by_item))
+        .withColumn("_both", (F.col("value") + F.lag("value").over(by_item)) / 2)
+        .join(calendar, "entity")
+        .withColumn("avg", F.when(F.col("_before") == previous, F.col("_both")))
+        .drop("_before", "_both", "_periods")
     )
 
 

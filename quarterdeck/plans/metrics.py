@@ -1,8 +1,8 @@
 """Facts of all frequencies to published metric tables.
 
-Exchanges on panel-sized data: one to collapse unreferenced items (combined map-side), one on entity that then serves
-the year-to-date grid, the source precedence, all series windows, the wide rows and the calendar fill. Group rows
-branch off after the panel and are small.
+Exchanges on panel-sized data: one on (entity, item), which serves the year-to-date cells and, where calendars are small
+enough to broadcast, all series windows; one for the wide rows. Calendars and groups are combined map-side first.
+Items no formula uses are filtered at the scan.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from quarterdeck.operators.formulas import (
     widen,
 )
 from quarterdeck.operators.groups import group_rows, summarize_by_group
-from quarterdeck.operators.panel import QUARTERLY, merge_panel, prune_items, with_index
+from quarterdeck.operators.panel import calendar_rows, entity_calendar, merge_panel, reported
 from quarterdeck.operators.ranking import published_entities
 from quarterdeck.operators.series import derive_series
 
@@ -44,21 +44,15 @@ def known_items(facts: DataFrame, items: Sequence[str]) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def _reported(facts: DataFrame) -> DataFrame:
-    """Facts whose entity and period appear in the merged panel: precedence replaces rows, it never removes a period."""
-    reported = with_index(facts.filter((F.col("freq") != QUARTERLY) | (F.col("quarter") <= 3)))
-    return reported.filter(F.col("qidx").isNotNull())
-
-
 def calendar_of(facts: DataFrame) -> Column:
     """All periods of the panel as one array (a scalar subquery over three columns of the facts)."""
-    return _reported(facts).agg(F.sort_array(F.collect_set("qidx"))).scalar()
+    return reported(facts).agg(F.sort_array(F.collect_set("qidx"))).scalar()
 
 
 def fill_calendar(evaluated: DataFrame, calendar: Column) -> DataFrame:
     """One row per entity for every period of the calendar, with NULL metrics where the entity has none.
 
-    Grouped by entity, so it follows the partitioning of the wide rows; a group is as long as the calendar.
+    Grouped by entity; a group is as long as the calendar.
     """
     metrics = [c for c in evaluated.columns if c not in ("entity", "year", "quarter", "qidx")]
     rows = evaluated.groupBy("entity").agg(
@@ -104,14 +98,18 @@ def build_metrics(
     spark = facts.sparkSession
     used = referenced_items(formulas)
     present = known_items(facts, used) if items is None else [i for i in used if i in set(items)]
-    panel = merge_panel(prune_items(facts, used), rules)
+    text_entity = F.col("entity").cast("string")
+    panel = merge_panel(facts, rules, used).withColumn("entity", text_entity)
+    calendars = entity_calendar(facts)
+    spine = calendar_rows(calendars).withColumn("entity", text_entity)
     chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
-    entities = _reported(facts).select("entity").distinct()
-    group_panel = group_rows(panel, membership, groups, items=chart, entities=entities)
+    members = membership.withColumn("entity", text_entity)
+    entities = calendars.select(text_entity.alias("entity"))
+    group_panel = group_rows(panel.unionByName(spine), members, groups, items=chart, entities=entities)
 
     wide = [
-        widen(derive_series(part, rules), formulas, present)
-        for part in (panel.withColumn("entity", F.col("entity").cast("string")), group_panel)
+        widen(derive_series(panel, rules), formulas, present, spine),
+        widen(derive_series(group_panel, rules), formulas, present),
     ]
     good, failed = check_formulas(spark, wide[0].columns, formulas)
     parts = [evaluate(part, good, annualise) for part in wide]

@@ -79,8 +79,8 @@ _SPARSE_VALUES = f"{SPARSE_SQL}, {series_sql('sparse')}"
 
 
 def _sparse_batch(spark, sf, formulas, annualise=False):
-    """Formulas over customers x quarters. The exchange on entity serves the windows and the wide rows."""
-    panel = sparse(spark, sf).repartition("entity")
+    """Formulas over customers x quarters."""
+    panel = sparse(spark, sf)
     used = referenced_items(formulas)
     present = [i for i in used if i in ITEMS]
     values, _ = formula_batch(derive_series(panel, SPARSE_RULES), formulas, present, annualise)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, drop_covered_periods, to_year_to_date
+from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, drop_covered_periods, ytd_cumulate
 from quarterdeck.operators.reshape import (
     duplicate_keys,
     item_number,
@@ -121,7 +121,7 @@ def join_prior_fy_py(spark, sf):
 def anti_source_precedence(spark, sf):
     """Quarterly-derived rows of the periods that no cumulative report covers."""
     reports = reports_by_period(spark, sf)
-    ytd = to_year_to_date(reports.filter(F.col("freq") == QUARTERLY), DENSE_RULES)
+    ytd = ytd_cumulate(reports.filter(F.col("freq") == QUARTERLY), DENSE_RULES)
     kept = drop_covered_periods(ytd, reports.filter(F.col("freq") == CUMULATIVE))
     return kept.select("entity", "item", "year", "quarter", r4("value").alias("value"))
 
