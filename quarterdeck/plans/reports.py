@@ -9,6 +9,7 @@ from quarterdeck.config import ItemRules
 from quarterdeck.operators.audit import audit_gate, audit_report, data_dictionary
 from quarterdeck.operators.exports import dedup_latest_export
 from quarterdeck.operators.panel import ytd_cumulate
+from quarterdeck.session import checkpointed
 from quarterdeck.sinks.writers import period_columns, wide_raw_panel, write_csv
 
 
@@ -42,9 +43,13 @@ def monthly_sum(rows: DataFrame, keep: Column, amount: str, out: str) -> DataFra
 
 
 def audit_job(structure: DataFrame, report_path: str, dictionary_path: str) -> DataFrame:
-    """Write the audit report, and the dictionary if nothing blocks it. Returns the gate row."""
-    report = audit_report(structure)
-    dictionary = data_dictionary(structure)
+    """Write the audit report, and the dictionary if nothing blocks it. Returns the gate row.
+
+    The distinct structure is checkpointed, as every check reads it.
+    """
+    rows = checkpointed(structure.distinct())
+    report = audit_report(rows)
+    dictionary = data_dictionary(rows)
     write_csv(report, report_path)
     gate = audit_gate(report, dictionary)
     if gate.first()["publish"]:
