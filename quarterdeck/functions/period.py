@@ -27,7 +27,7 @@ def period_index(year: Column, quarter: Column) -> Column:
 
 
 def index_year(qidx: Column) -> Column:
-    return F.floor((qidx - 1) / 4).cast("int")
+    return F.shiftright((qidx - 1).cast("int"), 2)
 
 
 def index_quarter(qidx: Column) -> Column:

@@ -4,21 +4,22 @@ Facts are long: `entity, item, year, quarter, value`, plus `freq` where several
 per key. A statement table has a cell for every item of an entity in every period that entity reports, so a missing row
 and a NULL cell mean the same thing; the entity's calendar supplies the periods.
 
-Facts are grouped by (entity, item), so a group is as long as the calendar and an entity with very many items spreads
-over many tasks. Calendars are one row per entity and are joined to those groups.
+Facts are partitioned by (entity, item), so a partition key holds at most a calendar's worth of rows and an entity with
+very many items spreads over many tasks. Calendars are one row per entity and are joined to that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.config import ItemRules
 from quarterdeck.functions.period import index_quarter, index_year, period_index
 
 QUARTERLY, CUMULATIVE, YEARLY = "quarterly", "cumulative", "yearly"
+PANEL = ("entity", "item", "year", "quarter", "qidx", "value")
 
 
 def is_stock(item: Column, rules: ItemRules) -> Column:
@@ -37,10 +38,11 @@ def reported(facts: DataFrame) -> DataFrame:
 
 
 def entity_calendar(facts: DataFrame) -> DataFrame:
-    """Periods each entity reports, per frequency. Reads no item or value; combined map-side."""
-    return reported(facts).groupBy("entity").agg(
+    """Periods each entity reports, per frequency. Reads no item or value; items are collapsed map-side."""
+    periods = reported(facts).select("entity", "freq", "qidx").distinct()
+    return periods.groupBy("entity").agg(
         *[
-            F.collect_set(F.when(F.col("freq") == freq, F.col("qidx"))).alias(f"{freq}_periods")
+            F.collect_list(F.when(F.col("freq") == freq, F.col("qidx"))).alias(f"{freq}_periods")
             for freq in (QUARTERLY, CUMULATIVE, YEARLY)
         ]
     )
@@ -59,63 +61,86 @@ def calendar_rows(calendar: DataFrame) -> DataFrame:
     )
 
 
-def item_cells(facts: DataFrame) -> DataFrame:
-    """One row per entity and item with its cells per frequency as maps qidx -> value.
+def _one_value(column: str, low: str, what: str) -> Column:
+    """The value of a cell; fails if it was given two different ones."""
+    clash = F.raise_error(F.concat(F.lit(f"two values for one cell: {what} of "), F.col("item")))
+    return F.when(F.col(column) > F.col(low), clash).otherwise(F.col(column))
 
-    Repeated equal rows count once; two values for one cell fail the job.
-    """
-    cell = F.struct("qidx", "value")
-    return (
-        with_index(facts)
-        .filter(F.col("qidx").isNotNull())
-        .groupBy("entity", "item")
-        .agg(
-            *[
-                F.map_from_entries(F.collect_set(F.when(F.col("freq") == freq, cell))).alias(f"{freq}_cells")
-                for freq in (QUARTERLY, CUMULATIVE, YEARLY)
-            ]
-        )
-    )
 
+def _years_of_items(quarterly: DataFrame) -> DataFrame:
+    """One row per entity, item and year with the discrete quarters v1-v3 and the periods it stands for.
 
-def _periods_by_source() -> Column:
-    """Periods of an item with the frequency that supplies them.
-
-    Precedence holds at (entity, period) grain, whichever items a source has: yearly before cumulative before quarterly.
+    A row stands for its own year and for the following ones up to the item's next row; the first one also for all years
+    before. So an item's rows cover the whole calendar of its entity. `after` < qidx <= `upto` gives the range.
     """
-
-    def supplied(freq: str, periods: Column) -> Column:
-        return F.transform(periods, lambda p: F.struct(F.lit(freq).alias("freq"), p.alias("qidx")))
-
-    grid = F.when(F.size("quarterly_cells") > 0, F.col("quarterly_periods")).otherwise(F.array().cast("array<int>"))
-    return F.concat(
-        supplied(QUARTERLY, F.array_except(grid, F.array_union("cumulative_periods", "yearly_periods"))),
-        supplied(CUMULATIVE, F.array_except(F.map_keys("cumulative_cells"), F.col("yearly_periods"))),
-        supplied(YEARLY, F.map_keys("yearly_cells")),
+    quarters = [
+        (agg(F.when(F.col("quarter") == q, F.col("value")))).alias(f"{name}{q}")
+        for q in (1, 2, 3)
+        for agg, name in ((F.max, "v"), (F.min, "low"))
+    ]
+    by_item = Window.partitionBy("entity", "item").orderBy("year")
+    first = F.lag("year").over(by_item).isNull()
+    return (
+        quarterly.repartition("entity", "item")
+        .groupBy("entity", "item", "year")
+        .agg(*quarters)
+        .withColumn("after", F.when(first, F.lit(0)).otherwise(F.col("year") * 4))
+        .withColumn("upto", F.coalesce(F.lead("year").over(by_item) * 4, F.lit(2**31 - 1)))
+        .withColumns({f"v{q}": _one_value(f"v{q}", f"low{q}", f"quarter {q}") for q in (1, 2, 3)})
     )
 
 
 def _quarterly_value(rules: ItemRules) -> Column:
-    """Year-to-date value of a discrete quarter, from the cells of its year."""
-    year_start = F.col("qidx") - F.col("quarter")
-    first, second, third = (F.try_element_at("quarterly_cells", year_start + q) for q in (1, 2, 3))
-    own = F.try_element_at("quarterly_cells", F.col("qidx"))
+    """Year-to-date value at `quarter`, for a row of `_years_of_items` placed at period `qidx`."""
+    quarter, zero = F.col("quarter"), F.lit(0.0)
+    own = F.when(quarter == 1, F.col("v1")).when(quarter == 2, F.col("v2")).otherwise(F.col("v3"))
+    year_start = F.col("qidx") - quarter
     earliest = (
-        F.when(F.array_contains("quarterly_periods", year_start + 1), first)
-        .when(F.array_contains("quarterly_periods", year_start + 2), second)
-        .otherwise(third)
+        F.when(F.array_contains("quarterly_periods", year_start + 1), F.col("v1"))
+        .when(F.array_contains("quarterly_periods", year_start + 2), F.col("v2"))
+        .otherwise(F.col("v3"))
     )
-    zero = F.lit(0.0)
     running = (
-        F.coalesce(first, zero)
-        + F.when(F.col("quarter") >= 2, F.coalesce(second, zero)).otherwise(zero)
-        + F.when(F.col("quarter") >= 3, F.coalesce(third, zero)).otherwise(zero)
+        F.coalesce("v1", zero)
+        + F.when(quarter >= 2, F.coalesce("v2", zero)).otherwise(zero)
+        + F.when(quarter >= 3, F.coalesce("v3", zero)).otherwise(zero)
+    )
+    item, in_year = F.col("item"), F.col("year") == F.col("item_year")
+    return (
+        F.when(is_stock(item, rules) | item.isin(*rules.closing_items), F.when(in_year, own))
+        .when(item.isin(*rules.opening_items), F.when(in_year, earliest))
+        .otherwise(F.when(in_year, running).otherwise(zero))
+    )
+
+
+def _year_to_date(quarterly: DataFrame, calendar: DataFrame, rules: ItemRules) -> DataFrame:
+    """Every item in every quarterly period of its entity that no other frequency supplies."""
+    free = F.array_except("quarterly_periods", F.array_union("cumulative_periods", "yearly_periods"))
+    years = _years_of_items(quarterly).withColumnRenamed("year", "item_year")
+    due = F.filter("free", lambda p: (p > F.col("after")) & (p <= F.col("upto")))
+    placed = (
+        years.join(calendar.select("entity", "quarterly_periods", free.alias("free")), "entity")
+        .withColumn("qidx", F.explode(due))
+        .withColumn("year", index_year(F.col("qidx")))
+        .withColumn("quarter", index_quarter(F.col("qidx")))
     )
-    item = F.col("item")
+    return placed.select(*PANEL[:-1], _quarterly_value(rules).alias("value"))
+
+
+def _as_reported(facts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Cumulative and yearly cells; yearly periods take precedence over cumulative ones.
+
+    Partitioned like the year-to-date rows, so that the union of both stays partitioned by (entity, item).
+    """
+    covered = (F.col("freq") == CUMULATIVE) & F.array_contains("yearly_periods", F.col("qidx"))
     return (
-        F.when(is_stock(item, rules) | item.isin(*rules.closing_items), own)
-        .when(item.isin(*rules.opening_items), earliest)
-        .otherwise(running)
+        facts.repartition("entity", "item")
+        .groupBy("entity", "item", "freq", "year", "quarter", "qidx")
+        .agg(F.max("value").alias("value"), F.min("value").alias("low"))
+        .withColumn("value", _one_value("value", "low", "a report"))
+        .join(calendar.select("entity", "yearly_periods"), "entity")
+        .filter(~covered)
+        .select(*PANEL)
     )
 
 
@@ -124,28 +149,24 @@ def merge_panel(facts: DataFrame, rules: ItemRules, items: Sequence[str] | None
 
     Discrete quarters 1-3 become year-to-date: stock, closing-cash and listed note items keep the quarter's own value
     (also when it is NULL), opening cash takes the year's earliest reported quarter, every other item is a running sum
-    that skips NULLs and starts at 0. A year need not be complete. The other frequencies pass through.
+    that skips NULLs and starts at 0. A year need not be complete; fourth quarters only show that an entity has an
+    item. The other frequencies pass through. Precedence holds at (entity, period) grain, whichever items a source
+    has: yearly before cumulative before quarterly.
 
-    `items` limits the panel; the filter reaches the scan of the facts, while the calendar still sees all of them.
+    Equal rows for one cell count once, two values fail the job. `items` limits the panel; the filter reaches the scan
+    of the facts, while the calendar still sees all of them.
     """
     wanted = facts if items is None else facts.filter(F.col("item").isin(*items))
-    rows = item_cells(wanted).join(entity_calendar(facts), "entity")
-    placed = (
-        rows.select("*", F.inline(_periods_by_source()))
-        .withColumn("year", index_year(F.col("qidx")))
-        .withColumn("quarter", index_quarter(F.col("qidx")))
-    )
-    value = (
-        F.when(F.col("freq") == YEARLY, F.try_element_at("yearly_cells", F.col("qidx")))
-        .when(F.col("freq") == CUMULATIVE, F.try_element_at("cumulative_cells", F.col("qidx")))
-        .otherwise(_quarterly_value(rules))
-    )
-    return placed.select("entity", "item", "year", "quarter", "qidx", value.alias("value"))
+    placed = with_index(wanted).filter(F.col("qidx").isNotNull())
+    calendar = entity_calendar(facts)
+    quarterly = _year_to_date(placed.filter(F.col("freq") == QUARTERLY), calendar, rules)
+    return quarterly.unionByName(_as_reported(placed.filter(F.col("freq").isin(CUMULATIVE, YEARLY)), calendar))
 
 
 def ytd_cumulate(quarterly: DataFrame, rules: ItemRules) -> DataFrame:
     """Year-to-date panel of purely quarterly facts."""
-    return merge_panel(quarterly.withColumn("freq", F.lit(QUARTERLY)), rules)
+    facts = quarterly.withColumn("freq", F.lit(QUARTERLY))
+    return _year_to_date(with_index(facts).filter(F.col("qidx").isNotNull()), entity_calendar(facts), rules)
 
 
 def drop_covered_periods(facts: DataFrame, preferred: DataFrame) -> DataFrame:
