@@ -11,6 +11,7 @@ from quarterdeck.operators.exports import dedup_latest_export
 from quarterdeck.operators.panel import ytd_cumulate
 from quarterdeck.session import checkpointed
 from quarterdeck.sinks.writers import period_columns, wide_raw_panel, write_csv
+from quarterdeck.sources.tables import DICTIONARY_HEADERS
 
 
 def raw_panel(exports: DataFrame, periods: list[str] | None = None) -> DataFrame:
@@ -53,5 +54,6 @@ def audit_job(structure: DataFrame, report_path: str, dictionary_path: str) -> D
     write_csv(report, report_path)
     gate = audit_gate(report, dictionary)
     if gate.first()["publish"]:
-        write_csv(dictionary.orderBy("sheet_pos", "num").select("item", "label"), dictionary_path)
+        ordered = dictionary.orderBy("sheet_pos", "num")
+        write_csv(ordered.select(*[F.col(c).alias(h) for h, c in DICTIONARY_HEADERS.items()]), dictionary_path)
     return gate

@@ -16,6 +16,7 @@ from quarterdeck.config import EXPORT_DATE_ROW, HEADER_ROW, LABEL_COLUMN, SHEET_
 from quarterdeck.functions.period import extract_or_null, normalise_period, period_quarter, period_year
 from quarterdeck.functions.text import clean_name, safe_double
 from quarterdeck.operators.numbering import chunk_of, number_in_chunks
+from quarterdeck.operators.reshape import pivot_unique
 
 _SHEET = ["file", "sheet"]
 
@@ -106,6 +107,14 @@ def statement_facts(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def plain_rows(cells: DataFrame, sheet: str, columns: Sequence[str]) -> DataFrame:
+    """Rows of a plain sheet whose first row holds the headers; `columns` are cleaned header names, values are text."""
+    table = cells.filter(F.col("sheet") == sheet)
+    heads = table.filter(F.col("row_pos") == 0).select("file", "col_pos", clean_name(F.col("text")).alias("name"))
+    body = table.filter(F.col("row_pos") > 0).join(heads, ["file", "col_pos"])
+    return pivot_unique(body.filter(F.col("name").isin(*columns)), ["file", "row_pos"], "name", "text", columns)
+
+
 def structure_of(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Structure only: item, label, sheet and file, no values."""
     return items.select(*_SHEET, *keep, "item", "label")

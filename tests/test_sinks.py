@@ -93,7 +93,7 @@ def test_audit_job_writes_the_dictionary_only_if_clean(spark, tmp_path):
     schema = "entity string, sheet string, file string, item string, label string"
     clean = spark.createDataFrame([("A", "BS", "f", "BS_1", "=Cash")], schema)
     assert audit_job(clean, str(tmp_path / "r1"), str(tmp_path / "d1")).first()["publish"]
-    assert spark.read.option("header", True).csv(str(tmp_path / "d1")).first()["label"] == "'=Cash"
+    assert spark.read.option("header", True).csv(str(tmp_path / "d1")).first()["chi_tieu"] == "'=Cash"
     drift = clean.unionByName(spark.createDataFrame([("A", "BS", "g", "BS_1", "Money")], schema))
     assert not audit_job(drift, str(tmp_path / "r2"), str(tmp_path / "d2")).first()["publish"]
     assert not (tmp_path / "d2").exists()
