@@ -41,19 +41,17 @@ def ingest(landed: DataFrame) -> Ingested:
     """
     cells = statement_sheets(good_cells(landed).withColumn("file", F.col("path")))
     dates = export_dates(cells)
-    undated = dates.filter(F.col("export_date").isNull()).select("file")
+    dated = dates.filter(F.col("export_date").isNotNull())
     items = statement_items(cells, keep=["entity", "freq"])
-    facts = statement_facts(items, keep=["entity", "freq"]).join(dates.filter("export_date IS NOT NULL"), "file")
+    facts = statement_facts(items, keep=["entity", "freq"]).join(dated, "file")
     newest = dedup_latest_export(facts, ["freq", "entity", "item", "label", "period"], "export_date", "file")
-    all_files = cells.select("path").distinct()
-    no_date = all_files.join(dates.filter("export_date IS NOT NULL"), F.col("path") == F.col("file"), "left_anti")
+    undated = cells.select("path").distinct().join(dated, F.col("path") == F.col("file"), "left_anti")
     rejected = quarantine(landed).unionByName(
-        no_date.select(
+        undated.select(
             "path",
             F.element_at(F.split("path", "/"), -1).alias("file"),
             F.lit("no export date").alias("error"),
         )
     )
     structure = structure_of(items, keep=["entity", "freq"]).withColumnRenamed("freq", "folder")
-    structure = structure.join(undated, "file", "left_anti")
-    return Ingested(with_period_parts(newest), structure, rejected)
+    return Ingested(with_period_parts(newest), structure.join(dated, "file", "left_semi"), rejected)

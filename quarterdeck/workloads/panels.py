@@ -70,24 +70,27 @@ def _long(wide: DataFrame, ids: list[str]) -> DataFrame:
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers x quarters; most cells are missing, and a third of the IS_2 and CF_48 rows besides."""
+    """Customers x quarters; most cells are missing. Single orders and empty notes are not reported as lines."""
     rows = _long(
         customer_quarters(spark, sf_dir).withColumnRenamed("o_custkey", "entity"), ["entity", "year", "quarter"]
     )
-    gap = F.col("item").isin("IS_2", "CF_48") & ((F.col("entity") + F.col("qidx")) % 3 == 0)
-    return rows.filter(~gap)
+    unlisted = ((F.col("item") == "IS_2") & (F.col("value") == 1)) | ((F.col("item") == "NOTES_1") & (F.col("value") == 0))
+    return rows.filter(F.col("value").isNull() | ~unlisted)
 
 
 def dense_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations x quarters. The customer totals are formed first, so the join to customer meets no hot key."""
+    """Nations x quarters; semi-annual reporters have no odd quarters.
+
+    The customer totals are formed first, so the join to customer meets no hot key.
+    """
     nations = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
     return (
         customer_quarters(spark, sf_dir)
-        .join(nations.select("c_custkey", "n_nationkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
-        .filter((F.col("n_nationkey") % 10 != 0) | (F.col("quarter") % 2 == 0))
-        .groupBy(F.col("n_name").alias("entity"), "n_nationkey", "year", "quarter")
+        .join(nations.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
+        .filter(~(F.col("n_name").isin(*DENSE_RULES.semi_annual) & F.col("quarter").isin(1, 3)))
+        .groupBy(F.col("n_name").alias("entity"), "year", "quarter")
         .agg(
             *[F.sum(i).alias(i) for i in ("IS_1", "IS_2", "BS_1", "NOTES_1")],
             F.min("CF_47").alias("CF_47"),
@@ -97,12 +100,12 @@ def dense_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _long(dense_wide(spark, sf_dir), ["entity", "n_nationkey", "year", "quarter"]).drop("n_nationkey")
+    return _long(dense_wide(spark, sf_dir), ["entity", "year", "quarter"])
 
 
 def three_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarterly, yearly and half-year reports with their header texts, all from one pass over the dense panel."""
-    rows = _long(dense_wide(spark, sf_dir), ["entity", "n_nationkey", "year", "quarter"])
+    """Quarterly, yearly and (for group G2) half-year reports with their header texts, in one pass over the panel."""
+    rows = dense(spark, sf_dir)
     flow = F.col("item").startswith("IS_")
     quarter, year, value = F.col("quarter"), F.col("year").cast("string"), F.col("value")
 
@@ -110,7 +113,7 @@ def three_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(F.lit(freq).alias("freq"), header.alias("header"), cell.alias("cell"))
 
     half = F.when(
-        (F.col("n_nationkey") % 5 == 1) & (quarter <= 2),
+        F.col("entity").isin(*G2) & (quarter <= 2),
         report(CUMULATIVE, F.concat(F.lit("6m_"), year), F.when(flow | (quarter == 2), value)),
     )
     reports = F.array(
@@ -178,7 +181,10 @@ def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Landed once: the checks read it several times, and it is tiny beside the lines it comes from.
     """
-    line, year, company = F.col("l_linenumber"), F.year("l_shipdate"), F.col("l_suppkey") % 5
+    year, company = F.year("l_shipdate"), F.col("l_suppkey") % 5
+    # the shorter form of company N4 in odd years ends with line 4
+    short = (company == 4) & (year % 2 == 1)
+    line = F.when(short, F.least("l_linenumber", F.lit(4))).otherwise(F.col("l_linenumber"))
     label = (
         F.when((company == 0) & (year == 1998) & (line == 3), F.lit("Item 3b"))
         .when((company == 1) & (year == 1999) & (line == 2), F.lit(None))
@@ -187,12 +193,11 @@ def structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = (
         table(spark, sf_dir, "lineitem")
-        .filter(~((company == 4) & (year % 2 == 1) & (line > 4)))
         .select(
             F.concat(F.lit("N"), company.cast("string")).alias("entity"),
             F.col("l_returnflag").alias("sheet"),
             F.concat(F.lit("f"), year.cast("string")).alias("file"),
-            F.concat("l_returnflag", F.lit("_"), line.cast("string")).alias("item"),
+            F.concat(F.col("l_returnflag"), F.lit("_"), line.cast("string")).alias("item"),
             label.alias("label"),
         )
         .distinct()
@@ -251,19 +256,19 @@ def _long_sql(source: str, ids: str) -> str:
 SPARSE_SQL = f"""{CUSTOMER_QUARTERS_SQL},
 sparse AS (
   SELECT * FROM ({_long_sql('cq', 'o_custkey AS entity')}) s
-  WHERE NOT (item IN ('IS_2', 'CF_48') AND (entity + qidx) % 3 = 0))"""
+  WHERE value IS NULL OR NOT (item = 'IS_2' AND value = 1 OR item = 'NOTES_1' AND value = 0))"""
 
 DENSE_SQL = f"""
 dq AS (
-  SELECT n_name AS entity, n_nationkey, CAST(year(o_orderdate) AS INT) AS year,
+  SELECT n_name AS entity, CAST(year(o_orderdate) AS INT) AS year,
          CAST(quarter(o_orderdate) AS INT) AS quarter,
          sum(cents) AS is_1, count(*) AS is_2, sum(CASE WHEN o_orderstatus = 'O' THEN cents END) AS bs_1,
          min(cents) AS cf_47, max(cents) AS cf_48, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS notes_1
   FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders) o
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-  WHERE n_nationkey % 10 <> 0 OR quarter(o_orderdate) % 2 = 0
-  GROUP BY 1, 2, 3, 4),
-dense AS ({_long_sql('dq', 'entity, n_nationkey')})"""
+  WHERE NOT (n_name IN ('NATION_0', 'NATION_10', 'NATION_20') AND quarter(o_orderdate) IN (1, 3))
+  GROUP BY 1, 2, 3),
+dense AS ({_long_sql('dq', 'entity')})"""
 
 REPORTS_SQL = f"""{DENSE_SQL},
 headed AS (
@@ -275,7 +280,7 @@ headed AS (
   UNION ALL
   SELECT 'cumulative', entity, item, '6m_' || year, year, 2,
          sum(CASE WHEN item LIKE 'IS%' OR quarter = 2 THEN value END) + 1
-  FROM dense WHERE n_nationkey % 5 = 1 AND quarter <= 2 GROUP BY entity, item, year HAVING max(quarter) = 2)"""
+  FROM dense WHERE entity IN ('NATION_1', 'NATION_6', 'NATION_11', 'NATION_16', 'NATION_21') AND quarter <= 2 GROUP BY entity, item, year HAVING max(quarter) = 2)"""
 
 
 def ytd_sql(source: str, name: str = "ytd") -> str:
@@ -393,15 +398,18 @@ dict AS (
   FROM supplier)"""
 
 STRUCTURE_SQL = """
+lines AS (
+  SELECT l_suppkey % 5 AS company, year(l_shipdate) AS y, l_returnflag,
+    CASE WHEN l_suppkey % 5 = 4 AND year(l_shipdate) % 2 = 1 AND l_linenumber > 4 THEN 4 ELSE l_linenumber END AS num
+  FROM lineitem),
 structure AS (
-  SELECT DISTINCT 'N' || (l_suppkey % 5) AS entity, l_returnflag AS sheet, 'f' || year(l_shipdate) AS file,
-    l_returnflag || '_' || l_linenumber AS item, l_linenumber AS num,
-    CASE WHEN l_suppkey % 5 = 0 AND year(l_shipdate) = 1998 AND l_linenumber = 3 THEN 'Item 3b'
-         WHEN l_suppkey % 5 = 1 AND year(l_shipdate) = 1999 AND l_linenumber = 2 THEN NULL
-         WHEN l_suppkey % 5 = 2 AND year(l_shipdate) = 2000 AND l_linenumber = 5 THEN 'Item 4'
-         ELSE 'Item ' || l_linenumber END AS label
-  FROM lineitem
-  WHERE NOT (l_suppkey % 5 = 4 AND year(l_shipdate) % 2 = 1 AND l_linenumber > 4))"""
+  SELECT DISTINCT 'N' || company AS entity, l_returnflag AS sheet, 'f' || y AS file,
+    l_returnflag || '_' || num AS item, num,
+    CASE WHEN company = 0 AND y = 1998 AND num = 3 THEN 'Item 3b'
+         WHEN company = 1 AND y = 1999 AND num = 2 THEN NULL
+         WHEN company = 2 AND y = 2000 AND num = 5 THEN 'Item 4'
+         ELSE 'Item ' || num END AS label
+  FROM lines)"""
 
 PART_ITEMS_SQL = """
 kept AS (
