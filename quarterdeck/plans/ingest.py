@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.config import SHEET_TITLES
 from quarterdeck.operators.exports import dedup_latest_export
+from quarterdeck.session import land
 from quarterdeck.sources.statements import (
     export_dates,
     frequency_of,
@@ -18,7 +19,7 @@ from quarterdeck.sources.statements import (
     structure_of,
     with_period_parts,
 )
-from quarterdeck.sources.workbooks import good_cells, land, quarantine, read_workbooks
+from quarterdeck.sources.workbooks import good_cells, quarantine, read_workbooks
 
 
 @dataclass(frozen=True)

@@ -25,11 +25,12 @@ from quarterdeck.operators.panel import QUARTERLY
 from quarterdeck.plans.ingest import ingest, land_cells
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.plans.reports import audit_job, monthly_sum
+from quarterdeck.session import land
 from quarterdeck.sinks.sql_script import write_script
 from quarterdeck.sinks.writers import period_columns, wide_raw_panel, write_csv, write_partitioned
 from quarterdeck.sources.statements import plain_rows
 from quarterdeck.sources.tables import formula_list, read_dictionary, read_formulas
-from quarterdeck.sources.workbooks import good_cells, land, read_workbooks
+from quarterdeck.sources.workbooks import good_cells, read_workbooks
 
 
 @dataclass(frozen=True)

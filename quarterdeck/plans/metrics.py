@@ -76,7 +76,7 @@ def enrich_panel(
     rules: ItemRules,
     items: Column | None = None,
 ) -> DataFrame:
-    """Panel plus group rows, with all derived series."""
+    """Panel plus group rows, with all derived series. The panel is read several times, so land it first."""
     return derive_series(summarize_by_group(panel, membership, groups, items=items), rules)
 
 
@@ -90,7 +90,7 @@ def build_metrics(
     annualise: bool = False,
     published: tuple[Sequence, Sequence] | None = None,
 ) -> Metrics:
-    """Evaluate all formulas for entities and groups.
+    """Evaluate all formulas for entities and groups. The facts are read several times, so land them first.
 
     `items` is the chart of accounts, if known. `published` = (ranked peers, everyone) limits the result to the
     entities a metric table shows and fills their calendar, as publishing needs.

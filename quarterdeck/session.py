@@ -32,6 +32,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def land(df: DataFrame, target: str) -> DataFrame:
+    """Write a frame as parquet and read it back: for what several later steps read."""
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.parquet(target)
+
+
 @contextmanager
 def lenient_arithmetic(spark: SparkSession):
     """Compile expressions so that division by zero and bad casts give NULL.

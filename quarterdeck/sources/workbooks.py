@@ -159,12 +159,6 @@ def read_workbooks(spark: SparkSession, folder: str, name_part: str = "", titles
     return decode_workbooks(files, titles)
 
 
-def land(cells: DataFrame, target: str) -> DataFrame:
-    """Write decoded cells and read them back, so that files are decoded once however often the cells are used."""
-    cells.write.mode("overwrite").parquet(target)
-    return cells.sparkSession.read.parquet(target)
-
-
 def good_cells(cells: DataFrame) -> DataFrame:
     return cells.filter(F.col("error").isNull()).drop("error")
 

@@ -12,6 +12,7 @@ from quarterdeck.operators.groups import membership_of
 from quarterdeck.operators.ranking import wide_metric
 from quarterdeck.operators.series import derive_series
 from quarterdeck.plans.metrics import build_metrics, publish
+from quarterdeck.session import land, scratch_path
 from quarterdeck.workloads.panels import (
     DENSE_RULES,
     EVERYONE,
@@ -100,7 +101,7 @@ def formula_batch_all(spark, sf):
 
 
 def _nation_metrics(spark, sf, published=None):
-    facts = reports_by_period(spark, sf)
+    facts = land(reports_by_period(spark, sf), scratch_path(spark, "facts"))
     members = membership_of(facts, {"G1": G1, "G2": G2, "ALL": EVERYONE})
     return build_metrics(facts, members, GROUPS, FORMULAS, DENSE_RULES, items=ITEMS, published=published)
 

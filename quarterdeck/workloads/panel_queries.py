@@ -10,6 +10,7 @@ from quarterdeck.operators.panel import merge_panel, ytd_cumulate
 from quarterdeck.operators.ranking import rank_latest_period
 from quarterdeck.plans.metrics import enrich_panel
 from quarterdeck.plans.reports import monthly_sum, single_entity_ytd
+from quarterdeck.session import land, scratch_path
 from quarterdeck.workloads.panels import (
     DENSE_RULES,
     DENSE_SQL,
@@ -148,7 +149,7 @@ def merged(spark, sf):
 
 
 def enriched(spark, sf):
-    panel = merge_panel(reports_by_period(spark, sf), DENSE_RULES)
+    panel = land(merge_panel(reports_by_period(spark, sf), DENSE_RULES), scratch_path(spark, "panel"))
     out = enrich_panel(panel, nation_groups(panel), GROUPS, DENSE_RULES)
     return _rounded(out, "value", "avg", "roll5", "roll4")
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from quarterdeck.config import SHEET_TITLES
 from quarterdeck.operators.exports import dedup_latest_export, prefer_reports
-from quarterdeck.session import scratch_path
+from quarterdeck.session import land, scratch_path
 from quarterdeck.sources import statements as S
-from quarterdeck.sources.workbooks import decode_workbooks, good_cells, land, quarantine
+from quarterdeck.sources.workbooks import decode_workbooks, good_cells, quarantine
 from quarterdeck.workloads.panels import PART_ITEMS_SQL, cents, part_cells, r4, table
 
 _EPOCH = (1980, 1, 1, 0, 0, 0)
