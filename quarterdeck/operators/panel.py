@@ -22,9 +22,11 @@ QUARTERLY, CUMULATIVE, YEARLY = "quarterly", "cumulative", "yearly"
 PANEL = ("entity", "item", "year", "quarter", "qidx", "value")
 
 
-def is_stock(item: Column, rules: ItemRules) -> Column:
-    """Balances at a point in time: balance-sheet items and the listed notes."""
-    return item.contains(rules.stock_marker) | item.isin(*rules.stock_notes)
+def is_stock(rules: ItemRules) -> Column:
+    """Whether `item` is a balance at a point in time: a balance-sheet item or one of the listed notes."""
+    # one expression text instead of a hundred literals sent one by one
+    listed = ", ".join(f"'{note}'" for note in rules.stock_notes)
+    return F.col("item").contains(rules.stock_marker) | F.expr(f"item IN ({listed})")
 
 
 def with_index(df: DataFrame) -> DataFrame:
@@ -107,7 +109,7 @@ def _quarterly_value(rules: ItemRules) -> Column:
     )
     item, in_year = F.col("item"), F.col("year") == F.col("item_year")
     return (
-        F.when(is_stock(item, rules) | item.isin(*rules.closing_items), F.when(in_year, own))
+        F.when(is_stock(rules) | item.isin(*rules.closing_items), F.when(in_year, own))
         .when(item.isin(*rules.opening_items), F.when(in_year, earliest))
         .otherwise(F.when(in_year, running).otherwise(zero))
     )

@@ -113,10 +113,9 @@ def add_two_point_average(panel: DataFrame) -> DataFrame:
 
 def derive_series(panel: DataFrame, rules: ItemRules) -> DataFrame:
     """`avg` and `roll5` for stock items, `roll4` for income items, on one exchange."""
-    item = F.col("item")
     return panel.select(
         "*",
-        F.when(is_stock(item, rules), average_balance(rules)).alias("avg"),
-        F.when(is_stock(item, rules), five_point_mean(rules)).alias("roll5"),
-        F.when(item.startswith(rules.ttm_prefix), trailing_year(rules)).alias("roll4"),
+        F.when(is_stock(rules), average_balance(rules)).alias("avg"),
+        F.when(is_stock(rules), five_point_mean(rules)).alias("roll5"),
+        F.when(F.col("item").startswith(rules.ttm_prefix), trailing_year(rules)).alias("roll4"),
     )

@@ -39,6 +39,11 @@ def _rounded(df, *names):
     return df.withColumns({n: r4(n) for n in names})
 
 
+def _to_cent_parts(df, *names):
+    """Means of amounts in cents, to a hundredth: four places of a large total are beyond a double."""
+    return df.withColumns({n: F.round(n, 2) for n in names})
+
+
 def _sparse_facts(spark, sf):
     return sparse(spark, sf).drop("qidx")
 
@@ -95,12 +100,12 @@ def semi_annual_points(spark, sf):
 
 def group_mean(spark, sf):
     panel = dense(spark, sf)
-    return _rounded(G.group_mean(panel, nation_groups(panel)), "value")
+    return _to_cent_parts(G.group_mean(panel, nation_groups(panel)), "value")
 
 
 def group_sum(spark, sf):
     panel = dense(spark, sf)
-    return _rounded(G.group_sum(panel, nation_groups(panel)), "value")
+    return _to_cent_parts(G.group_sum(panel, nation_groups(panel)), "value")
 
 
 def group_member_count(spark, sf):
@@ -110,13 +115,13 @@ def group_member_count(spark, sf):
 
 def summarize(spark, sf):
     panel = dense(spark, sf)
-    return _rounded(G.summarize_by_group(panel, nation_groups(panel), GROUPS), "value")
+    return _to_cent_parts(G.summarize_by_group(panel, nation_groups(panel), GROUPS), "value")
 
 
 def customer_groups(spark, sf):
     """Groups whose membership is a table that grows with the data: customers by market segment."""
     members = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("group"), F.col("c_custkey").alias("entity"))
-    return _rounded(G.group_mean(sparse(spark, sf), members), "value")
+    return _to_cent_parts(G.group_mean(sparse(spark, sf), members), "value")
 
 
 def rank_nations(spark, sf):
@@ -151,7 +156,7 @@ def merged(spark, sf):
 def enriched(spark, sf):
     panel = land(merge_panel(reports_by_period(spark, sf), DENSE_RULES), scratch_path(spark, "panel"))
     out = enrich_panel(panel, nation_groups(panel), GROUPS, DENSE_RULES)
-    return _rounded(out, "value", "avg", "roll5", "roll4")
+    return _to_cent_parts(out, "value", "avg", "roll5", "roll4")
 
 
 _SERIES = series_sql("sparse")
@@ -206,13 +211,13 @@ QUERIES = {
     "group_mean": (
         group_mean,
         f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
-        SELECT grp AS "group", year, quarter, qidx, item, round(avg(value), 4) AS value
+        SELECT grp AS "group", year, quarter, qidx, item, round(avg(value), 2) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_sum": (
         group_sum,
         f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
-        SELECT grp AS "group", year, quarter, qidx, item, round(coalesce(sum(value), 0), 4) AS value
+        SELECT grp AS "group", year, quarter, qidx, item, round(coalesce(sum(value), 0), 2) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_member_count": (
@@ -223,11 +228,11 @@ QUERIES = {
     "summarize_by_group": (
         summarize,
         f"""WITH {DENSE_SQL}, {groups_sql('dense')}
-        SELECT entity, item, year, quarter, qidx, round(value, 4) AS value FROM grouped""",
+        SELECT entity, item, year, quarter, qidx, round(value, 2) AS value FROM grouped""",
     ),
     "group_mean_by_segment": (
         customer_groups,
-        f"""WITH {SPARSE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 4) AS value
+        f"""WITH {SPARSE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 2) AS value
         FROM sparse JOIN customer ON entity = c_custkey GROUP BY 1, 2, 3, 4, 5""",
     ),
     "rank_latest_period": (
@@ -262,9 +267,9 @@ QUERIES = {
     "panel_enrich": (
         enriched,
         f"""WITH {MERGED_SQL}, {groups_sql('merged')}, {series_sql('grouped', semi=SEMI_SQL)}
-        SELECT entity, item, year, quarter, qidx, round(value, 4) AS value,
-          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(avg, 4) END AS avg,
-          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(roll5, 4) END AS roll5,
-          CASE WHEN item LIKE 'IS%' THEN round(roll4, 4) END AS roll4 FROM derived""",
+        SELECT entity, item, year, quarter, qidx, round(value, 2) AS value,
+          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(avg, 2) END AS avg,
+          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(roll5, 2) END AS roll5,
+          CASE WHEN item LIKE 'IS%' THEN round(roll4, 2) END AS roll4 FROM derived""",
     ),
 }

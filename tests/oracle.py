@@ -21,7 +21,9 @@ TABLES = (
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        files = f"{sf_dir}/{t}.parquet"
+        files += "/*.parquet" if Path(files).is_dir() else ""
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
