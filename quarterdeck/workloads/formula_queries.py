@@ -13,6 +13,7 @@ from quarterdeck.operators.ranking import wide_metric
 from quarterdeck.operators.series import derive_series
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.session import land, scratch_path
+from quarterdeck.sources.tables import FORMULA_HEADERS, read_formulas
 from quarterdeck.workloads.panels import (
     DENSE_RULES,
     EVERYONE,
@@ -124,15 +125,23 @@ def formula_wide(spark, sf):
 
 
 def formula_refs(spark, sf):
+    """References of a formula table that was written as CSV and read back."""
+    path = scratch_path(spark, "formulas")
+    headed = part_formulas(spark, sf).select(*[F.col(c).alias(h) for h, c in FORMULA_HEADERS.items()])
+    headed.write.option("header", True).option("escape", '"').csv(path)
+    return L.formula_references(read_formulas(spark, path))
+
+
+def _references(spark, sf):
     return L.formula_references(part_formulas(spark, sf))
 
 
 def join_dictionary(spark, sf):
-    return L.with_labels(formula_refs(spark, sf), supplier_dictionary(spark, sf))
+    return L.with_labels(_references(spark, sf), supplier_dictionary(spark, sf))
 
 
 def missing_definitions(spark, sf):
-    return L.missing_definitions(formula_refs(spark, sf), supplier_dictionary(spark, sf))
+    return L.missing_definitions(_references(spark, sf), supplier_dictionary(spark, sf))
 
 
 def formula_collapse(spark, sf):
