@@ -165,9 +165,13 @@ def merge_panel(facts: DataFrame, rules: ItemRules, items: Sequence[str] | None
     return quarterly.unionByName(_as_reported(placed.filter(F.col("freq").isin(CUMULATIVE, YEARLY)), calendar))
 
 
+def tag_quarterly(facts: DataFrame) -> DataFrame:
+    return facts.withColumn("freq", F.lit(QUARTERLY))
+
+
 def ytd_cumulate(quarterly: DataFrame, rules: ItemRules) -> DataFrame:
     """Year-to-date panel of purely quarterly facts."""
-    facts = quarterly.withColumn("freq", F.lit(QUARTERLY))
+    facts = tag_quarterly(quarterly)
     return _year_to_date(with_index(facts).filter(F.col("qidx").isNotNull()), entity_calendar(facts), rules)
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarterdeck.config import Formula
+from quarterdeck.config import Formula, PeerGroup
 from quarterdeck.operators import lineage as L
 from quarterdeck.operators.audit import critical_items, rule_items
 from quarterdeck.operators.formulas import formula_batch, referenced_items
 from quarterdeck.operators.groups import membership_of
+from quarterdeck.operators.panel import tag_quarterly
 from quarterdeck.operators.ranking import wide_metric
 from quarterdeck.operators.series import derive_series
 from quarterdeck.plans.metrics import build_metrics, publish
@@ -35,6 +36,8 @@ from quarterdeck.workloads.panels import (
     series_sql,
     sparse,
     supplier_dictionary,
+    table,
+    ytd_sql,
 )
 
 FORMULAS = (
@@ -47,6 +50,10 @@ FORMULAS = (
     Formula("No reference", "1 + 1", "Checks"),
 )
 
+SEGMENTS = tuple(
+    PeerGroup(name, f"BQ %d {name}") for name in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+)
+
 # metric, sheet, table name and expression over the pivoted columns
 _SQL_FORMULAS = (
     ("Tổng tài sản", "Assets", "tong_tai_san", "bs_1"),
@@ -77,6 +84,17 @@ vals AS ({rows})"""
 
 
 _DERIVED_SQL = f"{MERGED_SQL}, {groups_sql('merged')}, {series_sql('grouped', semi=SEMI_SQL)}, {_values_sql('derived')}"
+_CUSTOMER_SQL = f"""{SPARSE_SQL}, {ytd_sql('sparse')},
+counts AS (
+  SELECT c_mktsegment AS grp, count(*) AS n FROM customer
+  WHERE c_custkey IN (SELECT entity FROM ytd) GROUP BY 1),
+grouped AS (
+  SELECT CAST(entity AS VARCHAR) AS entity, item, year, quarter, qidx, value FROM ytd
+  UNION ALL
+  SELECT 'BQ ' || c.n || ' ' || c.grp, y.item, y.year, y.quarter, y.qidx, avg(y.value)
+  FROM ytd y JOIN customer ON y.entity = c_custkey JOIN counts c ON c.grp = c_mktsegment
+  GROUP BY c.n, c.grp, y.item, y.year, y.quarter, y.qidx),
+{series_sql('grouped')}, {_values_sql('derived')}"""
 _SPARSE_VALUES = f"{SPARSE_SQL}, {series_sql('sparse')}"
 
 
@@ -124,6 +142,14 @@ def formula_wide(spark, sf):
     return wide.select("year", "quarter", *[r4(c).alias(c) for c in wide.columns[2:]])
 
 
+def customer_metrics(spark, sf):
+    """The same job where entities and group members grow with the data: customers and their market segments."""
+    facts = land(tag_quarterly(sparse(spark, sf).drop("qidx")), scratch_path(spark, "customer-facts"))
+    members = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("group"), F.col("c_custkey").alias("entity"))
+    values = build_metrics(facts, members, SEGMENTS, FORMULAS, SPARSE_RULES, items=ITEMS).values
+    return values.select("entity", "year", "quarter", "metric", r4("value").alias("value"))
+
+
 def formula_refs(spark, sf):
     """References of a formula table that was written as CSV and read back."""
     path = scratch_path(spark, "formulas")
@@ -195,6 +221,10 @@ QUERIES = {
         flagship,
         f"WITH {_DERIVED_SQL} SELECT entity, year, quarter, metric, round(value, 4) AS value FROM vals",
     ),
+    "metrics_by_customer": (
+        customer_metrics,
+        f"WITH {_CUSTOMER_SQL} SELECT entity, year, quarter, metric, round(value, 4) AS value FROM vals",
+    ),
     "formula_refs": (
         formula_refs,
         f"""WITH {FORMULAS_SQL} SELECT f.metric, f.formula, u.pos, u.item FROM formulas f
