@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 
 def newest_first(when: Column, kind: str) -> Column:
-    """Ascending order of this number is newest first; an unknown date comes last."""
-    ticks = F.unix_date(when) if kind == "date" else F.unix_micros(when.cast("timestamp"))
+    """A value whose ascending order is newest first; an unknown date comes last.
+
+    A time without zone is compared by its distance from a fixed one, so no session time zone enters.
+    """
+    if kind == "timestamp_ntz":
+        return F.coalesce(F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") - when, F.expr("INTERVAL '106751990' DAY"))
+    ticks = F.unix_date(when) if kind == "date" else F.unix_micros(when)
     return F.coalesce(-ticks.cast("long"), F.lit(2**63 - 1))
 
 

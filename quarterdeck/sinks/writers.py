@@ -63,13 +63,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def temporal_as_text(df: DataFrame) -> DataFrame:
     """Dates as yyyy-MM-dd and timestamps as yyyy-MM-dd HH:mm:ss."""
-    formats = {}
+    texts = {}
     for field in df.schema:
         if isinstance(field.dataType, DateType):
-            formats[field.name] = "yyyy-MM-dd"
-        elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            formats[field.name] = "yyyy-MM-dd HH:mm:ss"
-    return df.withColumns({c: F.date_format(c, f) for c, f in formats.items()})
+            texts[field.name] = F.date_format(field.name, "yyyy-MM-dd")
+        elif isinstance(field.dataType, TimestampType):
+            texts[field.name] = F.date_format(field.name, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(field.dataType, TimestampNTZType):
+            # date_format would go through the session time zone
+            texts[field.name] = F.substring(F.col(field.name).cast("string"), 1, 19)
+    return df.withColumns(texts)
 
 
 def storage_type(data_type) -> str:

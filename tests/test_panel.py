@@ -142,6 +142,16 @@ def test_newest_export_wins_even_if_null(spark):
     assert rows(dedup_latest_export(df, ["key"], "d", "file")) == [("k", None), ("m", 3.0)]
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_newest_export_by_time(spark, kind):
+    df = spark.createDataFrame(
+        [("k", "2024-01-01 00:00:00.5", "a", 1.0), ("k", "2024-01-01 00:00:00.6", "z", 2.0), ("k", None, "a", 3.0),
+         ("k", "2024-01-01 00:00:00.6", "b", 4.0)],
+        "key string, d string, file string, value double",
+    ).withColumn("d", F.col("d").cast(kind))
+    assert rows(dedup_latest_export(df, ["key"], "d", "file")) == [("k", 4.0)]
+
+
 def test_preferred_report_is_filled_from_the_other(spark):
     df = spark.createDataFrame(
         [("k", 1, "2024-03-01", "a", 1.0), ("k", 0, "2023-01-01", "b", 2.0), ("k", 0, "2023-06-01", "c", 3.0),
