@@ -40,8 +40,9 @@ def _rounded(df, *names):
 
 
 def _to_cent_parts(df, *names):
-    """Means of amounts in cents, to a hundredth: four places of a large total are beyond a double."""
-    return df.withColumns({n: F.round(n, 2) for n in names})
+    """Means of amounts in cents, to three places: of a large total a double does not hold four, and at two the
+    means of few members and quarters (fortieths) end in exact halves."""
+    return df.withColumns({n: F.round(n, 3) for n in names})
 
 
 def _sparse_facts(spark, sf):
@@ -211,13 +212,13 @@ QUERIES = {
     "group_mean": (
         group_mean,
         f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
-        SELECT grp AS "group", year, quarter, qidx, item, round(avg(value), 2) AS value
+        SELECT grp AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_sum": (
         group_sum,
         f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
-        SELECT grp AS "group", year, quarter, qidx, item, round(coalesce(sum(value), 0), 2) AS value
+        SELECT grp AS "group", year, quarter, qidx, item, round(coalesce(sum(value), 0), 3) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_member_count": (
@@ -228,11 +229,11 @@ QUERIES = {
     "summarize_by_group": (
         summarize,
         f"""WITH {DENSE_SQL}, {groups_sql('dense')}
-        SELECT entity, item, year, quarter, qidx, round(value, 2) AS value FROM grouped""",
+        SELECT entity, item, year, quarter, qidx, round(value, 3) AS value FROM grouped""",
     ),
     "group_mean_by_segment": (
         customer_groups,
-        f"""WITH {SPARSE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 2) AS value
+        f"""WITH {SPARSE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value
         FROM sparse JOIN customer ON entity = c_custkey GROUP BY 1, 2, 3, 4, 5""",
     ),
     "rank_latest_period": (
@@ -267,9 +268,9 @@ QUERIES = {
     "panel_enrich": (
         enriched,
         f"""WITH {MERGED_SQL}, {groups_sql('merged')}, {series_sql('grouped', semi=SEMI_SQL)}
-        SELECT entity, item, year, quarter, qidx, round(value, 2) AS value,
-          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(avg, 2) END AS avg,
-          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(roll5, 2) END AS roll5,
-          CASE WHEN item LIKE 'IS%' THEN round(roll4, 2) END AS roll4 FROM derived""",
+        SELECT entity, item, year, quarter, qidx, round(value, 3) AS value,
+          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(avg, 3) END AS avg,
+          CASE WHEN item LIKE '%BS%' OR item LIKE 'NOTES%' THEN round(roll5, 3) END AS roll5,
+          CASE WHEN item LIKE 'IS%' THEN round(roll4, 3) END AS roll4 FROM derived""",
     ),
 }
