@@ -143,7 +143,8 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
     share = lambda a: F.transform(a, lambda x: F.struct((x / F.nullif(total(a), F.lit(0.0))).alias("p")))
     terms = F.zip_with(share(counts), share(reference), term)
-    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+    distance = F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
+    return F.when((total(counts) > 0) & (total(reference) > 0), distance)
 
 
 def _compared(measured: DataFrame, found: DataFrame) -> DataFrame:
@@ -177,6 +178,80 @@ def judge(docs: DataFrame) -> DataFrame:
     return _compared(measured, references(_compared(measured, first).filter("kept").select(measured.columns)))
 
 
+def _sql_distances(chosen: str) -> str:
+    """Jensen-Shannon distances of all histograms from those pooled over the chosen documents."""
+    return f"""(
+  SELECT r, kind, sqrt(greatest(sum(
+      CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END
+    ) / 2, 0)) AS d
+  FROM (
+    SELECT r, kind, n / nullif(sum(n) OVER (PARTITION BY r, kind), 0) AS p,
+      m / nullif(sum(m) OVER (PARTITION BY r, kind), 0) AS q
+    FROM hist JOIN (
+      SELECT language, kind, bin, sum(n) AS m FROM hist WHERE r IN (SELECT r FROM {chosen}) AND language <> '' GROUP BY ALL
+      UNION ALL SELECT '', kind, bin, sum(n) FROM hist WHERE r IN (SELECT r FROM {chosen}) AND kind = 'class' GROUP BY ALL
+    ) USING (language, kind, bin)
+  ) GROUP BY r, kind
+)"""
+
+
+def _sql_kept(distances: str) -> str:
+    return f"""(
+  SELECT r FROM base WHERE NOT base_failed
+    AND NOT (word_chars >= {MIN_CLASS_CHARS} AND coalesce((SELECT d FROM {distances} x WHERE x.r = base.r AND kind = 'class'), 0) > {MAX_CLASS_DISTANCE})
+    AND NOT (n_words >= {MIN_COMMON_OF_WORDS} AND coalesce((SELECT d FROM {distances} x WHERE x.r = base.r AND kind = 'word'), 0) > {MAX_WORD_DISTANCE})
+)"""
+
+
+_LISTS = " ".join(f"WHEN '{k}' THEN [{', '.join(repr(w) for w in v)}]" for k, v in COMMON_WORDS.items())
+SQL = rf"""
+WITH t AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+    CASE WHEN lang IN ({", ".join(repr(k) for k in COMMON_WORDS)}) THEN lang ELSE '' END AS language
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT r, doc_id, language, list_filter(regexp_split_to_array(text, '{SPACES}'), x -> x <> '') AS words,
+    regexp_replace(text, '{SPACES}', '', 'g') AS solid,
+    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines
+  FROM t
+), windows AS (
+  SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+  FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w WHERE len(words) >= 3)
+), covered AS MATERIALIZED (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows), (VALUES (0), (1), (2)) AS s(k)
+  WHERE n > 1 GROUP BY r
+), peeled AS (
+  SELECT *, regexp_replace(solid, '\p{{Ll}}+', '', 'g') AS no_lower FROM w
+), peeled2 AS (
+  SELECT *, regexp_replace(no_lower, '\p{{Lu}}+', '', 'g') AS no_upper,
+    regexp_replace(no_lower, '\p{{L}}+', '', 'g') AS no_letter, regexp_replace(no_lower, '[\p{{L}}\p{{N}}]+', '', 'g') AS no_digit
+  FROM peeled
+), base AS MATERIALIZED (
+  SELECT r, doc_id, language, words, len(words) AS n_words, length(solid) AS word_chars,
+    length(regexp_replace(no_digit, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n_repeat_words, 0) AS n_repeat_words,
+    len(words) < {MIN_WORDS} OR 100 * coalesce(n_repeat_words, 0) > {MAX_REPEATED_PERCENT} * len(words) AS base_failed,
+    [length(solid) - length(no_lower), length(no_lower) - length(no_upper), length(no_upper) - length(no_letter),
+     length(no_letter) - length(no_digit), length(regexp_replace(no_digit, '[^.,;:?''"()-]', '', 'g')),
+     length(regexp_replace(no_digit, '[.,;:?''"()-]', '', 'g'))] AS classes
+  FROM peeled2 LEFT JOIN covered USING (r)
+), counted AS (
+  SELECT r, language, n_words, list_transform(CASE language {_LISTS} END, c -> len(list_filter(words, x -> x = c))) AS common
+  FROM base WHERE language <> ''
+), hist AS MATERIALIZED (
+  SELECT r, language, 'class' AS kind, unnest(range(1, {len(CLASSES) + 1})) AS bin, unnest(classes) AS n FROM base
+  UNION ALL
+  SELECT r, language, 'word', unnest(range(1, {N_WORDS + 2})), unnest(list_append(common, n_words - list_sum(common))) FROM counted
+), first AS (SELECT r FROM base WHERE NOT base_failed),
+d1 AS MATERIALIZED {_sql_distances("first")},
+near AS MATERIALIZED {_sql_kept("d1")},
+d2 AS MATERIALIZED {_sql_distances("near")},
+good AS MATERIALIZED {_sql_kept("d2")}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, r IN (SELECT r FROM good) AS kept
+FROM base
+"""
+
 CONTRACT = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
 
 

@@ -65,7 +65,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_sharding": (op1_sharding, None),
-    "op2_quality_rules": (op2_quality_rules, None),
+    "op2_quality_rules": (op2_quality_rules, quality_rules.SQL),
     "op3_secret_scans": (op3_secret_scans, None),
     "op4_simhash_near_dedup": (op4_simhash_near_dedup, None),
     "op5_url_filters": (op5_url_filters, url_rules.SQL),
