@@ -67,8 +67,8 @@ class WordIds:
             text = word.decode("utf-8", "replace")
             letters = text.rstrip(_MARKS)
             plain = unicodedata.normalize("NFC", letters).lower()
-            if plain.isalpha():  # still one pre-token when lower-cased
-                ids = self._part(plain) + (self._part(text[len(letters) :]) if len(letters) < len(text) else b"")
+            if plain.isalpha():  # still one pre-token when lower-cased; other scripts are left to the tokenizer's own rules
+                ids = self._part(plain if letters.isascii() else letters) + (self._part(text[len(letters) :]) if len(letters) < len(text) else b"")
             else:
                 ids = self._encode(text)
         return self._keep(word, ids)

@@ -210,9 +210,10 @@ WITH t AS MATERIALIZED (
     CASE WHEN lang IN ({", ".join(repr(k) for k in COMMON_WORDS)}) THEN lang ELSE '' END AS language
   FROM documents
 ), w AS MATERIALIZED (
-  SELECT r, doc_id, language, list_filter(regexp_split_to_array(text, '{SPACES}'), x -> x <> '') AS words,
+  SELECT r, doc_id, language, list_filter(regexp_split_to_array(text, '{SPACES}'), lambda x: x <> '') AS words,
     regexp_replace(text, '{SPACES}', '', 'g') AS solid,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^ 	-]')) AS lines
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines
   FROM t
 ), windows AS (
   SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
@@ -237,7 +238,7 @@ WITH t AS MATERIALIZED (
      length(regexp_replace(no_digit, '[.,;:?''"()-]', '', 'g'))] AS classes
   FROM peeled2 LEFT JOIN covered USING (r)
 ), counted AS (
-  SELECT r, language, n_words, list_transform(CASE language {_LISTS} END, c -> len(list_filter(words, x -> x = c))) AS common
+  SELECT r, language, n_words, list_transform(CASE language {_LISTS} END, lambda c: len(list_filter(words, lambda x: x = c))) AS common
   FROM base WHERE language <> ''
 ), hist AS MATERIALIZED (
   SELECT r, language, 'class' AS kind, unnest(range(1, {len(CLASSES) + 1})) AS bin, unnest(classes) AS n FROM base

@@ -126,9 +126,9 @@ def judge_pages(pages: DataFrame) -> DataFrame:
 
 SQL = """
 WITH parsed AS (
-  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages
+  SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS place FROM pages
 ), cut AS (
-  SELECT page_id, CASE WHEN at = 0 THEN '' ELSE substr(url, at + 3) END AS rest FROM parsed
+  SELECT page_id, CASE WHEN place = 0 THEN '' ELSE substr(url, place + 3) END AS rest FROM parsed
 ), parts AS (
   SELECT page_id,
     translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
