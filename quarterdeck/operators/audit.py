@@ -113,9 +113,13 @@ def repeated_items(dictionary: DataFrame) -> DataFrame:
     return dictionary.join(many, "item", "left_semi")
 
 
-def audit_gate(report: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """One row: blocking findings, items defined twice, and whether the dictionary may be published."""
+def audit_gate(report: DataFrame, dictionary: DataFrame, rejected: DataFrame | None = None) -> DataFrame:
+    """One row: blocking findings, items defined twice, sources rejected, and whether the dictionary may be published.
+
+    Rejected sources are only counted: the rest of the structure may still be sound.
+    """
     findings = report.agg(F.count_if(F.col("check_type").isin(*BLOCKING)).alias("n_blocking"))
     repeats = repeated_items(dictionary).agg(F.count("*").alias("n_repeated"))
-    one = findings.withColumn("n_repeated", repeats.scalar())
+    lost = F.lit(0).cast("long") if rejected is None else rejected.agg(F.count("*").alias("n")).scalar()
+    one = findings.withColumn("n_repeated", repeats.scalar()).withColumn("n_rejected", lost)
     return one.withColumn("publish", (F.col("n_blocking") == 0) & (F.col("n_repeated") == 0))

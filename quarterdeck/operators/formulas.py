@@ -4,17 +4,30 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from quarterdeck.config import Formula
-from quarterdeck.functions.text import ITEM_ID
+from quarterdeck.config import Formula, ItemRules
+from quarterdeck.functions.text import ITEM_ID, clean_name
+from quarterdeck.operators.series import defined_series
 from quarterdeck.session import lenient_arithmetic
 
 SERIES = ("avg", "roll5", "roll4")
+#: What no metric may use: a value that other rows or the moment decide. Fixed values.
+NOT_SCALAR = frozenset(
+    "rand randn random uniform randstr uuid shuffle monotonically_increasing_id spark_partition_id input_file_name"
+    " input_file_block_start input_file_block_length reflect java_method try_reflect current_date current_time curdate now"
+    " current_timestamp localtimestamp unix_timestamp current_user session_user user version current_catalog current_schema"
+    " current_database current_timezone raise_error assert_true".split()
+)
+_QUOTED = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"")
+_CALL = re.compile(r"\b([A-Za-z_][A-Za-z0-9_]*)\b(?=\s*\()|\b(over|select|current_date|current_timestamp|current_user)\b", re.IGNORECASE)
+#: Formulas that are evaluated in one projection.
+GROUP_SIZE = 500
 _COLUMN = re.compile(rf"\b(?:({'|'.join(SERIES)})_)?({ITEM_ID})\b")
 _IDS = ["entity", "year", "quarter", "qidx"]
 
@@ -31,48 +44,88 @@ def referenced_items(formulas: Sequence[Formula]) -> list[str]:
 
 
 def widen(
-    series: DataFrame, formulas: Sequence[Formula], items: Sequence[str], calendar: DataFrame | None = None
+    series: DataFrame,
+    formulas: Sequence[Formula],
+    items: Sequence[str],
+    calendar: DataFrame | None = None,
+    rules: ItemRules = ItemRules(),
 ) -> DataFrame:
     """One row per entity and period with the referenced columns of the `items` that exist.
 
-    Input is `derive_series` output. `calendar` (panel form, NULL items) adds the periods in which an entity has none
-    of the items. Cells are combined map-side, so the shuffle carries wide rows.
+    Input is `derive_series` output under the same rules; a series that the rules do not define for an item has no column.
+    `calendar` (panel form, NULL items) adds the periods in which an entity has none of the items. Cells are combined
+    map-side, so the shuffle carries wide rows.
     """
-    present = [c for c in SERIES if c in series.columns]
+    present = {c for c in SERIES if c in series.columns}
     cells = [
         F.max(F.when(F.col("item") == item, F.col(kind))).alias(name)
         for name, (item, kind) in sorted(panel_columns(formulas).items())
-        if item in items and (kind == "value" or kind in present)
+        if item in items and (kind == "value" or kind in present & defined_series(item, rules))
     ]
     rows = series if calendar is None else series.unionByName(calendar, allowMissingColumns=True)
     grouped = rows.groupBy(*_IDS)
     return grouped.agg(*cells) if cells else rows.select(*_IDS).distinct()
 
 
+def not_scalar(text: str) -> str | None:
+    """The first part of a formula that makes its value depend on other rows or on the moment, if any."""
+    for call, keyword in _CALL.findall(_QUOTED.sub("''", text)):
+        name = (call or keyword).lower()
+        if keyword or name in NOT_SCALAR or name in ("over", "select"):
+            return name
+    return None
+
+
+def table_names(spark: SparkSession, metrics: Sequence[str]) -> dict[str, str]:
+    """Metric name -> the name of its table."""
+    names = spark.createDataFrame([(m,) for m in metrics], "metric string")
+    return {r["metric"]: r["name"] for r in names.select("metric", clean_name(F.col("metric")).alias("name")).collect()}
+
+
 def check_formulas(spark: SparkSession, columns: Sequence[str], formulas: Sequence[Formula]):
-    """Resolve every formula alone. Returns the good ones and the failures as (formula, message)."""
+    """Resolve every formula alone. Returns the good ones and the failures as (formula, reason, message).
+
+    Reasons: `table name` (none left after cleaning, or that of an earlier formula), `not scalar`, `unresolved`.
+    """
     names = [f.metric for f in formulas]
-    repeated = sorted({n for n in names if names.count(n) > 1})
+    repeated = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
     if repeated:
         raise ValueError(f"metric names must be unique: {repeated}")
     fields = [StructField("entity", StringType()), StructField("quarter", IntegerType())]
     fields += [StructField(c, DoubleType()) for c in columns if c not in ("entity", "quarter")]
     probe = spark.createDataFrame([], StructType(fields))
+    cleaned, taken = table_names(spark, names), {}
     good, failed = [], []
     with lenient_arithmetic(spark):
         for formula in formulas:
+            name = cleaned[formula.metric]
+            if not name or name in taken:
+                failed.append((formula, "table name", f"table name {name!r} is empty or that of {taken.get(name)!r}"))
+                continue
+            found = not_scalar(formula.text)
+            if found:
+                failed.append((formula, "not scalar", f"{found} is not allowed: its value depends on more than the row"))
+                continue
             try:
                 # the plain column beside it makes an aggregate fail here rather than in the joint select
                 probe.select("entity", F.expr(formula.text).cast("double")).schema
                 good.append(formula)
+                taken[name] = formula.metric
             except PySparkException as error:
-                failed.append((formula, str(error).split("\n")[0]))
+                failed.append((formula, "unresolved", str(error).split("\n")[0]))
     return good, failed
 
 
 def error_table(spark: SparkSession, failed) -> DataFrame:
-    rows = [(f.metric, f.text, message) for f, message in failed]
-    return spark.createDataFrame(rows, "metric string, formula string, error string")
+    rows = [(f.metric, f.text, reason, message) for f, reason, message in failed]
+    return spark.createDataFrame(rows, "metric string, formula string, reason string, error string")
+
+
+def evaluate_long(wide: DataFrame, formulas: Sequence[Formula], annualise: bool = False) -> DataFrame:
+    """One row per entity, period and metric. Many formulas are evaluated in groups, each a projection of the wide rows."""
+    groups = [formulas[i : i + GROUP_SIZE] for i in range(0, len(formulas), GROUP_SIZE)] or [[]]
+    parts = [to_long(evaluate(wide, group, annualise), group) for group in groups]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def evaluate(wide: DataFrame, formulas: Sequence[Formula], annualise: bool = False) -> DataFrame:
@@ -91,16 +144,22 @@ def evaluate(wide: DataFrame, formulas: Sequence[Formula], annualise: bool = Fal
 
 
 def to_long(evaluated: DataFrame, formulas: Sequence[Formula]) -> DataFrame:
-    """One row per entity, period and metric."""
+    """One row per entity, period and metric; none without formulas."""
+    if not formulas:
+        return evaluated.select(*_IDS, F.lit(None).cast("string").alias("metric"), F.lit(None).cast("double").alias("value")).limit(0)
     pairs = [x for i, f in enumerate(formulas) for x in (F.lit(f.metric), F.col(f"f{i}"))]
     return evaluated.select(*_IDS, F.stack(F.lit(len(formulas)), *pairs).alias("metric", "value"))
 
 
 def formula_batch(
-    series: DataFrame, formulas: Sequence[Formula], items: Sequence[str], annualise: bool = False
+    series: DataFrame,
+    formulas: Sequence[Formula],
+    items: Sequence[str],
+    annualise: bool = False,
+    rules: ItemRules = ItemRules(),
 ) -> tuple[DataFrame, DataFrame]:
     """Evaluate every formula; a bad one ends up in the error table and does not stop the rest."""
     spark = series.sparkSession
-    wide = widen(series, formulas, items)
+    wide = widen(series, formulas, items, rules=rules)
     good, failed = check_formulas(spark, wide.columns, formulas)
-    return to_long(evaluate(wide, good, annualise), good), error_table(spark, failed)
+    return evaluate_long(wide, good, annualise), error_table(spark, failed)

@@ -11,8 +11,6 @@ from quarterdeck.operators.numbering import number_by_order
 from quarterdeck.operators.reshape import pivot_unique
 from quarterdeck.session import checkpointed
 
-MAX_WIDE_COLUMNS = 2000
-
 
 def latest_values(values: DataFrame, latest: Column) -> DataFrame:
     """Value of every (metric, entity) at the latest period; NULL where the entity has none there."""
@@ -44,15 +42,12 @@ def published_entities(entity: Column, peers: Sequence, everyone: Sequence) -> C
 def wide_metric(values: DataFrame, metric: str, peers: Sequence, everyone: Sequence) -> DataFrame:
     """Period rows x entity columns of one metric: peers in rank order, then the group rows.
 
-    The column names are read on the driver: configured peers and group labels, refused above MAX_WIDE_COLUMNS. The
-    metric's values are checkpointed, as the order, the names and the pivot all read them.
+    A column per peer and group row, so their names are read on the driver; for many of them use the long metric table.
+    The metric's values are checkpointed, as the order, the names and the pivot all read them.
     """
     one = checkpointed(values.filter(F.col("metric") == metric))
     ranked = rank_latest_period(one, peers).orderBy("latest_rank").select("entity")
     others = one.filter(~F.col("entity").isin(*everyone)).select("entity").distinct().orderBy("entity")
-    columns = [r[0] for r in ranked.limit(MAX_WIDE_COLUMNS + 1).collect()]
-    columns += [r[0] for r in others.limit(MAX_WIDE_COLUMNS + 1).collect()]
-    if len(columns) > MAX_WIDE_COLUMNS:
-        raise ValueError(f"more than {MAX_WIDE_COLUMNS} columns; use the long metric table")
+    columns = [r[0] for frame in (ranked, others) for r in frame.collect()]
     # every period stays a row, also one that only unpublished entities report
     return pivot_unique(one, ["year", "quarter"], "entity", "value", columns).orderBy("year", "quarter")

@@ -111,6 +111,12 @@ def add_two_point_average(panel: DataFrame) -> DataFrame:
     )
 
 
+def defined_series(item: str, rules: ItemRules) -> set[str]:
+    """Names of the series that `derive_series` fills for an item."""
+    stock = rules.stock_marker in item or item in rules.stock_notes
+    return ({"avg", "roll5"} if stock else set()) | ({"roll4"} if item.startswith(rules.ttm_prefix) else set())
+
+
 def derive_series(panel: DataFrame, rules: ItemRules) -> DataFrame:
     """`avg` and `roll5` for stock items, `roll4` for income items, on one exchange."""
     return panel.select(

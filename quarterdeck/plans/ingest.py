@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterdeck.config import SHEET_TITLES
+from quarterdeck.config import HEADER_ROW, LABEL_COLUMN, SHEET_TITLES, UNIT_COLUMN
+from quarterdeck.functions.text import clean_name
 from quarterdeck.operators.exports import dedup_latest_export
 from quarterdeck.session import land
 from quarterdeck.sources.statements import (
@@ -35,24 +36,76 @@ def land_cells(spark: SparkSession, folder: str, target: str) -> DataFrame:
     return land(cells.withColumn("freq", frequency_of(F.col("path"))), target)
 
 
+def _rejects(where: DataFrame, error: Column) -> DataFrame:
+    return where.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), error.alias("error"))
+
+
+def sheet_rejects(cells: DataFrame, items: DataFrame) -> DataFrame:
+    """Statement sheets of readable files that give no line item: (path, file, error), one row per file and sheet.
+
+    `cells` are those of the statement sheets. A sheet may be empty, or lack the header row, its label or unit column, or
+    any row with a unit. Files are told apart by `path`.
+    """
+    heads = cells.filter(F.col("row_pos") == HEADER_ROW).select("path", "sheet", clean_name(F.col("text")).alias("name"))
+    found = heads.groupBy("path", "sheet").agg(
+        F.bool_or(F.col("name") == LABEL_COLUMN).alias("label"), F.bool_or(F.col("name") == UNIT_COLUMN).alias("unit")
+    )
+    filled = cells.select("path", "sheet").distinct().withColumn("filled", F.lit(True))
+    used = items.select(F.col("file").alias("path"), "sheet").distinct().withColumn("used", F.lit(True))
+    expected = cells.select("path").distinct().withColumn("sheet", F.explode(F.array(*map(F.lit, SHEET_TITLES))))
+    joined = expected.join(filled, ["path", "sheet"], "left").join(found, ["path", "sheet"], "left")
+    reason = (
+        F.when(F.col("filled").isNull(), "empty sheet")
+        .when(F.col("label").isNull(), "no header row")
+        .when(~F.col("label"), "no label column")
+        .when(~F.col("unit"), "no unit column")
+        .otherwise("no line item")
+    )
+    lost = joined.join(used, ["path", "sheet"], "left").filter(F.col("used").isNull())
+    return _rejects(lost, F.concat("sheet", F.lit(": "), reason))
+
+
+def period_rejects(facts: DataFrame) -> DataFrame:
+    """Column headers that are no period: (path, file, error), one row per file, sheet and header."""
+    unread = facts.filter(F.col("year").isNull() | F.col("quarter").isNull())
+    columns = unread.select(F.col("file").alias("path"), "sheet", "period").distinct()
+    return _rejects(columns, F.concat("sheet", F.lit(": unreadable period "), F.coalesce("period", F.lit("(empty)"))))
+
+
 def ingest(landed: DataFrame) -> Ingested:
-    """Facts (newest export wins), structure and rejected files of a landed cell table.
+    """Facts (newest export wins), structure and rejects of a landed cell table.
 
-    A file without a readable export date is rejected as a whole.
+    Every file ends in facts or in `rejected`, with the reason: an unreadable file, one in no frequency's folder, one
+    without a statement sheet or a readable export date as a whole; a sheet without line items and a header that is no
+    period by themselves.
     """
-    cells = statement_sheets(good_cells(landed).withColumn("file", F.col("path")))
+    readable = good_cells(landed).withColumn("file", F.col("path"))
+    cells = statement_sheets(readable)
     dates = export_dates(cells)
-    dated = dates.filter(F.col("export_date").isNotNull())
-    items = statement_items(cells, keep=["entity", "freq"])
-    facts = statement_facts(items, keep=["entity", "freq"]).join(dated, "file")
-    newest = dedup_latest_export(facts, ["freq", "entity", "item", "label", "period"], "export_date", "file")
-    undated = cells.select("path").distinct().join(dated, F.col("path") == F.col("file"), "left_anti")
-    rejected = quarantine(landed).unionByName(
-        undated.select(
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("file"),
-            F.lit("no export date").alias("error"),
+    # The reasons are looked for in this order, one per file.
+    files = (
+        readable.select("path", "file", "freq").distinct()
+        .join(cells.select("path").distinct().withColumn("statement", F.lit(True)), "path", "left")
+        .join(dates, "file", "left")
+        .withColumn(
+            "error",
+            F.when(F.col("freq").isNull(), "no frequency folder")
+            .when(F.col("statement").isNull(), "no statement sheet")
+            .when(F.col("export_date").isNull(), "no export date"),
         )
     )
+    dated = files.filter(F.col("error").isNull()).select("file", "export_date")
+    labelled = F.array_contains(F.map_values("header"), LABEL_COLUMN)
+    items = statement_items(cells, keep=["entity", "freq"]).filter(labelled)
+    facts = with_period_parts(statement_facts(items, keep=["entity", "freq"]).join(dated, "file"))
+    on_time = facts.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
+    newest = dedup_latest_export(on_time, ["freq", "entity", "item", "label", "period"], "export_date", "file")
+    known = cells.join(dated.select("file"), "file", "left_semi")
+    rejected = (
+        quarantine(landed)
+        .unionByName(_rejects(files.filter(F.col("error").isNotNull()), F.col("error")))
+        .unionByName(sheet_rejects(known, items))
+        .unionByName(period_rejects(facts))
+    )
     structure = structure_of(items, keep=["entity", "freq"]).withColumnRenamed("freq", "folder")
     return Ingested(with_period_parts(newest), structure.join(dated, "file", "left_semi"), rejected)

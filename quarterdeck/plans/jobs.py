@@ -26,11 +26,11 @@ from quarterdeck.plans.ingest import ingest, land_cells
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.plans.reports import audit_job, monthly_sum
 from quarterdeck.session import land
-from quarterdeck.sinks.sql_script import write_script
-from quarterdeck.sinks.writers import period_columns, wide_raw_panel, write_csv, write_partitioned
+from quarterdeck.sinks.sql_script import write_script, write_scripts
+from quarterdeck.sinks.writers import period_columns, replace_table, wide_raw_panel, write_csv, write_partitioned
 from quarterdeck.sources.statements import plain_rows
 from quarterdeck.sources.tables import formula_list, read_dictionary, read_formulas
-from quarterdeck.sources.workbooks import good_cells, read_workbooks
+from quarterdeck.sources.workbooks import good_cells, quarantine, read_workbooks
 
 
 @dataclass(frozen=True)
@@ -46,9 +46,10 @@ class Peers:
 def metrics_job(
     spark: SparkSession, folder: str, formulas_csv: str, work: str, out: str, peers: Peers, rules: ItemRules = ItemRules()
 ) -> dict[str, DataFrame]:
-    """Workbooks and formulas to one partition and one SQL script per metric.
+    """Workbooks and formulas to one partition and one SQL script per metric, below its sheet.
 
-    Returns `metrics`, `formula_errors` and `rejected` (workbooks). Entities outside the full list are not read.
+    Returns `metrics`, `formula_errors` and `rejected` (workbooks, sheets and headers). Entities outside the full list are
+    not read.
     """
     done = ingest(land_cells(spark, folder, f"{work}/cells"))
     columns = ("freq", "entity", "item", "year", "quarter", "value")
@@ -57,11 +58,9 @@ def metrics_job(
     formulas = formula_list(read_formulas(spark, formulas_csv))
     members = membership_of(facts, peers.members)
     result = build_metrics(facts, members, peers.groups, formulas, rules, published=(peers.ranked, peers.everyone))
-    write_partitioned(publish(result.values, formulas), f"{out}/metrics", by="table_name")
+    write_partitioned(publish(result.values, formulas), f"{out}/metrics", "sheet", "table_name")
     metrics = spark.read.parquet(f"{out}/metrics")
-    for (name,) in metrics.select("table_name").distinct().collect():
-        table = metrics.filter(F.col("table_name") == name).select("yq", "name", "value")
-        write_script(table, name, f"{out}/sql/{name}")
+    write_scripts(metrics.select("yq", "name", "value", "table_name"), "table_name", f"{out}/sql")
     return {"metrics": metrics, "formula_errors": result.errors, "rejected": done.rejected}
 
 
@@ -70,14 +69,16 @@ def structure_job(
 ) -> dict[str, DataFrame]:
     """Audit the structure of the quarterly and yearly workbooks; publish the dictionary if nothing blocks it.
 
-    Returns the `gate` row and the `critical` findings, those on items that formulas or rules use.
+    Returns the `gate` row, the `critical` findings, those on items that formulas or rules use, and `rejected`. The gate
+    counts the rejects; whether they stand in the way is the caller's decision.
     """
-    structure = ingest(land_cells(spark, folder, f"{work}/cells")).structure
-    audited = structure.filter(F.col("folder").isin("quarterly", "yearly"))
-    gate = audit_job(audited, f"{out}/structure_report", f"{out}/dictionary")
+    done = ingest(land_cells(spark, folder, f"{work}/cells"))
+    rejected = land(done.rejected, f"{work}/rejected")
+    audited = done.structure.filter(F.col("folder").isin("quarterly", "yearly"))
+    gate = audit_job(audited, f"{out}/structure_report", f"{out}/dictionary", rejected)
     report = spark.read.option("header", True).option("escape", '"').csv(f"{out}/structure_report")
     critical = critical_items(read_formulas(spark, formulas_csv), rule_items(rules))
-    return {"gate": gate, "critical": critical_hits(report, critical)}
+    return {"gate": gate, "critical": critical_hits(report, critical), "rejected": rejected}
 
 
 def lineage_job(spark: SparkSession, formulas_csv: str, dictionary_csv: str, out: str) -> DataFrame:
@@ -88,24 +89,35 @@ def lineage_job(spark: SparkSession, formulas_csv: str, dictionary_csv: str, out
     return missing_definitions(references, dictionary)
 
 
-def raw_panel_job(spark: SparkSession, folder: str, work: str, out: str) -> DataFrame:
-    """Quarterly cells of all entities as items x sorted periods."""
-    facts = ingest(land_cells(spark, folder, f"{work}/cells")).facts.filter(F.col("freq") == QUARTERLY)
-    landed = land(facts, f"{work}/quarterly")
+def raw_panel_job(spark: SparkSession, folder: str, work: str, out: str) -> dict[str, DataFrame]:
+    """Quarterly cells of all entities as items x sorted periods: `panel`, and what was `rejected`."""
+    done = ingest(land_cells(spark, folder, f"{work}/cells"))
+    landed = land(done.facts.filter(F.col("freq") == QUARTERLY), f"{work}/quarterly")
     wide_raw_panel(landed, period_columns(landed)).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return {"panel": spark.read.parquet(out), "rejected": done.rejected}
 
 
 def monthly_job(
-    spark: SparkSession, workbook: str, sheet: str, keep: Column, amount: str, out: str
+    spark: SparkSession, workbook: str, sheet: str, keep: Column, amount: str, out: str, published: str | None = None
 ) -> DataFrame:
-    """Filtered monthly sum of a plain sheet with columns item, year, month and `amount`."""
-    cells = good_cells(read_workbooks(spark, workbook))
-    rows = plain_rows(cells, sheet, ["item", "year", "month", amount])
+    """Filtered monthly sum of a plain sheet with columns item, year, month and `amount`.
+
+    With a folder `published`, the sum also replaces the table `out` and is written as a script. An unreadable workbook
+    fails the job.
+    """
+    cells = read_workbooks(spark, workbook)
+    unread = quarantine(cells).limit(10).collect()  # enough to say what is wrong
+    if unread:
+        raise ValueError("; ".join(f"{r['file']}: {r['error']}" for r in unread))
+    rows = plain_rows(good_cells(cells), sheet, ["item", "year", "month", amount])
     typed = rows.select(
         "item",
         F.col("year").try_cast("double").cast("int").alias("year"),
         F.col("month").try_cast("double").cast("int").alias("month"),
         F.col(amount).try_cast("double").alias(amount),
     )
-    return monthly_sum(typed, keep, amount, out)
+    sums = monthly_sum(typed, keep, amount, out)
+    if published is not None:
+        replace_table(sums, out, f"{published}/{out}")
+        write_script(sums, out, f"{published}/sql")
+    return sums

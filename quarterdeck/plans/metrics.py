@@ -108,8 +108,8 @@ def build_metrics(
     group_panel = group_rows(panel.unionByName(spine), members, groups, items=chart, entities=entities)
 
     wide = [
-        widen(derive_series(panel, rules), formulas, present, spine),
-        widen(derive_series(group_panel, rules), formulas, present),
+        widen(derive_series(panel, rules), formulas, present, spine, rules),
+        widen(derive_series(group_panel, rules), formulas, present, rules=rules),
     ]
     good, failed = check_formulas(spark, wide[0].columns, formulas)
     parts = [evaluate(part, good, annualise) for part in wide]

@@ -32,19 +32,26 @@ def single_entity_ytd(facts: DataFrame, entity, year: int, quarter: int, rules:
     return upto.filter(F.col("quarter") == label)
 
 
+def filtered_sum(amount: str, keep: Column) -> Column:
+    """Sum over the rows kept, 0 if all of them are NULL; NULL where no row is kept."""
+    return F.when(F.count_if(keep) > 0, F.coalesce(F.sum(F.when(keep, F.col(amount))), F.lit(0)))
+
+
 def monthly_sum(rows: DataFrame, keep: Column, amount: str, out: str) -> DataFrame:
     """Filtered sum per month, labelled with the first of the month. Input has `year` and `month`."""
     return (
         rows.filter(keep)
         .withColumn("ym", F.make_date("year", "month", F.lit(1)))
         .groupBy("ym")
-        .agg(F.coalesce(F.sum(amount), F.lit(0)).alias(out))
+        .agg(filtered_sum(amount, F.lit(True)).alias(out))
         .orderBy("ym")
     )
 
 
-def audit_job(structure: DataFrame, report_path: str, dictionary_path: str) -> DataFrame:
-    """Write the audit report, and the dictionary if nothing blocks it. Returns the gate row.
+def audit_job(
+    structure: DataFrame, report_path: str, dictionary_path: str, rejected: DataFrame | None = None
+) -> DataFrame:
+    """Write the audit report, and the dictionary if nothing blocks it. Returns the gate row, with the number of rejects.
 
     The distinct structure is checkpointed, as every check reads it.
     """
@@ -52,7 +59,7 @@ def audit_job(structure: DataFrame, report_path: str, dictionary_path: str) -> D
     report = audit_report(rows)
     dictionary = data_dictionary(rows)
     write_csv(report, report_path)
-    gate = audit_gate(report, dictionary)
+    gate = audit_gate(report, dictionary, rejected)
     if gate.first()["publish"]:
         ordered = dictionary.orderBy("sheet_pos", "num")
         write_csv(ordered.select(*[F.col(c).alias(h) for h, c in DICTIONARY_HEADERS.items()]), dictionary_path)

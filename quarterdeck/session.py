@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder the cluster names. Only a session in one machine may go without; it gets a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarterdeck-"))
         current = spark.sparkContext.getCheckpointDir()
     return current

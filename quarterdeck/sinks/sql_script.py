@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, NumericType
@@ -12,6 +9,7 @@ from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, Nume
 from quarterdeck.sinks.writers import storage_type, temporal_as_text
 
 BATCH_ROWS = 200
+_TABLE, _PLACE = "_table", "_place"
 
 
 def sql_literal(value: Column, data_type: DataType) -> Column:
@@ -28,52 +26,78 @@ def sql_literal(value: Column, data_type: DataType) -> Column:
     return F.coalesce(F.when(value.isNotNull(), text), F.lit("NULL"))
 
 
+def _tuple(df: DataFrame) -> tuple[DataFrame, Column]:
+    """The frame with dates as text, and the parenthesised literals of a row."""
+    texts = temporal_as_text(df)
+    literals = [sql_literal(F.col(f"`{f.name}`"), f.dataType) for f in texts.schema if f.name not in (_TABLE, _PLACE)]
+    return texts, F.concat(F.lit("("), F.concat_ws(", ", *literals), F.lit(")"))
+
+
 def row_tuples(df: DataFrame) -> DataFrame:
     """One column `tuple` with the parenthesised literals of each row."""
-    texts = temporal_as_text(df)
-    literals = [sql_literal(F.col(f.name), f.dataType) for f in texts.schema]
-    return texts.select(F.concat(F.lit("("), F.concat_ws(", ", *literals), F.lit(")")).alias("tuple"))
+    texts, values = _tuple(df)
+    return texts.select(values.alias("tuple"))
 
 
 def _quoted(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
 
+def _quoted_column(name: Column) -> Column:
+    return F.concat(F.lit('"'), F.replace(name, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 def create_statements(df: DataFrame, table: str) -> list[str]:
     columns = ", ".join(f"{_quoted(f.name)} {storage_type(f.dataType)}" for f in df.schema)
     return [f"DROP TABLE IF EXISTS {_quoted(table)};", f"CREATE TABLE {_quoted(table)} ({columns});"]
 
 
-def insert_statements(df: DataFrame, table: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Multi-row INSERT statements (column `statement`) of at most `batch_rows` rows.
+def insert_statements(df: DataFrame, table: str | Column, batch_rows: int = BATCH_ROWS) -> DataFrame:
+    """Multi-row INSERT statements (columns `table`, `statement`) of at most `batch_rows` rows.
 
-    Literals are built JVM-side; the Python step only strings together the tuples of its own partition, so there is
-    no shuffle and a task holds one statement at a time.
+    `table` is one name or a column that names each row's table; such a column may be one of `df` that starts with an
+    underscore, and is then not inserted. Rows are numbered where they lie, sorted by table, and strung together by
+    (table, partition, batch), so a group is one statement.
     """
-    head = f"INSERT INTO {_quoted(table)} ({', '.join(_quoted(c) for c in df.columns)}) VALUES "
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: list[str] = []
-        for frame in frames:
-            pending += frame["tuple"].tolist()
-            full = len(pending) - len(pending) % batch_rows
-            done = [head + ", ".join(pending[i : i + batch_rows]) + ";" for i in range(0, full, batch_rows)]
-            pending = pending[full:]
-            if done:
-                yield pd.DataFrame({"statement": done})
-        if pending:
-            yield pd.DataFrame({"statement": [head + ", ".join(pending) + ";"]})
-
-    return row_tuples(df).mapInPandas(batches, "statement string")
+    name = table if isinstance(table, Column) else F.lit(table)
+    columns = [c for c in df.columns if not c.startswith("_")]
+    named = df.withColumn(_TABLE, name).select(*columns, _TABLE)
+    placed = named.sortWithinPartitions(_TABLE).withColumn(_PLACE, F.monotonically_increasing_id())
+    texts, values = _tuple(placed)
+    part, local = F.shiftright(_PLACE, 33), F.col(_PLACE).bitwiseAND((1 << 33) - 1)
+    batches = texts.groupBy(F.col(_TABLE).alias("table"), part.alias("part"), F.floor(local / batch_rows).alias("batch")).agg(
+        F.sort_array(F.collect_list(F.struct(_PLACE, values.alias("tuple")))).alias("rows")
+    )
+    listed = ", ".join(map(_quoted, columns))
+    body = F.array_join(F.transform("rows", lambda r: r["tuple"]), ", ")
+    head = F.concat(F.lit("INSERT INTO "), _quoted_column(F.col("table")), F.lit(f" ({listed}) VALUES "))
+    return batches.select("table", F.concat(head, body, F.lit(";")).alias("statement"))
 
 
 def write_script(df: DataFrame, table: str, path: str, batch_rows: int = BATCH_ROWS) -> bool:
-    """Text files below `path`: `create` (run first) and `rows`. Nothing is written for an empty result."""
-    if df.isEmpty():
-        return False
+    """Text files below `path`: `create` (run first) and `rows`. An empty result has no `create`. Returns whether it has one.
+
+    Values may hold line breaks: statements end with `;` and a line break and are not split by line on replay.
+    """
     spark = df.sparkSession
+    insert_statements(df, table, batch_rows).select("statement").write.mode("overwrite").text(f"{path}/rows")
+    if spark.read.text(f"{path}/rows").isEmpty():
+        return False
     ddl = spark.createDataFrame([("\n".join(create_statements(df, table)),)], "statement string")
     ddl.write.mode("overwrite").text(f"{path}/create")
-    # values may hold line breaks; the statements end with ';' and are not split by line on replay
-    insert_statements(df, table, batch_rows).write.mode("overwrite").text(f"{path}/rows")
     return True
+
+
+def write_scripts(df: DataFrame, by: str, path: str, batch_rows: int = BATCH_ROWS) -> None:
+    """Scripts of many tables in one job: `create` and `rows` below `path`, a folder `table=<name>` in each.
+
+    Column `by` names the table of a row and is not inserted itself.
+    """
+    data = df.drop(by)
+    named = df.withColumnRenamed(by, "_into")
+    insert_statements(named, F.col("_into"), batch_rows).write.mode("overwrite").partitionBy("table").text(f"{path}/rows")
+    kinds = ", ".join(f"{_quoted(f.name)} {storage_type(f.dataType)}" for f in data.schema)
+    name = _quoted_column(F.col("table"))
+    ddl = F.concat(F.lit("DROP TABLE IF EXISTS "), name, F.lit(";\nCREATE TABLE "), name, F.lit(f" ({kinds});"))
+    tables = df.select(F.col(by).alias("table")).distinct()
+    tables.select("table", ddl.alias("statement")).write.mode("overwrite").partitionBy("table").text(f"{path}/create")

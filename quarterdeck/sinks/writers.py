@@ -21,12 +21,13 @@ from pyspark.sql.types import (
 from quarterdeck.operators.reshape import pivot_unique
 
 
-def write_partitioned(df: DataFrame, path: str, by: str = "sheet") -> None:
-    """One directory per value of `by`.
+def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
+    """One directory per value of `by` (default `sheet`), nested if there are several columns.
 
     The rebalance hint gives each value few files and lets AQE split a value that is too big for one task.
     """
-    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    columns = by or ("sheet",)
+    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 
 def wide_raw_panel(facts: DataFrame, periods: Sequence[str]) -> DataFrame:

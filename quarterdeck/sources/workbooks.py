@@ -21,7 +21,8 @@ CELLS_SCHEMA = (
 )
 _COLUMNS = ["path", "file", "sheet", "row_pos", "col_pos", "text", "error"]
 _BATCH_ROWS = 20000
-_KEPT_CELLS = 100000
+#: Suffixes of the container that the decoder reads; a file of any other kind is rejected unread. Fixed values.
+DECODED = (".xlsx", ".xlsm")
 _CELL_REF = re.compile(r"([A-Z]+)(\d+)")
 
 
@@ -84,25 +85,20 @@ def _absolute_cells(book: zipfile.ZipFile, part: str, shared: Sequence[str]) ->
             element.clear()
 
 
-def _survey(cells: Iterator[tuple[int, int, str]]) -> tuple[int, int, list | None]:
-    """First used row and column, and the cells themselves while they are few."""
+def _used_from(cells: Iterator[tuple[int, int, str]]) -> tuple[int, int]:
+    """First used row and column."""
     first_row = first_column = 0
-    kept: list | None = []
-    for row, column, text in cells:
+    for row, column, _ in cells:
         first_row = min(first_row or row, row)
         first_column = min(first_column or column, column)
-        if kept is not None:
-            kept.append((row, column, text))
-            if len(kept) > _KEPT_CELLS:
-                kept = None
-    return first_row, first_column, kept
+    return first_row, first_column
 
 
 def workbook_cells(content: bytes, titles: Sequence[str] = ()) -> Iterator[tuple[str, int, int, str]]:
     """(sheet, row, column, text) of every filled cell, 0-based within the sheet's used range.
 
-    The first pass finds the used ranges and so meets any damage before a cell is handed out; large sheets are then
-    streamed a second time rather than held. A required title is a sheet name's part before ` - `.
+    The first pass finds the used ranges and so meets any damage before a cell is handed out; the second streams the
+    cells, so a sheet of any size is never held. A required title is a sheet name's part before ` - `.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         parts = _sheet_parts(book)
@@ -110,10 +106,9 @@ def workbook_cells(content: bytes, titles: Sequence[str] = ()) -> Iterator[tuple
         if absent:
             raise ValueError(f"missing sheets: {', '.join(absent)}")
         shared = _shared_strings(book)
-        surveys = {name: _survey(_absolute_cells(book, part, shared)) for name, part in parts.items()}
-        for name, (first_row, first_column, kept) in surveys.items():
-            cells = _absolute_cells(book, parts[name], shared) if kept is None else kept
-            for row, column, text in cells:
+        origins = {name: _used_from(_absolute_cells(book, part, shared)) for name, part in parts.items()}
+        for name, (first_row, first_column) in origins.items():
+            for row, column, text in _absolute_cells(book, parts[name], shared):
                 yield name, row - first_row, column - first_column, text
 
 
@@ -138,21 +133,32 @@ def _decoder(titles: Sequence[str]):
 
 
 def decode_workbooks(files: DataFrame, titles: Sequence[str] = ()) -> DataFrame:
-    """Files (`path`, `content`) to cells; an unreadable file gives one row with `error` set.
+    """Files (`path`, `content`) to cells; an unreadable file gives one row with `error` set, so does any other kind of file.
 
-    Lock files (`~$...`) are left out before their content is touched. Arrow batches are limited by
-    `spark.sql.execution.arrow.maxBytesPerBatch`, so a task holds few files at a time.
+    Lock files (`~$...`) are left out, and files of other kinds rejected, before their content is touched. Arrow batches are
+    limited by `spark.sql.execution.arrow.maxBytesPerBatch`, so a task holds few files at a time.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    readable = files.select("path", "content").filter(~name.startswith("~$"))
-    return readable.mapInPandas(_decoder(list(titles)), CELLS_SCHEMA)
+    suffix = F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1))
+    present = files.filter(~name.startswith("~$"))
+    cells = present.filter(suffix.isin(*DECODED)).select("path", "content").mapInPandas(_decoder(list(titles)), CELLS_SCHEMA)
+    others = present.filter(~suffix.isin(*DECODED)).select(
+        "path",
+        name.alias("file"),
+        F.lit(None).cast("string").alias("sheet"),
+        F.lit(None).cast("bigint").alias("row_pos"),
+        F.lit(None).cast("int").alias("col_pos"),
+        F.lit(None).cast("string").alias("text"),
+        F.concat(F.lit("UnsupportedFile: "), suffix).alias("error"),
+    )
+    return cells.unionByName(others)
 
 
 def read_workbooks(spark: SparkSession, folder: str, name_part: str = "", titles: Sequence[str] = ()) -> DataFrame:
-    """Cells of all workbooks below `folder` whose file name contains `name_part`."""
+    """Cells of all workbooks below `folder` whose file name contains `name_part`; every file gets cells or an error."""
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{name_part}*.xlsx")
+        .option("pathGlobFilter", f"*{name_part}*")
         .option("recursiveFileLookup", "true")
         .load(folder)
     )

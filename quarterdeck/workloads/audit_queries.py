@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarterdeck.operators import audit as A
 from quarterdeck.sinks.writers import join_lists
 from quarterdeck.workloads.panels import STRUCTURE_SQL, structure, table
+from quarterdeck.workloads.scans import rejected_files
 
 
 def row_counts(spark, sf):
@@ -30,9 +31,11 @@ def counts(spark, sf):
 
 
 def _critical(spark, sf):
-    """The first three line items of every sheet."""
-    lines = table(spark, sf, "lineitem").filter(F.col("l_linenumber") <= 3)
-    return lines.select(F.concat("l_returnflag", F.lit("_"), F.col("l_linenumber").cast("string")).alias("item")).distinct()
+    """Items that a formula table refers to: each order priority's formula sets two returned lines against another."""
+    number = F.col("o_orderpriority").substr(1, 1)
+    text = F.concat(F.lit("R_"), number, F.lit(" / (N_"), number, F.lit(" + A_1)"))
+    formulas = table(spark, sf, "orders").select("o_orderpriority", text.alias("formula")).distinct()
+    return A.critical_items(formulas, ["A_7"])
 
 
 def critical_hits(spark, sf):
@@ -44,8 +47,9 @@ def dictionary(spark, sf):
 
 
 def gate(spark, sf):
+    """The gate over the line-item structure, beside the workbooks of all suppliers that can't be read."""
     rows = structure(spark, sf)
-    return A.audit_gate(A.audit_report(rows), A.data_dictionary(rows, ["A", "N", "R"]))
+    return A.audit_gate(A.audit_report(rows), A.data_dictionary(rows, ["A", "N", "R"]), rejected_files(spark, sf))
 
 
 REPORT_SQL = f"""{STRUCTURE_SQL},
@@ -94,7 +98,8 @@ QUERIES = {
     "semi_critical_hits": (
         critical_hits,
         f"""WITH {REPORT_SQL} SELECT {_REPORT_COLUMNS} FROM report
-        WHERE item IN (SELECT l_returnflag || '_' || l_linenumber FROM lineitem WHERE l_linenumber <= 3)""",
+        WHERE item IN (SELECT 'R_' || o_orderpriority[1] FROM orders UNION SELECT 'N_' || o_orderpriority[1] FROM orders
+                       UNION SELECT 'A_1' UNION SELECT 'A_7')""",
     ),
     "data_dict": (
         dictionary,
@@ -107,6 +112,8 @@ QUERIES = {
         d AS (SELECT DISTINCT item, label FROM structure),
         g AS (SELECT (SELECT count(*) FROM report WHERE check_type IN ('chi_tieu_drift', 'row_count_diff')) AS n_blocking,
           (SELECT count(*) FROM d WHERE item IN (SELECT item FROM d GROUP BY item HAVING count(*) > 1)) AS n_repeated)
-        SELECT n_blocking, n_repeated, n_blocking = 0 AND n_repeated = 0 AS publish FROM g""",
+        SELECT n_blocking, n_repeated,
+          (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey % 10 IN (3, 5)) AS n_rejected,
+          n_blocking = 0 AND n_repeated = 0 AS publish FROM g""",
     ),
 }

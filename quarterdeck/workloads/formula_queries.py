@@ -14,7 +14,7 @@ from quarterdeck.operators.ranking import wide_metric
 from quarterdeck.operators.series import derive_series
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.session import land, scratch_path
-from quarterdeck.sources.tables import FORMULA_HEADERS, read_formulas
+from quarterdeck.sources.tables import FORMULA_HEADERS, formula_list, read_formulas
 from quarterdeck.workloads.panels import (
     DENSE_RULES,
     EVERYONE,
@@ -150,6 +150,32 @@ def customer_metrics(spark, sf):
     return values.select("entity", "year", "quarter", "metric", r4("value").alias("value"))
 
 
+#: One wrong formula per line number, written over the number of a part.
+_WRONG = (
+    ("avg_IS_1 / {0}", "unresolved"),  # no average for income items
+    ("roll4_BS_1 + {0}", "unresolved"),  # no trailing year for balances
+    ("BS_1 / sum(BS_1) over ()", "not scalar"),
+    ("IS_1 * rand({0})", "not scalar"),
+    ("sum(IS_1) / {0}", "unresolved"),
+    ("IS_1 / BS_9{0}", "unresolved"),
+    ("IS_1 / {0}", None),
+)
+
+
+def formula_errors(spark, sf):
+    """Formulas of all brands, most of them wrong in some way, checked over the customer panel."""
+    brands = table(spark, sf, "part").groupBy("p_brand").agg(F.min("p_size").cast("string").alias("n"))
+    texts = [F.replace(F.lit(text), F.lit("{0}"), F.col("n")) for text, _ in _WRONG]
+    named = [F.struct(F.concat_ws(" ", "p_brand", F.lit(i)).alias("metric"), t.alias("formula")) for i, t in enumerate(texts)]
+    # cleaning drops an apostrophe, so this is the table of the last, right formula
+    named.append(F.struct(F.concat("p_brand", F.lit(f" {len(texts) - 1}'")).alias("metric"), F.lit("1").alias("formula")))
+    rows = brands.select(F.inline(F.array(*named))).orderBy("metric").select("metric", "formula", F.lit("").alias("sheet"))
+    formulas = formula_list(rows)
+    panel = derive_series(sparse(spark, sf), SPARSE_RULES)
+    _, errors = formula_batch(panel, formulas, [i for i in referenced_items(formulas) if i in ITEMS], rules=SPARSE_RULES)
+    return errors.select("metric", "formula", "reason")
+
+
 def formula_refs(spark, sf):
     """References of a formula table that was written as CSV and read back."""
     path = scratch_path(spark, "formulas")
@@ -183,6 +209,16 @@ def _wide_names() -> list[str]:
 
 
 QUERIES = {
+    "formula_errors": (
+        formula_errors,
+        """WITH brands AS (SELECT p_brand, CAST(min(p_size) AS VARCHAR) AS n FROM part GROUP BY p_brand),
+        wrong(i, formula, reason) AS (VALUES """
+        + ", ".join(f"({i}, '{text}', {repr(reason) if reason else 'NULL'})" for i, (text, reason) in enumerate(_WRONG))
+        + """)
+        SELECT p_brand || ' ' || i AS metric, replace(formula, '{0}', n) AS formula, reason FROM brands, wrong
+        WHERE reason IS NOT NULL
+        UNION ALL SELECT p_brand || ' 6''', '1', 'table name' FROM brands""",
+    ),
     "formula_eval": (
         formula_eval,
         f"""WITH {_SPARSE_VALUES}, {_values_sql('derived')}

@@ -9,7 +9,7 @@ from quarterdeck.operators import series as S
 from quarterdeck.operators.panel import merge_panel, ytd_cumulate
 from quarterdeck.operators.ranking import rank_latest_period
 from quarterdeck.plans.metrics import enrich_panel
-from quarterdeck.plans.reports import monthly_sum, single_entity_ytd
+from quarterdeck.plans.reports import filtered_sum, single_entity_ytd
 from quarterdeck.session import land, scratch_path
 from quarterdeck.workloads.panels import (
     DENSE_RULES,
@@ -85,8 +85,9 @@ def roll4_ttm(spark, sf):
 
 
 def avg_two_point(spark, sf):
+    """Balance-sheet items and notes; the entity's periods are those of all its items."""
     out = S.add_two_point_average(sparse(spark, sf))
-    return out.filter(F.col("item").isin("BS_1", "CF_48")).select("entity", "item", "qidx", r4("avg").alias("avg"))
+    return out.filter(F.col("item").isin("BS_1", "NOTES_1")).select("entity", "item", "qidx", r4("avg").alias("avg"))
 
 
 def semi_annual_points(spark, sf):
@@ -145,9 +146,11 @@ def monthly_urgent(spark, sf):
         F.month("o_orderdate").alias("month"),
         cents("o_totalprice").alias("amount"),
     )
-    urgent = monthly_sum(rows, F.col("o_orderpriority").contains("URGENT"), "amount", "urgent")
-    low = monthly_sum(rows, F.col("o_orderpriority") == "5-LOW", "amount", "low")
-    return urgent.join(low, "ym", "full")
+    month = F.make_date("year", "month", F.lit(1))
+    return rows.groupBy(month.alias("ym")).agg(
+        filtered_sum("amount", F.col("o_orderpriority").contains("URGENT")).alias("urgent"),
+        filtered_sum("amount", F.col("o_orderpriority") == "5-LOW").alias("low"),
+    ).filter("urgent is not null or low is not null")
 
 
 def merged(spark, sf):
@@ -160,7 +163,9 @@ def enriched(spark, sf):
     return _to_cent_parts(out, "value", "avg", "roll5", "roll4")
 
 
-_SERIES = series_sql("sparse")
+def _series(*names: str) -> str:
+    return series_sql("sparse", series=names)
+
 
 QUERIES = {
     "ytd_cumulate": (
@@ -176,21 +181,21 @@ QUERIES = {
     ),
     "win_running_sum": (
         running_sum,
-        f"WITH {SPARSE_SQL}, {_SERIES} SELECT entity, item, qidx, total, points FROM derived_sofar",
+        f"WITH {SPARSE_SQL}, {_series("avg")} SELECT entity, item, qidx, total, points FROM derived_sofar",
     ),
     "avg_balance": (
         avg_balance,
-        f"""WITH {SPARSE_SQL}, {_SERIES} SELECT entity, item, qidx, round(avg, 4) AS avg FROM derived
+        f"""WITH {SPARSE_SQL}, {_series("avg")} SELECT entity, item, qidx, round(avg, 4) AS avg FROM derived
             WHERE item IN ('BS_1', 'NOTES_1')""",
     ),
     "roll5_mean": (
         roll5_mean,
-        f"""WITH {SPARSE_SQL}, {_SERIES} SELECT entity, item, qidx, round(roll5, 4) AS roll5 FROM derived
+        f"""WITH {SPARSE_SQL}, {_series("roll5")} SELECT entity, item, qidx, round(roll5, 4) AS roll5 FROM derived
             WHERE item IN ('BS_1', 'NOTES_1')""",
     ),
     "roll4_ttm": (
         roll4_ttm,
-        f"""WITH {SPARSE_SQL}, {_SERIES} SELECT entity, item, qidx, round(roll4, 4) AS roll4 FROM derived
+        f"""WITH {SPARSE_SQL}, {_series("roll4")} SELECT entity, item, qidx, round(roll4, 4) AS roll4 FROM derived
             WHERE item LIKE 'IS%'""",
     ),
     "avg_two_point": (
@@ -201,7 +206,7 @@ QUERIES = {
         SELECT p.entity, p.item, p.qidx, round((p.value + b.value) / 2, 4) AS avg
         FROM sparse p JOIN periods q ON p.entity = q.entity AND p.qidx = q.qidx
         LEFT JOIN sparse b ON b.entity = p.entity AND b.item = p.item AND b.qidx = q.before
-        WHERE p.item IN ('BS_1', 'CF_48')""",
+        WHERE p.item IN ('BS_1', 'NOTES_1')""",
     ),
     "semi_annual_points": (
         semi_annual_points,

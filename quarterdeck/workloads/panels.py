@@ -254,7 +254,7 @@ def _long_sql(source: str, ids: str) -> str:
 
 
 SPARSE_SQL = f"""{CUSTOMER_QUARTERS_SQL},
-sparse AS (
+sparse AS MATERIALIZED (
   SELECT * FROM ({_long_sql('cq', 'o_custkey AS entity')}) s
   WHERE value IS NULL OR NOT (item = 'IS_2' AND value = 1 OR item = 'NOTES_1' AND value = 0))"""
 
@@ -268,7 +268,7 @@ dq AS (
   JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
   WHERE NOT (n_name IN ('NATION_0', 'NATION_10', 'NATION_20') AND quarter(o_orderdate) IN (1, 3))
   GROUP BY 1, 2, 3),
-dense AS ({_long_sql('dq', 'entity')})"""
+dense AS MATERIALIZED ({_long_sql('dq', 'entity')})"""
 
 REPORTS_SQL = f"""{DENSE_SQL},
 headed AS (
@@ -343,34 +343,44 @@ counts AS (
   JOIN (SELECT DISTINCT item FROM {source}) i ON 1 = 1)"""
 
 
-def series_sql(source: str, name: str = "derived", semi: str = "FALSE") -> str:
-    """All three series by self-joins."""
+def series_sql(
+    source: str, name: str = "derived", semi: str = "FALSE", series: tuple[str, ...] = ("avg", "roll5", "roll4")
+) -> str:
+    """The chosen series by self-joins; only the tables that they need are there."""
     odd = f"({semi.format('p')} AND p.quarter % 2 = 1)"
-    return f"""
-{name}_sofar AS (
+    sofar = f"""
+{name}_sofar AS MATERIALIZED (
   SELECT p.entity, p.item, p.qidx, sum(y.value) AS total, count(y.value) AS points
   FROM {source} p JOIN {source} y ON p.entity = y.entity AND p.item = y.item AND p.year = y.year
    AND y.quarter <= p.quarter AND NOT ({semi.format('y')} AND y.quarter % 2 = 1)
-  GROUP BY p.entity, p.item, p.qidx),
-{name}_five AS (
+  GROUP BY p.entity, p.item, p.qidx),"""
+    five = f"""
+{name}_five AS MATERIALIZED (
   SELECT p.entity, p.item, p.qidx, avg(w.value) AS mean, count(w.value) AS points
   FROM {source} p JOIN {source} w ON p.entity = w.entity AND p.item = w.item
    AND w.qidx BETWEEN p.qidx - 4 AND p.qidx
-  GROUP BY p.entity, p.item, p.qidx),
-{name} AS (
-  SELECT p.*,
-    CASE WHEN NOT {odd} AND q4.value IS NOT NULL
+  GROUP BY p.entity, p.item, p.qidx),"""
+    columns = {
+        "avg": f"""CASE WHEN NOT {odd} AND q4.value IS NOT NULL
       AND a.points = CASE WHEN {semi.format('p')} THEN p.quarter // 2 ELSE p.quarter END
-      THEN (a.total + q4.value) / (CASE WHEN {semi.format('p')} THEN p.quarter // 2 ELSE p.quarter END + 1) END AS avg,
-    CASE WHEN NOT {odd} AND f.points >= CASE WHEN {semi.format('p')} THEN 3 ELSE 5 END THEN f.mean END AS roll5,
-    CASE WHEN {odd} THEN NULL WHEN p.quarter = 4 THEN p.value
-      ELSE p.value + q4.value - py.value END AS roll4
-  FROM {source} p
-  LEFT JOIN {source} q4 ON q4.entity = p.entity AND q4.item = p.item AND q4.year = p.year - 1 AND q4.quarter = 4
-  LEFT JOIN {source} py ON py.entity = p.entity AND py.item = p.item AND py.year = p.year - 1
-   AND py.quarter = p.quarter
-  LEFT JOIN {name}_sofar a ON a.entity = p.entity AND a.item = p.item AND a.qidx = p.qidx
-  LEFT JOIN {name}_five f ON f.entity = p.entity AND f.item = p.item AND f.qidx = p.qidx)"""
+      THEN (a.total + q4.value) / (CASE WHEN {semi.format('p')} THEN p.quarter // 2 ELSE p.quarter END + 1) END AS avg""",
+        "roll5": f"""CASE WHEN NOT {odd} AND f.points >= CASE WHEN {semi.format('p')} THEN 3 ELSE 5 END
+      THEN f.mean END AS roll5""",
+        "roll4": f"""CASE WHEN {odd} THEN NULL WHEN p.quarter = 4 THEN p.value
+      ELSE p.value + q4.value - py.value END AS roll4""",
+    }
+    joins = {
+        "q4": f"LEFT JOIN {source} q4 ON q4.entity = p.entity AND q4.item = p.item AND q4.year = p.year - 1 AND q4.quarter = 4",
+        "py": f"LEFT JOIN {source} py ON py.entity = p.entity AND py.item = p.item AND py.year = p.year - 1 AND py.quarter = p.quarter",
+        "a": f"LEFT JOIN {name}_sofar a ON a.entity = p.entity AND a.item = p.item AND a.qidx = p.qidx",
+        "f": f"LEFT JOIN {name}_five f ON f.entity = p.entity AND f.item = p.item AND f.qidx = p.qidx",
+    }
+    needs = {"avg": ("q4", "a"), "roll5": ("f",), "roll4": ("q4", "py")}
+    used = [j for j in joins if any(j in needs[s] for s in series)]
+    return f"""{sofar if "a" in used else ""}{five if "f" in used else ""}
+{name} AS MATERIALIZED (
+  SELECT p.*, {", ".join(columns[s] for s in series)}
+  FROM {source} p {" ".join(joins[j] for j in used)})"""
 
 
 SEMI_SQL = "{0}.entity IN ('NATION_0', 'NATION_10', 'NATION_20')"

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from quarterdeck.plans.reports import raw_panel
+from quarterdeck.plans.reports import monthly_sum, raw_panel
 from quarterdeck.session import scratch_path
 from quarterdeck.sinks.sql_script import row_tuples, write_script
 from quarterdeck.sinks.writers import (
@@ -57,14 +57,38 @@ def temporal_text(spark, sf):
 
 
 def sql_batches(spark, sf):
-    """The row tuples of a written script; no statement may hold more than 200."""
+    """The row tuples of a written script with the largest number of rows of any statement.
+
+    Texts may hold line breaks, quotes and separators, so statements and tuples are told apart by what ends them.
+    """
     path = scratch_path(spark, "script")
     write_script(_orders(spark, sf), "orders_out", path)
-    statement = spark.read.text(f"{path}/rows").select(F.col("value").alias("s"))
-    body = F.regexp_extract("s", r"^INSERT INTO \"orders_out\" \([^)]*\) VALUES \((.*)\);$", 1)
-    rows = F.split(body, r"\), \(")
-    small = F.when(F.size(rows) <= 200, rows)
-    return statement.select(F.explode(small).alias("r")).select(F.concat(F.lit("("), F.col("r"), F.lit(")")).alias("tuple"))
+    statement = spark.read.option("lineSep", ";\n").text(f"{path}/rows").select(F.rtrim("value").alias("s")).filter("s <> ''")
+    body = F.regexp_extract("s", r"(?s)^INSERT INTO \"orders_out\" \([^)]*\) VALUES \((.*)\);?$", 1)
+    rows = statement.select(F.split(body, r"\), \(").alias("rows"))
+    largest = rows.agg(F.max(F.size("rows"))).scalar()
+    return rows.select(F.explode("rows").alias("r"), (largest <= 200).alias("small")).select(
+        F.concat(F.lit("("), F.col("r"), F.lit(")")).alias("tuple"), "small"
+    )
+
+
+def monthly_publish(spark, sf):
+    """Monthly sums of urgent orders as a replaced table and as a script; both must hold the same."""
+    name, path = f"monthly_{uuid.uuid4().hex}", scratch_path(spark, "monthly")
+    rows = table(spark, sf, "orders").select(
+        "o_orderpriority", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), cents("o_totalprice").alias("amount")
+    )
+    sums = monthly_sum(rows, F.col("o_orderpriority").contains("URGENT"), "amount", "urgent")
+    replace_table(sums, name, f"{path}/table")
+    write_script(sums, name, f"{path}/sql")
+    published = spark.read.parquet(f"{path}/table")
+    spark.sql(f"DROP TABLE {name}")
+    script = spark.read.option("lineSep", ";\n").text(f"{path}/sql/rows").filter(F.trim("value") != "")
+    tuples = F.split(F.regexp_extract("value", r"(?s) VALUES \((.*)\);?$", 1), r"\), \(")
+    listed = script.select(F.explode(tuples).alias("t")).select(F.split("t", ", ").alias("v"))
+    return published.join(
+        listed.select(F.replace(F.col("v")[0], F.lit("'"), F.lit("")).alias("ym"), F.col("v")[1].cast("bigint").alias("scripted")), "ym", "full"
+    )
 
 
 def partitioned(spark, sf):
@@ -131,7 +155,13 @@ def table_replace(spark, sf):
 QUERIES = {
     "sink_sql_literal": (sql_literal, f"WITH {_ORDERS_SQL} SELECT tuple FROM tuples"),
     "sink_temporal_text": (temporal_text, f"WITH {_ORDERS_SQL} SELECT o_orderkey, day, moment FROM t"),
-    "sink_sql_batches": (sql_batches, f"WITH {_ORDERS_SQL} SELECT tuple FROM tuples"),
+    "sink_sql_batches": (sql_batches, f"WITH {_ORDERS_SQL} SELECT tuple, TRUE AS small FROM tuples"),
+    "monthly_publish": (
+        monthly_publish,
+        """SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ym, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS urgent,
+             sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS scripted
+           FROM orders WHERE o_orderpriority LIKE '%URGENT%' GROUP BY 1""",
+    ),
     "sink_partitioned_metrics": (
         partitioned,
         f"WITH {SPARSE_SQL} SELECT entity, qidx, round(value, 4) AS value, item AS sheet FROM sparse",

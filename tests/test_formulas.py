@@ -46,6 +46,28 @@ def test_errors_stay_with_their_formula(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
 
 
+def test_undefined_series_windows_and_names_are_errors(spark):
+    values, errors = _batch(spark, [
+        Formula("avg flow", "avg_IS_1"), Formula("ttm stock", "roll4_BS_1 * 2"), Formula("share", "BS_1 / sum(BS_1) OVER ()"),
+        Formula("chance", "IS_1 * rand()"), Formula("query", "(select 1)"), Formula("Tổng tài sản", "BS_1"), Formula("Tong tai san", "IS_1"),
+        Formula("', '", "IS_1"), Formula("text", "if('over (select rand()' = 'x', 1, 2)"), Formula("good", "greatest(avg_BS_1, IS_1)"),
+    ])
+    reasons = {r["metric"]: r["reason"] for r in errors.collect()}
+    assert reasons == {
+        "avg flow": "unresolved", "ttm stock": "unresolved", "share": "not scalar", "chance": "not scalar", "query": "not scalar",
+        "Tong tai san": "table name", **({"', '": "table name"} if "', '" in reasons else {}),
+    }
+    assert {r["metric"] for r in values.select("metric").distinct().collect()} >= {"Tổng tài sản", "text", "good"}
+
+
+def test_formulas_in_groups(spark, monkeypatch):
+    from quarterdeck.operators import formulas
+
+    monkeypatch.setattr(formulas, "GROUP_SIZE", 2)
+    values, _ = _batch(spark, [Formula(f"m{k}", f"IS_1 + {k}") for k in range(5)])
+    assert {(r["metric"], r["value"]) for r in values.collect() if r["quarter"] == 2} == {(f"m{k}", 6.0 + k) for k in range(5)}
+
+
 def test_annualise_binds_quarter_to_one(spark):
     formula = [Formula("a", "IS_1 / quarter * 4")]
     plain, annual = (_batch(spark, formula, flag)[0] for flag in (False, True))

@@ -95,13 +95,41 @@ def test_used_range_shared_strings_and_kinds():
     assert list(workbook_cells(buffer.getvalue())) == [("S", 0, 1, "two runs"), ("S", 2, 0, "true"), ("S", 2, 25, "1.5")]
 
 
-def test_large_sheets_are_streamed(monkeypatch):
-    from quarterdeck.sources import workbooks
-
-    content = workbook_bytes({"S": [["a", i, None, "z"] for i in range(50)]})
-    whole = list(workbook_cells(content))
-    monkeypatch.setattr(workbooks, "_KEPT_CELLS", 10)
-    assert list(workbook_cells(content)) == whole and len(whole) == 150
+def test_every_file_ends_in_facts_or_rejects(spark, tmp_path):
+    def lines(entity, change=lambda key, rows: rows):
+        body = lambda k: [[f"{k} a", "VND", 1.0]]
+        return workbook_bytes({f"{t} - {entity}": change(k, sheet(["Q1 2023"], body(k))) for k, t in SHEET_TITLES.items()})
+
+    def changed(key, how):
+        return lambda k, rows: how(rows) if k == key else rows
+
+    files = {
+        "data-quarterly/AAA.xlsx": lines("AAA"),
+        "data-quarterly/BBB.XLSX": lines("BBB"),
+        "data-quarterly/CCC.xls": b"old format",
+        "data-quarterly/notes.txt": b"text",
+        "data-quarterly/DDD.xlsx": lines("DDD", changed("BS", lambda r: [r[0], ["-"], *r[1:]])),  # header one row lower, no date
+        "data-quarterly/EEE.xlsx": lines("EEE", changed("IS", lambda r: [*r[:8], ["Chỉ tiêu", "Khác", "Q1 2023"], *r[9:]])),
+        "data-quarterly/FFF.xlsx": lines("FFF", changed("CF", lambda r: r[:9])),
+        "data-quarterly/GGG.xlsx": lines("GGG", changed("NOTES", lambda r: [])),
+        "data-quarterly/HHH.xlsx": lines("HHH", changed("BS", lambda r: [*r[:8], [*r[8], "Oops"], *r[9:]])),
+        "data-quarterly/III.xlsx": lines("III", changed("IS", lambda r: [*r[:8], ["Tên", *r[8][1:]], *r[9:]])),
+        "data-quarterly/JJJ.xlsx": lines("JJJ", changed("IS", lambda r: r[:8])),
+        "elsewhere/KKK.xlsx": lines("KKK"),
+        "data-yearly/LLL.xlsm": b"PK broken",
+    }
+    for name, content in files.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(content)
+    done = ingest(land_cells(spark, str(tmp_path / "in"), str(tmp_path / "cells")))
+    rejected = {(r["file"].split(".")[0], r["error"].split(":")[0] if "File" in r["error"] else r["error"]) for r in done.rejected.collect()}
+    assert rejected == {
+        ("CCC", "UnsupportedFile"), ("notes", "UnsupportedFile"), ("DDD", "no export date"), ("EEE", "IS: no unit column"),
+        ("FFF", "CF: no line item"), ("GGG", "NOTES: empty sheet"), ("HHH", "BS: unreadable period oops"),
+        ("III", "IS: no label column"), ("JJJ", "IS: no header row"), ("KKK", "no frequency folder"), ("LLL", "BadZipFile"),
+    }
+    facts = done.facts.filter("year is not null").select("entity").distinct().collect()
+    assert {r["entity"] for r in facts} == {"AAA", "BBB", "EEE", "FFF", "GGG", "HHH", "III", "JJJ"}
 
 
 def test_formula_and_dictionary_tables(spark, tmp_path):

@@ -47,13 +47,17 @@ def test_metrics_job(spark, place, tmp_path):
     assert {k[2] for k in values} == {"AAA", "Mean 2", "Sum 2"}
     assert [r["metric"] for r in out["formula_errors"].collect()] == ["Wrong"]
     assert [r["file"] for r in out["rejected"].collect()] == ["AAA.xlsx"]
-    script = spark.read.text(str(tmp_path / "o" / "sql" / "yield" / "create")).collect()
+    assert (tmp_path / "o" / "metrics" / "sheet=Ratios" / "table_name=yield").is_dir()
+    script = spark.read.text(str(tmp_path / "o" / "sql" / "create" / "table=yield")).collect()
+    inserted = spark.read.text(str(tmp_path / "o" / "sql" / "rows" / "table=yield")).collect()
+    assert inserted and all(r[0].startswith('INSERT INTO "yield" ("yq", "name", "value") VALUES (') for r in inserted)
     assert script[1][0] == 'CREATE TABLE "yield" ("yq" TEXT, "name" TEXT, "value" REAL);'
 
 
 def test_structure_and_lineage_jobs(spark, place, tmp_path):
     out = J.structure_job(spark, str(place / "in"), str(place / "f.csv"), str(tmp_path / "w"), str(tmp_path / "o"))
     assert out["gate"].first()["publish"] and out["critical"].count() == 0
+    assert out["gate"].first()["n_rejected"] == 1 and [r["file"] for r in out["rejected"].collect()] == ["AAA.xlsx"]
     missing = J.lineage_job(spark, str(place / "f.csv"), str(tmp_path / "o" / "dictionary"), str(tmp_path / "o"))
     assert rows(missing.select("metric", "item")) == [("Wrong", "IS_77")]
     written = spark.read.option("header", True).csv(str(tmp_path / "o" / "formula_definitions"))
@@ -61,7 +65,9 @@ def test_structure_and_lineage_jobs(spark, place, tmp_path):
 
 
 def test_raw_panel_job(spark, place, tmp_path):
-    wide = J.raw_panel_job(spark, str(place / "in"), str(tmp_path / "w"), str(tmp_path / "raw"))
+    done = J.raw_panel_job(spark, str(place / "in"), str(tmp_path / "w"), str(tmp_path / "raw"))
+    wide = done["panel"]
+    assert [r["file"] for r in done["rejected"].collect()] == ["AAA.xlsx"]
     assert wide.columns == ["item", "label", "entity", "2023_q1", "2023_q2"]
     assert rows(wide.filter("item = 'BS_1'").select("entity", "2023_q1", "2023_q2")) == [("AAA", 1.0, 2.0), ("BBB", 3.0, None), ("ZZZ", 99.0, None)]
 
@@ -71,6 +77,18 @@ def test_monthly_job(spark, place):
     assert [tuple(r) for r in out.collect()] == [(datetime.date(2024, 1, 1), 7.5), (datetime.date(2024, 2, 1), 4.0)]
 
 
+def test_monthly_job_publishes_or_fails(spark, place, tmp_path):
+    keep = F.col("item").contains("Tiền gửi")
+    try:
+        J.monthly_job(spark, str(place / "manual"), "M2", keep, "so_du", "deposits_out", published=str(tmp_path / "p"))
+        assert rows(spark.table("deposits_out")) == [("2024-01-01", 7.5), ("2024-02-01", 4.0)]
+        assert (tmp_path / "p" / "sql" / "create").is_dir()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS deposits_out")
+    with pytest.raises(ValueError, match="BadZipFile"):
+        J.monthly_job(spark, str(place / "in" / "data-cumulative"), "M2", keep, "so_du", "none")
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "facts")
     facts(spark, [("A", "IS_1", "2023_q1", 1)]).withColumn("freq", F.lit(QUARTERLY)).write.parquet(path)

@@ -30,7 +30,7 @@ def test_literals(mixed):
 
 def test_statements_hold_at_most_200_rows_and_load(spark):
     df = spark.range(1003).select("id", F.concat(F.lit("n'"), F.col("id").cast("string")).alias("name")).repartition(3)
-    statements = [r[0] for r in Q.insert_statements(df, "t").collect()]
+    statements = [r["statement"] for r in Q.insert_statements(df, "t").collect()]
     assert max(s.count("), (") + 1 for s in statements) == 200
     con = sqlite3.connect(":memory:")
     for s in Q.create_statements(df, "t") + statements:
@@ -38,6 +38,19 @@ def test_statements_hold_at_most_200_rows_and_load(spark):
     assert con.execute("SELECT count(*), count(DISTINCT id), max(name) FROM t").fetchone() == (1003, 1003, "n'999")
 
 
+def test_scripts_of_many_tables_load(spark, tmp_path):
+    df = spark.range(900).select("id", F.concat(F.lit("a;\n(b), 'c"), F.col("id").cast("string")).alias("name"), F.concat(F.lit('t"'), F.col("id") % 7).alias("to"))
+    Q.write_scripts(df.repartition(4), "to", str(tmp_path / "s"), batch_rows=50)
+    con = sqlite3.connect(":memory:")
+    for kind in ("create", "rows"):
+        for file in sorted((tmp_path / "s" / kind).glob("table=*/*.txt")):
+            con.executescript(file.read_text(encoding="utf-8"))
+    for k in range(7):
+        got = con.execute(f'SELECT count(*), min(id), max(name) FROM "t""{k}"').fetchone()
+        ids = [i for i in range(900) if i % 7 == k]
+        assert got == (len(ids), k, max(f"a;\n(b), 'c{i}" for i in ids))
+
+
 def test_script_is_not_written_for_an_empty_result(spark, tmp_path, mixed):
     assert not Q.write_script(mixed.filter("false"), "t", str(tmp_path / "s"))
     assert Q.write_script(mixed, "t", str(tmp_path / "s"))
