@@ -34,7 +34,10 @@ NOISE = 32
 BATCH = 2048
 RATE = 0.1
 ROUNDS = 1
+#: Parts of the parameter vector that are summed by themselves.
+PARTS = 32
 FOLDS, HELD_OUT = 7, 2
+_SUMS = "part int, weight double, total binary"
 END = ""  # no word is empty
 
 
@@ -241,12 +244,12 @@ def train(cut: DataFrame, classes: DataFrame, corpus: Corpus, rounds: int = ROUN
         return model
     grouped = texts.groupBy("block").cogroup(classes.select("block", "k").groupBy("block"))
     for turn in range(rounds):
-        summed = grouped.applyInPandas(_learner(model, noise, turn), "weight double, flat binary")
-        summed = summed.mapInPandas(_weighted_sums, "weight double, flat binary")
-        weight, flat = 0.0, 0.0
-        for row in summed.toLocalIterator():  # one vector per partition, one at a time
-            weight, flat = weight + row["weight"], flat + np.frombuffer(row["flat"])
-        model = model.like(flat / weight)
+        own = grouped.applyInPandas(_learner(model, noise, turn), "weight double, flat binary")
+        sums = own.mapInPandas(_weighted_sums, _SUMS).groupBy("part").applyInPandas(_sum_parts, _SUMS)
+        flat = [None] * PARTS
+        for row in sums.collect():  # PARTS rows of one model altogether
+            flat[row["part"]] = np.frombuffer(row["total"]) / row["weight"]
+        model = model.like(np.concatenate(flat))
     return model
 
 
@@ -263,13 +266,19 @@ def _learner(begun: Model, noise: np.ndarray, turn: int):
 
 
 def _weighted_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The sum of a partition's parameter vectors, each times its tokens, and the sum of the tokens."""
+    """The sum of a partition's parameter vectors, each times its tokens, cut into parts, and the sum of the tokens."""
     weight, flat = 0.0, 0.0
     for batch in batches:
         for w, f in zip(batch["weight"], batch["flat"], strict=True):
             weight, flat = weight + w, flat + w * np.frombuffer(f)
     if weight:
-        yield pd.DataFrame({"weight": [weight], "flat": [flat.tobytes()]})
+        totals = [part.tobytes() for part in np.array_split(flat, PARTS)]
+        yield pd.DataFrame({"part": range(PARTS), "weight": weight, "total": totals})
+
+
+def _sum_parts(group: pd.DataFrame) -> pd.DataFrame:
+    total = np.sum([np.frombuffer(t) for t in group["total"]], axis=0)
+    return pd.DataFrame({"part": [group["part"].iloc[0]], "weight": [group["weight"].sum()], "total": [total.tobytes()]})
 
 
 class Scorer:
