@@ -31,7 +31,7 @@ KNOWN = 896
 ENDINGS = 128
 DIMENSIONS = 16
 NOISE = 32
-BATCH = 2048
+BATCH = 1024
 RATE = 0.1
 ROUNDS = 1
 #: Parts of the parameter vector that are summed by themselves.
@@ -194,9 +194,10 @@ class Trainer:
     """Noise-contrastive estimation in batches with AdaGrad; the noise words of a batch are shared."""
 
     def __init__(self, model: Model, noise: np.ndarray, seed: int):
-        self.model, self.rng, self.noise = model, np.random.default_rng(seed), noise
-        self.log_noise, self.tokens = np.log(NOISE * noise), 0
-        self.squares = [np.full_like(a, 1e-2) for a in model.arrays()]
+        # Single precision: half the memory traffic, which is what a step costs.
+        self.model, self.rng, self.noise = Model(*(a.astype(np.float32) for a in model.arrays())), np.random.default_rng(seed), noise
+        self.log_noise, self.tokens = np.log(NOISE * noise).astype(np.float32), 0
+        self.squares = [np.full_like(a, 1e-2) for a in self.model.arrays()]
         self.cumulated = np.cumsum(noise)
 
     def step(self, word: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
@@ -257,10 +258,10 @@ def _learner(begun: Model, noise: np.ndarray, turn: int):
     def learn(docs: pd.DataFrame, dictionary: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):  # all of the block is held out
             return pd.DataFrame({"weight": [], "flat": []})
-        trainer = Trainer(begun.like(begun.flat()), noise, seed=1000 * turn + len(docs))
+        trainer = Trainer(begun, noise, seed=1000 * turn + len(docs))
         _, k, starts = _joined(docs, np.frombuffer(dictionary["k"].iloc[0], np.int16))
         trainer.block(k, starts)
-        return pd.DataFrame({"weight": [float(trainer.tokens)], "flat": [trainer.model.flat().tobytes()]})
+        return pd.DataFrame({"weight": [float(trainer.tokens)], "flat": [trainer.model.flat().astype(np.float64).tobytes()]})
 
     return learn
 
