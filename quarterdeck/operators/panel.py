@@ -5,7 +5,8 @@ per key. A statement table has a cell for every item of an entity in every perio
 and a NULL cell mean the same thing; the entity's calendar supplies the periods.
 
 Facts are partitioned by (entity, item), so a partition key holds at most a calendar's worth of rows and an entity with
-very many items spreads over many tasks. Calendars are one row per entity and are joined to that.
+very many items spreads over many tasks. Calendars are one row per entity; they are first handed to the entity's items, so
+the facts meet them without leaving that partitioning.
 """
 
 from __future__ import annotations
@@ -63,6 +64,15 @@ def calendar_rows(calendar: DataFrame) -> DataFrame:
     )
 
 
+def _with_calendar(rows: DataFrame, facts: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Rows partitioned by (entity, item) with their entity's calendar columns.
+
+    Only the distinct keys of the facts are ever shuffled by entity alone, and a join can split an entity with very many.
+    """
+    by_item = facts.select("entity", "item").distinct().join(calendar, "entity")
+    return rows.join(by_item, ["entity", "item"])
+
+
 def _one_value(column: str, low: str, what: str) -> Column:
     """The value of a cell; fails if it was given two different ones."""
     clash = F.raise_error(F.concat(F.lit(f"two values for one cell: {what} of "), F.col("item")))
@@ -121,7 +131,7 @@ def _year_to_date(quarterly: DataFrame, calendar: DataFrame, rules: ItemRules) -
     years = _years_of_items(quarterly).withColumnRenamed("year", "item_year")
     due = F.filter("free", lambda p: (p > F.col("after")) & (p <= F.col("upto")))
     placed = (
-        years.join(calendar.select("entity", "quarterly_periods", free.alias("free")), "entity")
+        _with_calendar(years, quarterly, calendar.select("entity", "quarterly_periods", free.alias("free")))
         .withColumn("qidx", F.explode(due))
         .withColumn("year", index_year(F.col("qidx")))
         .withColumn("quarter", index_quarter(F.col("qidx")))
@@ -135,18 +145,18 @@ def _as_reported(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     Partitioned like the year-to-date rows, so that the union of both stays partitioned by (entity, item).
     """
     covered = (F.col("freq") == CUMULATIVE) & F.array_contains("yearly_periods", F.col("qidx"))
-    return (
+    cells = (
         facts.repartition("entity", "item")
         .groupBy("entity", "item", "freq", "year", "quarter", "qidx")
         .agg(F.max("value").alias("value"), F.min("value").alias("low"))
         .withColumn("value", _one_value("value", "low", "a report"))
-        .join(calendar.select("entity", "yearly_periods"), "entity")
-        .filter(~covered)
-        .select(*PANEL)
     )
+    return _with_calendar(cells, facts, calendar.select("entity", "yearly_periods")).filter(~covered).select(*PANEL)
 
 
-def merge_panel(facts: DataFrame, rules: ItemRules, items: Sequence[str] | None = None) -> DataFrame:
+def merge_panel(
+    facts: DataFrame, rules: ItemRules, items: Sequence[str] | None = None, calendar: DataFrame | None = None
+) -> DataFrame:
     """Quarterly, cumulative and yearly facts (column `freq`) to one year-to-date panel.
 
     Discrete quarters 1-3 become year-to-date: stock, closing-cash and listed note items keep the quarter's own value
@@ -156,11 +166,11 @@ def merge_panel(facts: DataFrame, rules: ItemRules, items: Sequence[str] | None
     has: yearly before cumulative before quarterly.
 
     Equal rows for one cell count once, two values fail the job. `items` limits the panel; the filter reaches the scan
-    of the facts, while the calendar still sees all of them.
+    of the facts, while the calendar still sees all of them. `calendar` is `entity_calendar(facts)`, if at hand.
     """
     wanted = facts if items is None else facts.filter(F.col("item").isin(*items))
     placed = with_index(wanted).filter(F.col("qidx").isNotNull())
-    calendar = entity_calendar(facts)
+    calendar = entity_calendar(facts) if calendar is None else calendar
     quarterly = _year_to_date(placed.filter(F.col("freq") == QUARTERLY), calendar, rules)
     return quarterly.unionByName(_as_reported(placed.filter(F.col("freq").isin(CUMULATIVE, YEARLY)), calendar))
 

@@ -1,8 +1,8 @@
 """Facts of all frequencies to published metric tables.
 
-Exchanges on panel-sized data: one on (entity, item), which serves the year-to-date cells and, where calendars are small
-enough to broadcast, all series windows; one for the wide rows. Calendars and groups are combined map-side first.
-Items no formula uses are filtered at the scan.
+Exchanges on panel-sized data: one on (entity, item), which serves the year-to-date cells and all series windows; one for
+the wide rows. The series and the calendars are landed, as entities and groups both read them. Calendars and groups are
+combined map-side first. Items no formula uses are filtered at the scan.
 """
 
 from __future__ import annotations
@@ -25,9 +25,10 @@ from quarterdeck.operators.formulas import (
     widen,
 )
 from quarterdeck.operators.groups import group_rows, summarize_by_group
-from quarterdeck.operators.panel import calendar_rows, entity_calendar, merge_panel, reported
+from quarterdeck.operators.panel import PANEL, calendar_rows, entity_calendar, merge_panel, reported
 from quarterdeck.operators.ranking import published_entities
 from quarterdeck.operators.series import derive_series
+from quarterdeck.session import land, scratch_path
 
 
 @dataclass(frozen=True)
@@ -98,17 +99,19 @@ def build_metrics(
     spark = facts.sparkSession
     used = referenced_items(formulas)
     present = known_items(facts, used) if items is None else [i for i in used if i in set(items)]
-    text_entity = F.col("entity").cast("string")
-    panel = merge_panel(facts, rules, used).withColumn("entity", text_entity)
-    calendars = entity_calendar(facts)
-    spine = calendar_rows(calendars).withColumn("entity", text_entity)
+    named = facts.withColumn("entity", F.col("entity").cast("string"))
+    # Both are read twice below, for entities and for groups.
+    calendars = land(entity_calendar(named), scratch_path(spark, "calendars"))
+    merged = merge_panel(named, rules, used, calendars)
+    series = land(derive_series(merged, rules), scratch_path(spark, "series"))
+    spine = calendar_rows(calendars)
     chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
-    members = membership.withColumn("entity", text_entity)
-    entities = calendars.select(text_entity.alias("entity"))
-    group_panel = group_rows(panel.unionByName(spine), members, groups, items=chart, entities=entities)
+    members = membership.withColumn("entity", F.col("entity").cast("string"))
+    rows = series.select(*PANEL).unionByName(spine)
+    group_panel = group_rows(rows, members, groups, items=chart, entities=calendars.select("entity"))
 
     wide = [
-        widen(derive_series(panel, rules), formulas, present, spine, rules),
+        widen(series, formulas, present, spine, rules),
         widen(derive_series(group_panel, rules), formulas, present, rules=rules),
     ]
     good, failed = check_formulas(spark, wide[0].columns, formulas)

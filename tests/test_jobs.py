@@ -104,3 +104,29 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert calendar and all("ReadSchema: struct<entity:string,year:int,quarter:int,freq:string>" in line for line in calendar)
     single = scans(single_entity_ytd(stored.drop("freq"), "A", 2023, 3, ItemRules()))
     assert single and all("EqualTo(entity,A)" in line for line in single)
+
+
+def test_facts_are_never_shuffled_by_entity_alone(spark, tmp_path):
+    """Without broadcasts: one scan of the values, exchanges by (entity, item), and only keys and calendars by entity."""
+    import re
+
+    from quarterdeck.operators.series import derive_series
+
+    path = str(tmp_path / "facts")
+    facts(spark, [("A", "IS_1", "2023_q1", 1), ("B", "BS_1", "2023_q2", 2)]).withColumn("freq", F.lit(QUARTERLY)).write.parquet(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        panel = merge_panel(spark.read.parquet(path), ItemRules(), ["IS_1", "BS_1"])
+        plan = derive_series(panel, ItemRules())._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        )
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((.*?), \d+\)", plan)
+    keys = [(re.sub(r"#\d+L?", "", columns).split(", "), re.sub(r"#\d+L?", "", by)) for columns, by in exchanges]
+    assert any(by == "entity, item" and "value" in columns for columns, by in keys)
+    assert not any(by == "entity" and {"value", "v1", "low"} & set(columns) for columns, by in keys)
+    scans = re.findall(r"ReadSchema: struct<(.*?)>", plan)
+    # one for the quarterly reports and one for the others, which are disjoint
+    assert sum("value" in s for s in scans) == 2
