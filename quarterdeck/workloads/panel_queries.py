@@ -12,6 +12,8 @@ from quarterdeck.plans.metrics import enrich_panel
 from quarterdeck.plans.reports import filtered_sum, single_entity_ytd
 from quarterdeck.session import land, scratch_path
 from quarterdeck.workloads.panels import (
+    COMPLETE_DENSE_SQL,
+    COMPLETE_SQL,
     DENSE_RULES,
     DENSE_SQL,
     G1,
@@ -23,6 +25,8 @@ from quarterdeck.workloads.panels import (
     SPARSE_RULES,
     SPARSE_SQL,
     cents,
+    complete,
+    complete_dense,
     dense,
     groups_sql,
     nation_groups,
@@ -101,40 +105,40 @@ def semi_annual_points(spark, sf):
 
 
 def group_mean(spark, sf):
-    panel = dense(spark, sf)
+    panel = complete_dense(spark, sf)
     return _to_cent_parts(G.group_mean(panel, nation_groups(panel)), "value")
 
 
 def group_sum(spark, sf):
-    panel = dense(spark, sf)
+    panel = complete_dense(spark, sf)
     return _to_cent_parts(G.group_sum(panel, nation_groups(panel)), "value")
 
 
 def group_member_count(spark, sf):
-    panel = dense(spark, sf)
+    panel = complete_dense(spark, sf)
     return G.group_member_count(G.present_entities(panel), nation_groups(panel))
 
 
 def summarize(spark, sf):
-    panel = dense(spark, sf)
+    panel = complete_dense(spark, sf)
     return _to_cent_parts(G.summarize_by_group(panel, nation_groups(panel), GROUPS), "value")
 
 
 def customer_groups(spark, sf):
     """Groups whose membership is a table that grows with the data: customers by market segment."""
     members = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("group"), F.col("c_custkey").alias("entity"))
-    return _to_cent_parts(G.group_mean(sparse(spark, sf), members), "value")
+    return _to_cent_parts(G.group_mean(complete(spark, sf), members), "value")
 
 
 def rank_nations(spark, sf):
     """Named peers by their value at the latest period."""
-    values = dense(spark, sf).select("entity", "qidx", F.col("item").alias("metric"), "value")
+    values = complete_dense(spark, sf).select("entity", "qidx", F.col("item").alias("metric"), "value")
     return _rounded(rank_latest_period(values, G1 + G2), "value")
 
 
 def rank_customers(spark, sf):
     """The same with a table of peers: every customer, ranked with range partitioning."""
-    values = sparse(spark, sf).select("entity", "qidx", F.col("item").alias("metric"), "value")
+    values = complete(spark, sf).select("entity", "qidx", F.col("item").alias("metric"), "value")
     peers = table(spark, sf, "customer").select(F.col("c_custkey").alias("entity"))
     return _rounded(rank_latest_period(values, peers), "value")
 
@@ -216,34 +220,34 @@ QUERIES = {
     ),
     "group_mean": (
         group_mean,
-        f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
+        f"""WITH {COMPLETE_DENSE_SQL}, {MEMBERS_SQL}
         SELECT grp AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_sum": (
         group_sum,
-        f"""WITH {DENSE_SQL}, {MEMBERS_SQL}
+        f"""WITH {COMPLETE_DENSE_SQL}, {MEMBERS_SQL}
         SELECT grp AS "group", year, quarter, qidx, item, round(coalesce(sum(value), 0), 3) AS value
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1, 2, 3, 4, 5""",
     ),
     "group_member_count": (
         group_member_count,
-        f"""WITH {DENSE_SQL}, {MEMBERS_SQL} SELECT grp AS "group", count(DISTINCT d.entity) AS n_members
+        f"""WITH {COMPLETE_DENSE_SQL}, {MEMBERS_SQL} SELECT grp AS "group", count(DISTINCT d.entity) AS n_members
         FROM dense d JOIN members m ON d.entity = m.entity GROUP BY 1""",
     ),
     "summarize_by_group": (
         summarize,
-        f"""WITH {DENSE_SQL}, {groups_sql('dense')}
+        f"""WITH {COMPLETE_DENSE_SQL}, {groups_sql('dense')}
         SELECT entity, item, year, quarter, qidx, round(value, 3) AS value FROM grouped""",
     ),
     "group_mean_by_segment": (
         customer_groups,
-        f"""WITH {SPARSE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value
+        f"""WITH {COMPLETE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value
         FROM sparse JOIN customer ON entity = c_custkey GROUP BY 1, 2, 3, 4, 5""",
     ),
     "rank_latest_period": (
         rank_nations,
-        f"""WITH {DENSE_SQL}, {MEMBERS_SQL},
+        f"""WITH {COMPLETE_DENSE_SQL}, {MEMBERS_SQL},
         peers AS (SELECT DISTINCT d.item, d.entity FROM dense d JOIN members m ON d.entity = m.entity WHERE grp <> 'ALL'),
         last AS (SELECT p.item, p.entity, d.value FROM peers p LEFT JOIN dense d ON d.entity = p.entity
                  AND d.item = p.item AND d.qidx = (SELECT max(qidx) FROM dense))
@@ -252,7 +256,7 @@ QUERIES = {
     ),
     "rank_latest_period_table": (
         rank_customers,
-        f"""WITH {SPARSE_SQL},
+        f"""WITH {COMPLETE_SQL},
         last AS (SELECT item, entity, max(CASE WHEN qidx = (SELECT max(qidx) FROM sparse) THEN value END) AS value
                  FROM sparse JOIN customer ON entity = c_custkey GROUP BY item, entity)
         SELECT item AS metric, entity, round(value, 4) AS value,

@@ -69,17 +69,22 @@ def _long(wide: DataFrame, ids: list[str]) -> DataFrame:
     return with_index(doubles.unpivot(ids, ITEMS, "item", "value"))
 
 
-def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers x quarters; most cells are missing. Single orders and empty notes are not reported as lines."""
-    rows = _long(
+def complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers x quarters with orders, every item of each."""
+    return _long(
         customer_quarters(spark, sf_dir).withColumnRenamed("o_custkey", "entity"), ["entity", "year", "quarter"]
     )
+
+
+def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where single orders and empty notes are not reported as lines: for the rules about missing cells."""
+    rows = complete(spark, sf_dir)
     unlisted = ((F.col("item") == "IS_2") & (F.col("value") == 1)) | ((F.col("item") == "NOTES_1") & (F.col("value") == 0))
     return rows.filter(F.col("value").isNull() | ~unlisted)
 
 
-def dense_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations x quarters; semi-annual reporters have no odd quarters.
+def dense_wide(spark: SparkSession, sf_dir: str, semi_annual: bool = True) -> DataFrame:
+    """Nations x quarters; semi-annual reporters have no odd quarters, if there are any.
 
     The customer totals are formed first, so the join to customer meets no hot key.
     """
@@ -89,7 +94,7 @@ def dense_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         customer_quarters(spark, sf_dir)
         .join(nations.select("c_custkey", "n_name"), F.col("o_custkey") == F.col("c_custkey"))
-        .filter(~(F.col("n_name").isin(*DENSE_RULES.semi_annual) & F.col("quarter").isin(1, 3)))
+        .filter(~(F.lit(semi_annual) & F.col("n_name").isin(*DENSE_RULES.semi_annual) & F.col("quarter").isin(1, 3)))
         .groupBy(F.col("n_name").alias("entity"), "year", "quarter")
         .agg(
             *[F.sum(i).alias(i) for i in ("IS_1", "IS_2", "BS_1", "NOTES_1")],
@@ -103,6 +108,11 @@ def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(dense_wide(spark, sf_dir), ["entity", "year", "quarter"])
 
 
+def complete_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations x quarters without semi-annual reporters."""
+    return _long(dense_wide(spark, sf_dir, semi_annual=False), ["entity", "year", "quarter"])
+
+
 def three_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quarterly, yearly and (for group G2) half-year reports with their header texts, in one pass over the panel."""
     rows = dense(spark, sf_dir)
@@ -258,6 +268,9 @@ sparse AS MATERIALIZED (
   SELECT * FROM ({_long_sql('cq', 'o_custkey AS entity')}) s
   WHERE value IS NULL OR NOT (item = 'IS_2' AND value = 1 OR item = 'NOTES_1' AND value = 0))"""
 
+#: Without rows left out; the tables keep their names.
+COMPLETE_SQL = SPARSE_SQL.split("\n  WHERE value IS NULL OR NOT")[0] + ")"
+
 DENSE_SQL = f"""
 dq AS (
   SELECT n_name AS entity, CAST(year(o_orderdate) AS INT) AS year,
@@ -270,6 +283,9 @@ dq AS (
   GROUP BY 1, 2, 3),
 dense AS MATERIALIZED ({_long_sql('dq', 'entity')})"""
 
+_SEMI_ROWS = "  WHERE NOT (n_name IN ('NATION_0', 'NATION_10', 'NATION_20') AND quarter(o_orderdate) IN (1, 3))\n"
+COMPLETE_DENSE_SQL = DENSE_SQL.replace(_SEMI_ROWS, "")
+
 REPORTS_SQL = f"""{DENSE_SQL},
 headed AS (
   SELECT 'quarterly' AS freq, entity, item, 'q' || quarter || '_' || year AS header, year, quarter, value FROM dense

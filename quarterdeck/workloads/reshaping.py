@@ -17,12 +17,14 @@ from quarterdeck.operators.reshape import (
 )
 from quarterdeck.operators.series import prior_year_end, same_quarter_last_year
 from quarterdeck.workloads.panels import (
+    COMPLETE_SQL,
     DENSE_RULES,
     DENSE_SQL,
     ITEMS,
     MERGED_SQL,
     SPARSE_SQL,
     cents,
+    complete,
     customer_quarters,
     dense,
     dense_wide,
@@ -80,7 +82,7 @@ def unpivot_long(spark, sf):
 
 
 def pivot_cells(spark, sf):
-    return pivot_unique(sparse(spark, sf), ["entity", "year", "quarter"], "item", "value", ITEMS)
+    return pivot_unique(complete(spark, sf), ["entity", "year", "quarter"], "item", "value", ITEMS)
 
 
 def pivot_rejects(spark, sf):
@@ -90,14 +92,14 @@ def pivot_rejects(spark, sf):
 
 def transpose_panel(spark, sf):
     """Items x quarters of a year to quarters x items."""
-    long = sparse(spark, sf).withColumn("q", F.concat(F.lit("q"), F.col("quarter").cast("string")))
+    long = complete(spark, sf).withColumn("q", F.concat(F.lit("q"), F.col("quarter").cast("string")))
     statement = pivot_unique(long, ["entity", "year", "item"], "q", "value", ["q1", "q2", "q3", "q4"])
     back = unpivot(statement, ["entity", "year", "item"], "q", "value")
     return pivot_unique(back, ["entity", "year", "q"], "item", "value", ITEMS)
 
 
 def row_order_key(spark, sf):
-    rows = sparse(spark, sf)
+    rows = complete(spark, sf)
     position, number = item_order(F.col("item"), ["BS", "IS", "CF", "NOTES"])
     return rows.select("entity", "qidx", "item", position.alias("sheet_pos"), number.alias("num")).orderBy(
         "sheet_pos", "num", "entity", "qidx"
@@ -105,7 +107,7 @@ def row_order_key(spark, sf):
 
 
 def sort_period(spark, sf):
-    return sparse(spark, sf).select("entity", "qidx", "item", r4("value").alias("value")).orderBy("entity", "qidx", "item")
+    return complete(spark, sf).select("entity", "qidx", "item", r4("value").alias("value")).orderBy("entity", "qidx", "item")
 
 
 def join_prior_q4(spark, sf):
@@ -197,7 +199,7 @@ QUERIES = {
     ),
     "pivot_unique": (
         pivot_cells,
-        f"WITH {SPARSE_SQL} SELECT entity, year, quarter, "
+        f"WITH {COMPLETE_SQL} SELECT entity, year, quarter, "
         + ", ".join(f"max(CASE WHEN item = '{i}' THEN value END) AS \"{i}\"" for i in ITEMS)
         + " FROM sparse GROUP BY entity, year, quarter",
     ),
@@ -207,7 +209,7 @@ QUERIES = {
     ),
     "transpose_panel": (
         transpose_panel,
-        f"""WITH {SPARSE_SQL},
+        f"""WITH {COMPLETE_SQL},
         years AS (SELECT DISTINCT entity, year FROM sparse),
         spine AS (SELECT entity, year, q FROM years CROSS JOIN (VALUES (1), (2), (3), (4)) v(q))
         SELECT s.entity, s.year, 'q' || s.q AS q, """
@@ -217,13 +219,13 @@ QUERIES = {
     ),
     "row_order_key": (
         row_order_key,
-        f"""WITH {SPARSE_SQL} SELECT entity, qidx, item,
+        f"""WITH {COMPLETE_SQL} SELECT entity, qidx, item,
             CASE WHEN item LIKE 'BS%' THEN 0 WHEN item LIKE 'IS%' THEN 1 WHEN item LIKE 'CF%' THEN 2 ELSE 3 END AS sheet_pos,
             CAST(split_part(item, '_', 2) AS BIGINT) AS num FROM sparse ORDER BY 4, 5, 1, 2""",
     ),
     "sort_period": (
         sort_period,
-        f"WITH {SPARSE_SQL} SELECT entity, qidx, item, round(value, 4) AS value FROM sparse ORDER BY 1, 2, 3",
+        f"WITH {COMPLETE_SQL} SELECT entity, qidx, item, round(value, 4) AS value FROM sparse ORDER BY 1, 2, 3",
     ),
     "join_prior_q4": (
         join_prior_q4,

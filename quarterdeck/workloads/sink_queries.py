@@ -16,7 +16,7 @@ from quarterdeck.sinks.writers import (
     write_csv,
     write_partitioned,
 )
-from quarterdeck.workloads.panels import DENSE_SQL, SPARSE_SQL, cents, dense, r4, sparse, table
+from quarterdeck.workloads.panels import COMPLETE_DENSE_SQL, COMPLETE_SQL, cents, complete, complete_dense, r4, table
 
 PERIODS = [f"{y}_q{q}" for y in range(1995, 2002) for q in range(1, 5) if (y, q) != (2001, 4)]
 
@@ -93,14 +93,14 @@ def monthly_publish(spark, sf):
 
 def partitioned(spark, sf):
     path = scratch_path(spark, "metrics")
-    rows = sparse(spark, sf).select("entity", "qidx", r4("value").alias("value"), F.col("item").alias("sheet"))
+    rows = complete(spark, sf).select("entity", "qidx", r4("value").alias("value"), F.col("item").alias("sheet"))
     write_partitioned(rows, path)
     return spark.read.parquet(path)
 
 
 def _exports(spark, sf):
     """Every cell in two exports: the older one holds other values."""
-    cells = dense(spark, sf).select(
+    cells = complete_dense(spark, sf).select(
         "item",
         F.concat(F.lit("Label "), F.col("item")).alias("label"),
         "entity",
@@ -118,7 +118,7 @@ def raw(spark, sf):
 
 def sink_raw(spark, sf):
     path = scratch_path(spark, "raw-panel")
-    rows = sparse(spark, sf).select(
+    rows = complete(spark, sf).select(
         "item",
         F.lit("x").alias("label"),
         "entity",
@@ -164,17 +164,17 @@ QUERIES = {
     ),
     "sink_partitioned_metrics": (
         partitioned,
-        f"WITH {SPARSE_SQL} SELECT entity, qidx, round(value, 4) AS value, item AS sheet FROM sparse",
+        f"WITH {COMPLETE_SQL} SELECT entity, qidx, round(value, 4) AS value, item AS sheet FROM sparse",
     ),
     "raw_panel": (
         raw,
-        f"WITH {DENSE_SQL} SELECT item, 'Label ' || item AS label, entity, "
+        f"WITH {COMPLETE_DENSE_SQL} SELECT item, 'Label ' || item AS label, entity, "
         + ", ".join(f"max(CASE WHEN year || '_q' || quarter = '{p}' THEN value END) AS \"{p}\"" for p in PERIODS)
         + " FROM dense GROUP BY 1, 2, 3",
     ),
     "sink_raw_panel": (
         sink_raw,
-        f"WITH {SPARSE_SQL} SELECT item, entity, "
+        f"WITH {COMPLETE_SQL} SELECT item, entity, "
         + ", ".join(f"max(CASE WHEN year || '_q' || quarter = '{p}' THEN value END) AS \"{p}\"" for p in PERIODS)
         + " FROM sparse GROUP BY 1, 2",
     ),
