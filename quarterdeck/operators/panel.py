@@ -73,10 +73,16 @@ def _with_calendar(rows: DataFrame, facts: DataFrame, calendar: DataFrame) -> Da
     return rows.join(by_item, ["entity", "item"])
 
 
-def _one_value(column: str, low: str, what: str) -> Column:
-    """The value of a cell; fails if it was given two different ones."""
-    clash = F.raise_error(F.concat(F.lit(f"two values for one cell: {what} of "), F.col("item")))
-    return F.when(F.col(column) > F.col(low), clash).otherwise(F.col(column))
+def _one_value(column: str, low: str) -> Column:
+    """The value of a cell; NULL if it was given two different ones, which `clashing_cells` lists."""
+    return F.when(~(F.col(column) > F.col(low)), F.col(column))
+
+
+def clashing_cells(facts: DataFrame) -> DataFrame:
+    """Cells that were given two different values, with the smallest and the largest. They count as missing in the panel."""
+    keys = ["freq", "entity", "item", "year", "quarter"]
+    cells = facts.groupBy(*keys).agg(F.min("value").alias("smallest"), F.max("value").alias("largest"))
+    return cells.filter(F.col("largest") > F.col("smallest"))
 
 
 def _years_of_items(quarterly: DataFrame) -> DataFrame:
@@ -98,7 +104,7 @@ def _years_of_items(quarterly: DataFrame) -> DataFrame:
         .agg(*quarters)
         .withColumn("after", F.when(first, F.lit(0)).otherwise(F.col("year") * 4))
         .withColumn("upto", F.coalesce(F.lead("year").over(by_item) * 4, F.lit(2**31 - 1)))
-        .withColumns({f"v{q}": _one_value(f"v{q}", f"low{q}", f"quarter {q}") for q in (1, 2, 3)})
+        .withColumns({f"v{q}": _one_value(f"v{q}", f"low{q}") for q in (1, 2, 3)})
     )
 
 
@@ -149,7 +155,7 @@ def _as_reported(facts: DataFrame, calendar: DataFrame) -> DataFrame:
         facts.repartition("entity", "item")
         .groupBy("entity", "item", "freq", "year", "quarter", "qidx")
         .agg(F.max("value").alias("value"), F.min("value").alias("low"))
-        .withColumn("value", _one_value("value", "low", "a report"))
+        .withColumn("value", _one_value("value", "low"))
     )
     return _with_calendar(cells, facts, calendar.select("entity", "yearly_periods")).filter(~covered).select(*PANEL)
 
@@ -165,7 +171,7 @@ def merge_panel(
     item. The other frequencies pass through. Precedence holds at (entity, period) grain, whichever items a source
     has: yearly before cumulative before quarterly.
 
-    Equal rows for one cell count once, two values fail the job. `items` limits the panel; the filter reaches the scan
+    Equal rows for one cell count once, a cell with two values is missing (`clashing_cells`). `items` limits the panel; the filter reaches the scan
     of the facts, while the calendar still sees all of them. `calendar` is `entity_calendar(facts)`, if at hand.
     """
     wanted = facts if items is None else facts.filter(F.col("item").isin(*items))

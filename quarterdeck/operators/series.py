@@ -117,11 +117,16 @@ def defined_series(item: str, rules: ItemRules) -> set[str]:
     return ({"avg", "roll5"} if stock else set()) | ({"roll4"} if item.startswith(rules.ttm_prefix) else set())
 
 
-def derive_series(panel: DataFrame, rules: ItemRules) -> DataFrame:
-    """`avg` and `roll5` for stock items, `roll4` for income items, on one exchange."""
-    return panel.select(
-        "*",
-        F.when(is_stock(rules), average_balance(rules)).alias("avg"),
+def derive_series(panel: DataFrame, rules: ItemRules, two_point: bool = False) -> DataFrame:
+    """`avg` and `roll5` for stock items, `roll4` for income items, on one exchange.
+
+    `two_point` takes the mean of this and the previous reported period as `avg`; that reads the panel twice.
+    """
+    source = add_two_point_average(panel).withColumnRenamed("avg", "_avg") if two_point else panel
+    average = F.col("_avg") if two_point else average_balance(rules)
+    return source.select(
+        *panel.columns,
+        F.when(is_stock(rules), average).alias("avg"),
         F.when(is_stock(rules), five_point_mean(rules)).alias("roll5"),
         F.when(F.col("item").startswith(rules.ttm_prefix), trailing_year(rules)).alias("roll4"),
     )

@@ -21,7 +21,7 @@ from quarterdeck.operators.lineage import (
     missing_definitions,
     with_labels,
 )
-from quarterdeck.operators.panel import QUARTERLY
+from quarterdeck.operators.panel import QUARTERLY, clashing_cells
 from quarterdeck.plans.ingest import ingest, land_cells
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.plans.reports import audit_job, monthly_sum
@@ -44,12 +44,20 @@ class Peers:
 
 
 def metrics_job(
-    spark: SparkSession, folder: str, formulas_csv: str, work: str, out: str, peers: Peers, rules: ItemRules = ItemRules()
+    spark: SparkSession,
+    folder: str,
+    formulas_csv: str,
+    work: str,
+    out: str,
+    peers: Peers,
+    rules: ItemRules = ItemRules(),
+    means: bool = True,
+    two_point: bool = False,
 ) -> dict[str, DataFrame]:
     """Workbooks and formulas to one partition and one SQL script per metric, below its sheet.
 
-    Returns `metrics`, `formula_errors` and `rejected` (workbooks, sheets and headers). Entities outside the full list are
-    not read.
+    Returns `metrics`, `formula_errors`, `rejected` (workbooks, sheets and headers) and `clashes` (cells with two values,
+    which count as missing). Entities outside the full list are not read. `means` and `two_point` as in `enrich_panel`.
     """
     done = ingest(land_cells(spark, folder, f"{work}/cells"))
     columns = ("freq", "entity", "item", "year", "quarter", "value")
@@ -57,11 +65,19 @@ def metrics_job(
     facts = land(known, f"{work}/facts")
     formulas = formula_list(read_formulas(spark, formulas_csv))
     members = membership_of(facts, peers.members)
-    result = build_metrics(facts, members, peers.groups, formulas, rules, published=(peers.ranked, peers.everyone))
+    shown = (peers.ranked, peers.everyone)
+    result = build_metrics(
+        facts, members, peers.groups, formulas, rules, published=shown, means=means, two_point=two_point
+    )
     write_partitioned(publish(result.values, formulas), f"{out}/metrics", "sheet", "table_name")
     metrics = spark.read.parquet(f"{out}/metrics")
     write_scripts(metrics.select("yq", "name", "value", "table_name"), "table_name", f"{out}/sql")
-    return {"metrics": metrics, "formula_errors": result.errors, "rejected": done.rejected}
+    return {
+        "metrics": metrics,
+        "formula_errors": result.errors,
+        "rejected": done.rejected,
+        "clashes": clashing_cells(facts),
+    }
 
 
 def structure_job(

@@ -76,9 +76,14 @@ def enrich_panel(
     groups: Sequence[PeerGroup],
     rules: ItemRules,
     items: Column | None = None,
+    means: bool = True,
+    two_point: bool = False,
 ) -> DataFrame:
-    """Panel plus group rows, with all derived series. The panel is read several times, so land it first."""
-    return derive_series(summarize_by_group(panel, membership, groups, items=items), rules)
+    """Panel plus group rows, with all derived series. The panel is read several times, so land it first.
+
+    Without `means` groups have totals only; `two_point` changes the average balance (see `derive_series`).
+    """
+    return derive_series(summarize_by_group(panel, membership, groups, means, items), rules, two_point)
 
 
 def build_metrics(
@@ -90,11 +95,14 @@ def build_metrics(
     items: Sequence[str] | None = None,
     annualise: bool = False,
     published: tuple[Sequence, Sequence] | None = None,
+    means: bool = True,
+    two_point: bool = False,
 ) -> Metrics:
     """Evaluate all formulas for entities and groups. The facts are read several times, so land them first.
 
     `items` is the chart of accounts, if known. `published` = (ranked peers, everyone) limits the result to the
-    entities a metric table shows and fills their calendar, as publishing needs.
+    entities a metric table shows and fills their calendar, as publishing needs. `means` and `two_point` as in
+    `enrich_panel`.
     """
     spark = facts.sparkSession
     used = referenced_items(formulas)
@@ -103,16 +111,16 @@ def build_metrics(
     # Both are read twice below, for entities and for groups.
     calendars = land(entity_calendar(named), scratch_path(spark, "calendars"))
     merged = merge_panel(named, rules, used, calendars)
-    series = land(derive_series(merged, rules), scratch_path(spark, "series"))
+    series = land(derive_series(merged, rules, two_point), scratch_path(spark, "series"))
     spine = calendar_rows(calendars)
     chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
     members = membership.withColumn("entity", F.col("entity").cast("string"))
     rows = series.select(*PANEL).unionByName(spine)
-    group_panel = group_rows(rows, members, groups, items=chart, entities=calendars.select("entity"))
+    group_panel = group_rows(rows, members, groups, means, chart, entities=calendars.select("entity"))
 
     wide = [
         widen(series, formulas, present, spine, rules),
-        widen(derive_series(group_panel, rules), formulas, present, rules=rules),
+        widen(derive_series(group_panel, rules, two_point), formulas, present, rules=rules),
     ]
     good, failed = check_formulas(spark, wide[0].columns, formulas)
     parts = [evaluate(part, good, annualise) for part in wide]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.operators import groups as G
 from quarterdeck.operators import series as S
-from quarterdeck.operators.panel import merge_panel, ytd_cumulate
+from quarterdeck.operators.panel import QUARTERLY, clashing_cells, merge_panel, ytd_cumulate
 from quarterdeck.operators.ranking import rank_latest_period
 from quarterdeck.plans.metrics import enrich_panel
 from quarterdeck.plans.reports import filtered_sum, single_entity_ytd
@@ -124,6 +124,22 @@ def summarize(spark, sf):
     return _to_cent_parts(G.summarize_by_group(panel, nation_groups(panel), GROUPS), "value")
 
 
+def totals_two_point(spark, sf):
+    """The panel with group totals alone and two-point averages."""
+    panel = land(complete_dense(spark, sf), scratch_path(spark, "panel"))
+    out = enrich_panel(panel, nation_groups(panel), GROUPS, SPARSE_RULES, means=False, two_point=True)
+    return _to_cent_parts(out.select("entity", "item", "year", "quarter", "qidx", "value", "avg"), "value", "avg")
+
+
+def clashes(spark, sf):
+    """Orders of one customer, priority and quarter as cells: several of them hold different amounts."""
+    orders = table(spark, sf, "orders").select(
+        F.lit(QUARTERLY).alias("freq"), F.col("o_custkey").alias("entity"), F.col("o_orderpriority").alias("item"),
+        F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"), cents("o_totalprice").cast("double").alias("value"),
+    )
+    return clashing_cells(orders)
+
+
 def customer_groups(spark, sf):
     """Groups whose membership is a table that grows with the data: customers by market segment."""
     members = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("group"), F.col("c_custkey").alias("entity"))
@@ -240,6 +256,23 @@ QUERIES = {
         f"""WITH {COMPLETE_DENSE_SQL}, {groups_sql('dense')}
         SELECT entity, item, year, quarter, qidx, round(value, 3) AS value FROM grouped""",
     ),
+    "enrich_options": (
+        totals_two_point,
+        f"""WITH {COMPLETE_DENSE_SQL}, {groups_sql('dense', means=False)},
+        periods AS (SELECT entity, qidx, lag(qidx) OVER (PARTITION BY entity ORDER BY qidx) AS before
+                    FROM (SELECT DISTINCT entity, qidx FROM grouped) d)
+        SELECT p.entity, p.item, p.year, p.quarter, p.qidx, round(p.value, 3) AS value,
+          CASE WHEN p.item LIKE '%BS%' OR p.item LIKE 'NOTES%' THEN round((p.value + b.value) / 2, 3) END AS avg
+        FROM grouped p JOIN periods q ON p.entity = q.entity AND p.qidx = q.qidx
+        LEFT JOIN grouped b ON b.entity = p.entity AND b.item = p.item AND b.qidx = q.before""",
+    ),
+    "panel_clashes": (
+        clashes,
+        """SELECT 'quarterly' AS freq, o_custkey AS entity, o_orderpriority AS item, CAST(year(o_orderdate) AS INT) AS year,
+             CAST(quarter(o_orderdate) AS INT) AS quarter, CAST(min(round(o_totalprice * 100)) AS DOUBLE) AS smallest,
+             CAST(max(round(o_totalprice * 100)) AS DOUBLE) AS largest
+           FROM orders GROUP BY 1, 2, 3, 4, 5 HAVING min(round(o_totalprice * 100)) < max(round(o_totalprice * 100))""",
+    ),
     "group_mean_by_segment": (
         customer_groups,
         f"""WITH {COMPLETE_SQL} SELECT c_mktsegment AS "group", year, quarter, qidx, item, round(avg(value), 3) AS value

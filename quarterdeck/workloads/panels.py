@@ -337,8 +337,9 @@ members AS (
   UNION ALL SELECT 'ALL', n_name FROM nation WHERE n_nationkey < 22)"""
 
 
-def groups_sql(source: str, name: str = "grouped") -> str:
-    """The panel with its group rows."""
+def groups_sql(source: str, name: str = "grouped", means: bool = True) -> str:
+    """The panel with its group rows, or with the totals alone."""
+    kept = "TRUE" if means else "FALSE"
     return f"""{MEMBERS_SQL},
 counts AS (
   SELECT grp, count(DISTINCT m.entity) AS n FROM members m
@@ -348,6 +349,7 @@ counts AS (
   UNION ALL
   SELECT 'BQ ' || c.n || ' ' || c.grp, s.item, s.year, s.quarter, s.qidx, avg(s.value)
   FROM {source} s JOIN members m ON s.entity = m.entity JOIN counts c ON m.grp = c.grp
+  WHERE {kept}
   GROUP BY c.n, c.grp, s.item, s.year, s.quarter, s.qidx
   UNION ALL
   SELECT 'Total ' || c.n || ' ' || c.grp, i.item, p.year, p.quarter, p.qidx,

@@ -12,6 +12,7 @@ from quarterdeck.operators.panel import (
     YEARLY,
     calendar_rows,
     entity_calendar,
+    clashing_cells,
     merge_panel,
     ytd_cumulate,
 )
@@ -106,9 +107,11 @@ def test_unreadable_periods_are_left_out(spark):
     assert by_key(ytd_cumulate(broken, RULES)) == {("A", "IS_1", "2023_q1"): 1.0}
 
 
-def test_two_values_for_a_cell_fail(spark):
-    with pytest.raises(Exception, match="two values for one cell"):
-        ytd_cumulate(facts(spark, [("A", "IS_1", "2023_q1", 1), ("A", "IS_1", "2023_q1", 2)]), RULES).collect()
+def test_a_cell_with_two_values_is_missing_and_listed(spark):
+    data = facts(spark, [("A", "BS_1", "2023_q1", 1), ("A", "BS_1", "2023_q1", 2), ("A", "BS_1", "2023_q2", 3), ("A", "BS_1", "2023_q2", 3)])
+    assert by_key(ytd_cumulate(data, RULES)) == {("A", "BS_1", "2023_q1"): None, ("A", "BS_1", "2023_q2"): 3.0}
+    listed = clashing_cells(data.withColumn("freq", F.lit(QUARTERLY))).collect()
+    assert [tuple(r) for r in listed] == [(QUARTERLY, "A", "BS_1", 2023, 1, 1.0, 2.0)]
 
 
 def test_equal_rows_count_once(spark):
