@@ -19,13 +19,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import fold_of, landed
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Words that the model knows by themselves, and classes for the endings of all others.
 KNOWN = 896
 ENDINGS = 128
@@ -55,36 +56,66 @@ class _Block:
         self.rows.append((doc_id, held_out, np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens))))
         self.bytes += len(data)
 
-    def frame(self, name: str) -> pd.DataFrame:
-        counts = np.zeros(len(self.words), np.int64)
+    def batch(self, name: str, schema: pa.Schema) -> pa.RecordBatch:
+        """A row per document and one with the words, most frequent first, and their counts outside the held-out fold."""
+        every, counts = np.zeros(len(self.words), np.int64), np.zeros(len(self.words), np.int64)
         for _, held_out, ids in self.rows:
-            if not held_out:
-                counts += np.bincount(ids, minlength=len(counts))
-        out = [(name, d, h, i.tobytes(), None, None) for d, h, i in self.rows]
-        out.append((name, None, None, None, [w.decode("utf-8") for w in self.words], counts))
-        return pd.DataFrame(out, columns=["block", "doc_id", "held_out", "ids", "words", "counts"])
+            own = np.bincount(ids, minlength=len(every))
+            every += own
+            counts += 0 if held_out else own
+        order = np.argsort(-every, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        names = list(self.words)
+        doc_ids, held_out, ids = zip(*self.rows, strict=True)
+        columns = [
+            [name] * (len(ids) + 1),
+            [*doc_ids, None],
+            [*held_out, None],
+            [*(pack_ids(number[i]) for i in ids), None],
+            [None] * len(ids) + [[names[k].decode("utf-8") for k in order]],
+            [None] * len(ids) + [counts[order]],
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def pack_ids(ids: np.ndarray) -> bytes:
+    """Numbers that are mostly small, compressed byte plane by byte plane."""
+    return zlib.compress(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack_ids(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def blocks(docs: DataFrame) -> DataFrame:
-    """Landed blocks: a row per document (doc_id, held_out, ids) and one per block with its words and their counts."""
+    """Landed blocks: a row per document (doc_id, held_out, ids) and one per block with its words and their counts.
+
+    Texts are taken out of their Arrow batch one by one, and a block is handed on when it is full, so a task holds a
+    batch and a block.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
+    fields = "block string, doc_id string, held_out boolean, ids binary, words array<string>, counts array<long>"
+    schema = pa.schema(
+        [("block", pa.string()), ("doc_id", pa.string()), ("held_out", pa.bool_()), ("ids", pa.binary()),
+         ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]
+    )
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, made, part = _Block(), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for doc_id, held_out, text in zip(batch["doc_id"], batch["held_out"], batch["text"], strict=True):
-                block.add(doc_id, held_out, text)
+            doc_ids, held_out, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            for k in range(batch.num_rows):
+                block.add(doc_ids[k], held_out[k], texts[k].as_py())
                 if block.bytes >= BLOCK_BYTES:
-                    yield block.frame(f"{part}-{made}")
+                    yield block.batch(f"{part}-{made}", schema)
                     block, made = _Block(), made + 1
         if block.rows:
-            yield block.frame(f"{part}-{made}")
+            yield block.batch(f"{part}-{made}", schema)
 
-    schema = "block string, doc_id string, held_out boolean, ids binary, words array<string>, counts array<long>"
-    narrow = docs.select("doc_id", (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text")
-    # A null id must not turn the whole column into doubles on its way through pandas.
-    safe = narrow.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return landed(safe.mapInPandas(cut, schema).withColumn("doc_id", F.col("doc_id").cast(kind)), "blocks")
+    narrow = docs.select(F.col("doc_id").cast("string"), (fold_of("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "text")
+    return landed(narrow.mapInArrow(cut, fields).withColumn("doc_id", F.col("doc_id").cast(kind)), "blocks")
 
 
 @dataclass
@@ -231,7 +262,7 @@ class Trainer:
 
 def _joined(docs: pd.DataFrame, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Word numbers of all documents in a row, their classes, and where each document starts."""
-    parts = [np.frombuffer(b, np.int32) for b in docs["ids"]]
+    parts = [unpack_ids(b) for b in docs["ids"]]
     ids = np.concatenate(parts)
     return ids, k[ids].astype(np.int64), np.concatenate(([0], np.cumsum([len(p) for p in parts])[:-1])).astype(np.int64)
 
