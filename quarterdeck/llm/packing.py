@@ -26,7 +26,7 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker keeps, in each of two generations.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
 _MARKS = ".,;:!?*$%&#"
 
 
@@ -82,6 +82,16 @@ class WordIds:
         return b"".join(found)
 
 
+_WORKER: dict[str, WordIds] = {}
+
+
+def word_ids(vocabulary: str) -> WordIds:
+    """The ids of this worker process, kept from task to task."""
+    if vocabulary not in _WORKER:
+        _WORKER[vocabulary] = WordIds(vocabulary)
+    return _WORKER[vocabulary]
+
+
 def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY, keep_ids: bool = False) -> DataFrame:
     """The pieces of every document: doc_id, piece, start, length, ids_crc32, and `ids` if asked for.
 
@@ -91,7 +101,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
 
     @F.pandas_udf(f"array<struct<{fields}>>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = WordIds(vocabulary)
+        ids = word_ids(vocabulary)
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows = []
