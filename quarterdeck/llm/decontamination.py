@@ -2,17 +2,21 @@
 
 Numbers, names and units become typed placeholders, so a question with other figures or other people keeps its template.
 Windows of templates are hashed and hash-joined with the windows of the benchmark; each match brings the words that
-stand in its slots. Along one alignment of a document with an item, a slot value of the item must always be replaced by
-one value of the document, else the alignment is no copy. An item is leaked where enough of its windows match.
+stand in its slots. A run of names, or of numbers and units, is one slot, so a slot may be refilled with another number of
+words. Matching windows are chained in the order of document and item, over inserted and dropped words. Along one chain, a
+slot value of the item must always be replaced by one value of the document, else the chain is no copy. An item is leaked
+where enough of its windows match.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +29,8 @@ MIN_LITERALS = 4
 #: Share of an item's windows, or number of its windows in one alignment, that make a leak.
 MIN_SHARE = 0.5
 MIN_WINDOWS = 24
+#: Words by which the alignment may move from one window of a chain to the next.
+MAX_DRIFT = WINDOW
 #: Bits of the filter that spares the join most windows; a fuller filter lets more through, never fewer.
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 27
 KEPT_WORDS = 250_000
@@ -45,6 +51,8 @@ _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _MEASURE = re.compile(r"([+-]?\d[\d.,:/]*)([A-Za-z]+)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
+#: Weight of a word's hash by its place in a run is this number's power; the first weighs one.
+_STEP = 0x9E3779B97F4A7C15
 
 
 def _hash(text: str) -> int:
@@ -52,6 +60,8 @@ def _hash(text: str) -> int:
 
 
 _HOLDERS = {kind: _hash(f"<{kind}>") for kind in (NUMBER, NAME, UNIT)}
+#: By kind, what runs together: numbers and units do.
+_RUNS = np.array([LITERAL, NUMBER, NAME, NUMBER], np.int8)
 
 
 def _classes(word: str) -> tuple[bool, bool, int, int, int]:
@@ -61,14 +71,18 @@ def _classes(word: str) -> tuple[bool, bool, int, int, int]:
     if not core:
         return False, ends, 0, 0, 0
     low = core.lower()
-    if _NUMBER.fullmatch(core) or low in NUMBER_WORDS:
+    value = _hash(low)
+    if _NUMBER.fullmatch(core) or all(w in NUMBER_WORDS for w in low.split("-")):
         kind = NUMBER
-    elif low in UNITS or (m := _MEASURE.fullmatch(core)) and m[2].lower() in UNITS | {"m", "g", "l", "s", "h", "w", "v"}:
+    elif low in UNITS:
         kind = UNIT
+    elif (m := _MEASURE.fullmatch(core)) and m[2].lower() in UNITS | {"m", "g", "l", "s", "h", "w", "v"}:
+        kind = UNIT
+        value = (_hash(m[1]) + _STEP * _hash(m[2].lower())) % (1 << 64)  # as if written as two words
     else:
         kind = LITERAL
     name = NAME if kind == LITERAL and core[0].isupper() and not core.isupper() else kind
-    return True, ends, kind, name, _hash(low)
+    return True, ends, kind, name, value
 
 
 class Templates(dict):
@@ -94,6 +108,29 @@ class Templates(dict):
 
     def canonical(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Template hash, kind and value hash of every word that is more than punctuation."""
+        return self._words(text)[:3]
+
+    def collapsed(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same with one entry for a run of names, or of numbers and units, inside a sentence."""
+        template, kind, value, starts = self._words(text)
+        sort = _RUNS[kind]
+        head = np.ones(len(kind), bool)
+        head[1:] = (sort[1:] != sort[:-1]) | (sort[1:] == LITERAL) | starts[1:]
+        if head.all():
+            return template, kind, value
+        at = np.flatnonzero(head)
+        within = np.arange(len(kind)) - at[np.cumsum(head) - 1]
+        weights = np.full(within.max() + 1, _STEP, np.uint64)
+        weights[0] = 1
+        with np.errstate(over="ignore"):
+            value = np.add.reduceat(value * np.cumprod(weights)[within], at)
+        kind = np.maximum.reduceat(kind, at)  # a quantity with a unit is a unit
+        template = template[at]
+        for k, holder in _HOLDERS.items():
+            template[kind == k] = np.uint64(holder)
+        return template, kind, value
+
+    def _words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if len(self) > KEPT_WORDS:
             self._clear()
         words = (text or "").encode("utf-8", "replace").split()
@@ -106,7 +143,7 @@ class Templates(dict):
         template = value.copy()
         for k, holder in _HOLDERS.items():
             template[kind == k] = np.uint64(holder)
-        return template, kind, value
+        return template, kind, value, starts[kept]
 
 
 def window_hashes(template: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +177,7 @@ def item_windows(items: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for text in batch:
-                template, kind, value = templates.canonical(text)
+                template, kind, value = templates.collapsed(text)
                 size = min(WINDOW, len(template))
                 hashes, telling = window_hashes(template, kind, size) if size else (np.zeros(0, np.uint64), np.zeros(0, bool))
                 value = value.view(np.int64)
@@ -180,6 +217,62 @@ def _passes(hashes: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
     return found
 
 
+def chains(windows: list[dict]) -> list[list[dict]]:
+    """Matching windows of one document and item in chains, longest first; no window is in two.
+
+    Along a chain the places in the document and in the item grow, and the alignment moves by MAX_DRIFT words at most from
+    window to window. Each window follows the longest chain that it may, of equals the one with the nearest alignment.
+    """
+    windows = sorted(windows, key=lambda w: (w["doc_at"], w["position"]))
+    length, before = [1] * len(windows), [-1] * len(windows)
+    along: dict[int, tuple[list[int], list[int]]] = {}  # shift -> places in the document, windows
+    for k, w in enumerate(windows):
+        at, shift = w["doc_at"], w["doc_at"] - w["position"]
+        for drift in _DRIFTS:
+            if shift + drift in along:
+                places, ends = along[shift + drift]
+                last = bisect_left(places, at + min(drift, 0)) - 1  # the item's positions grow too
+                if last >= 0 and length[ends[last]] >= length[k]:
+                    length[k], before[k] = length[ends[last]] + 1, ends[last]
+        places, ends = along.setdefault(shift, ([], []))
+        places.append(at)
+        ends.append(k)
+    found, used = [], [False] * len(windows)
+    for k in sorted(range(len(windows)), key=lambda k: -length[k]):
+        chain = []
+        while k >= 0 and not used[k]:
+            used[k] = True
+            chain.append(windows[k])
+            k = before[k]
+        if chain:
+            found.append(chain)
+    return found
+
+
+_DRIFTS = sorted(range(-MAX_DRIFT, MAX_DRIFT + 1), key=abs)
+_BEST = "n_windows long, n_slots int, n_changed int"
+_BEST_ARROW = pa.struct([("n_windows", pa.int64()), ("n_slots", pa.int32()), ("n_changed", pa.int32())])
+
+
+def best_copy(windows: list[dict], item_windows: int) -> dict | None:
+    """Windows, slots and changed slots of the best copy of an item in a document; None if there is no leak.
+
+    Chains are judged, and every single alignment for itself, so a contradiction behind an inserted word hides nothing.
+    """
+    single: dict[int, list[dict]] = {}
+    for w in windows:
+        single.setdefault(w["doc_at"] - w["position"], []).append(w)
+    best = None
+    for copy in [*chains(windows), *single.values()]:
+        slots = {(s["item"], s["doc"]) for w in copy for s in w["slots"]}
+        if len(slots) > len({item for item, _ in slots}):
+            continue
+        n, changed = len({w["position"] for w in copy}), sum(item != doc for item, doc in slots)
+        if (n >= MIN_SHARE * item_windows or n >= MIN_WINDOWS) and (best is None or (n, -changed, len(slots)) > best):
+            best = n, -changed, len(slots)
+    return best and {"n_windows": best[0], "n_slots": best[2], "n_changed": -best[1]}
+
+
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, n_changed) for every leaked item of every document.
 
@@ -197,7 +290,7 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for text in batch:
-                template, kind, value = templates.canonical(text)
+                template, kind, value = templates.collapsed(text)
                 signed, found = value.view(np.int64), []
                 for size in sizes:
                     hashes, telling = window_hashes(template, kind, size)
@@ -211,25 +304,23 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         searched.withColumnsRenamed({"position": "doc_at", "slots": "doc_slots"})
         .join(cut, "hash")
         .select(
-            "doc_id", "item_id", (F.col("doc_at") - F.col("position")).alias("shift"), "position",
+            "doc_id", "item_id", "doc_at", "position",
             F.zip_with("slots", "doc_slots", lambda i, d: F.struct(i["value"].alias("item"), d["value"].alias("doc"))).alias("slots"),
         )
     )
-    # One alignment has at most the item's windows and slots, whatever the document.
-    aligned = matched.groupBy("doc_id", "item_id", "shift").agg(
-        F.count_distinct("position").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")
-    )
-    values = F.array_distinct(F.transform("slots", lambda s: s["item"]))
-    consistent = aligned.filter(F.size("slots") == F.size(values))
     totals = cut.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    changed = F.size(F.filter("slots", lambda s: s["item"] != s["doc"]))
-    leaked = consistent.join(totals, "item_id").filter(
-        (F.col("n_windows") >= MIN_SHARE * F.col("item_windows")) | (F.col("n_windows") >= MIN_WINDOWS)
-    )
-    best = F.max(F.struct("n_windows", (-changed).alias("kept"), F.size("slots").alias("n_slots"))).alias("b")
-    return leaked.groupBy("doc_id", "item_id", "item_windows").agg(best).select(
-        "doc_id", "item_id", F.col("b.n_windows").alias("n_windows"), "item_windows",
-        F.col("b.n_slots").alias("n_slots"), (-F.col("b.kept")).alias("n_changed"),
+    together = matched.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "position", "slots")).alias("windows"))
+    positions = F.size(F.array_distinct(F.transform("windows", lambda w: w["position"])))
+    enough = (positions >= MIN_SHARE * F.col("item_windows")) | (positions >= MIN_WINDOWS)
+
+    @F.arrow_udf(_BEST)
+    def judged(windows: pa.Array, total: pa.Array) -> pa.Array:
+        return pa.array([best_copy(w, n) for w, n in zip(windows.to_pylist(), total.to_pylist(), strict=True)], _BEST_ARROW)
+
+    return (
+        together.join(totals, "item_id").filter(enough)
+        .select("doc_id", "item_id", "item_windows", judged("windows", "item_windows").alias("b")).filter("b is not null")
+        .select("doc_id", "item_id", "b.n_windows", "item_windows", "b.n_slots", "b.n_changed")
     )
 
 

@@ -110,3 +110,32 @@ def test_filter_lets_all_of_the_benchmark_through(spark):
     hashes = np.array([r["hash"] for r in cut.collect()], dtype=np.int64).view(np.uint64)
     assert d._passes(hashes, words, bits).all()
     assert d._passes(np.random.default_rng(0).integers(0, 1 << 62, 10_000, dtype=np.uint64), words, bits).mean() < 0.01
+
+
+def leaked(spark, texts, items):
+    docs = spark.createDataFrame([(k, t, "", "", "", "") for k, t in enumerate(texts)], DOCS)
+    found = d.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    return {(r["doc_id"], r["item_id"]) for r in found}
+
+
+def test_inserted_and_dropped_words_hide_nothing(spark):
+    for n in (14, 37, 50):
+        item = filler(n, n).split()
+        texts = [" ".join([filler(1), *item[:k], "newword", *item[k:], filler(2)]) for k in range(n + 1)]
+        texts += [" ".join([filler(1), *item[:k], *item[k + 1 :], filler(2)]) for k in range(n)]
+        got = {k for k, _ in leaked(spark, texts, [(1, " ".join(item))])}
+        # with 14 words no window but one or two is left of an item whose middle word is gone
+        need = [len([i for i in range(n - 7) if k <= i or i + 8 <= k]) for k in range(n + 1)]
+        need += [len([i for i in range(n - 7) if k < i or i + 8 <= k]) for k in range(n)]
+        assert got == {k for k, left in enumerate(need) if left >= 0.5 * (n - 7) or left >= 24}
+        assert n == 14 or len(got) == len(texts)
+
+
+def test_slots_refilled_with_another_number_of_words(spark):
+    texts = [
+        swapped(QUESTION, Alice="Mary Ann", Robert="Karl von Berg"), swapped(QUESTION, _120="twenty five", _80="one hundred"),
+        QUESTION.replace("120 km", "120km").replace("80 km", "45km"), swapped(QUESTION, _120="twenty-five"),
+    ]
+    assert leaked(spark, [f"{filler(1)}. {t} {filler(2)}" for t in texts], [(10, QUESTION)]) == {(k, 10) for k in range(4)}
+    forms = [d.Templates().collapsed(t) for t in ("it ran 120 km to the sea", "it ran 120km to the sea")]
+    assert all(np.array_equal(a, b) for a, b in zip(*forms))
