@@ -4,8 +4,8 @@ Numbers, names and units become typed placeholders, so a question with other fig
 Windows of templates are hashed and hash-joined with the windows of the benchmark; each match brings the words that
 stand in its slots. A run of names, or of numbers and units, is one slot, so a slot may be refilled with another number of
 words. Matching windows are chained in the order of document and item, over inserted and dropped words. Along one chain, a
-slot value of the item must always be replaced by one value of the document, else the chain is no copy. An item is leaked
-where enough of its windows match.
+slot value of the item must always be replaced by one value of the document, else the windows with that slot don't count,
+unless nothing in them is replaced. An item is leaked where enough of its windows count.
 """
 
 from __future__ import annotations
@@ -264,9 +264,12 @@ def best_copy(windows: list[dict], item_windows: int) -> dict | None:
         single.setdefault(w["doc_at"] - w["position"], []).append(w)
     best = None
     for copy in [*chains(windows), *single.values()]:
+        stands: dict[int, set[int]] = {}
+        for w in copy:
+            for s in w["slots"]:
+                stands.setdefault(s["item"], set()).add(s["doc"])
+        copy = [w for w in copy if all(s["item"] == s["doc"] for s in w["slots"]) or all(len(stands[s["item"]]) == 1 for s in w["slots"])]
         slots = {(s["item"], s["doc"]) for w in copy for s in w["slots"]}
-        if len(slots) > len({item for item, _ in slots}):
-            continue
         n, changed = len({w["position"] for w in copy}), sum(item != doc for item, doc in slots)
         if (n >= MIN_SHARE * item_windows or n >= MIN_WINDOWS) and (best is None or (n, -changed, len(slots)) > best):
             best = n, -changed, len(slots)

@@ -139,3 +139,11 @@ def test_slots_refilled_with_another_number_of_words(spark):
     assert leaked(spark, [f"{filler(1)}. {t} {filler(2)}" for t in texts], [(10, QUESTION)]) == {(k, 10) for k in range(4)}
     forms = [d.Templates().collapsed(t) for t in ("it ran 120 km to the sea", "it ran 120km to the sea")]
     assert all(np.array_equal(a, b) for a, b in zip(*forms))
+
+
+def test_contradicting_slots_drop_their_windows_only(spark):
+    story = f"Once {QUESTION[3:]} {OTHER}. It then happened that Alice wrote down how many bags of salt the mills had taken from them"
+    fruit = "a farmer fills her basket with 5 apples and 5 pears before she walks along the river to the market where she sells all of it and"
+    fruit += " then goes home again to count what is left of the fruit"
+    texts = [story.replace("then Alice", "then Carol", 1), fruit.replace("5 apples", "3 apples").replace("5 pears", "7 pears")]
+    assert leaked(spark, [f"{filler(1)}. {t} {filler(2)}" for t in texts], [(0, story), (1, fruit)]) == {(0, 0), (1, 1)}
