@@ -280,12 +280,19 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, n_slots, n_changed) for every leaked item of every document.
 
     `n_changed` counts the item's slot values that the document replaces. Null and empty texts and items hold nothing, null
-    items are left out; rows with one doc_id are judged together. Columns beside ids and texts are not read.
+    items are left out. Every row is a document of its own, whatever its doc_id; repeated rows repeat theirs. Columns beside
+    ids and texts are not read.
     """
+    rows = docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id())
+    return _leaks(rows, items).drop("_row")
+
+
+def _leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The same with `_row`, for rows numbered in that column."""
     cut = landed(item_windows(items.select("item_id", "text")), "benchmark")
     words, bits = filter_bits(cut)
     sizes = sorted(r["size"] for r in cut.select("size").distinct().collect())  # at most WINDOW of them
-    held = docs.sparkSession.sparkContext.broadcast(words)  # at most MAX_FILTER_BITS
+    held = rows.sparkSession.sparkContext.broadcast(words)  # at most MAX_FILTER_BITS
 
     @F.pandas_udf(_WINDOWS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -302,17 +309,21 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
                 out.append(found)
             yield pd.Series(out)
 
-    searched = docs.select("doc_id", F.explode(search("text")).alias("w")).select("doc_id", "w.*")
+    # Landed, as numbers given while the texts are read must not be given twice.
+    searched = landed(
+        rows.select("_row", "doc_id", F.explode(search("text")).alias("w")).select("_row", "doc_id", "w.*"), "windows"
+    )
     matched = (
         searched.withColumnsRenamed({"position": "doc_at", "slots": "doc_slots"})
         .join(cut, "hash")
         .select(
-            "doc_id", "item_id", "doc_at", "position",
+            "_row", "doc_id", "item_id", "doc_at", "position",
             F.zip_with("slots", "doc_slots", lambda i, d: F.struct(i["value"].alias("item"), d["value"].alias("doc"))).alias("slots"),
         )
     )
     totals = cut.groupBy("item_id").agg(F.count("*").alias("item_windows"))
-    together = matched.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "position", "slots")).alias("windows"))
+    # One row's windows: bounded by its text and the item.
+    together = matched.groupBy("_row", "doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "position", "slots")).alias("windows"))
     positions = F.size(F.array_distinct(F.transform("windows", lambda w: w["position"])))
     enough = (positions >= MIN_SHARE * F.col("item_windows")) | (positions >= MIN_WINDOWS)
 
@@ -322,12 +333,13 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
     return (
         together.join(totals, "item_id").filter(enough)
-        .select("doc_id", "item_id", "item_windows", judged("windows", "item_windows").alias("b")).filter("b is not null")
-        .select("doc_id", "item_id", "b.n_windows", "item_windows", "b.n_slots", "b.n_changed")
+        .select("_row", "doc_id", "item_id", "item_windows", judged("windows", "item_windows").alias("b")).filter("b is not null")
+        .select("_row", "doc_id", "item_id", "b.n_windows", "item_windows", "b.n_slots", "b.n_changed")
     )
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id has no leak; a null id is judged as one document."""
-    found = leaks(docs, items).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("_leaked")), "left_anti")
+    """The rows of `docs` without a leak, each judged by itself. The column `_row` is reserved."""
+    rows = landed(docs.withColumn("_row", F.monotonically_increasing_id()), "decontamination")
+    found = _leaks(rows.select("_row", "doc_id", "text"), items).select("_row").distinct()
+    return rows.join(found, "_row", "left_anti").select(docs.columns)

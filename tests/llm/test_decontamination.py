@@ -147,3 +147,12 @@ def test_contradicting_slots_drop_their_windows_only(spark):
     fruit += " then goes home again to count what is left of the fruit"
     texts = [story.replace("then Alice", "then Carol", 1), fruit.replace("5 apples", "3 apples").replace("5 pears", "7 pears")]
     assert leaked(spark, [f"{filler(1)}. {t} {filler(2)}" for t in texts], [(0, story), (1, fruit)]) == {(0, 0), (1, 1)}
+
+
+def test_rows_are_judged_by_themselves(spark):
+    _, items = frames(spark)
+    changed = swapped(QUESTION, Alice="Bertha", Robert="Karl", _120="45"), swapped(QUESTION, Alice="Dora", Robert="Paul", _120="77")
+    texts = [(None, QUESTION), (None, "a clean row without an id"), (None, None), (5, changed[0]), (5, changed[1]), (5, filler(9))]
+    docs = spark.createDataFrame([(k, t, "", "", "", "") for k, t in texts], DOCS)
+    assert sorted((r["doc_id"] or 0, r["item_id"]) for r in d.leaks(docs, items).collect()) == [(0, 10), (5, 10), (5, 10)]
+    assert {(r["doc_id"], r["text"]) for r in d.clean(docs, items).collect()} == {texts[1], texts[2], texts[5]}
