@@ -1,8 +1,9 @@
 """Licence scan: normalised text against licence templates by the Dice coefficient over word bigrams.
 
-Templates are notices and paragraphs of licences. A document is compared line by line, paragraph by paragraph and whole;
-a coefficient of t needs sizes within a factor of t / (2 - t) of each other, so a piece meets only the templates in that
-range of sizes.
+Templates are notices, paragraphs and whole headers of licences. A document is compared line by line, paragraph by
+paragraph and whole; a coefficient of t needs sizes within a factor of t / (2 - t) of each other, so a piece meets only the
+templates in that range of sizes. Notices inside longer pieces are found in word windows of a template's size: one that
+reaches t lacks at most a share of 1 - t of the template's bigrams, so it holds one of any larger set of them.
 """
 
 from __future__ import annotations
@@ -101,7 +102,56 @@ TEMPLATES = (
     ("CC0-1.0", "This work has been dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "All rights reserved."),
+    (
+        "MIT",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the"
+        " Software.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following"
+        " disclaimer.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following"
+        " disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products"
+        " derived from this software without specific prior written permission.",
+    ),
+    (
+        "ISC",
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL"
+        " IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,"
+        " INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN"
+        " AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR"
+        " PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    (
+        "GPL-3.0",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
+        " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    ),
 )
+
+
+def _whole(name: str, *numbers: int) -> tuple[str, str]:
+    return name, "\n\n".join(TEMPLATES[k][1] for k in numbers)
+
+
+#: Whole headers, made of the paragraphs above.
+TEMPLATES += (
+    _whole("MIT", 4, 29, 5),
+    ("Apache-2.0", f"{TEMPLATES[8][1]} http://www.apache.org/licenses/LICENSE-2.0 {TEMPLATES[9][1]}"),
+    _whole("BSD-3-Clause", 16, 30, 31, 32, 17),
+    _whole("BSD-2-Clause", 16, 30, 31, 17),
+    _whole("ISC", 18, 33),
+    _whole("GPL-3.0", 12, 34),
+    _whole("GPL-2.0", 14, 34),
+)
 _WORD = re.compile(r"[^\W_]+")
 _COPYRIGHT = re.compile(r"^\W*(?:copyright|\(c\)|©)\b.*\d{4}.*$", re.IGNORECASE)
 
@@ -129,6 +179,14 @@ class Matcher:
         self.least, self.bound = least, least / (2 - least)
         made = sorted(((bigrams(normalised(t)), name, k) for k, (name, t) in enumerate(templates)), key=lambda x: (x[0].total(), x[2]))
         self.templates, self.sizes = made, [m[0].total() for m in made]
+        #: Bigrams to look for -> (place in `templates`, number of words, place in the template).
+        self.anchors: dict[tuple[str, str], list[tuple[int, int, int]]] = {}
+        for m, (_, _, k) in enumerate(made):
+            words = normalised(templates[k][1])
+            inner = sorted(enumerate(zip(words, words[1:], strict=False)), key=lambda x: (-len(x[1][0]) - len(x[1][1]), x[0]))
+            for at, pair in inner[: int((1 - least) * (len(words) + 1) + 1e-9) + 1]:
+                self.anchors.setdefault(pair, []).append((m, len(words), at))
+        self.first = frozenset(a for a, _ in self.anchors)
         self.words = frozenset(w for m in made for pair in m[0] for w in pair) - {"^", "$"}
 
     def best(self, piece: str) -> tuple[str, int, float] | None:
@@ -149,11 +207,44 @@ class Matcher:
         return found
 
 
+    def windows(self, words: list[str]) -> list[tuple[str, int, int, int, float]]:
+        """(licence, template, first word, end, coefficient) of windows that don't overlap, those with most in common first."""
+        starts: dict[tuple[int, int], set[int]] = {}
+        for i, word in enumerate(words[:-1]):
+            if word in self.first:
+                for m, size, at in self.anchors.get((word, words[i + 1]), ()):
+                    starts.setdefault((m, size), set()).add(i - at)
+        found = []
+        for (m, size), places in starts.items():
+            template, name, k = self.templates[m]
+            tried, cluster = set(), []
+            for a in [*sorted(places), None]:
+                if cluster and (a is None or a - cluster[0] > max(1, size // 4)):
+                    tried |= {(c, c + size) for c in cluster} | {(cluster[0], cluster[-1] + size)}  # the last: words inserted
+                    tried |= {(cluster[-1], cluster[0] + size)}  # words dropped
+                    cluster = []
+                if a is not None:
+                    cluster.append(a)
+            for a, b in {(max(a, 0), min(b, len(words))) for a, b in tried}:
+                d = dice(bigrams(words[a:b]), template) if a < b else 0.0
+                if d >= self.least:
+                    found.append((-d * (b - a + 1 + template.total()), -d, k, a, b, name))
+        out, taken = [], set()
+        for _, d, k, a, b, name in sorted(found):
+            if taken.isdisjoint(range(a, b)):
+                taken.update(range(a, b))
+                out.append((name, k, a, b, -d))
+        return out
+
+
 def pieces(text: str) -> Iterator[tuple[int, int]]:
-    """Spans of the lines, of the paragraphs of two or more lines, and of a text of two or more paragraphs."""
+    """Spans of the lines, of the paragraphs of two or more lines, and of a text of two or more paragraphs.
+
+    A line without a word, such as an empty comment line, parts paragraphs.
+    """
     at, start, lines, paragraphs = 0, 0, 0, 0
     for line in [*text.split("\n"), ""]:
-        if line.strip():
+        if _WORD.search(line):
             if not lines:
                 start = at
             yield at, at + len(line)
@@ -168,17 +259,44 @@ def pieces(text: str) -> Iterator[tuple[int, int]]:
 
 
 def scan(text: str | None, matcher: Matcher) -> list[tuple[str, int, int, int, float]]:
-    """(licence, template, start, end, dice) of every piece that is like a template, in code points."""
+    """(licence, template, start, end, dice) of every piece that is like a template, in code points.
+
+    Then of windows that are, unless pieces with the same licence cover half of them. The "All rights reserved" of a
+    copyright line is no notice of its own.
+    """
     found = []
     for start, end in pieces(text or ""):
         hit = matcher.best(text[start:end])
         if hit:
             found.append((hit[0], hit[1], start, end, hit[2]))
-    return found
+    words = normalised(text or "")
+    if matcher.first.isdisjoint(words) or matcher.anchors.keys().isdisjoint(zip(words, words[1:], strict=False)):
+        return found
+    # Lower case may have another length, so places are taken from the text as it is.
+    spans, words = [], []
+    for m in _WORD.finditer(text):
+        for word in normalised(m[0]):
+            spans.append(m.span())
+            words.append(word)
+    known: dict[str, list[tuple[int, int]]] = {}
+    for name, _, start, end, _ in found:
+        known.setdefault(name, []).append((start, end))
+    more = []
+    for name, k, a, b, d in matcher.windows(words):
+        start, end = spans[a][0], spans[b - 1][1]
+        covered, upto = 0, start
+        for s, e in sorted(known.get(name, ())):
+            covered += max(0, min(e, end) - max(s, upto))
+            upto = max(upto, min(e, end))
+        line = text[text.rfind("\n", 0, start) + 1 : end]
+        if 2 * covered < end - start and not (name == "proprietary" and len(line) < 200 and _COPYRIGHT.match(line)):
+            more.append((name, k, start, end, d))
+    return found + sorted(more, key=lambda s: (s[2], s[3]))
 
 
 def license_spans(docs: DataFrame, least: float = MIN_DICE) -> DataFrame:
-    """(doc_id, license, template, start, end, dice): one row for each piece of each whole text that matches.
+    """(doc_id, license, template, start, end, dice): one row for each piece or window of each whole text that
+    matches.
 
     Null, empty and unlicensed texts give no rows; repeated rows of `docs` repeat theirs. Other columns are not read.
     """

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import textwrap
 
 import pytest
 from hypothesis import given, settings
@@ -141,3 +142,19 @@ def test_licence_query(spark):
         (len(TEXTS), "MIT", 2, 33), (len(TEXTS) + 1, "MIT", 0, 31),
     ]
     assert licenses.license_spans(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_licences_in_comments_and_longer_lines():
+    matcher, t = licenses.Matcher(), licenses.TEMPLATES
+    wrapped = [line for k in (4, 29, 5) for line in [*textwrap.wrap(t[k][1], 60), ""]]
+    for mark in (" *", "#", "//"):
+        block = "/*\n" + "\n".join(f"{mark} {x}".rstrip() for x in ["Copyright (c) 2020 A. All rights reserved.", "", *wrapped]) + "\nint main() {"
+        found = licenses.scan(block, matcher)
+        assert {s[0] for s in found} == {"MIT"} and {s[1] for s in found} >= {4, 5, 29}
+    long = "well " * 40 + "and this file, as you know, was Released under the MIT License, so have fun with it " + "again " * 40
+    assert [(s[0], long[s[2] : s[3]]) for s in licenses.scan(long, matcher)] == [("MIT", "Released under the MIT License")]
+    inside = "x = 1 " * 50 + t[12][1].replace("hereby", "").replace("redistribute it", "now redistribute it") + " y = 2" * 50
+    assert [s[:2] for s in licenses.scan(inside, matcher)] == [("GPL-3.0", 12)]
+    clauses = "\n".join(f"{n}. {t[k][1]}" for n, k in ((1, 30), (2, 31), (3, 32)))
+    assert {s[1] for s in licenses.scan(f"a\n{clauses}\nb", matcher)} >= {30, 31, 32}
+    assert licenses.scan("the mit license of the apache software is a license, and all rights of it are reserved", matcher) == []
