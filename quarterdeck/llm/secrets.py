@@ -1,7 +1,7 @@
 """Secret scan: fixed token patterns, and assignment-aware lexing.
 
 Lines with an assignment are lexed into names, operators, literals and references, as source code, shell, JSON, YAML and
-INI write them. Constants are propagated: a name that is assigned another name, or literals joined by `+`, stands for
+INI write them; a value may go on in the next lines, in triple quotes or in a YAML block. Constants are propagated: a name that is assigned another name, or literals joined by `+`, stands for
 those literals. A literal that reaches a sensitively named target is scored by that name and by its own look.
 """
 
@@ -48,6 +48,9 @@ _LEX = re.compile(
       |(?P<other>.)""",
     re.VERBOSE,
 )
+#: Words before a declared name.
+_DECLARE = frozenset("var const let val static final mut pub private public protected readonly export declare dim lateinit".split())
+_BLOCK = re.compile(r"[\x20\t]*[|>][-+0-9]*[\x20\t]*(?:#.*)?\r?$")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=~!@%^*$-]+")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -87,19 +90,83 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         end = start + len(line)
         if "=" in line or ":" in line:
             tokens = _Line(text, start, end).tokens
-            for i in range(1, len(tokens)):
+            own = len(tokens)
+            tokens += _continued(text, tokens, end)
+            for i in range(1, own):
                 if tokens[i][0] != "assign":
                     continue
-                target = _target(tokens, i - 1)
-                if target is None:
+                targets = _targets(tokens, i)
+                if not targets:
                     continue
-                spans = _value(text, tokens, i + 1, end, constants)
-                if spans:
+                if tokens[i][3] == ":" and _BLOCK.match(line, tokens[i][2] - start):
+                    spans = _block(text, start, end)
+                else:
+                    spans = _value(text, tokens, i + 1, own, constants)
+                for target in targets if spans else ():
                     constants[target.lower()] = spans
                     yield target, spans
         start = end + 1
 
 
+def _continued(text: str, tokens: list, end: int) -> list:
+    """Tokens of the next lines with words, as far as a line ends in an operator, a bracket or a backslash, or `+` follows."""
+    more: list = []
+    last = tokens[-1:]
+    while last and end < len(text):
+        start, end = end + 1, (text.find("\n", end + 1) + 1 or len(text) + 1) - 1
+        opened = last[0][0] in ("assign", "plus") or last[0][3] in ("(", "\\")
+        if text[start:end].isspace() or start == end:
+            if opened:
+                continue
+            break
+        if not opened and not text[start:end].lstrip().startswith("+"):
+            break
+        found = _Line(text, start, end).tokens
+        if any(t[0] == "assign" for t in found):  # a statement of its own
+            break
+        more += found
+        last = found[-1:]
+    return more
+
+
+def _block(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Spans of the lines of the YAML block below the line from `start` to `end`: those indented more than it."""
+    line = text[start:end]
+    indent, spans = len(line) - len(line.lstrip()), []
+    while end < len(text):
+        start, end = end + 1, (text.find("\n", end + 1) + 1 or len(text) + 1) - 1
+        line = text[start:end]
+        if line.strip() and len(line) - len(line.lstrip()) <= indent:
+            break
+        spans += _stripped(text, start, end)
+    return spans
+
+
+def _stripped(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Spans of the lines between two places, without white space around them."""
+    return [(start + m.start(), start + m.end()) for m in re.finditer(r"\S(?:[^\n]*\S)?", text[start:end])]
+
+
+def _targets(tokens: list, at: int) -> list[str]:
+    """Names that an operator assigns to: the one left of it, and the declared one, left of a type or brackets."""
+    found = [_target(tokens, at - 1)]
+    if tokens[at][3] in ("=", ":="):
+        left = at - 1
+        while left >= 0 and tokens[left][0] != "assign" and tokens[left][3] not in (";", "{", "}"):
+            left -= 1
+        if left > 0 and tokens[left][3] == ":":  # name: type =
+            found.append(_target(tokens, left - 1))
+        names = [k for k in range(left + 1, at) if tokens[k][0] == "name"]
+        if names and tokens[names[0]][3].lower() in _DECLARE:  # var name type =
+            found += [tokens[k][3] for k in names if tokens[k][3].lower() not in _DECLARE][:1]
+        if tokens[at - 1][3] == "]":  # name[] =, name[32] =
+            k = at - 1
+            while k > 0 and (tokens[k][3] in ("[", "]") or tokens[k - 1][3] == "["):
+                k -= 1
+            found.append(_target(tokens, k))
+    return list(dict.fromkeys(f for f in found if f))
+
+
 def _target(tokens: list, at: int) -> str | None:
     """The name left of an operator: plain or dotted, a quoted key, or an index with a quoted key."""
     if tokens[at][3] == "]" and at >= 2 and tokens[at - 1][0] == "string":
@@ -107,28 +174,41 @@ def _target(tokens: list, at: int) -> str | None:
     kind, _, _, text = tokens[at]
     if kind == "name":
         return text
-    if kind == "string" and 2 < len(text) <= 130:
+    if kind == "string" and len(text) > 2:
         return text[1:-1]
     return None
 
 
-def _value(text: str, tokens: list, at: int, end: int, constants: dict) -> list[tuple[int, int]]:
-    """Spans of the literals right of an operator: strings, known names, or one unquoted word; `+` joins more."""
+def _value(text: str, tokens: list, at: int, own: int, constants: dict) -> list[tuple[int, int]]:
+    """Spans of the literals right of an operator: strings, known names, or one unquoted word; `+` joins more.
+
+    Tokens from `own` on are of later lines. There an unquoted word counts if nothing follows it.
+    """
     spans: dict[tuple[int, int], None] = {}  # in order, each once: `x = x + x` adds nothing
+    inside = False
     while at < len(tokens):
         kind, a, b, word = tokens[at]
         follows = tokens[at + 1] if at + 1 < len(tokens) else None
+        if word in ("(", "\\") and (inside or not spans) and follows and at + 1 >= own:
+            inside, at = True, at + 1
+            continue
         if kind == "string":
             if b - a > 2:
                 spans[a + 1, b - 1] = None
+            elif text[b : b + 1] == word[0] and (close := text.find(word[0] * 3, b + 1)) >= 0:
+                return [*spans, *_stripped(text, b + 1, close)]
         elif kind == "name" and word.lower() in constants:
             spans |= dict.fromkeys(constants[word.lower()])
         elif kind in ("name", "bare") and not (follows and follows[3] == "("):
-            bare = _BARE.match(text, a, end)
-            spans[bare.start(), bare.end()] = None
+            bare = _BARE.match(text, a)
+            if at < own or bare.end() >= tokens[-1][2]:
+                spans[bare.start(), bare.end()] = None
             break
         else:
             break
+        if follows and inside and (follows[0] == "string" or follows[3] == "\\"):  # neighbours in brackets are joined
+            at += 1
+            continue
         if not follows or follows[0] != "plus":
             break
         at += 2

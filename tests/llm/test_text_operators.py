@@ -105,6 +105,27 @@ def test_literals_reach_sensitive_targets(text, literals):
     assert [text[a:b] for k, a, b in secrets.scan(text) if k == "literal"] == literals
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        'api_token: str = "q8Zr71Lp0vWx"', 'const apiKey: string = "q8Zr71Lp0vWx";', 'val password: String = "q8Zr71Lp0vWx"',
+        'var token string = "q8Zr71Lp0vWx"', 'char password[] = "q8Zr71Lp0vWx";', 'static char password[32] = "q8Zr71Lp0vWx";',
+        "auth_token: Optional[str] = 'q8Zr71Lp0vWx'", 'db_password = """q8Zr71Lp0vWx"""', "db_password = '''\n  q8Zr71Lp0vWx\n'''\nx = 1",
+        'db_password = (\n    "q8Zr71Lp0vWx"\n)', "db_password = \\\n    'q8Zr71Lp0vWx'", '{"clientSecret":\n  "q8Zr71Lp0vWx"}',
+        "client-secret:\n  q8Zr71Lp0vWx\nname: x", "client-secret: |\n  q8Zr71Lp0vWx\nname: x", "a:\n  client-secret: >-\n\n    q8Zr71Lp0vWx",
+        '{"' + "long_" * 40 + 'secret": "q8Zr71Lp0vWx"}',
+    ],
+)
+def test_declared_names_and_values_over_lines(text):
+    assert "q8Zr71Lp0vWx" in {text[a:b] for k, a, b in secrets.scan(text) if k == "literal"}
+    assert "q8Zr71Lp0vWx" not in secrets.redact(text)
+
+
+def test_next_lines_that_are_no_values():
+    for text in ("password:\n  user: q8Zr71Lp0vWx", "token =\ncolour = 'q8Zr71Lp0vWx'", "password:\nq8Zr71Lp0vWx is a word here"):
+        assert not [s for s in secrets.scan(text) if s[0] == "literal"], text
+
+
 def test_redaction(spark):
     rows = rows_of([*SECRETS, "clean text"])
     docs = spark.createDataFrame(rows, DOCS)
