@@ -60,6 +60,7 @@ def _hash(text: str) -> int:
 
 
 _HOLDERS = {kind: _hash(f"<{kind}>") for kind in (NUMBER, NAME, UNIT)}
+_HOLDER_OF = np.array([0, *_HOLDERS.values()], np.uint64)
 #: By kind, what runs together: numbers and units do.
 _RUNS = np.array([LITERAL, NUMBER, NAME, NUMBER], np.int8)
 
@@ -113,22 +114,23 @@ class Templates(dict):
     def collapsed(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The same with one entry for a run of names, or of numbers and units, inside a sentence."""
         template, kind, value, starts = self._words(text)
-        sort = _RUNS[kind]
-        head = np.ones(len(kind), bool)
-        head[1:] = (sort[1:] != sort[:-1]) | (sort[1:] == LITERAL) | starts[1:]
-        if head.all():
+        slot = kind != LITERAL
+        tails = np.flatnonzero(slot[1:] & slot[:-1]) + 1
+        tails = tails[(_RUNS[kind[tails]] == _RUNS[kind[tails - 1]]) & ~starts[tails]]
+        if not len(tails):
             return template, kind, value
-        at = np.flatnonzero(head)
-        within = np.arange(len(kind)) - at[np.cumsum(head) - 1]
-        weights = np.full(within.max() + 1, _STEP, np.uint64)
+        first = np.flatnonzero(np.concatenate(([True], tails[1:] != tails[:-1] + 1)))
+        place = np.arange(len(tails)) - np.repeat(first, np.diff(np.append(first, len(tails)))) + 1
+        heads = tails - place
+        weights = np.full(place.max() + 1, _STEP, np.uint64)
         weights[0] = 1
         with np.errstate(over="ignore"):
-            value = np.add.reduceat(value * np.cumprod(weights)[within], at)
-        kind = np.maximum.reduceat(kind, at)  # a quantity with a unit is a unit
-        template = template[at]
-        for k, holder in _HOLDERS.items():
-            template[kind == k] = np.uint64(holder)
-        return template, kind, value
+            np.add.at(value, heads, value[tails] * np.cumprod(weights)[place])
+        np.maximum.at(kind, heads, kind[tails])  # a quantity with a unit is a unit
+        template[heads] = _HOLDER_OF[kind[heads]]
+        keep = np.ones(len(kind), bool)
+        keep[tails] = False
+        return template[keep], kind[keep], value[keep]
 
     def _words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if len(self) > KEPT_WORDS:
