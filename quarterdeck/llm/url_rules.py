@@ -93,7 +93,7 @@ def judge(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "a
     borders = _stacks(begins.unionByName(ends).distinct(), host_rules, "within").select("border", "stack")
     none = F.lit(None).cast(borders.schema["stack"].dataType).alias("stack")
     # A border belongs to the last partition that starts before it; earlier partitions have ended, later ones carry it in.
-    order = Window.orderBy("border", "kind")
+    order = Window.orderBy("border", "kind", "part")
     events = (
         borders.select("border", "stack", F.lit(None).cast("int").alias("part"), F.lit(0).alias("kind"))
         .unionByName(parts.select("border", none, "part", F.lit(1).alias("kind")))

@@ -76,3 +76,18 @@ def test_no_rules(spark):
     frame = url_rules.rules_table(spark, []).union(spark.createDataFrame([(None, "/", "block")], "h string, p string, v string"))
     got = url_rules.judge(spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string"), frame).collect()
     assert [(r["rule"], r["verdict"]) for r in got] == [(None, "allow")]
+
+
+def test_hosts_after_a_hot_one_without_adaptive_execution(spark):
+    rows = [(k, f"http://hot.net/{k}") for k in range(6000)] + [(6000 + k, f"http://hox{k}.net/") for k in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(8)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for n in (13, 24):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got = url_rules.judge(pages, url_rules.rules_table(spark, [("hot.net", "/", "block")])).collect()
+            assert {r["page_id"] for r in got if r["verdict"] == "block"} == set(range(6000))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
