@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarterdeck.session import checkpointed, land, scratch_path
@@ -68,3 +68,23 @@ def numbered(df: DataFrame, order: list[Column], out: str) -> tuple[DataFrame, i
         .drop("_part", "_start", "_local"),
         total,
     )
+
+
+def running(df: DataFrame, order: list[Column], amounts: dict[str, Column], name: str) -> DataFrame:
+    """Add, for each of `amounts`, its sum over all rows before this one in a global order. Built-in functions only.
+
+    Rows are range-partitioned by the order and landed, which fixes the partitions; each is summed by itself and starts at
+    the sum of the earlier ones. One row per partition is all that is ordered as a whole. Rows equal in all order columns
+    follow each other in any order.
+    """
+    keys = {f"_order_{k}": c for k, c in enumerate(order)}
+    valued = df.withColumns(keys | {f"_amount_{out}": c for out, c in amounts.items()})
+    ranged = valued.repartitionByRange(shuffle_partitions(df.sparkSession), *keys)
+    rows = landed(ranged.withColumn("_part", F.spark_partition_id()), name)
+    within = Window.partitionBy("_part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("_part").agg(*(F.sum(f"_amount_{out}").alias(f"_base_{out}") for out in amounts))
+    bases = sums.select("_part", *(F.coalesce(F.sum(f"_base_{out}").over(earlier), F.lit(0)).alias(f"_base_{out}") for out in amounts))
+    local = rows.withColumns({out: F.coalesce(F.sum(f"_amount_{out}").over(within), F.lit(0)) for out in amounts})
+    total = local.join(bases, "_part").withColumns({out: F.col(out) + F.col(f"_base_{out}") for out in amounts})
+    return total.select(*df.columns, *amounts)

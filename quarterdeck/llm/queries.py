@@ -11,6 +11,7 @@ from quarterdeck.llm import (
     decontamination,
     licenses,
     lm,
+    mixing,
     packing,
     quality_rules,
     secrets,
@@ -63,6 +64,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_sharding": (op1_sharding, None),
     "op2_quality_rules": (op2_quality_rules, quality_rules.SQL),
@@ -74,4 +79,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_benchmark_decontamination": (op8_benchmark_decontamination, None),
     "op9_license_scans": (op9_license_scans, None),
     "op10_lm_scoring": (op10_lm_scoring, None),
+    "op13_mixing": (op13_mixing, None),
 }
