@@ -18,6 +18,7 @@ from quarterdeck.llm import (
     sharding,
     simhash,
     url_rules,
+    whitening,
 )
 from quarterdeck.llm.common import table
 
@@ -64,6 +65,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
@@ -79,5 +84,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_benchmark_decontamination": (op8_benchmark_decontamination, None),
     "op9_license_scans": (op9_license_scans, None),
     "op10_lm_scoring": (op10_lm_scoring, None),
+    "op12_embedding_whitening": (op12_embedding_whitening, None),
     "op13_mixing": (op13_mixing, None),
 }
