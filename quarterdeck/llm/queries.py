@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarterdeck.llm import (
     classifier,
+    conversations,
     decontamination,
     licenses,
     lm,
@@ -65,6 +66,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_benchmark_decontamination": (op8_benchmark_decontamination, None),
     "op9_license_scans": (op9_license_scans, None),
     "op10_lm_scoring": (op10_lm_scoring, None),
+    "op11_conversation_structure_repair": (op11_conversation_structure_repair, None),
     "op12_embedding_whitening": (op12_embedding_whitening, None),
     "op13_mixing": (op13_mixing, None),
 }
