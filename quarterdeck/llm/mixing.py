@@ -26,7 +26,7 @@ SHARE = 1.5
 PASSES = 2
 SEED = 11
 #: Rounds of the permutation.
-ROUNDS = 32
+ROUNDS = 24
 
 
 @dataclass
@@ -138,21 +138,17 @@ def _dealt(sources: DataFrame, shard: int, seed: int) -> DataFrame:
     state = landed(
         sources.join(drew, "index", "left").select("index", "wanted", "lead", F.coalesce("drew", F.lit(0)).alias("drew")), "drew"
     )
-    cut = (
-        counts.join(state, "index").withColumn("at", F.col("from") - F.col("lead"))
-        .withColumn("kept", F.least(F.col("n"), F.greatest(F.col("wanted") - F.col("at"), F.lit(0))))
-        .withColumn("free", F.col("n") - F.col("kept"))
-    )
-    kept = _units(cut, "kept").select("index", (F.col("at") + F.col("unit")).alias("slot"), "shard")
-    free = running(
-        cut.filter("free > 0").select("index", "shard", "free"), [F.col("index"), F.col("shard")], {"rank": F.col("free")}, "free"
-    )
+    # A source's draws take its slots in a permuted order, so those beyond its quota come from all shards alike.
+    drawn_slot = permuted(F.col("from") - F.col("lead") + F.col("unit"), F.col("drew"), [F.lit(seed), F.lit("draw"), F.col("index")])
+    units = _units(counts, "n").join(state, "index").select("index", "shard", "wanted", drawn_slot.alias("slot"))
+    units = landed(units, "drawn")
+    kept = units.filter("slot < wanted").select("index", "slot", "shard")
+    free = running(units.filter("slot >= wanted"), [F.col("index"), F.col("slot")], {"rank": F.lit(1).cast("long")}, "free")
     lacking = state.filter("drew < wanted").withColumn("lack", F.col("wanted") - F.col("drew"))
     lacking = running(lacking.select("index", "drew", "lack"), [F.col("index")], {"rank": F.col("lack")}, "lacking")
     open_ = max(lacking.agg(F.sum("lack")).first()[0] or 0, 1)
-    rank = F.col("rank") + F.col("unit")
-    places = _units(free, "free").select("shard", permuted(rank, F.lit(open_), [F.lit(seed), F.lit("free")]).alias("turn"))
-    takers = _units(lacking, "lack").select("index", (F.col("drew") + F.col("unit")).alias("slot"), rank.alias("turn"))
+    places = free.select("shard", permuted(F.col("rank"), F.lit(open_), [F.lit(seed), F.lit("free")]).alias("turn"))
+    takers = _units(lacking, "lack").select("index", (F.col("drew") + F.col("unit")).alias("slot"), (F.col("rank") + F.col("unit")).alias("turn"))
     return kept.unionByName(takers.join(places, "turn").select("index", "slot", "shard"))
 
 
