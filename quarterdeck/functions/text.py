@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Mapping
 from functools import cache
@@ -57,6 +58,18 @@ def clean_name(text: Column) -> Column:
     return F.regexp_replace(plain, f"[{_TO_UNDERSCORE}_]+", "_")
 
 
+@cache
+def _plain_characters() -> dict[int, str | None]:
+    accented, bases = _accent_table()
+    return {ord(c): bases[k] if k < len(bases) else None for k, c in enumerate(accented)} | {ord("đ"): "d"}
+
+
+def cleaned(text: str) -> str:
+    """`clean_name` of one text, for names that are read before they become rows."""
+    plain = "".join(c for c in text.lower().translate(_plain_characters()) if c not in _DROPPED)
+    return re.sub(f"[{_TO_UNDERSCORE}_]+", "_", plain)
+
+
 def clean_column_names(df: DataFrame) -> DataFrame:
     """Apply `clean_name` to the column names (names only, so it is evaluated once on the driver)."""
     spark = df.sparkSession

@@ -13,7 +13,6 @@ from quarterdeck.operators.exports import dedup_latest_export
 from quarterdeck.session import land
 from quarterdeck.sources.statements import (
     export_dates,
-    frequency_of,
     statement_facts,
     statement_items,
     statement_sheets,
@@ -30,10 +29,14 @@ class Ingested:
     rejected: DataFrame
 
 
-def land_cells(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Decode every workbook once and write the cells; later steps read them with filters pushed to the scan."""
-    cells = read_workbooks(spark, folder, titles=list(SHEET_TITLES.values()))
-    return land(cells.withColumn("freq", frequency_of(F.col("path"))), target)
+def land_cells(spark: SparkSession, folder: str, target: str, structure_only: bool = False) -> DataFrame:
+    """Decode every workbook once and write the cells; later steps read them with filters pushed to the scan.
+
+    `structure_only` leaves the value cells unread: below the header only labels and units are decoded.
+    """
+    columns = [LABEL_COLUMN, UNIT_COLUMN] if structure_only else []
+    titles = list(SHEET_TITLES.values())
+    return land(read_workbooks(spark, folder, titles=titles, columns=columns, by_frequency=True), target)
 
 
 def _rejects(where: DataFrame, error: Column) -> DataFrame:
@@ -41,27 +44,26 @@ def _rejects(where: DataFrame, error: Column) -> DataFrame:
 
 
 def sheet_rejects(cells: DataFrame, items: DataFrame) -> DataFrame:
-    """Statement sheets of readable files that give no line item: (path, file, error), one row per file and sheet.
+    """Statement sheets of readable files that give no line item: (path, file, error), one row per file, entity and sheet.
 
-    `cells` are those of the statement sheets. A sheet may be empty, or lack the header row, its label or unit column, or
-    any row with a unit. Files are told apart by `path`.
+    `cells` are those of the statement sheets. A sheet may lack the header row, its label or unit column, or any row with a
+    unit. Files are told apart by `path`.
     """
-    heads = cells.filter(F.col("row_pos") == HEADER_ROW).select("path", "sheet", clean_name(F.col("text")).alias("name"))
-    found = heads.groupBy("path", "sheet").agg(
+    sheet = ["path", "entity", "sheet"]
+    heads = cells.filter(F.col("row_pos") == HEADER_ROW).select(*sheet, clean_name(F.col("text")).alias("name"))
+    found = heads.groupBy(*sheet).agg(
         F.bool_or(F.col("name") == LABEL_COLUMN).alias("label"), F.bool_or(F.col("name") == UNIT_COLUMN).alias("unit")
     )
-    filled = cells.select("path", "sheet").distinct().withColumn("filled", F.lit(True))
-    used = items.select(F.col("file").alias("path"), "sheet").distinct().withColumn("used", F.lit(True))
-    expected = cells.select("path").distinct().withColumn("sheet", F.explode(F.array(*map(F.lit, SHEET_TITLES))))
-    joined = expected.join(filled, ["path", "sheet"], "left").join(found, ["path", "sheet"], "left")
+    filled = cells.select(*sheet).distinct()
+    used = items.select(F.col("file").alias("path"), "entity", "sheet").distinct().withColumn("used", F.lit(True))
+    joined = filled.join(found, sheet, "left")
     reason = (
-        F.when(F.col("filled").isNull(), "empty sheet")
-        .when(F.col("label").isNull(), "no header row")
+        F.when(F.col("label").isNull(), "no header row")
         .when(~F.col("label"), "no label column")
         .when(~F.col("unit"), "no unit column")
         .otherwise("no line item")
     )
-    lost = joined.join(used, ["path", "sheet"], "left").filter(F.col("used").isNull())
+    lost = joined.join(used, sheet, "left").filter(F.col("used").isNull())
     return _rejects(lost, F.concat("sheet", F.lit(": "), reason))
 
 
@@ -75,32 +77,26 @@ def period_rejects(facts: DataFrame) -> DataFrame:
 def ingest(landed: DataFrame) -> Ingested:
     """Facts (newest export wins), structure and rejects of a landed cell table.
 
-    Every file ends in facts or in `rejected`, with the reason: an unreadable file, one in no frequency's folder, one
-    without a statement sheet or a readable export date as a whole; a sheet without line items and a header that is no
-    period by themselves.
+    Every file ends in facts or in `rejected`, with the reason: what the source did not read (files of no bytes, of other
+    kinds, damaged, locked, in none or several frequency folders; entities with missing sheets or not in the file's name;
+    repeated cells), an entity's sheets without a readable export date as a whole, a sheet without line items and a header
+    that is no period by themselves.
     """
     readable = good_cells(landed).withColumn("file", F.col("path"))
     cells = statement_sheets(readable)
     dates = export_dates(cells)
-    # The reasons are looked for in this order, one per file.
     files = (
-        readable.select("path", "file", "freq").distinct()
-        .join(cells.select("path").distinct().withColumn("statement", F.lit(True)), "path", "left")
-        .join(dates, "file", "left")
-        .withColumn(
-            "error",
-            F.when(F.col("freq").isNull(), "no frequency folder")
-            .when(F.col("statement").isNull(), "no statement sheet")
-            .when(F.col("export_date").isNull(), "no export date"),
-        )
+        cells.select("path", "file", "entity").distinct()
+        .join(dates, ["file", "entity"], "left")
+        .withColumn("error", F.when(F.col("export_date").isNull(), "no export date"))
     )
-    dated = files.filter(F.col("error").isNull()).select("file", "export_date")
+    dated = files.filter(F.col("error").isNull()).select("file", "entity", "export_date")
     labelled = F.array_contains(F.map_values("header"), LABEL_COLUMN)
     items = statement_items(cells, keep=["entity", "freq"]).filter(labelled)
-    facts = with_period_parts(statement_facts(items, keep=["entity", "freq"]).join(dated, "file"))
+    facts = with_period_parts(statement_facts(items, keep=["entity", "freq"]).join(dated, ["file", "entity"]))
     on_time = facts.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
     newest = dedup_latest_export(on_time, ["freq", "entity", "item", "label", "period"], "export_date", "file")
-    known = cells.join(dated.select("file"), "file", "left_semi")
+    known = cells.join(dated, ["file", "entity"], "left_semi")
     rejected = (
         quarantine(landed)
         .unionByName(_rejects(files.filter(F.col("error").isNotNull()), F.col("error")))
@@ -108,4 +104,4 @@ def ingest(landed: DataFrame) -> Ingested:
         .unionByName(period_rejects(facts))
     )
     structure = structure_of(items, keep=["entity", "freq"]).withColumnRenamed("freq", "folder")
-    return Ingested(with_period_parts(newest), structure.join(dated, "file", "left_semi"), rejected)
+    return Ingested(with_period_parts(newest), structure.join(dated, ["file", "entity"], "left_semi"), rejected)

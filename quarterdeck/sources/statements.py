@@ -23,28 +23,20 @@ _SHEET = ["file", "sheet"]
 
 def statement_sheets(cells: DataFrame, titles: Mapping[str, str] = SHEET_TITLES) -> DataFrame:
     """Keep the statement sheets, named `<title> - <entity>`; `sheet` becomes the short key."""
-    title = F.regexp_extract("sheet", r"^(.*) - ", 1)
-    key = F.lit(None).cast("string")
+    key = entity = F.lit(None).cast("string")
     for short, full in titles.items():
-        key = F.when(title == full, F.lit(short)).otherwise(key)
-    return (
-        cells.withColumn("entity", F.regexp_extract("sheet", r" - ([^-]*)$", 1))
-        .withColumn("sheet", key)
-        .filter(F.col("sheet").isNotNull())
-    )
-
-
-def frequency_of(path: Column) -> Column:
-    """Export frequency from the folder name."""
-    return extract_or_null(path, r"(quarterly|yearly|cumulative)", 1)
+        named = F.startswith(F.col("sheet"), F.lit(f"{full} - "))
+        key = F.when(named, F.lit(short)).otherwise(key)
+        entity = F.when(named, F.substr("sheet", F.lit(len(full) + 4))).otherwise(entity)
+    return cells.withColumns({"entity": entity, "sheet": key}).filter(F.col("sheet").isNotNull())
 
 
 def export_dates(cells: DataFrame, first_sheet: str = "BS") -> DataFrame:
-    """Export date per file: a dd/mm/yyyy text in the second row of the first sheet; NULL if unreadable."""
+    """Export date per file and entity: a dd/mm/yyyy text in the second row of the first sheet; NULL if unreadable."""
     text = extract_or_null(F.col("text"), r"(\d{2}/\d{2}/\d{4})", 1)
     date = F.to_date(F.try_to_timestamp(text, F.lit("dd/MM/yyyy")))
     here = (F.col("row_pos") == EXPORT_DATE_ROW) & (F.col("col_pos") == 0) & (F.col("sheet") == first_sheet)
-    return cells.filter(here).groupBy("file").agg(F.max(date).alias("export_date"))
+    return cells.filter(here).groupBy("file", "entity").agg(F.max(date).alias("export_date"))
 
 
 def statement_items(
@@ -57,30 +49,35 @@ def statement_items(
 
     Output: file, sheet, *keep, row_pos, item, label, cells (map col_pos -> text), header (map col_pos -> cleaned
     name or period). `item` is the sheet key and the position among the kept rows of the sheet. `keep` names columns that are
-    constant within a sheet.
+    constant within a sheet; sheets of one key, as of two entities in one workbook, are told apart by them. Of a cell that is
+    given twice the least text counts.
     """
     scope = [*_SHEET, *keep]
     table = cells.filter(F.col("row_pos") >= header_row).withColumn("chunk", chunk_of(F.col("row_pos"), chunk_rows))
     rows = (
         table.filter(F.col("row_pos") > header_row)
-        .repartition(*_SHEET, "chunk")
+        .repartition(*scope, "chunk")
         .groupBy(*scope, "chunk", "row_pos")
-        .agg(F.map_from_entries(F.collect_list(F.struct("col_pos", "text"))).alias("cells"))
+        .agg(F.collect_list(F.struct("col_pos", F.col("text").alias("value"))).alias("entries"))
+        .withColumn("cells", _map_of("entries"))
+        .drop("entries")
     )
     # periods are read here, once per column, not once per fact
-    named = F.struct("col_pos", normalise_period(clean_name(F.col("text"))).alias("name"))
+    named = F.struct("col_pos", normalise_period(clean_name(F.col("text"))).alias("value"))
     headers = (
         table.filter(F.col("row_pos") == header_row)
-        .groupBy(*_SHEET)
-        .agg(F.map_from_entries(F.collect_list(named)).alias("header"))
+        .groupBy(*scope)
+        .agg(F.collect_list(named).alias("entries"))
+        .withColumn("header", _map_of("entries"))
+        .drop("entries")
     )
-    chunk_headers = table.select(*_SHEET, "chunk").distinct().join(headers, _SHEET)
+    chunk_headers = table.select(*scope, "chunk").distinct().join(headers, scope)
     kept = (
-        rows.join(chunk_headers, [*_SHEET, "chunk"])
+        rows.join(chunk_headers, [*scope, "chunk"])
         .withColumn("unit", _cell_under("header", "cells", UNIT_COLUMN))
         .filter(F.col("unit").isNotNull())
     )
-    numbered = number_in_chunks(kept, _SHEET, "chunk", ["row_pos"], "_n")
+    numbered = number_in_chunks(kept, scope, "chunk", ["row_pos"], "_n")
     return numbered.select(
         *scope,
         "row_pos",
@@ -91,6 +88,15 @@ def statement_items(
     )
 
 
+def _map_of(entries: str) -> Column:
+    """Map of (col_pos, value) entries; a column given twice has its least value. Entries are as many as the sheet is wide."""
+    columns = F.array_distinct(F.transform(entries, lambda e: e["col_pos"]))
+    of = lambda c: F.array_min(F.transform(F.filter(entries, lambda e: e["col_pos"] == c), lambda e: e["value"]))
+    return F.when(F.size(columns) == F.size(entries), F.map_from_entries(entries)).otherwise(
+        F.map_from_arrays(columns, F.transform(columns, of))
+    )
+
+
 def _cell_under(header: str, cells: str, name: str) -> Column:
     """Text of the row under the named column. The maps are as wide as the sheet."""
     columns = F.map_keys(F.map_filter(header, lambda _, n: n == name))

@@ -7,13 +7,15 @@ import zipfile
 from xml.sax.saxutils import escape
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from quarterdeck.config import SHEET_TITLES
 from quarterdeck.operators.exports import dedup_latest_export, prefer_reports
-from quarterdeck.session import land, scratch_path
+from quarterdeck.plans.ingest import ingest, land_cells
+from quarterdeck.session import scratch_path
 from quarterdeck.sources import statements as S
-from quarterdeck.sources.workbooks import decode_workbooks, good_cells, quarantine
+from quarterdeck.sources.workbooks import good_cells, read_workbooks
 from quarterdeck.workloads.panels import PART_ITEMS_SQL, cents, part_cells, r4, table
 
 _EPOCH = (1980, 1, 1, 0, 0, 0)
@@ -27,8 +29,11 @@ def _letters(column: int) -> str:
     return name
 
 
-def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
-    """A minimal xlsx file for fixtures: text and number cells, None leaves a cell out."""
+def workbook_bytes(sheets: dict[str, list[list]], repeat: str | None = None) -> bytes:
+    """A minimal xlsx file for fixtures: text and number cells, None leaves a cell out.
+
+    Sheet `repeat` gives the last number of its last but one row twice, the second time as another.
+    """
     books = "".join(f'<sheet name="{escape(n)}" sheetId="{i}" r:id="r{i}"/>' for i, n in enumerate(sheets, 1))
     rels = "".join(f'<Relationship Id="r{i}" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
     relations = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
@@ -40,7 +45,7 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
 
         add("xl/workbook.xml", f'<workbook xmlns:r="{relations}"><sheets>{books}</sheets></workbook>')
         add("xl/_rels/workbook.xml.rels", f"<Relationships>{rels}</Relationships>")
-        for i, rows in enumerate(sheets.values(), 1):
+        for i, (name, rows) in enumerate(sheets.items(), 1):
             lines = []
             for r, row in enumerate(rows, 1):
                 cells = []
@@ -49,14 +54,50 @@ def workbook_bytes(sheets: dict[str, list[list]]) -> bytes:
                         cells.append(f'<c r="{_letters(c)}{r}" t="inlineStr"><is><t>{escape(value)}</t></is></c>')
                     elif value is not None:
                         cells.append(f'<c r="{_letters(c)}{r}"><v>{value}</v></c>')
+                if name == repeat and r == len(rows) - 1:
+                    cells.append(f'<c r="{_letters(len(row))}{r}"><v>-1</v></c>')
                 if cells:
                     lines.append(f'<row r="{r}">{"".join(cells)}</row>')
             add(f"xl/worksheets/sheet{i}.xml", f"<worksheet><sheetData>{''.join(lines)}</sheetData></worksheet>")
     return buffer.getvalue()
 
 
-def _supplier_books(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The workbooks of one supplier; its rows are one per quarter."""
+#: What is wrong with the workbooks of some suppliers, by supplier number modulo 20: (remainder, frequency, reason).
+FAULTS = (
+    (1, "quarterly", "OtherEntity"), (2, "quarterly", "RepeatedCell"), (3, "quarterly", "BadZipFile"),
+    (4, "quarterly", "LockFile"), (5, "yearly", "MissingSheets"), (6, "cumulative", "EmptyFile"),
+    (7, "quarterly", "UnsupportedFile"), (8, "yearly", "no frequency folder"), (9, "cumulative", "several frequency folders"),
+    (11, "quarterly", "no export date"), (12, "yearly", "IS: no header row"), (13, "cumulative", "CF: no label column"),
+    (14, "quarterly", "NOTES: no unit column"), (15, "yearly", "BS: no line item"), (16, "cumulative", "EmptySheet"),
+    (17, "quarterly", "BS: unreadable period total"),
+)
+
+
+def _sheet_rows(key: str, supplier: int, frame: pd.DataFrame, fault: str) -> list[list]:
+    """Rows of a statement sheet; a fault that names the sheet, or the sheet of its kind, is put in."""
+    top = [["Report"], ["-" if fault == "no export date" else f"Exported: 0{supplier % 9 + 1}/03/2024"], *[["-"]] * 6]
+    header = ["Chỉ tiêu", "Đơn vị", *frame["header"]]
+    money, lines = [int(v) for v in frame["money"]], [int(v) if v % 5 else "n/a" for v in frame["lines"]]
+    body = [[f"{key} section"], [f"{key} money", "VND", *money], [f"{key} lines", "count", *lines]]
+    where, _, what = fault.partition(": ")
+    if fault == "EmptySheet" and key == "IS":
+        return []
+    if where == key:
+        if what == "no header row":
+            return top
+        if what == "no line item":
+            return [*top, header]
+        if what == "no label column":
+            header = ["Tên", *header[1:]]
+        if what == "no unit column":
+            header = [header[0], "Khác", *header[2:]]
+        if what.startswith("unreadable"):
+            header = [*header, "Total"]
+    return [*top, header, *body]
+
+
+def _supplier_books(pdf: pd.DataFrame) -> list[tuple[str, bytes]]:
+    """The workbooks of one supplier, its rows being one per quarter: path below the root and content."""
     pdf = pdf.sort_values(["year", "quarter"])
     supplier = int(pdf["supplier"].iloc[0])
     entity = f"S{supplier}"
@@ -69,24 +110,26 @@ def _supplier_books(pdf: pd.DataFrame) -> pd.DataFrame:
     }
     out = []
     for freq, frame in headed.items():
-        headers = frame["header"].tolist()
-        sheets = {}
-        for key, title in SHEET_TITLES.items():
-            rows: list[list] = [["Report"], [f"Exported: 0{supplier % 9 + 1}/03/2024"], ["-"], ["-"]] + [["-"]] * 4
-            rows.append(["Chỉ tiêu", "Đơn vị", *headers])
-            rows.append([f"{key} section"])
-            rows.append([f"{key} money", "VND", *[int(v) for v in frame["money"]]])
-            rows.append([f"{key} lines", "count", *[int(v) if v % 5 else "n/a" for v in frame["lines"]]])
-            sheets[f"{title} - {entity}"] = rows
-        if freq == "yearly" and supplier % 10 == 5:
+        fault = next((f for k, where, f in FAULTS if k == supplier % 20 and where == freq), "")
+        sheets = {f"{t} - {entity}": _sheet_rows(k, supplier, frame, fault) for k, t in SHEET_TITLES.items()}
+        folder, name = f"data-{freq}", f"{entity}.xlsx"
+        if fault == "MissingSheets":
             del sheets[f"{SHEET_TITLES['NOTES']} - {entity}"]
-        content = workbook_bytes(sheets)
-        if freq == "quarterly" and supplier % 10 == 3:
-            content = b"not a workbook"
-        out.append((f"file:/data-{freq}/{entity}.xlsx", content))
-        if supplier % 10 == 4:
-            out.append((f"file:/data-{freq}/~${entity}.xlsx", b"lock"))
-    return pd.DataFrame(out, columns=["path", "content"])
+        elif fault == "OtherEntity":
+            sheets |= {f"{t} - X{supplier}": _sheet_rows(k, supplier, frame, "") for k, t in SHEET_TITLES.items()}
+        elif fault == "UnsupportedFile":
+            name = f"{entity}.xls"
+        elif fault == "no frequency folder":
+            folder = "misc"
+        elif fault == "several frequency folders":
+            folder += "/old-yearly"
+        elif fault == "LockFile":
+            out.append((f"{folder}/~${name}", b"lock"))
+        content = workbook_bytes(sheets, repeat=f"{SHEET_TITLES['BS']} - {entity}" if fault == "RepeatedCell" else None)
+        if fault in ("BadZipFile", "EmptyFile"):
+            content = b"not a workbook" if fault == "BadZipFile" else b""
+        out.append((f"{folder}/{name}", content))
+    return out
 
 
 def _supplier_quarters(spark, sf):
@@ -103,25 +146,60 @@ def _supplier_quarters(spark, sf):
     )
 
 
-def workbook_files(spark, sf):
-    """Three workbooks per supplier, as the binaryFile reader would give them. A group has one row per quarter.
+def _put(folder: str, relative: str, content: bytes) -> str:
+    """Write a file below a shared folder; a task that runs again writes the same."""
+    store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+    store.create_dir(f"{root}/{relative}".rsplit("/", 1)[0], recursive=True)
+    with store.open_output_stream(f"{root}/{relative}") as stream:
+        stream.write(content)
+    return relative
+
+
+_ON_DISK: dict[tuple[str, str, str], str] = {}
+
+
+def _written_once(kind: str, spark, sf: str, build) -> str:
+    """The folder of files that are built from the tables once in a session."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _ON_DISK:
+        folder = scratch_path(spark, kind)
+        build(folder)
+        _ON_DISK[key] = folder
+    return _ON_DISK[key]
+
+
+def workbook_folder(spark, sf) -> str:
+    """Three workbooks per supplier on disk, below a root whose own name holds a frequency. A group has one row per quarter.
 
     The rows are few but each group costs Python time, so the number of tasks is fixed rather than left to AQE.
     """
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quarters = _supplier_quarters(spark, sf).repartition(tasks, "supplier")
-    return quarters.groupBy("supplier").applyInPandas(_supplier_books, "path string, content binary")
+
+    def build(folder: str) -> None:
+        def put(pdf: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame({"path": [_put(folder, path, content) for path, content in _supplier_books(pdf)]})
+
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        quarters = _supplier_quarters(spark, sf).repartition(tasks, "supplier")
+        quarters.groupBy("supplier").applyInPandas(put, "path string").write.format("noop").mode("overwrite").save()
+
+    return _written_once("quarterly-run", spark, sf, build)
 
 
-def _cells(spark, sf):
-    return decode_workbooks(workbook_files(spark, sf), list(SHEET_TITLES.values()))
+def _read(spark, sf):
+    titles = list(SHEET_TITLES.values())
+    return read_workbooks(spark, workbook_folder(spark, sf), titles=titles, by_frequency=True)
+
+
+def _below(spark, sf):
+    """Path below the root."""
+    return F.replace(F.col("path"), F.lit(workbook_folder(spark, sf)), F.lit(""))
 
 
 def workbook_cells(spark, sf):
     """Filled cells per file and sheet, with a sum of the numeric ones."""
-    cells = good_cells(_cells(spark, sf))
+    cells = good_cells(_read(spark, sf)).withColumn("path", _below(spark, sf))
     number = F.when(F.col("text").rlike(r"^\d+$") & (F.col("row_pos") > 8), F.col("text").try_cast("bigint"))
-    return cells.groupBy("file", "path", "sheet").agg(
+    return cells.groupBy("file", "path", "freq", "sheet").agg(
         F.count("*").alias("n_cells"),
         F.max("row_pos").alias("last_row"),
         F.max("col_pos").alias("last_col"),
@@ -129,20 +207,31 @@ def workbook_cells(spark, sf):
     )
 
 
+def _ingested(spark, sf):
+    return ingest(land_cells(spark, workbook_folder(spark, sf), scratch_path(spark, "cells")))
+
+
 def rejected_files(spark, sf):
-    return quarantine(_cells(spark, sf)).select("path", F.split_part("error", F.lit(":"), F.lit(1)).alias("reason"))
+    """Path and reason of everything that ingest rejects, whatever its kind."""
+    reason = F.when(F.col("error").startswith("several"), F.split_part("error", F.lit(":"), F.lit(1))).otherwise(
+        F.when(F.col("error").rlike("^[A-Z][a-z]"), F.split_part("error", F.lit(":"), F.lit(1))).otherwise(F.col("error"))
+    )
+    return _ingested(spark, sf).rejected.select(_below(spark, sf).alias("path"), reason.alias("reason"))
 
 
 def freq_union(spark, sf):
     """Facts of all suppliers and frequencies from one landed cell table, no loop."""
-    landed = land(_cells(spark, sf), scratch_path(spark, "cells"))
-    cells = good_cells(landed).withColumn("file", F.col("path"))
-    cells = S.statement_sheets(cells.withColumn("freq", S.frequency_of(F.col("path"))))
-    facts = S.statement_facts(S.statement_items(cells, ["freq", "entity"]), ["freq", "entity"])
-    return facts.select("freq", "entity", "item", "label", "period", "value")
+    return _ingested(spark, sf).facts.select("freq", "entity", "item", "label", "period", "value")
+
 
+def yearly_files(spark, sf):
+    """One frequency's cells: the files of the others are not opened."""
+    cells = good_cells(_read(spark, sf)).filter(F.col("freq") == "yearly")
+    return cells.groupBy("file").agg(F.count_distinct("sheet").alias("sheets"))
 
-WORKBOOKS_SQL = """
+
+_FAULT_ROWS = ", ".join(f"({k}, '{freq}', '{fault}')" for k, freq, fault in FAULTS)
+WORKBOOKS_SQL = f"""
 sq AS (
   SELECT l_suppkey AS supplier, year(l_shipdate) AS year, quarter(l_shipdate) AS quarter,
     sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS money, count(*) AS lines FROM lineitem GROUP BY 1, 2, 3),
@@ -151,12 +240,20 @@ books AS (
   UNION ALL SELECT supplier, 'yearly', year, year || '_q4', sum(money), sum(lines) FROM sq GROUP BY supplier, year
   UNION ALL SELECT supplier, 'cumulative', year, year || '_q2', sum(money), sum(lines) FROM sq
     WHERE quarter <= 2 GROUP BY supplier, year),
-files AS (SELECT DISTINCT supplier, f.freq FROM sq, (VALUES ('quarterly'), ('yearly'), ('cumulative')) f(freq)),
+faults(k, freq, fault) AS (VALUES {_FAULT_ROWS}),
+files AS (
+  SELECT s.supplier, f.freq, coalesce(x.fault, '') AS fault
+  FROM (SELECT DISTINCT supplier FROM sq) s CROSS JOIN (VALUES ('quarterly'), ('yearly'), ('cumulative')) f(freq)
+  LEFT JOIN faults x ON x.k = s.supplier % 20 AND x.freq = f.freq),
 readable AS (
   SELECT *, '/data-' || freq || '/S' || supplier || '.xlsx' AS tail FROM files
-  WHERE NOT (freq = 'quarterly' AND supplier % 10 = 3) AND NOT (freq = 'yearly' AND supplier % 10 = 5)),
+  WHERE fault NOT IN ('BadZipFile', 'MissingSheets', 'EmptyFile', 'UnsupportedFile', 'no frequency folder', 'several frequency folders')),
 sheets(key, title) AS (VALUES ('BS', 'Cân đối kế toán'), ('IS', 'Báo cáo thu nhập'),
-  ('CF', 'Lưu chuyển tiền tệ'), ('NOTES', 'Thuyết minh'))"""
+  ('CF', 'Lưu chuyển tiền tệ'), ('NOTES', 'Thuyết minh')),
+read_sheets AS (
+  SELECT * FROM readable CROSS JOIN sheets WHERE NOT (fault = 'EmptySheet' AND key = 'IS')),
+fact_sheets AS (
+  SELECT * FROM read_sheets WHERE fault <> 'no export date' AND NOT (starts_with(fault, key || ': ') AND fault NOT LIKE '%unreadable%'))"""
 
 
 def sheet_to_long(spark, sf):
@@ -175,7 +272,7 @@ def structure_scan(spark, sf):
 def export_date(spark, sf):
     """Export date of every (brand, type) sheet, each taken as a file of its own."""
     cells = part_cells(spark, sf).withColumn("file", F.concat_ws("/", "file", "sheet")).withColumn("sheet", F.lit("BS"))
-    return S.export_dates(cells)
+    return S.export_dates(cells.withColumn("entity", F.col("file"))).drop("entity")
 
 
 def _event_exports(spark, sf):
@@ -203,32 +300,48 @@ def report_preference(spark, sf):
 QUERIES = {
     "src_workbook_cells": (
         workbook_cells,
-        f"""WITH {WORKBOOKS_SQL}
-        SELECT 'S' || r.supplier || '.xlsx' AS file, 'file:' || r.tail AS path, s.title || ' - S' || r.supplier AS sheet,
-          8 + 2 + 1 + 2 * 2 + 3 * coalesce(b.n, 0) AS n_cells, CAST(11 AS BIGINT) AS last_row,
-          CAST(1 + coalesce(b.n, 0) AS INT) AS last_col, b.total
-        FROM readable r CROSS JOIN sheets s
-        LEFT JOIN (SELECT supplier, freq, count(*) AS n,
-                          CAST(sum(money) + coalesce(sum(CASE WHEN lines % 5 <> 0 THEN lines END), 0) AS BIGINT) AS total
-                   FROM books GROUP BY supplier, freq) b ON b.supplier = r.supplier AND b.freq = r.freq""",
+        f"""WITH {WORKBOOKS_SQL},
+        counted AS (
+          SELECT r.*, coalesce(b.n, 0) AS n, b.total, starts_with(r.fault, r.key || ': ') AS here
+          FROM read_sheets r
+          LEFT JOIN (SELECT supplier, freq, count(*) AS n,
+                            CAST(sum(money) + coalesce(sum(CASE WHEN lines % 5 <> 0 THEN lines END), 0) AS BIGINT) AS total
+                     FROM books GROUP BY supplier, freq) b ON b.supplier = r.supplier AND b.freq = r.freq)
+        SELECT 'S' || supplier || '.xlsx' AS file, tail AS path, freq, title || ' - S' || supplier AS sheet,
+          CASE WHEN here AND fault LIKE '%no header row' THEN 8 WHEN here AND fault LIKE '%no line item' THEN 8 + 2 + n
+            ELSE 8 + 2 + 1 + 2 * 2 + 3 * n + CAST(here AND fault LIKE '%unreadable%' AS INT) END AS n_cells,
+          CAST(CASE WHEN here AND fault LIKE '%no header row' THEN 7 WHEN here AND fault LIKE '%no line item' THEN 8 ELSE 11 END AS BIGINT) AS last_row,
+          CAST(CASE WHEN here AND fault LIKE '%no header row' THEN 0
+            ELSE 1 + n + CAST(here AND fault LIKE '%unreadable%' AS INT) END AS INT) AS last_col,
+          CASE WHEN NOT (here AND (fault LIKE '%no header row' OR fault LIKE '%no line item')) THEN total END AS total
+        FROM counted""",
     ),
     "src_quarantine": (
         rejected_files,
-        """SELECT 'file:/data-quarterly/S' || l_suppkey || '.xlsx' AS path, 'BadZipFile' AS reason
-           FROM (SELECT DISTINCT l_suppkey FROM lineitem) l WHERE l_suppkey % 10 = 3
-           UNION ALL SELECT 'file:/data-yearly/S' || l_suppkey || '.xlsx', 'ValueError'
-           FROM (SELECT DISTINCT l_suppkey FROM lineitem) l WHERE l_suppkey % 10 = 5""",
+        f"""WITH {WORKBOOKS_SQL}
+        SELECT CASE fault WHEN 'UnsupportedFile' THEN '/data-quarterly/S' || supplier || '.xls'
+            WHEN 'LockFile' THEN '/data-quarterly/~$S' || supplier || '.xlsx'
+            WHEN 'no frequency folder' THEN '/misc/S' || supplier || '.xlsx'
+            WHEN 'several frequency folders' THEN '/data-cumulative/old-yearly/S' || supplier || '.xlsx'
+            ELSE '/data-' || freq || '/S' || supplier || '.xlsx' END AS path, fault AS reason
+        FROM files WHERE fault <> ''""",
+    ),
+    "src_yearly_files": (
+        yearly_files,
+        f"""WITH {WORKBOOKS_SQL}
+        SELECT 'S' || supplier || '.xlsx' AS file, count(DISTINCT key) AS sheets FROM read_sheets WHERE freq = 'yearly' GROUP BY 1""",
     ),
     "src_freq_union": (
         freq_union,
         f"""WITH {WORKBOOKS_SQL}
-        SELECT b.freq, 'S' || b.supplier AS entity, s.key || '_1' AS item, s.key || ' money' AS label, b.period,
+        SELECT b.freq, 'S' || b.supplier AS entity, r.key || '_1' AS item,
+          r.key || ' money' AS label, b.period,
           CAST(b.money AS DOUBLE) AS value
-        FROM books b JOIN readable r ON b.supplier = r.supplier AND b.freq = r.freq CROSS JOIN sheets s
+        FROM books b JOIN fact_sheets r ON b.supplier = r.supplier AND b.freq = r.freq
         UNION ALL
-        SELECT b.freq, 'S' || b.supplier, s.key || '_2', s.key || ' lines', b.period,
+        SELECT b.freq, 'S' || b.supplier, r.key || '_2', r.key || ' lines', b.period,
           CASE WHEN b.lines % 5 <> 0 THEN CAST(b.lines AS DOUBLE) END
-        FROM books b JOIN readable r ON b.supplier = r.supplier AND b.freq = r.freq CROSS JOIN sheets s""",
+        FROM books b JOIN fact_sheets r ON b.supplier = r.supplier AND b.freq = r.freq""",
     ),
     "src_sheet_to_long": (
         sheet_to_long,
