@@ -25,7 +25,7 @@ from quarterdeck.operators.panel import QUARTERLY, clashing_cells
 from quarterdeck.plans.ingest import ingest, land_cells
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.plans.reports import audit_job, monthly_sum
-from quarterdeck.session import land
+from quarterdeck.session import land, scratch_path
 from quarterdeck.sinks.sql_script import write_script, write_scripts
 from quarterdeck.sinks.writers import period_columns, replace_table, wide_raw_panel, write_csv, write_partitioned
 from quarterdeck.sources.statements import plain_rows
@@ -88,7 +88,7 @@ def structure_job(
     Returns the `gate` row, the `critical` findings, those on items that formulas or rules use, and `rejected`. The gate
     counts the rejects; whether they stand in the way is the caller's decision.
     """
-    done = ingest(land_cells(spark, folder, f"{work}/cells"))
+    done = ingest(land_cells(spark, folder, f"{work}/cells", structure_only=True))
     rejected = land(done.rejected, f"{work}/rejected")
     audited = done.structure.filter(F.col("folder").isin("quarterly", "yearly"))
     gate = audit_job(audited, f"{out}/structure_report", f"{out}/dictionary", rejected)
@@ -118,14 +118,17 @@ def monthly_job(
 ) -> DataFrame:
     """Filtered monthly sum of a plain sheet with columns item, year, month and `amount`.
 
-    With a folder `published`, the sum also replaces the table `out` and is written as a script. An unreadable workbook
-    fails the job.
+    `workbook` is a file, or a folder of files that each have the sheet; of these only the sheet's four columns are decoded,
+    once. With a folder `published`, the sum also replaces the table `out` and is written as a script. An unreadable
+    workbook, or one without the sheet, fails the job.
     """
-    cells = read_workbooks(spark, workbook)
+    columns = ["item", "year", "month", amount]
+    read = read_workbooks(spark, workbook, sheets=[sheet], columns=columns, header_row=0)
+    cells = land(read, scratch_path(spark, "sheet"))
     unread = quarantine(cells).limit(10).collect()  # enough to say what is wrong
     if unread:
         raise ValueError("; ".join(f"{r['file']}: {r['error']}" for r in unread))
-    rows = plain_rows(good_cells(cells), sheet, ["item", "year", "month", amount])
+    rows = plain_rows(good_cells(cells), sheet, columns)
     typed = rows.select(
         "item",
         F.col("year").try_cast("double").cast("int").alias("year"),

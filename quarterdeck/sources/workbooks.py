@@ -138,10 +138,12 @@ class Wanted:
     """What is read of a workbook.
 
     titles: sheets are named `<title> - <entity>`, and an entity needs all of them; no other sheet is read. columns: cleaned
-    names in the header row; below it, cells of other columns are passed over. sheet: a test of the sheet's name.
+    names in the header row; below it, cells of other columns are passed over. sheets: plain sheets that must be there; no
+    other is read. sheet: a test of the sheet's name.
     """
 
     titles: tuple[str, ...] = ()
+    sheets: tuple[str, ...] = ()
     columns: tuple[str, ...] = ()
     header_row: int = HEADER_ROW
     sheet: Callable[[str], bool] = field(default=lambda name: True)
@@ -152,6 +154,9 @@ def _chosen(names: Sequence[str], file: str, wanted: Wanted) -> tuple[list[str],
 
     An entity's sheets count in a file that names it; others are another entity's.
     """
+    if wanted.sheets:
+        absent = [s for s in wanted.sheets if s not in names]
+        return [n for n in names if n in wanted.sheets], [f"MissingSheets: {', '.join(absent)}"] * bool(absent)
     if not wanted.titles:
         return list(names), []
     by_entity: dict[str, dict[str, str]] = {}
@@ -282,6 +287,7 @@ class WorkbookReader(DataSourceReader):
         self.folder = options["path"]
         self.name_part = options.get("name_part", "")
         self.titles = tuple(json.loads(options.get("titles", "[]")))
+        self.sheets = tuple(json.loads(options.get("sheets", "[]")))
         self.columns = tuple(json.loads(options.get("columns", "[]")))
         self.header_row = int(options.get("header_row", HEADER_ROW))
         self.by_frequency = options.get("by_frequency", "false") == "true"
@@ -314,7 +320,7 @@ class WorkbookReader(DataSourceReader):
         return in_partitions(files, PARTITION_BYTES, PARTITION_FILES) or [WorkbookPartition([])]
 
     def read(self, partition):
-        wanted = Wanted(self.titles, self.columns, self.header_row, lambda name: self._passes("sheet", name))
+        wanted = Wanted(self.titles, self.sheets, self.columns, self.header_row, lambda name: self._passes("sheet", name))
         store = fs.FileSystem.from_uri(self.folder)[0] if "://" in self.folder else fs.LocalFileSystem()
         for file in partition.files:
             name = file.path.rsplit("/", 1)[-1]
@@ -343,7 +349,7 @@ class WorkbookReader(DataSourceReader):
 
 
 class WorkbookSource(DataSource):
-    """`path` (a folder or a file) and, as options, name_part, titles and columns (JSON lists), header_row, by_frequency."""
+    """`path` (a folder or a file) and, as options, name_part, titles, sheets and columns (JSON lists), header_row, by_frequency."""
 
     @classmethod
     def name(cls) -> str:
@@ -364,10 +370,11 @@ def read_workbooks(
     columns: Sequence[str] = (),
     header_row: int = HEADER_ROW,
     by_frequency: bool = False,
+    sheets: Sequence[str] = (),
 ) -> DataFrame:
     """Cells of all workbooks below `folder` whose file name contains `name_part`; every file gets cells or an error.
 
-    `titles`, `columns` and `header_row` as in `Wanted`. With `by_frequency` the folders below `folder` give the column
+    `titles`, `sheets`, `columns` and `header_row` as in `Wanted`. With `by_frequency` the folders below `folder` give the column
     `freq`, and a file in none or in several of them is rejected unread. Filters on path, file, freq and sheet are pushed
     into the source, for which this session's switch for that is turned on.
     """
@@ -377,6 +384,7 @@ def read_workbooks(
         spark.read.format("workbooks")
         .option("name_part", name_part)
         .option("titles", json.dumps(list(titles)))
+        .option("sheets", json.dumps(list(sheets)))
         .option("columns", json.dumps(list(columns)))
         .option("header_row", str(header_row))
         .option("by_frequency", str(by_frequency).lower())

@@ -9,8 +9,10 @@ from quarterdeck.operators import series as S
 from quarterdeck.operators.panel import QUARTERLY, clashing_cells, merge_panel, ytd_cumulate
 from quarterdeck.operators.ranking import rank_latest_period
 from quarterdeck.plans.metrics import enrich_panel
-from quarterdeck.plans.reports import filtered_sum, single_entity_ytd
+from quarterdeck.plans.jobs import monthly_job
+from quarterdeck.plans.reports import single_entity_ytd
 from quarterdeck.session import land, scratch_path
+from quarterdeck.workloads.scans import put_file, workbook_bytes, written_once
 from quarterdeck.workloads.panels import (
     COMPLETE_DENSE_SQL,
     COMPLETE_SQL,
@@ -159,18 +161,31 @@ def rank_customers(spark, sf):
     return _rounded(rank_latest_period(values, peers), "value")
 
 
+def manual_workbooks(spark, sf) -> str:
+    """A workbook per year on disk, its sheets M2 and CREDIT being plain tables of a day's orders by priority."""
+
+    def build(folder: str) -> None:
+        def put(pdf):
+            rows = pdf[["item", "year", "month", "day", "amount"]].values.tolist()
+            sheet = [["Item", "Year", "Month", "Day", "Số dư"], *rows]
+            content = workbook_bytes({"M2": sheet, "Notes": [["not read"]], "CREDIT": sheet})
+            return pdf.assign(path=put_file(folder, f"{pdf['year'].iloc[0]}.xlsx", content))[["path"]].head(1)
+
+        day = F.col("o_orderdate")
+        orders = table(spark, sf, "orders").groupBy(
+            F.col("o_orderpriority").alias("item"), F.year(day).alias("year"), F.month(day).alias("month"), F.day(day).alias("day")
+        )
+        days = orders.agg(F.sum(cents("o_totalprice")).alias("amount"))
+        days.groupBy("year").applyInPandas(put, "path string").write.format("noop").mode("overwrite").save()
+
+    return written_once("manual", spark, sf, build)
+
+
 def monthly_urgent(spark, sf):
-    rows = table(spark, sf, "orders").select(
-        "o_orderpriority",
-        F.year("o_orderdate").alias("year"),
-        F.month("o_orderdate").alias("month"),
-        cents("o_totalprice").alias("amount"),
-    )
-    month = F.make_date("year", "month", F.lit(1))
-    return rows.groupBy(month.alias("ym")).agg(
-        filtered_sum("amount", F.col("o_orderpriority").contains("URGENT")).alias("urgent"),
-        filtered_sum("amount", F.col("o_orderpriority") == "5-LOW").alias("low"),
-    ).filter("urgent is not null or low is not null")
+    folder = manual_workbooks(spark, sf)
+    urgent = monthly_job(spark, folder, "M2", F.col("item").contains("URGENT"), "so_du", "urgent")
+    low = monthly_job(spark, folder, "CREDIT", F.col("item") == "5-LOW", "so_du", "low")
+    return urgent.join(low, "ym", "full").select("ym", *(F.col(c).cast("bigint").alias(c) for c in ("urgent", "low")))
 
 
 def merged(spark, sf):

@@ -146,7 +146,7 @@ def _supplier_quarters(spark, sf):
     )
 
 
-def _put(folder: str, relative: str, content: bytes) -> str:
+def put_file(folder: str, relative: str, content: bytes) -> str:
     """Write a file below a shared folder; a task that runs again writes the same."""
     store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
     store.create_dir(f"{root}/{relative}".rsplit("/", 1)[0], recursive=True)
@@ -158,7 +158,7 @@ def _put(folder: str, relative: str, content: bytes) -> str:
 _ON_DISK: dict[tuple[str, str, str], str] = {}
 
 
-def _written_once(kind: str, spark, sf: str, build) -> str:
+def written_once(kind: str, spark, sf: str, build) -> str:
     """The folder of files that are built from the tables once in a session."""
     key = (spark.sparkContext.applicationId, sf, kind)
     if key not in _ON_DISK:
@@ -176,13 +176,13 @@ def workbook_folder(spark, sf) -> str:
 
     def build(folder: str) -> None:
         def put(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"path": [_put(folder, path, content) for path, content in _supplier_books(pdf)]})
+            return pd.DataFrame({"path": [put_file(folder, path, content) for path, content in _supplier_books(pdf)]})
 
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         quarters = _supplier_quarters(spark, sf).repartition(tasks, "supplier")
         quarters.groupBy("supplier").applyInPandas(put, "path string").write.format("noop").mode("overwrite").save()
 
-    return _written_once("quarterly-run", spark, sf, build)
+    return written_once("quarterly-run", spark, sf, build)
 
 
 def _read(spark, sf):

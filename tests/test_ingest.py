@@ -210,7 +210,7 @@ def test_structure_leaves_value_cells_unread(spark, tmp_path, monkeypatch):
     every = list(workbook_cells(content, "AAA.xlsx", Wanted(tuple(SHEET_TITLES.values()))))
     n_all = len(read)
     read.clear()
-    wanted = Wanted(tuple(SHEET_TITLES.values()), (LABEL_COLUMN, UNIT_COLUMN))
+    wanted = Wanted(tuple(SHEET_TITLES.values()), columns=(LABEL_COLUMN, UNIT_COLUMN))
     narrow = list(workbook_cells(content, "AAA.xlsx", wanted))
     assert n_all == len(every) and len(read) == len(narrow) == n_all - 4 * 4
     assert not {"1", "2", "x"} & set(read)
