@@ -51,10 +51,14 @@ def entity_calendar(facts: DataFrame) -> DataFrame:
     )
 
 
+def own_periods() -> Column:
+    """All periods of an `entity_calendar` row."""
+    return F.array_union(F.array_union("quarterly_periods", "cumulative_periods"), "yearly_periods")
+
+
 def calendar_rows(calendar: DataFrame) -> DataFrame:
     """The calendar in panel form: one row per entity and period, with a NULL item."""
-    union = F.array_union(F.array_union("quarterly_periods", "cumulative_periods"), "yearly_periods")
-    return calendar.select("entity", F.explode(union).alias("qidx")).select(
+    return calendar.select("entity", F.explode(own_periods()).alias("qidx")).select(
         "entity",
         F.lit(None).cast("string").alias("item"),
         index_year(F.col("qidx")).alias("year"),

@@ -17,15 +17,17 @@ from quarterdeck.config import Formula, ItemRules, PeerGroup
 from quarterdeck.functions.period import index_quarter, index_year, period_start_text
 from quarterdeck.functions.text import clean_name
 from quarterdeck.operators.formulas import (
+    SERIES,
     check_formulas,
     error_table,
-    evaluate,
+    evaluate_blocks,
+    in_blocks,
+    known_columns,
     referenced_items,
-    to_long,
-    widen,
+    vectors,
 )
 from quarterdeck.operators.groups import group_rows, summarize_by_group
-from quarterdeck.operators.panel import PANEL, calendar_rows, entity_calendar, merge_panel, reported
+from quarterdeck.operators.panel import PANEL, calendar_rows, entity_calendar, merge_panel, own_periods
 from quarterdeck.operators.ranking import published_entities
 from quarterdeck.operators.series import derive_series
 from quarterdeck.session import land, scratch_path
@@ -45,28 +47,17 @@ def known_items(facts: DataFrame, items: Sequence[str]) -> list[str]:
     return sorted(r[0] for r in rows)
 
 
-def calendar_of(facts: DataFrame) -> Column:
-    """All periods of the panel as one array (a scalar subquery over three columns of the facts)."""
-    return reported(facts).agg(F.sort_array(F.collect_set("qidx"))).scalar()
+def whole_calendar(calendars: DataFrame) -> Column:
+    """All periods of the panel as one array: a scalar subquery over the entities' calendars."""
+    return calendars.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set(own_periods()))))).scalar()
 
 
-def fill_calendar(evaluated: DataFrame, calendar: Column) -> DataFrame:
-    """One row per entity for every period of the calendar, with NULL metrics where the entity has none.
-
-    Grouped by entity; a group is as long as the calendar.
-    """
-    metrics = [c for c in evaluated.columns if c not in ("entity", "year", "quarter", "qidx")]
-    rows = evaluated.groupBy("entity").agg(
-        F.map_from_entries(F.collect_list(F.struct("qidx", F.struct(*metrics)))).alias("rows")
-    )
-    grid = rows.select("entity", "rows", F.explode(calendar).alias("qidx"))
-    found = grid.select("entity", "qidx", F.try_element_at("rows", F.col("qidx")).alias("m"))
-    return found.select(
-        "entity",
-        index_year(F.col("qidx")).alias("year"),
-        index_quarter(F.col("qidx")).alias("quarter"),
-        "qidx",
-        *[F.col(f"m.{c}").alias(c) for c in metrics],
+def filled_calendar(own: DataFrame, calendar: Column | None) -> DataFrame:
+    """entity, year, quarter, qidx, present: an entity's own `periods`, and those of the whole calendar that it lacks."""
+    periods = F.col("periods") if calendar is None else F.array_union(calendar, F.col("periods"))
+    rows = own.select("entity", F.explode(periods).alias("qidx"), "periods").withColumn("present", F.array_contains("periods", F.col("qidx")))
+    return rows.select(
+        "entity", index_year(F.col("qidx")).alias("year"), index_quarter(F.col("qidx")).alias("quarter"), "qidx", "present"
     )
 
 
@@ -112,27 +103,27 @@ def build_metrics(
     calendars = land(entity_calendar(named), scratch_path(spark, "calendars"))
     merged = merge_panel(named, rules, used, calendars)
     series = land(derive_series(merged, rules, two_point), scratch_path(spark, "series"))
-    spine = calendar_rows(calendars)
     chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
     members = membership.withColumn("entity", F.col("entity").cast("string"))
-    rows = series.select(*PANEL).unionByName(spine)
+    rows = series.select(*PANEL).unionByName(calendar_rows(calendars))
     group_panel = group_rows(rows, members, groups, means, chart, entities=calendars.select("entity"))
-
-    wide = [
-        widen(series, formulas, present, spine, rules),
-        widen(derive_series(group_panel, rules, two_point), formulas, present, rules=rules),
-    ]
-    good, failed = check_formulas(spark, wide[0].columns, formulas)
-    parts = [evaluate(part, good, annualise) for part in wide]
+    group_series = derive_series(group_panel, rules, two_point)
+
+    columns = known_columns(formulas, present, SERIES, rules)
+    good, failed = check_formulas(spark, list(columns), formulas)
+    blocks = in_blocks(good, columns)
+    periods = calendars.select("entity", own_periods().alias("periods"))
+    group_periods = group_panel.groupBy("entity").agg(F.collect_set("qidx").alias("periods"))
+    calendar = None
     if published is not None:
         peers, everyone = published
-        calendar = calendar_of(facts)
-        parts = [
-            fill_calendar(part.filter(published_entities(F.col("entity"), peers, everyone)), calendar)
-            for part in parts
-        ]
-    values = to_long(parts[0].unionByName(parts[1]), good)
-    return Metrics(values, error_table(spark, failed))
+        calendar = whole_calendar(calendars)
+        shown = published_entities(F.col("entity"), peers, everyone)
+        series, group_series, periods, group_periods = (x.filter(shown) for x in (series, group_series, periods, group_periods))
+    found = vectors(series, blocks, columns, filled_calendar(periods, calendar)).unionByName(
+        vectors(group_series, blocks, columns, filled_calendar(group_periods, calendar))
+    )
+    return Metrics(evaluate_blocks(found, blocks, annualise), error_table(spark, failed))
 
 
 def publish(values: DataFrame, formulas: Sequence[Formula]) -> DataFrame:

@@ -158,6 +158,10 @@ _WRONG = (
     ("IS_1 * rand({0})", "not scalar"),
     ("sum(IS_1) / {0}", "unresolved"),
     ("IS_1 / BS_9{0}", "unresolved"),
+    ("IS_1 * `rand`({0})", "not scalar"),
+    ("IS_1 + rand /* x */ ({0})", "not scalar"),
+    ("year(`now`()) + {0}", "not scalar"),
+    ("IS_1 * /* rand() BS_9 */ {0}", None),
     ("IS_1 / {0}", None),
 )
 
@@ -217,7 +221,7 @@ QUERIES = {
         + """)
         SELECT p_brand || ' ' || i AS metric, replace(formula, '{0}', n) AS formula, reason FROM brands, wrong
         WHERE reason IS NOT NULL
-        UNION ALL SELECT p_brand || ' 6''', '1', 'table name' FROM brands""",
+        UNION ALL SELECT p_brand || ' """ + str(len(_WRONG) - 1) + """''', '1', 'table name' FROM brands""",
     ),
     "formula_eval": (
         formula_eval,

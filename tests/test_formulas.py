@@ -63,11 +63,62 @@ def test_undefined_series_windows_and_names_are_errors(spark):
 def test_formulas_in_groups(spark, monkeypatch):
     from quarterdeck.operators import formulas
 
-    monkeypatch.setattr(formulas, "GROUP_SIZE", 2)
+    monkeypatch.setattr(formulas, "BLOCK_FORMULAS", 2)
     values, _ = _batch(spark, [Formula(f"m{k}", f"IS_1 + {k}") for k in range(5)])
     assert {(r["metric"], r["value"]) for r in values.collect() if r["quarter"] == 2} == {(f"m{k}", 6.0 + k) for k in range(5)}
 
 
+HIDDEN = [
+    "`rand`(3)", "rand /* x */ (1)", "`now`()", "IS_1 + uniform(1, 5)", "unix_timestamp()", "year(curdate())", "randstr(3)", "uuid()",
+    "reflect('java.lang.Math', 'random')", "try_reflect('java.lang.Math', 'random')", "length(current_user())", "length(user)",
+    "length(version())", "raise_error('x')", "if(assert_true(true) is null, 1, 2)", "IS_1 in (select 1)", "if(exists(select 1), 1, 2)",
+    "(/* x */ select 1)", "lag(IS_1) over (order by entity)", "transform(array(IS_1), x -> x + rand())[0]",
+    "shuffle(array(1, 2))[0]", "monotonically_increasing_id()", "spark_partition_id()", "length(current_timezone())",
+    "sum(IS_1) over (partition by `entity`)", "length(input_file_name())", "length(current_schema())", "plus_one_udf(IS_1)",
+]
+
+
+def test_no_spelling_hides_what_is_not_scalar(spark):
+    spark.udf.register("plus_one_udf", lambda x: x and x + 1, "double")
+    plain = [Formula(f"ok{k}", t) for k, t in enumerate(["IS_1 /* now() */ + 1", "if('rand(3)' = 'x', 1, IS_1)", "`IS_1`", "round(IS_1 / 3, 2)"])]
+    good, failed = check_formulas(spark, ["IS_1"], plain + [Formula(f"m{k}", t) for k, t in enumerate(HIDDEN)])
+    assert {f.metric for f in good} == {f.metric for f in plain}
+    assert {(f.text, reason) for f, reason, _ in failed} == {(t, "not scalar") for t in HIDDEN}
+
+
+def test_brackets_and_comments(spark):
+    texts = {"IS_1) + (2": False, "1) AS DOUBLE), CAST((2": False, "IS_1 -- note": True, "IS_1 /* (": False, "')' = ')' or true": True}
+    good, _ = check_formulas(spark, ["IS_1"], [Formula(f"m{k}", t) for k, t in enumerate(texts)])
+    assert [f.text for f in good] == [t for t, fine in texts.items() if fine]
+
+
+def test_blocks_are_bounded(monkeypatch):
+    from quarterdeck.operators import formulas
+
+    monkeypatch.setattr(formulas, "BLOCK_FORMULAS", 3)
+    monkeypatch.setattr(formulas, "BLOCK_COLUMNS", 4)
+    texts = ["BS_1 + BS_2", "BS_2 + BS_3", "1", "BS_1", "BS_4 + BS_5 + BS_6 + BS_7 + BS_8", "BS_1 /* BS_9 */"]
+    blocks = formulas.in_blocks([Formula(f"m{k}", t) for k, t in enumerate(texts)], {f"BS_{k}" for k in range(9)})
+    assert [[f.metric for f in b.formulas] for b in blocks] == [["m0", "m1", "m2"], ["m3"], ["m4"], ["m5"]]
+    assert blocks[0].columns == ["BS_1", "BS_2", "BS_3"]
+
+
+def test_thousands_of_formulas(spark):
+    items = [f"BS_{k}" for k in range(1, 2001)]
+    cells = spark.range(6000).select(
+        F.lit("A").alias("entity"), F.format_string("BS_%d", F.expr("id div 3 + 1")).alias("item"), F.lit(2023).alias("year"),
+        (F.col("id") % 3 + 1).cast("int").alias("quarter"), (F.col("id") % 3 + 8093).cast("int").alias("qidx"),
+        F.expr("cast((id div 3 + 1) * 10 + id % 3 as double)").alias("value"),
+    )
+    formulas = [Formula(f"m{k}", f"BS_{k % 2000 + 1} + BS_{(k * 7) % 2000 + 1} * {k}") for k in range(5000)]
+    values, errors = formula_batch(cells, formulas, items)
+    assert errors.count() == 0
+    got = {(r["metric"], r["quarter"]): r["value"] for r in values.collect()}
+    cell = lambda n, q: n * 10.0 + q - 1
+    assert len(got) == 15000
+    assert all(got[f"m{k}", q] == cell(k % 2000 + 1, q) + cell((k * 7) % 2000 + 1, q) * k for k in range(5000) for q in (1, 2, 3))
+
+
 def test_annualise_binds_quarter_to_one(spark):
     formula = [Formula("a", "IS_1 / quarter * 4")]
     plain, annual = (_batch(spark, formula, flag)[0] for flag in (False, True))
