@@ -178,11 +178,17 @@ def merge_panel(
     Equal rows for one cell count once, a cell with two values is missing (`clashing_cells`). `items` limits the panel; the filter reaches the scan
     of the facts, while the calendar still sees all of them. `calendar` is `entity_calendar(facts)`, if at hand.
     """
+    calendar = entity_calendar(facts) if calendar is None else calendar
     wanted = facts if items is None else facts.filter(F.col("item").isin(*items))
-    placed = with_index(wanted).filter(F.col("qidx").isNotNull())
+    reports = with_index(wanted).filter(F.col("qidx").isNotNull() & F.col("freq").isin(CUMULATIVE, YEARLY))
+    return uncovered_year_to_date(wanted, rules, calendar).unionByName(_as_reported(reports, calendar))
+
+
+def uncovered_year_to_date(facts: DataFrame, rules: ItemRules, calendar: DataFrame | None = None) -> DataFrame:
+    """Year-to-date rows of the quarterly facts, in the periods that no other frequency of the entity covers."""
     calendar = entity_calendar(facts) if calendar is None else calendar
-    quarterly = _year_to_date(placed.filter(F.col("freq") == QUARTERLY), calendar, rules)
-    return quarterly.unionByName(_as_reported(placed.filter(F.col("freq").isin(CUMULATIVE, YEARLY)), calendar))
+    placed = with_index(facts).filter(F.col("qidx").isNotNull() & (F.col("freq") == QUARTERLY))
+    return _year_to_date(placed, calendar, rules)
 
 
 def tag_quarterly(facts: DataFrame) -> DataFrame:
@@ -193,9 +199,3 @@ def ytd_cumulate(quarterly: DataFrame, rules: ItemRules) -> DataFrame:
     """Year-to-date panel of purely quarterly facts."""
     facts = tag_quarterly(quarterly)
     return _year_to_date(with_index(facts).filter(F.col("qidx").isNotNull()), entity_calendar(facts), rules)
-
-
-def drop_covered_periods(facts: DataFrame, preferred: DataFrame) -> DataFrame:
-    """Drop the (entity, period) rows that a preferred source covers, whichever items it holds."""
-    covered = preferred.select("entity", "year", "quarter").distinct()
-    return facts.join(covered, ["entity", "year", "quarter"], "left_anti")

@@ -12,9 +12,20 @@ from quarterdeck.operators.reshape import pivot_unique
 from quarterdeck.session import checkpointed
 
 
-def latest_values(values: DataFrame, latest: Column) -> DataFrame:
-    """Value of every (metric, entity) at the latest period; NULL where the entity has none there."""
-    return values.groupBy("metric", "entity").agg(F.max(F.when(F.col("qidx") == latest, F.col("value"))).alias("value"))
+def latest_values(values: DataFrame, shown: Column, latest: Column | None = None) -> DataFrame:
+    """Value of every (metric, entity) that is `shown` at the latest period; NULL where the entity has none there.
+
+    One pass: an aggregate keeps each key's last period with its value, all entities that are not shown being one key of
+    their metric; the latest period is that of the keys. `latest` sets it instead.
+    """
+    last = F.max(F.struct("qidx", "value")).alias("last")
+    keyed = values.groupBy("metric", F.when(shown, F.col("entity")).alias("entity"), shown.alias("_shown"))
+    if latest is None:
+        keys = checkpointed(keyed.agg(last))  # as many as metrics and entities; read twice
+        latest = keys.agg(F.max("last.qidx")).scalar()
+    else:
+        keys = keyed.agg(F.max(F.when(F.col("qidx") == latest, F.struct("qidx", "value"))).alias("last"))
+    return keys.filter("_shown").select("metric", "entity", F.when(F.col("last.qidx") == latest, F.col("last.value")).alias("value"))
 
 
 def rank_latest_period(values: DataFrame, peers: Sequence | DataFrame, latest: Column | None = None) -> DataFrame:
@@ -23,13 +34,12 @@ def rank_latest_period(values: DataFrame, peers: Sequence | DataFrame, latest: C
     A configured list of peers bounds the rows per metric, so a plain window ranks them. Peers given as a DataFrame
     (column `entity`) may be any number and are ranked with range partitioning.
     """
-    if latest is None:
-        latest = values.agg(F.max("qidx")).scalar()
     order = [F.col("value").desc_nulls_first(), F.col("entity").asc()]
     if isinstance(peers, DataFrame):
-        kept = latest_values(values.join(peers.select("entity").distinct(), "entity", "left_semi"), latest)
+        listed = peers.select("entity", F.lit(True).alias("_peer")).distinct()
+        kept = latest_values(values.join(listed, "entity", "left"), F.coalesce("_peer", F.lit(False)), latest)
         return number_by_order(kept, ["metric"], order, "latest_rank")
-    kept = latest_values(values.filter(F.col("entity").isin(*peers)), latest)
+    kept = latest_values(values, F.coalesce(F.col("entity").isin(*peers), F.lit(False)), latest)
     rank = F.row_number().over(Window.partitionBy("metric").orderBy(*order))
     return kept.withColumn("latest_rank", rank.cast("long"))
 

@@ -7,6 +7,27 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    ByteType,
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    IntegralType,
+    LongType,
+    MapType,
+    NullType,
+    NumericType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from quarterdeck.functions.period import extract_or_null
 from quarterdeck.functions.text import map_strict
@@ -39,9 +60,49 @@ def pivot_unique(
     return df.groupBy(*index).agg(*cells)
 
 
+#: Types from narrow to wide; two of one list have the wider in common, all others have text.
+_LADDERS = (
+    (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType),
+    (DateType, TimestampNTZType, TimestampType),
+)
+
+
+def common_type(types: Sequence[DataType]) -> DataType:
+    """The type that holds values of all of them: a number's wider kind, a date's, or text.
+
+    Whole numbers beside fractions are doubles, as a float holds few of their digits. Decimals meet whole numbers in a
+    decimal that holds both, and doubles in a double. Lists and structures have none in common but their own type.
+    """
+    known = list(dict.fromkeys(t for t in types if not isinstance(t, NullType)))
+    if len(known) <= 1:
+        return known[0] if known else StringType()
+    nested = [t for t in known if isinstance(t, (ArrayType, MapType, StructType))]
+    if nested:
+        raise ValueError(f"no type in common: {', '.join(t.simpleString() for t in known)}")
+    if all(isinstance(t, (DecimalType, IntegralType)) for t in known):
+        whole = max(t.precision - t.scale if isinstance(t, DecimalType) else 19 for t in known)
+        scale = max(t.scale if isinstance(t, DecimalType) else 0 for t in known)
+        if any(isinstance(t, DecimalType) for t in known):
+            return DecimalType(min(whole + scale, 38), scale)
+    if all(isinstance(t, NumericType) for t in known) and any(isinstance(t, DecimalType) for t in known):
+        return DoubleType()
+    for ladder in _LADDERS:
+        if all(type(t) in ladder for t in known):
+            widest = max(known, key=lambda t: ladder.index(type(t)))
+            mixed = isinstance(widest, FloatType) and any(isinstance(t, IntegralType) for t in known)
+            return DoubleType() if mixed else widest
+    return StringType()
+
+
 def union_relaxed(frames: Sequence[DataFrame]) -> DataFrame:
-    """Union by name; missing columns become NULL and types widen."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """Union by name; missing columns become NULL, and columns of several types get the one they have in common."""
+    found: dict[str, list[DataType]] = {}
+    for frame in frames:
+        for column in frame.schema:
+            found.setdefault(column.name, []).append(column.dataType)
+    target = {name: common_type(types) for name, types in found.items()}
+    cast = lambda f: f.select(*(F.col(f"`{c.name}`").cast(target[c.name]).alias(c.name) for c in f.schema))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), map(cast, frames))
 
 
 def union_strict(frames: Sequence[DataFrame]) -> DataFrame:

@@ -95,19 +95,20 @@ def add_trailing_year(panel: DataFrame, rules: ItemRules) -> DataFrame:
 def add_two_point_average(panel: DataFrame) -> DataFrame:
     """Mean of this and the entity's previous reported period, whatever its distance.
 
-    The previous period is the entity's, not the item's: an item missing there gives NULL. The entity's calendar is
-    joined after the window, so that join can be split if an entity is very large.
+    The previous period is the entity's, not the item's: an item missing there gives NULL. The entity's calendar is handed
+    to its items first, so the values meet it in the partitioning of the window and are never shuffled by entity alone.
     """
     by_item = Window.partitionBy("entity", "item").orderBy("qidx")
     calendar = panel.groupBy("entity").agg(F.sort_array(F.collect_set("qidx")).alias("_periods"))
+    of_items = panel.select("entity", "item").distinct().join(calendar, "entity")
     position = F.array_position("_periods", F.col("qidx")).cast("int")
     previous = F.get("_periods", position - 2)
     return (
         panel.withColumn("_before", F.lag("qidx").over(by_item))
         .withColumn("_both", (F.col("value") + F.lag("value").over(by_item)) / 2)
-        .join(calendar, "entity")
+        .join(of_items, ["entity", "item"])
         .withColumn("avg", F.when(F.col("_before") == previous, F.col("_both")))
-        .drop("_before", "_both", "_periods")
+        .select(*panel.columns, "avg")
     )
 
 
@@ -120,7 +121,8 @@ def defined_series(item: str, rules: ItemRules) -> set[str]:
 def derive_series(panel: DataFrame, rules: ItemRules, two_point: bool = False) -> DataFrame:
     """`avg` and `roll5` for stock items, `roll4` for income items, on one exchange.
 
-    `two_point` takes the mean of this and the previous reported period as `avg`; that reads the panel twice.
+    `two_point` takes the mean of this and the previous reported period as `avg`; that reads the panel three times, but its
+    values once.
     """
     source = add_two_point_average(panel).withColumnRenamed("avg", "_avg") if two_point else panel
     average = F.col("_avg") if two_point else average_balance(rules)

@@ -66,7 +66,7 @@ def enrich_panel(
     membership: DataFrame,
     groups: Sequence[PeerGroup],
     rules: ItemRules,
-    items: Column | None = None,
+    items: DataFrame | None = None,
     means: bool = True,
     two_point: bool = False,
 ) -> DataFrame:
@@ -103,10 +103,10 @@ def build_metrics(
     calendars = land(entity_calendar(named), scratch_path(spark, "calendars"))
     merged = merge_panel(named, rules, used, calendars)
     series = land(derive_series(merged, rules, two_point), scratch_path(spark, "series"))
-    chart = F.array(*[F.lit(i) for i in used]).cast("array<string>")
+    chart = spark.createDataFrame([(i,) for i in used], "item string")
     members = membership.withColumn("entity", F.col("entity").cast("string"))
     rows = series.select(*PANEL).unionByName(calendar_rows(calendars))
-    group_panel = group_rows(rows, members, groups, means, chart, entities=calendars.select("entity"))
+    group_panel = group_rows(rows, members, groups, means, chart)
     group_series = derive_series(group_panel, rules, two_point)
 
     columns = known_columns(formulas, present, SERIES, rules)

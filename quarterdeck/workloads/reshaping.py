@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, drop_covered_periods, ytd_cumulate
+from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, uncovered_year_to_date
 from quarterdeck.operators.reshape import (
     duplicate_keys,
     item_number,
@@ -121,18 +121,22 @@ def join_prior_fy_py(spark, sf):
 
 
 def anti_source_precedence(spark, sf):
-    """Quarterly-derived rows of the periods that no cumulative report covers."""
-    reports = reports_by_period(spark, sf)
-    ytd = ytd_cumulate(reports.filter(F.col("freq") == QUARTERLY), DENSE_RULES)
-    kept = drop_covered_periods(ytd, reports.filter(F.col("freq") == CUMULATIVE))
+    """Quarterly-derived rows of the periods that no cumulative report covers, as the panel merge has them."""
+    reports = reports_by_period(spark, sf).filter(F.col("freq").isin(QUARTERLY, CUMULATIVE))
+    kept = uncovered_year_to_date(reports, DENSE_RULES)
     return kept.select("entity", "item", "year", "quarter", r4("value").alias("value"))
 
 
 def union_diagonal(spark, sf):
-    customers = table(spark, sf, "customer").select(F.col("c_name").alias("name"), "c_custkey", F.col("c_nationkey").alias("nation"))
+    """Columns that one side lacks, and columns of two types: int and long, int and text, whole and fractional, date and time."""
+    customers = table(spark, sf, "customer").select(
+        F.col("c_name").alias("name"), "c_custkey", F.col("c_nationkey").cast("int").alias("nation"),
+        F.col("c_custkey").cast("int").alias("code"), F.col("c_nationkey").cast("int").alias("amount"), F.lit("2024-01-02").cast("date").alias("at"),
+    )
     suppliers = table(spark, sf, "supplier").select(
-        F.col("s_name").alias("name"), "s_suppkey", F.col("s_nationkey").cast("bigint").alias("nation")
-    )
+        F.col("s_name").alias("name"), "s_suppkey", F.col("s_nationkey").cast("bigint").alias("nation"), F.col("s_name").alias("code"),
+        (F.col("s_suppkey") + 0.5).cast("double").alias("amount"), F.lit("2024-01-02 03:04:05").cast("timestamp_ntz").alias("at"),
+    )
     return union_relaxed([customers, suppliers])
 
 
@@ -248,8 +252,9 @@ QUERIES = {
     ),
     "union_diagonal": (
         union_diagonal,
-        """SELECT c_name AS name, c_custkey, CAST(c_nationkey AS BIGINT) AS nation, NULL::BIGINT AS s_suppkey FROM customer
-           UNION ALL SELECT s_name, NULL, s_nationkey, s_suppkey FROM supplier""",
+        """SELECT c_name AS name, c_custkey, CAST(c_nationkey AS BIGINT) AS nation, NULL::BIGINT AS s_suppkey,
+             CAST(c_custkey AS VARCHAR) AS code, CAST(c_nationkey AS DOUBLE) AS amount, TIMESTAMP '2024-01-02 00:00:00' AS at FROM customer
+           UNION ALL SELECT s_name, NULL, s_nationkey, s_suppkey, s_name, s_suppkey + 0.5, TIMESTAMP '2024-01-02 03:04:05' FROM supplier""",
     ),
     "union_strict": (
         union_same,

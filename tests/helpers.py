@@ -1,5 +1,8 @@
 """Small frames in, plain rows out."""
 
+import re
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 
@@ -20,3 +23,24 @@ def panel(spark, data):
 def by_key(df, value="value"):
     """{(entity, item, 'YYYY_qN'): value}"""
     return {(r["entity"], r["item"], f"{r['year']}_q{r['quarter']}"): r[value] for r in df.collect()}
+
+
+def exchanges(df):
+    """(columns, keys) of every hash exchange, and the columns of every file scan, of a plan without broadcasts.
+
+    Build `df` under `no_broadcasts`.
+    """
+    modes = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().explainString(modes.fromString("formatted")))
+    found = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\((.*?), \d+\)", plan)
+    return [(columns.split(", "), keys) for columns, keys in found], re.findall(r"ReadSchema: struct<(.*?)>", plan)
+
+
+@contextmanager
+def no_broadcasts(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -145,6 +145,18 @@ def test_rank_nulls_first_then_nan_then_descending(spark):
     assert [r["entity"] for r in ranged.orderBy("latest_rank").collect()] == expected
 
 
+def test_ranking_reads_the_values_once(spark, tmp_path):
+    path = str(tmp_path / "values")
+    _values(spark).write.parquet(path)
+    stored = spark.read.parquet(path)
+    ranked = rank_latest_period(stored, ["A", "B", "C"])
+    plan = ranked._jdf.queryExecution().toString()
+    assert "parquet" not in plan.split("== Physical Plan ==")[1]  # the keys were aggregated when they were checkpointed
+    assert [(r["entity"], r["value"]) for r in ranked.orderBy("latest_rank").collect()] == [("B", None), ("C", None), ("A", 1.0)]
+    fixed = rank_latest_period(stored, ["A", "C"], F.lit(7))
+    assert [(r["entity"], r["value"]) for r in fixed.orderBy("latest_rank").collect()] == [("A", None), ("C", 9.0)]
+
+
 def test_wide_metric_orders_peers_then_groups(spark):
     values = spark.createDataFrame(
         [(e, 2023, q, 8092 + q, "m", v) for e, q, v in

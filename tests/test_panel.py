@@ -17,7 +17,7 @@ from quarterdeck.operators.panel import (
     ytd_cumulate,
 )
 from quarterdeck.operators.reshape import duplicate_keys, pivot_unique, union_strict, unpivot
-from tests.helpers import by_key, facts, panel, rows
+from tests.helpers import by_key, exchanges, facts, no_broadcasts, panel, rows
 
 RULES = ItemRules()
 
@@ -200,6 +200,31 @@ def test_total_is_mean_times_members_without_nulls(spark):
         assert out["Sum 8 all", "x", p] == out["BQ 8 all", "x", p] * 8
 
 
+def test_group_rows_read_the_panel_once(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    panel(spark, [(f"E{i}", f"BS_{k}", "2023_q1", i) for i in range(6) for k in range(4)]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    members = membership_of(stored, {"all": [f"E{i}" for i in range(4)]})
+    with no_broadcasts(spark):
+        found, scans = exchanges(group_rows(stored, members, GROUPS[1:]))
+    # The panel itself was read when its cells were landed; what is left reads them.
+    assert len(found) <= 6 and not any("entity" in keys for _, keys in found)
+    assert all("group" in s or "item" in s for s in scans)
+    assert "Subquery" not in group_rows(stored, members, GROUPS[1:])._jdf.queryExecution().toString()
+
+
+def test_grid_with_a_given_chart_and_hot_groups(spark):
+    data = panel(spark, [(f"E{i}", f"BS_{i % 3}", f"202{i % 2}_q1", i) for i in range(300)] + [("X", "IS_7", "2020_q1", 1)])
+    members = membership_of(data, {"g": [f"E{i}" for i in range(300)], "all": ["E0", "E1"]})
+    chart = spark.createDataFrame([("BS_0",), ("BS_9",)], "item string")
+    got = by_key(group_rows(data, members, GROUPS, items=chart))
+    assert {i for _, i, _ in got} == {"BS_0", "BS_9"}
+    assert got["BQ 300 g", "BS_0", "2020_q1"] == sum(range(0, 300, 6)) / 50
+    assert got["Sum 2 all", "BS_9", "2021_q1"] == 0.0 and got["BQ 2 all", "BS_9", "2021_q1"] is None
+    whole = by_key(group_rows(data, members, GROUPS))
+    assert {i for _, i, _ in whole} == {"BS_0", "BS_1", "BS_2", "IS_7"}
+
+
 def test_partitioning_does_not_change_the_panel(spark):
     mixed = _mixed(spark)
     expected = rows(merge_panel(mixed, RULES))

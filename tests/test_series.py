@@ -3,7 +3,7 @@ import pytest
 from quarterdeck.config import ItemRules
 from quarterdeck.operators import series as S
 from quarterdeck.operators.panel import ytd_cumulate
-from tests.helpers import by_key, facts, panel
+from tests.helpers import by_key, exchanges, facts, no_broadcasts, panel
 
 RULES = ItemRules()
 SEMI = ItemRules(semi_annual=("S",))
@@ -69,6 +69,15 @@ def test_two_point_average_follows_the_entitys_rows(spark):
     assert out["A", "x", "2022_q1"] is None
 
 
+def test_two_point_average_never_shuffles_values_by_entity_alone(spark, tmp_path):
+    path = str(tmp_path / "panel")
+    panel(spark, [("A", "x", "2022_q1", 2), ("B", "y", "2022_q1", 3)]).write.parquet(path)
+    with no_broadcasts(spark):
+        found, _ = exchanges(S.add_two_point_average(spark.read.parquet(path)))
+    assert any(keys == "entity, item" and "value" in columns for columns, keys in found)
+    assert not any(keys == "entity" and "value" in columns for columns, keys in found)
+
+
 def test_series_apply_to_their_items_only(spark):
     data = quarters(2022, range(1, 10)) + quarters(2022, range(1, 10), item="IS_1") + quarters(2022, range(1, 10), item="NOTES_120")
     last = {r["item"]: r for r in S.derive_series(panel(spark, data), RULES).filter("year = 2024").collect()}
