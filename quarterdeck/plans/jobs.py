@@ -25,9 +25,9 @@ from quarterdeck.operators.panel import QUARTERLY, clashing_cells
 from quarterdeck.plans.ingest import ingest, land_cells
 from quarterdeck.plans.metrics import build_metrics, publish
 from quarterdeck.plans.reports import audit_job, monthly_sum
-from quarterdeck.session import land, scratch_path
+from quarterdeck.session import land, scratch_path, scratch_scope
 from quarterdeck.sinks.sql_script import write_script, write_scripts
-from quarterdeck.sinks.writers import period_columns, replace_table, wide_raw_panel, write_csv, write_partitioned
+from quarterdeck.sinks.writers import period_columns, replace_table, replace_tables, wide_raw_panel, write_csv, write_partitioned
 from quarterdeck.sources.statements import plain_rows
 from quarterdeck.sources.tables import formula_list, read_dictionary, read_formulas
 from quarterdeck.sources.workbooks import good_cells, quarantine, read_workbooks
@@ -53,11 +53,14 @@ def metrics_job(
     rules: ItemRules = ItemRules(),
     means: bool = True,
     two_point: bool = False,
+    tables: str | None = None,
 ) -> dict[str, DataFrame]:
     """Workbooks and formulas to one partition and one SQL script per metric, below its sheet.
 
-    Returns `metrics`, `formula_errors`, `rejected` (workbooks, sheets and headers) and `clashes` (cells with two values,
-    which count as missing). Entities outside the full list are not read. `means` and `two_point` as in `enrich_panel`.
+    With a folder `tables`, every metric also replaces a table of the catalog, whose data lie there. Returns `metrics`,
+    `formula_errors`, `table_errors` (tables that could not be replaced), `rejected` (workbooks, sheets and headers) and
+    `clashes` (cells with two values, which count as missing). Entities outside the full list are not read. `means` and
+    `two_point` as in `enrich_panel`. Scratch data are deleted once the metrics are written.
     """
     done = ingest(land_cells(spark, folder, f"{work}/cells"))
     columns = ("freq", "entity", "item", "year", "quarter", "value")
@@ -66,15 +69,23 @@ def metrics_job(
     formulas = formula_list(read_formulas(spark, formulas_csv))
     members = membership_of(facts, peers.members)
     shown = (peers.ranked, peers.everyone)
-    result = build_metrics(
-        facts, members, peers.groups, formulas, rules, published=shown, means=means, two_point=two_point
-    )
-    write_partitioned(publish(result.values, formulas), f"{out}/metrics", "sheet", "table_name")
+    with scratch_scope(spark):
+        result = build_metrics(
+            facts, members, peers.groups, formulas, rules, published=shown, means=means, two_point=two_point
+        )
+        write_partitioned(publish(result.values, formulas), f"{out}/metrics", "sheet", "table_name")
     metrics = spark.read.parquet(f"{out}/metrics")
-    write_scripts(metrics.select("yq", "name", "value", "table_name"), "table_name", f"{out}/sql")
+    columns = ["yq", "name", "value"]
+    write_scripts(metrics.select(*columns, "table_name"), "table_name", f"{out}/sql")
+    failed = {}
+    if tables is not None:
+        names = [r[0] for r in metrics.select("table_name").distinct().orderBy("table_name").collect()]
+        frames = {n: metrics.filter(F.col("table_name") == n).select(*columns) for n in names}  # as many as formulas
+        failed = replace_tables(frames, tables)
     return {
         "metrics": metrics,
         "formula_errors": result.errors,
+        "table_errors": spark.createDataFrame(list(failed.items()), "table_name string, error string"),
         "rejected": done.rejected,
         "clashes": clashing_cells(facts),
     }

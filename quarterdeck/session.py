@@ -24,9 +24,32 @@ def shared_dir(spark: SparkSession) -> str:
     return current
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/quarterdeck/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/quarterdeck/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch paths taken inside are deleted at the end, also after an error. What is still read must be written elsewhere."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            remove(spark, path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

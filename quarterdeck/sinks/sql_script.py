@@ -9,7 +9,8 @@ from pyspark.sql.types import BooleanType, DataType, DoubleType, FloatType, Nume
 from quarterdeck.sinks.writers import storage_type, temporal_as_text
 
 BATCH_ROWS = 200
-_TABLE, _PLACE = "_table", "_place"
+#: Copies of a row that stay together.
+RUN_ROWS = 10_000
 
 
 def sql_literal(value: Column, data_type: DataType) -> Column:
@@ -26,17 +27,19 @@ def sql_literal(value: Column, data_type: DataType) -> Column:
     return F.coalesce(F.when(value.isNotNull(), text), F.lit("NULL"))
 
 
-def _tuple(df: DataFrame) -> tuple[DataFrame, Column]:
-    """The frame with dates as text, and the parenthesised literals of a row."""
-    texts = temporal_as_text(df)
-    literals = [sql_literal(F.col(f"`{f.name}`"), f.dataType) for f in texts.schema if f.name not in (_TABLE, _PLACE)]
-    return texts, F.concat(F.lit("("), F.concat_ws(", ", *literals), F.lit(")"))
+def _literals(df: DataFrame) -> Column:
+    """The parenthesised literals of a row of a frame without dates."""
+    return F.concat(F.lit("("), F.concat_ws(", ", *(sql_literal(F.col(_cited(f.name)), f.dataType) for f in df.schema)), F.lit(")"))
+
+
+def _cited(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def row_tuples(df: DataFrame) -> DataFrame:
     """One column `tuple` with the parenthesised literals of each row."""
-    texts, values = _tuple(df)
-    return texts.select(values.alias("tuple"))
+    texts = temporal_as_text(df)
+    return texts.select(_literals(texts).alias("tuple"))
 
 
 def _quoted(name: str) -> str:
@@ -52,26 +55,36 @@ def create_statements(df: DataFrame, table: str) -> list[str]:
     return [f"DROP TABLE IF EXISTS {_quoted(table)};", f"CREATE TABLE {_quoted(table)} ({columns});"]
 
 
-def insert_statements(df: DataFrame, table: str | Column, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """Multi-row INSERT statements (columns `table`, `statement`) of at most `batch_rows` rows.
+def insert_statements(df: DataFrame, table: str, batch_rows: int = BATCH_ROWS, by: str | None = None) -> DataFrame:
+    """Multi-row INSERT statements (columns `table`, `batch`, `statement`) of at most `batch_rows` rows.
 
-    `table` is one name or a column that names each row's table; such a column may be one of `df` that starts with an
-    underscore, and is then not inserted. Rows are numbered where they lie, sorted by table, and strung together by
-    (table, partition, batch), so a group is one statement.
+    All columns are inserted into `table`; with `by` they go to the table that this column names, and it alone is left out.
+    Rows are dealt to tasks by their content and sorted by it, so their places, and with them the statements, are the same
+    whenever a task or the whole job runs again with as many shuffle partitions. Equal rows are counted before they are
+    dealt and then spread in runs of RUN_ROWS, so a row that comes very often does not end up in one task.
     """
-    name = table if isinstance(table, Column) else F.lit(table)
-    columns = [c for c in df.columns if not c.startswith("_")]
-    named = df.withColumn(_TABLE, name).select(*columns, _TABLE)
-    placed = named.sortWithinPartitions(_TABLE).withColumn(_PLACE, F.monotonically_increasing_id())
-    texts, values = _tuple(placed)
-    part, local = F.shiftright(_PLACE, 33), F.col(_PLACE).bitwiseAND((1 << 33) - 1)
-    batches = texts.groupBy(F.col(_TABLE).alias("table"), part.alias("part"), F.floor(local / batch_rows).alias("batch")).agg(
-        F.sort_array(F.collect_list(F.struct(_PLACE, values.alias("tuple")))).alias("rows")
+    spark = df.sparkSession
+    values = df.drop(by) if by else df
+    texts = temporal_as_text(values)
+    names = F.col(_cited(by)).cast("string") if by else F.lit(table)
+    tuples = temporal_as_text(df).select(names.alias("table"), _literals(texts).alias("tuple"))
+    counted = tuples.groupBy("table", "tuple").agg(F.count("*").alias("copies"))
+    runs = counted.select(
+        "table", "tuple", "copies", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {RUN_ROWS}"))).alias("run")
     )
-    listed = ", ".join(map(_quoted, columns))
+    left = F.least(F.col("copies") - F.col("run") * RUN_ROWS, F.lit(RUN_ROWS))
+    content = ["table", "tuple", "run"]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.select(*content, left.alias("copies")).repartition(partitions, *content).sortWithinPartitions(*content)
+    copies = dealt.select("table", "tuple", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+    placed = copies.select("table", "tuple", F.monotonically_increasing_id().alias("place"))
+    part, local = F.shiftright("place", 33), F.col("place").bitwiseAND((1 << 33) - 1)
+    batch = F.format_string("%08d-%012d", part, F.floor(local / batch_rows))
+    batches = placed.groupBy("table", batch.alias("batch")).agg(F.sort_array(F.collect_list(F.struct("place", "tuple"))).alias("rows"))
+    listed = ", ".join(map(_quoted, values.columns))
     body = F.array_join(F.transform("rows", lambda r: r["tuple"]), ", ")
     head = F.concat(F.lit("INSERT INTO "), _quoted_column(F.col("table")), F.lit(f" ({listed}) VALUES "))
-    return batches.select("table", F.concat(head, body, F.lit(";")).alias("statement"))
+    return batches.select("table", "batch", F.concat(head, body, F.lit(";")).alias("statement"))
 
 
 def write_script(df: DataFrame, table: str, path: str, batch_rows: int = BATCH_ROWS) -> bool:
@@ -80,7 +93,8 @@ def write_script(df: DataFrame, table: str, path: str, batch_rows: int = BATCH_R
     Values may hold line breaks: statements end with `;` and a line break and are not split by line on replay.
     """
     spark = df.sparkSession
-    insert_statements(df, table, batch_rows).select("statement").write.mode("overwrite").text(f"{path}/rows")
+    statements = insert_statements(df, table, batch_rows)
+    statements.orderBy("batch").select("statement").write.mode("overwrite").text(f"{path}/rows")
     if spark.read.text(f"{path}/rows").isEmpty():
         return False
     ddl = spark.createDataFrame([("\n".join(create_statements(df, table)),)], "statement string")
@@ -94,10 +108,10 @@ def write_scripts(df: DataFrame, by: str, path: str, batch_rows: int = BATCH_ROW
     Column `by` names the table of a row and is not inserted itself.
     """
     data = df.drop(by)
-    named = df.withColumnRenamed(by, "_into")
-    insert_statements(named, F.col("_into"), batch_rows).write.mode("overwrite").partitionBy("table").text(f"{path}/rows")
+    statements = insert_statements(df, "", batch_rows, by).orderBy("table", "batch").select("table", "statement")
+    statements.write.mode("overwrite").partitionBy("table").text(f"{path}/rows")
     kinds = ", ".join(f"{_quoted(f.name)} {storage_type(f.dataType)}" for f in data.schema)
     name = _quoted_column(F.col("table"))
     ddl = F.concat(F.lit("DROP TABLE IF EXISTS "), name, F.lit(";\nCREATE TABLE "), name, F.lit(f" ({kinds});"))
-    tables = df.select(F.col(by).alias("table")).distinct()
+    tables = df.select(F.col(_cited(by)).cast("string").alias("table")).distinct()
     tables.select("table", ddl.alias("statement")).write.mode("overwrite").partitionBy("table").text(f"{path}/create")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -19,6 +20,7 @@ from pyspark.sql.types import (
 )
 
 from quarterdeck.operators.reshape import pivot_unique
+from quarterdeck.session import remove
 
 
 def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
@@ -94,16 +96,59 @@ def as_published(df: DataFrame) -> DataFrame:
     return texts.select(*[F.col(f.name).cast(_SPARK_TYPES[storage_type(f.dataType)]).alias(f.name) for f in texts.schema])
 
 
-def replace_table(df: DataFrame, table: str, path: str | None = None) -> bool:
-    """Replace a table and its columns; an empty result leaves the old one alone. Returns whether it was written."""
+def replace_table(df: DataFrame, table: str, folder: str | None = None) -> bool:
+    """Replace a table and its columns; an empty result leaves the old one alone. Returns whether it was replaced.
+
+    The result is staged as a table of its own, `<table>__next`, and read back before anything happens to the old one; then
+    the names are swapped. A run that ends in between leaves the old table as it was, or, between the two renames, as
+    `<table>__old`, from which the next run takes it back. `folder` holds the data of the versions; without one the
+    catalog's warehouse does.
+    """
+    spark = df.sparkSession
+    following, former = f"{table}__next", f"{table}__old"
+    recover_table(spark, table)
     published = as_published(df)
-    if published.isEmpty():
-        return False
     writer = published.write.mode("overwrite").format("parquet")
-    (writer.option("path", path) if path else writer).saveAsTable(table)
+    version = f"{folder.rstrip('/')}/{uuid.uuid4().hex}" if folder else None
+    try:
+        (writer.option("path", version) if version else writer).saveAsTable(following)
+    except Exception:
+        if version:
+            remove(spark, version)
+        raise
+    staged = spark.table(following)
+    if staged.dtypes != published.dtypes:
+        raise ValueError(f"{following} holds {staged.dtypes}, not {published.dtypes}")
+    if staged.isEmpty():
+        _drop(spark, following)
+        return False
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+    _drop(spark, former)
     return True
 
 
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Take back what a run left that ended before it was done: the old table, if it has no name, and no staged one."""
+    if spark.catalog.tableExists(f"{table}__old"):
+        if spark.catalog.tableExists(table):
+            _drop(spark, f"{table}__old")
+        else:
+            spark.sql(f"ALTER TABLE {table}__old RENAME TO {table}")
+    _drop(spark, f"{table}__next")
+
+
+def _drop(spark: SparkSession, table: str) -> None:
+    """Drop a table with its data, which a catalog leaves where a folder was given."""
+    if not spark.catalog.tableExists(table):
+        return
+    detail = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    spark.sql(f"DROP TABLE {table}")
+    if detail.get("Type") == "EXTERNAL" and detail.get("Location"):
+        remove(spark, detail["Location"])
+
+
 def replace_tables(frames: Mapping[str, DataFrame], folder: str | None = None) -> dict[str, str]:
     """Replace several tables; a failing one is reported and does not stop the others."""
     errors = {}

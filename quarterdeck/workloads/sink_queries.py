@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from quarterdeck.plans.reports import monthly_sum, raw_panel
-from quarterdeck.session import scratch_path
+from quarterdeck.session import checkpointed, scratch_path
 from quarterdeck.sinks.sql_script import row_tuples, write_script
 from quarterdeck.sinks.writers import (
     replace_table,
@@ -62,7 +62,8 @@ def sql_batches(spark, sf):
     Texts may hold line breaks, quotes and separators, so statements and tuples are told apart by what ends them.
     """
     path = scratch_path(spark, "script")
-    write_script(_orders(spark, sf), "orders_out", path)
+    # a column that starts with an underscore is one like the others
+    write_script(_orders(spark, sf).withColumn("_status", F.col("open").cast("string")), "orders_out", path)
     statement = spark.read.option("lineSep", ";\n").text(f"{path}/rows").select(F.rtrim("value").alias("s")).filter("s <> ''")
     body = F.regexp_extract("s", r"(?s)^INSERT INTO \"orders_out\" \([^)]*\) VALUES \((.*)\);?$", 1)
     rows = statement.select(F.split(body, r"\), \(").alias("rows"))
@@ -81,7 +82,7 @@ def monthly_publish(spark, sf):
     sums = monthly_sum(rows, F.col("o_orderpriority").contains("URGENT"), "amount", "urgent")
     replace_table(sums, name, f"{path}/table")
     write_script(sums, name, f"{path}/sql")
-    published = spark.read.parquet(f"{path}/table")
+    published = checkpointed(spark.table(name))
     spark.sql(f"DROP TABLE {name}")
     script = spark.read.option("lineSep", ";\n").text(f"{path}/sql/rows").filter(F.trim("value") != "")
     tuples = F.split(F.regexp_extract("value", r"(?s) VALUES \((.*)\);?$", 1), r"\), \(")
@@ -140,14 +141,14 @@ def csv_guarded(spark, sf):
 
 
 def table_replace(spark, sf):
-    """Write a table twice; the second content must have replaced the first, in the published types."""
+    """Write a table three times: the second content must have replaced the first, and the third, empty, must not."""
     rows = _orders(spark, sf).withColumn("half", F.col("cents") / 2)
-    name = f"orders_published_{uuid.uuid4().hex}"
-    path = scratch_path(spark, "table")
-    replace_table(rows.select("o_orderkey"), name, path)
-    replace_table(rows, name, path)
-    # by path: the catalog entry is not needed for the comparison
-    written = spark.read.parquet(path)
+    name, path = f"orders_published_{uuid.uuid4().hex}", scratch_path(spark, "table")
+    for content in (rows.select("o_orderkey"), rows, rows.filter("o_orderkey < 0")):
+        replace_table(content, name, path)
+    # The version's files stay below `path` when the catalog entry goes.
+    files = spark.table(name).inputFiles()
+    written = spark.read.parquet(files[0].rsplit("/", 1)[0])
     spark.sql(f"DROP TABLE {name}")
     return written
 
@@ -155,7 +156,11 @@ def table_replace(spark, sf):
 QUERIES = {
     "sink_sql_literal": (sql_literal, f"WITH {_ORDERS_SQL} SELECT tuple FROM tuples"),
     "sink_temporal_text": (temporal_text, f"WITH {_ORDERS_SQL} SELECT o_orderkey, day, moment FROM t"),
-    "sink_sql_batches": (sql_batches, f"WITH {_ORDERS_SQL} SELECT tuple, TRUE AS small FROM tuples"),
+    "sink_sql_batches": (
+        sql_batches,
+        f"""WITH {_ORDERS_SQL} SELECT regexp_replace(tuple, '\\)$', CASE WHEN tuple LIKE '%, 1, %' AND split_part(tuple, ', ', 3) = '1'
+          THEN ', ''true'')' ELSE ', ''false'')' END) AS tuple, TRUE AS small FROM tuples""",
+    ),
     "monthly_publish": (
         monthly_publish,
         """SELECT strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS ym, sum(CAST(round(o_totalprice * 100) AS BIGINT))::BIGINT AS urgent,

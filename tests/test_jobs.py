@@ -54,6 +54,24 @@ def test_metrics_job(spark, place, tmp_path):
     assert script[1][0] == 'CREATE TABLE "yield" ("yq" TEXT, "name" TEXT, "value" REAL);'
 
 
+def test_metrics_job_replaces_tables_and_leaves_no_scratch(spark, place, tmp_path):
+    from quarterdeck.session import shared_dir
+
+    scratch = pathlib.Path(shared_dir(spark).removeprefix("file:")) / "quarterdeck"
+    before = set(scratch.iterdir()) if scratch.exists() else set()
+    try:
+        out = J.metrics_job(
+            spark, str(place / "in"), str(place / "f.csv"), str(tmp_path / "w"), str(tmp_path / "o"), PEERS, tables=str(tmp_path / "t")
+        )
+        assert out["table_errors"].count() == 0
+        want = out["metrics"].filter("table_name = 'yield'").select("yq", "name", "value")
+        assert rows(spark.table("yield")) == rows(want) and spark.table("tong_tai_san").columns == ["yq", "name", "value"]
+        assert not {p for p in scratch.iterdir() if p not in before} and out["clashes"].count() == 0 and out["rejected"].count() == 1
+    finally:
+        for t in ("yield", "tong_tai_san"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
 def test_structure_and_lineage_jobs(spark, place, tmp_path):
     out = J.structure_job(spark, str(place / "in"), str(place / "f.csv"), str(tmp_path / "w"), str(tmp_path / "o"))
     assert out["gate"].first()["publish"] and out["critical"].count() == 0

@@ -29,13 +29,13 @@ def test_literals(mixed):
 
 
 def test_statements_hold_at_most_200_rows_and_load(spark):
-    df = spark.range(1003).select("id", F.concat(F.lit("n'"), F.col("id").cast("string")).alias("name")).repartition(3)
+    df = spark.range(10030).select("id", F.concat(F.lit("n'"), F.col("id").cast("string")).alias("name")).repartition(3)
     statements = [r["statement"] for r in Q.insert_statements(df, "t").collect()]
     assert max(s.count("), (") + 1 for s in statements) == 200
     con = sqlite3.connect(":memory:")
     for s in Q.create_statements(df, "t") + statements:
         con.execute(s)
-    assert con.execute("SELECT count(*), count(DISTINCT id), max(name) FROM t").fetchone() == (1003, 1003, "n'999")
+    assert con.execute("SELECT count(*), count(DISTINCT id), max(name) FROM t").fetchone() == (10030, 10030, "n'9999")
 
 
 def test_scripts_of_many_tables_load(spark, tmp_path):
@@ -51,6 +51,36 @@ def test_scripts_of_many_tables_load(spark, tmp_path):
         assert got == (len(ids), k, max(f"a;\n(b), 'c{i}" for i in ids))
 
 
+def test_every_column_is_inserted_but_the_one_that_names_the_table(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x", "a`b", 2.5, "t1"), (1, "x", "a`b", 2.5, "t1"), (3, None, "", None, "t2")], "a int, _b string, `c``d` string, _table double, _to string")
+    Q.write_scripts(df, "_to", str(tmp_path / "s"))
+    Q.write_script(df, "whole", str(tmp_path / "w"))
+    con = sqlite3.connect(":memory:")
+    for kind in ("create", "rows"):
+        for file in [*sorted((tmp_path / "s" / kind).glob("table=*/*.txt")), *sorted((tmp_path / "w" / kind).glob("*.txt"))]:
+            con.executescript(file.read_text(encoding="utf-8"))
+    assert con.execute('SELECT "a", "_b", "c`d", "_table" FROM t1').fetchall() == [(1, "x", "a`b", 2.5)] * 2
+    assert con.execute('SELECT "a", "_b", "c`d", "_table" FROM t2').fetchall() == [(3, None, "", None)]
+    assert con.execute('SELECT count(*), count(DISTINCT "_to") FROM whole').fetchone() == (3, 2)
+
+
+def test_scripts_of_a_rerun_are_identical(spark, tmp_path, monkeypatch):
+    """Whatever the order of the input, and with one row that comes very often."""
+    monkeypatch.setattr(Q, "RUN_ROWS", 70)
+    rows_ = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"), F.lit("x;y").alias("t"))
+    texts = []
+    for k, df in enumerate((rows_.repartition(5), rows_.orderBy(F.col("id").desc()), rows_.repartition(3, "id"))):
+        Q.write_script(df, "t", str(tmp_path / f"s{k}"))
+        parts = sorted((tmp_path / f"s{k}" / "rows").glob("*.txt"))
+        texts.append("".join(p.read_text(encoding="utf-8") for p in parts))
+    assert texts[0] == texts[1] == texts[2]
+    statements = [s for s in texts[0].split(";\n") if s]
+    assert max(s.count("), (") + 1 for s in statements) <= 200
+    assert sum(s.count("(0, 'x;y')") for s in statements) == 1000 and texts[0].count("'x;y')") == 3000
+    parts = Q.insert_statements(rows_, "t").select("batch").collect()
+    assert len({r["batch"].split("-")[0] for r in parts}) > 4
+
+
 def test_script_is_not_written_for_an_empty_result(spark, tmp_path, mixed):
     assert not Q.write_script(mixed.filter("false"), "t", str(tmp_path / "s"))
     assert Q.write_script(mixed, "t", str(tmp_path / "s"))
@@ -78,6 +108,81 @@ def test_tables_are_replaced_with_published_types(spark, tmp_path, mixed):
         spark.sql("DROP TABLE IF EXISTS qd_test")
 
 
+def _versions(folder):
+    return sorted(p.name for p in folder.iterdir() if p.is_dir()) if folder.exists() else []
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_a_failing_replacement_leaves_the_old_table(spark, tmp_path, managed):
+    folder = None if managed else str(tmp_path / "t")
+    name = f"qd_swap_{'m' if managed else 'e'}"
+    good = spark.range(5)
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("task killed"))).alias("id"))
+    try:
+        assert W.replace_table(good, name, folder)
+        with pytest.raises(Exception, match="task killed"):
+            W.replace_table(broken, name, folder)
+        assert rows(spark.table(name)) == [(k,) for k in range(5)]
+        assert W.replace_table(spark.range(7).withColumn("more", F.lit("x")), name, folder)
+        assert spark.table(name).count() == 7 and spark.table(name).columns == ["id", "more"]
+        assert not W.replace_table(good.filter("id < 0"), name, folder)
+        assert spark.table(name).count() == 7
+        if folder:
+            assert len(_versions(tmp_path / "t")) == 1  # those of failed, replaced and empty versions are gone
+        assert not spark.catalog.tableExists(f"{name}__next") and not spark.catalog.tableExists(f"{name}__old")
+    finally:
+        for t in (name, f"{name}__next", f"{name}__old"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+@pytest.mark.parametrize("step", [1, 2])
+def test_a_run_that_ends_between_stage_and_swap(spark, tmp_path, monkeypatch, step):
+    """The driver is lost after the stage (step 1) or between the two renames (step 2); the next run goes on from there."""
+    name = f"qd_lost_{step}"
+
+    class Lost(Exception):
+        pass
+
+    real, renames = type(spark).sql, []
+
+    def dying(self, text, *args, **kwargs):
+        if "RENAME" in text:
+            renames.append(text)
+            if len(renames) == step:
+                raise Lost
+        return real(self, text, *args, **kwargs)
+
+    try:
+        W.replace_table(spark.range(5), name, str(tmp_path / "t"))
+        monkeypatch.setattr(type(spark), "sql", dying)
+        with pytest.raises(Lost):
+            W.replace_table(spark.range(9), name, str(tmp_path / "t"))
+        monkeypatch.undo()
+        assert spark.table(name if step == 1 else f"{name}__old").count() == 5
+        W.recover_table(spark, name)
+        assert spark.table(name).count() == 5
+        assert W.replace_table(spark.range(9), name, str(tmp_path / "t")) and spark.table(name).count() == 9
+        assert len(_versions(tmp_path / "t")) == 1
+    finally:
+        for t in (name, f"{name}__next", f"{name}__old"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_scratch_scopes_are_emptied(spark):
+    import pathlib
+
+    from quarterdeck.session import land, scratch_path, scratch_scope
+
+    kept = scratch_path(spark, "kept")
+    land(spark.range(3), kept)
+    with pytest.raises(ValueError, match="stop"), scratch_scope(spark):
+        inner = scratch_path(spark, "inner")
+        land(spark.range(3), inner)
+        raise ValueError("stop")
+    local = lambda p: pathlib.Path(p.removeprefix("file:"))
+    assert local(kept).exists() and not local(inner).exists()
+
+
 def test_partitioned_write(spark, tmp_path):
     df = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("sheet"))
     W.write_partitioned(df, str(tmp_path / "p"))
