@@ -233,15 +233,17 @@ QUERIES = {
     ),
     "join_prior_q4": (
         join_prior_q4,
-        f"""WITH {SPARSE_SQL} SELECT p.entity, p.item, p.qidx, q4.value AS prior_q4 FROM sparse p
-            LEFT JOIN sparse q4 ON q4.entity = p.entity AND q4.item = p.item AND q4.year = p.year - 1 AND q4.quarter = 4""",
+        f"""WITH {SPARSE_SQL},
+            ends AS MATERIALIZED (SELECT entity, item, year + 1 AS year, value FROM sparse WHERE quarter = 4)
+            SELECT entity, item, p.qidx, e.value AS prior_q4 FROM sparse p LEFT JOIN ends e USING (entity, item, year)""",
     ),
     "join_prior_fy_py": (
         join_prior_fy_py,
-        f"""WITH {SPARSE_SQL} SELECT p.entity, p.item, p.qidx, fy.value AS prior_fy, py.value AS prior_year FROM sparse p
-            LEFT JOIN sparse fy ON fy.entity = p.entity AND fy.item = p.item AND fy.year = p.year - 1 AND fy.quarter = 4
-            LEFT JOIN sparse py ON py.entity = p.entity AND py.item = p.item AND py.year = p.year - 1
-             AND py.quarter = p.quarter""",
+        f"""WITH {SPARSE_SQL},
+            ends AS MATERIALIZED (SELECT entity, item, year + 1 AS year, value FROM sparse WHERE quarter = 4),
+            before AS MATERIALIZED (SELECT entity, item, qidx + 4 AS qidx, value FROM sparse)
+            SELECT entity, item, qidx, e.value AS prior_fy, b.value AS prior_year FROM sparse p
+            LEFT JOIN ends e USING (entity, item, year) LEFT JOIN before b USING (entity, item, qidx)""",
     ),
     "anti_source_precedence": (
         anti_source_precedence,
