@@ -11,8 +11,10 @@ unless nothing in them is replaced. An item is leaked where enough of its window
 from __future__ import annotations
 
 import re
+from array import array
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,9 @@ MIN_WINDOWS = 24
 MAX_DRIFT = WINDOW
 #: Bits of the filter that spares the join most windows; a fuller filter lets more through, never fewer.
 MIN_FILTER_BITS, MAX_FILTER_BITS = 1 << 20, 1 << 27
-KEPT_WORDS = 250_000
+#: Words that a worker keeps, and characters of the texts that it takes together.
+KEPT_WORDS = 400_000
+JOINT_CHARS = 1 << 18
 
 #: Units of measurement and of money. Fixed values.
 UNITS = frozenset(
@@ -50,6 +54,8 @@ NUMBER_WORDS = frozenset(
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*(?:st|nd|rd|th|%)?")
 _MEASURE = re.compile(r"([+-]?\d[\d.,:/]*)([A-Za-z]+)")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+#: Marks that only end a word.
+_MARKS = b".,;:!?\"')]"
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
 #: Weight of a word's hash by its place in a run is this number's power; the first weighs one.
 _STEP = 0x9E3779B97F4A7C15
@@ -61,6 +67,7 @@ def _hash(text: str) -> int:
 
 _HOLDERS = {kind: _hash(f"<{kind}>") for kind in (NUMBER, NAME, UNIT)}
 _HOLDER_OF = np.array([0, *_HOLDERS.values()], np.uint64)
+_LISTED = {w.encode(): NUMBER for w in NUMBER_WORDS} | {w.encode(): UNIT for w in UNITS - NUMBER_WORDS}
 #: By kind, what runs together: numbers and units do.
 _RUNS = np.array([LITERAL, NUMBER, NAME, NUMBER], np.int8)
 
@@ -86,39 +93,60 @@ def _classes(word: str) -> tuple[bool, bool, int, int, int]:
     return True, ends, kind, name, value
 
 
+def _plain_classes(word: bytes) -> tuple[bool, bool, int, int, int] | None:
+    """`_classes` of a word of ASCII letters and marks at its end, by look-ups alone; most words are of that kind."""
+    plain = word.rstrip(_MARKS)
+    if not plain.isalpha():
+        return None
+    low = plain.lower()
+    kind = _LISTED.get(low, LITERAL)
+    name = NAME if kind == LITERAL and low != plain and plain[:1].isupper() and not plain.isupper() else kind
+    ends = len(plain) < len(word) and word.rstrip(b"\"')]").endswith((b".", b"!", b"?", b":"))
+    return True, ends, kind, name, xxhash.xxh64_intdigest(low)
+
+
 class Templates(dict):
-    """Canonical forms of texts. Maps words to rows of arrays with what they give, filled as words are met."""
+    """Canonical forms of texts. Maps words to rows of arrays with what they give, filled as words are met.
+
+    Texts are taken many at a time, as most are short beside the cost of a call; `doc` tells whose a word is.
+    """
 
     def __init__(self):
         super().__init__()
-        self._clear()
-
-    def _clear(self) -> None:
+        # By row: kept, ends, kind at a start and kind elsewhere in one byte; the value hash.
+        self.codes, self.values = bytearray(), array("Q")
+
+    def _forget_half(self) -> None:
+        """Drop the words that were met first; those that are still used come back."""
+        half = len(self) // 2
+        words = list(self)[half:]
+        self.codes, self.values = self.codes[half:], self.values[half:]
         self.clear()
-        self.kept, self.ends, self.at_start, self.elsewhere = (np.zeros(1 << 12, np.int8) for _ in range(4))
-        self.values = np.zeros(1 << 12, np.uint64)
+        self.update(zip(words, range(len(words)), strict=True))
 
     def __missing__(self, word: bytes) -> int:
-        row = self[word] = len(self)
-        if row == len(self.values):
-            for name in ("kept", "ends", "at_start", "elsewhere", "values"):
-                setattr(self, name, np.concatenate((getattr(self, name), np.zeros_like(getattr(self, name)))))
-        found = _classes(word.decode("utf-8"))
-        self.kept[row], self.ends[row], self.at_start[row], self.elsewhere[row], self.values[row] = found
+        row = self[word] = len(self.codes)
+        kept, ends, at_start, elsewhere, value = _plain_classes(word) or _classes(word.decode("utf-8"))
+        self.codes.append(kept | ends << 1 | at_start << 2 | elsewhere << 4)
+        self.values.append(value)
         return row
 
     def canonical(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Template hash, kind and value hash of every word that is more than punctuation."""
-        return self._words(text)[:3]
+        return self._words([text])[:3]
 
     def collapsed(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The same with one entry for a run of names, or of numbers and units, inside a sentence."""
-        template, kind, value, starts = self._words(text)
+        return self.collapsed_all([text])[:3]
+
+    def collapsed_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """`collapsed` of several texts, one after the other, and which text each entry is of."""
+        template, kind, value, starts, doc = self._words(texts)
         slot = kind != LITERAL
         tails = np.flatnonzero(slot[1:] & slot[:-1]) + 1
-        tails = tails[(_RUNS[kind[tails]] == _RUNS[kind[tails - 1]]) & ~starts[tails]]
+        tails = tails[(_RUNS[kind[tails]] == _RUNS[kind[tails - 1]]) & ~starts[tails] & (doc[tails] == doc[tails - 1])]
         if not len(tails):
-            return template, kind, value
+            return template, kind, value, doc
         first = np.flatnonzero(np.concatenate(([True], tails[1:] != tails[:-1] + 1)))
         place = np.arange(len(tails)) - np.repeat(first, np.diff(np.append(first, len(tails)))) + 1
         heads = tails - place
@@ -130,22 +158,50 @@ class Templates(dict):
         template[heads] = _HOLDER_OF[kind[heads]]
         keep = np.ones(len(kind), bool)
         keep[tails] = False
-        return template[keep], kind[keep], value[keep]
+        return template[keep], kind[keep], value[keep], doc[keep]
 
-    def _words(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def _words(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         if len(self) > KEPT_WORDS:
-            self._clear()
-        words = (text or "").encode("utf-8", "replace").split()
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        kept = self.kept[rows].astype(bool)
+            self._forget_half()
+        split = [(text or "").encode("utf-8", "replace").split() for text in texts]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        rows = np.fromiter(map(self.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        doc = np.repeat(np.arange(len(split)), counts)
+        codes = np.frombuffer(self.codes, np.uint8)[rows] if len(rows) else np.zeros(0, np.uint8)
+        kept = (codes & 1).astype(bool)
         starts = np.ones(len(rows), bool)
-        starts[1:] = self.ends[rows[:-1]]
-        kind = np.where(starts, self.at_start[rows], self.elsewhere[rows])[kept]
-        value = self.values[rows[kept]]
+        starts[1:] = codes[:-1] & 2 != 0
+        starts[(np.cumsum(counts) - counts)[counts > 0]] = True
+        kind = np.where(starts, codes >> 2 & 3, codes >> 4).astype(np.int8)[kept]
+        value = np.frombuffer(self.values, np.uint64)[rows[kept]] if len(self.values) else np.zeros(0, np.uint64)
         template = value.copy()
         for k, holder in _HOLDERS.items():
             template[kind == k] = np.uint64(holder)
-        return template, kind, value, starts[kept]
+        return template, kind, value, starts[kept], doc[kept]
+
+
+_WORKER: list[Templates] = []
+
+
+def worker_templates() -> Templates:
+    """Those of this worker process, kept from task to task."""
+    if not _WORKER:
+        _WORKER.append(Templates())
+    return _WORKER[0]
+
+
+def together(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """Neighbouring texts in lists of bounded length, a longer text by itself."""
+    held, size = [], 0
+    for text in texts:
+        length = len(text or "")
+        if held and size + length > JOINT_CHARS:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += length
+    if held:
+        yield held
 
 
 def window_hashes(template: np.ndarray, kind: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -241,13 +297,13 @@ def chains(windows: list[dict]) -> list[list[dict]]:
         ends.append(k)
     found, used = [], [False] * len(windows)
     for k in sorted(range(len(windows)), key=lambda k: -length[k]):
-        chain = []
+        linked = []
         while k >= 0 and not used[k]:
             used[k] = True
-            chain.append(windows[k])
+            linked.append(windows[k])
             k = before[k]
-        if chain:
-            found.append(chain)
+        if linked:
+            found.append(linked)
     return found
 
 
@@ -298,17 +354,19 @@ def _leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
 
     @F.pandas_udf(_WINDOWS)
     def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        templates = Templates()
+        templates = worker_templates()
         for batch in batches:
-            out = []
-            for text in batch:
-                template, kind, value = templates.collapsed(text)
-                signed, found = value.view(np.int64), []
+            out: list[list[dict]] = []
+            for texts in together(batch):
+                template, kind, value, doc = templates.collapsed_all(texts)
+                signed, found = value.view(np.int64), [[] for _ in texts]
                 for size in sizes:
                     hashes, telling = window_hashes(template, kind, size)
-                    at = np.flatnonzero(telling & _passes(hashes, held.value, bits))
-                    found += [_window(int(i), int(i), size, hashes, kind, signed) for i in at]
-                out.append(found)
+                    at = np.flatnonzero(telling & (doc[size - 1 :] == doc[: len(hashes)]))  # within one text
+                    at = at[_passes(hashes[at], held.value, bits)]
+                    for i, first in zip(at.tolist(), np.searchsorted(doc, doc[at]).tolist(), strict=True):
+                        found[doc[i]].append(_window(i - first, i, size, hashes, kind, signed))
+                out += found
             yield pd.Series(out)
 
     # Landed, as numbers given while the texts are read must not be given twice.
@@ -325,7 +383,7 @@ def _leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
     )
     totals = cut.groupBy("item_id").agg(F.count("*").alias("item_windows"))
     # One row's windows: bounded by its text and the item.
-    together = matched.groupBy("_row", "doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "position", "slots")).alias("windows"))
+    met = matched.groupBy("_row", "doc_id", "item_id").agg(F.collect_list(F.struct("doc_at", "position", "slots")).alias("windows"))
     positions = F.size(F.array_distinct(F.transform("windows", lambda w: w["position"])))
     enough = (positions >= MIN_SHARE * F.col("item_windows")) | (positions >= MIN_WINDOWS)
 
@@ -334,7 +392,7 @@ def _leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
         return pa.array([best_copy(w, n) for w, n in zip(windows.to_pylist(), total.to_pylist(), strict=True)], _BEST_ARROW)
 
     return (
-        together.join(totals, "item_id").filter(enough)
+        met.join(totals, "item_id").filter(enough)
         .select("_row", "doc_id", "item_id", "item_windows", judged("windows", "item_windows").alias("b")).filter("b is not null")
         .select("_row", "doc_id", "item_id", "b.n_windows", "item_windows", "b.n_slots", "b.n_changed")
     )
