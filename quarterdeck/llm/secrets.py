@@ -2,7 +2,8 @@
 
 Lines with an assignment are lexed into names, operators, literals and references, as source code, shell, JSON, YAML and
 INI write them; a value may go on in the next lines, in triple quotes or in a YAML block. Constants are propagated: a name that is assigned another name, or literals joined by `+`, stands for
-those literals. A literal that reaches a sensitively named target is scored by that name and by its own look.
+those literals. A literal that reaches a sensitively named target is scored by that name and by its own look, and so are
+the literals that are joined there, together.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ KINDS = ("assign", "access", "hex", "literal")
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "credential": 0.9,
     "credentials": 0.9, "apikey": 1.0, "accesskey": 1.0, "secretkey": 1.0, "privatekey": 1.0, "auth": 0.7, "bearer": 0.8,
-    "pin": 0.6, "salt": 0.6, "signature": 0.5, "cookie": 0.5, "key": 0.4,
+    "pin": 0.6, "salt": 0.6, "signature": 0.5, "cookie": 0.5, "key": 0.4, "pass": 0.9, "passcode": 1.0, "passkey": 0.9, "pat": 0.8,
+    "otp": 0.7, "jwt": 0.9, "hmac": 0.7, "oauth": 0.7, "authkey": 0.9, "authtoken": 1.0, "signingkey": 1.0, "encryptionkey": 1.0,
+    "masterkey": 1.0, "sharedkey": 0.9, "sessionid": 0.8, "cred": 0.9, "creds": 0.9,
 }
 #: Values that stand for no secret. Fixed values.
 PLACEHOLDERS = frozenset("changeme password secret token none null true false example placeholder todo xxx redacted default".split())
@@ -37,7 +40,7 @@ MIN_LENGTH = 6
 MIN_SCORE = 0.5
 
 _LEX = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
+    r"""(?P<quote>["'`])
       |(?P<compare>==|!=|<=|>=|::|//)
       |(?P<assign>:=|=>|=|:)
       |(?P<plus>\+)
@@ -48,6 +51,12 @@ _LEX = re.compile(
       |(?P<other>.)""",
     re.VERBOSE,
 )
+#: A string from behind its opening quote.
+_CLOSING = {
+    '"': re.compile(r'(?:[^"\\\n]|\\.)*"'),
+    "'": re.compile(r"(?:[^'\\\n]|\\.)*'"),
+    "`": re.compile(r"[^`\n]*`"),
+}
 #: Words before a declared name.
 _DECLARE = frozenset("var const let val static final mut pub private public protected readonly export declare dim lateinit".split())
 _BLOCK = re.compile(r"[\x20\t]*[|>][-+0-9]*[\x20\t]*(?:#.*)?\r?$")
@@ -75,11 +84,28 @@ def literal_weight(value: str) -> float:
 
 
 class _Line:
-    """Tokens of one line without white space: (kind, start, end, text), positions in the whole text."""
+    """Tokens of one line without white space: (kind, start, end, text), positions in the whole text.
+
+    A quote that nothing closes is a sign like others. What follows it in the line was looked through then: a further quote
+    of its kind there is an escaped one, and what follows that is cut the same way, so nothing closes it either.
+    """
 
     def __init__(self, text: str, start: int, end: int):
-        found = ((m.lastgroup, m.start(), m.end(), m[0]) for m in _LEX.finditer(text, start, end))
-        self.tokens = [t for t in found if t[0] != "space"]
+        self.tokens, unclosed, at = [], set(), start
+        while at < end:
+            found = _LEX.match(text, at, end)
+            kind, stop = found.lastgroup, found.end()
+            if kind == "quote":
+                quote = found[0]
+                closed = None if quote in unclosed else _CLOSING[quote].match(text, stop, end)
+                if closed:
+                    kind, stop = "string", closed.end()
+                else:
+                    unclosed.add(quote)
+                    kind = "other"
+            if kind != "space":
+                self.tokens.append((kind, at, stop, text[at:stop]))
+            at = stop
 
 
 def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
@@ -91,7 +117,8 @@ def pairs(text: str) -> Iterator[tuple[str, list[tuple[int, int]]]]:
         if "=" in line or ":" in line:
             tokens = _Line(text, start, end).tokens
             own = len(tokens)
-            tokens += _continued(text, tokens, end)
+            if any(t[0] == "assign" for t in tokens):
+                tokens += _continued(text, tokens, end)
             for i in range(1, own):
                 if tokens[i][0] != "assign":
                     continue
@@ -223,13 +250,15 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
         found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     if "=" in text or ":" in text:
-        literal = {
-            span
-            for name, spans in pairs(text)
-            if (weight := name_weight(name))
-            for span in spans
-            if weight * literal_weight(text[slice(*span)]) >= MIN_SCORE
-        }
+        literal: set[tuple[int, int]] = set()
+        for name, spans in pairs(text):
+            weight = name_weight(name)
+            if not weight:
+                continue
+            literal.update(s for s in spans if weight * literal_weight(text[slice(*s)]) >= MIN_SCORE)
+            # Parts that say little alone may be a secret when they are joined, as they are where they are used.
+            if len(spans) > 1 and weight * literal_weight("".join(text[slice(*s)] for s in spans)) >= MIN_SCORE:
+                literal.update(spans)
         found += [("literal", a, b) for a, b in literal]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

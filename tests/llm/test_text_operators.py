@@ -179,3 +179,35 @@ def test_licences_in_comments_and_longer_lines():
     clauses = "\n".join(f"{n}. {t[k][1]}" for n, k in ((1, 30), (2, 31), (3, 32)))
     assert {s[1] for s in licenses.scan(f"a\n{clauses}\nb", matcher)} >= {30, 31, 32}
     assert licenses.scan("the mit license of the apache software is a license, and all rights of it are reserved", matcher) == []
+
+
+def test_unclosed_quotes_take_time_in_proportion():
+    """Escaped JSON in one line: each quote there is closed by none."""
+    import time
+
+    line = '{\\"key\\": \\"value\\", '
+    times = []
+    for count in (3000, 6000, 45000):  # the last is 1 MB
+        start = time.perf_counter()
+        assert secrets.scan(line * count) == []
+        times.append(time.perf_counter() - start)
+    assert times[1] < 4 * times[0] + 0.1 and times[2] < 8
+
+
+def test_joined_constants_and_names():
+    def found(text):
+        return [text[a:b] for kind, a, b in secrets.scan(text) if kind == "literal"]
+
+    assert found('a = "x9Lq"; b = "2vTz"; secret_key = a + b') == ["x9Lq", "2vTz"]
+    assert found('a = "x9Lq"\nb = "2vTz"\nname = a + b') == []
+    assert found('hint = "x9"\npassword_hint = "please " + "enter " + hint') == []
+    assert found('DB_PASS = "x9#Lq2!vTz"') == ["x9#Lq2!vTz"]
+    assert found("export GITHUB_PAT=ghp_8sJk2LmQ9xZt4") == ["ghp_8sJk2LmQ9xZt4"]
+    assert found('compass = "north7W42x"') == []
+
+
+def test_strings_close_as_written():
+    text = 'x = "a\\"b" \'c" `d\' "open \\" e'
+    tokens = [(k, t) for k, _, _, t in secrets._Line(text, 0, len(text)).tokens]
+    assert ("string", '"a\\"b"') in tokens and ("string", "'c\" `d'") in tokens
+    assert [t for k, t in tokens if k == "other"].count('"') == 2
