@@ -130,7 +130,8 @@ VECTOR_GAIN = 20.0
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int = FOLDS) -> Model:
     """Fit on labelled documents outside the held-out fold, at most MAX_LABELLED of them.
 
-    Null labels and null ids are left out; of several labels for an id the largest counts.
+    Null labels and null ids are left out; of several labels for an id the largest counts, of several documents of an id the
+    one whose text has the least hash.
     """
     marked = (
         labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold_of("doc_id", folds) != 0))
@@ -145,7 +146,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             found = [bag(t) for t in batch]
             yield pd.DataFrame({"rows": [r.tobytes() for r, _ in found], "shares": [s.tobytes() for _, s in found]})
 
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by MAX_LABELLED rows
+    met = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by MAX_LABELLED ids
+    # One text of each id; a task hands on one text per id at most, however often it comes.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    sample = met.groupBy("doc_id", "_label").agg(first).select("doc_id", "_label", "first.text")
     got = sample.select("doc_id", "_label", bags_of("text").alias("b")).select("doc_id", "_label", "b.*").toArrow()
     got = got.sort_by([("doc_id", "ascending"), ("shares", "ascending")]).to_pylist()
     bags = [(np.frombuffer(r["rows"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in got]

@@ -115,3 +115,13 @@ def test_noise_contrastive_training_learns_a_chain():
         trainer.block(k, starts)
     scorer = lm.Scorer(trainer.model, corpus)
     assert scorer.log10(k, np.zeros(len(k)), starts).mean() > 0.4 * np.log10(1 / 6)
+
+
+def test_an_id_that_comes_often_is_learned_once(spark):
+    docs = [(k, ("good words here " if k % 2 else "bad stuff there ") * 9) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int")
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    repeated = frame.unionByName(spark.createDataFrame([(1, docs[1][1])] * 3000 + [(3, None)], "doc_id long, text string"))
+    once, often = classifier.fit(frame.filter("doc_id <> 3"), labels), classifier.fit(repeated.filter("doc_id <> 3"), labels)
+    assert (once.vectors == often.vectors).all() and (once.bias == often.bias).all()
+    assert classifier.classify(repeated, labels).count() == 3201
