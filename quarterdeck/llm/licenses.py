@@ -12,6 +12,7 @@ import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -135,8 +136,34 @@ TEMPLATES = (
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied"
         " warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
     ),
+    # Titles and first paragraphs of whole texts, which are too long to be held against a document piece by piece.
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    (
+        "LGPL-3.0",
+        "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU"
+        " General Public License, supplemented by the additional permissions listed below.",
+    ),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General"
+        " Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option)"
+        " any later version.",
+    ),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
 
+#: Templates that stand in several licences, by their text's place above. Fixed values.
+SHARED = {
+    16: ("BSD-2-Clause", "BSD-3-Clause"), 17: ("BSD-2-Clause", "BSD-3-Clause"), 30: ("BSD-2-Clause", "BSD-3-Clause"),
+    31: ("BSD-2-Clause", "BSD-3-Clause"), 34: ("GPL-2.0", "GPL-3.0"),
+}
+#: Characters between a reservation of rights and the licence that it goes with.
+NEAR = 200
+
 
 def _whole(name: str, *numbers: int) -> tuple[str, str]:
     return name, "\n\n".join(TEMPLATES[k][1] for k in numbers)
@@ -206,7 +233,6 @@ class Matcher:
                 found = (name, k, d)
         return found
 
-
     def windows(self, words: list[str]) -> list[tuple[str, int, int, int, float]]:
         """(licence, template, first word, end, coefficient) of windows that don't overlap, those with most in common first."""
         starts: dict[tuple[int, int], set[int]] = {}
@@ -262,8 +288,36 @@ def scan(text: str | None, matcher: Matcher) -> list[tuple[str, int, int, int, f
     """(licence, template, start, end, dice) of every piece that is like a template, in code points.
 
     Then of windows that are, unless pieces with the same licence cover half of them. The "All rights reserved" of a
-    copyright line is no notice of its own.
+    copyright line, or beside another notice, is no notice of its own. A paragraph that several licences share counts for
+    the one of them that the text names otherwise, else for all of them, joined by OR.
     """
+    found = _hits(text, matcher)
+    if len(found) > 1 and any(name == "proprietary" for name, *_ in found):
+        others = sorted((a, b) for name, _, a, b, _ in found if name != "proprietary")
+        starts = [a for a, _ in others]
+        ends = list(accumulate((b for _, b in others), max))
+
+        def beside(a: int, b: int) -> bool:
+            at = bisect_right(starts, b + NEAR)
+            return at > 0 and ends[at - 1] >= a - NEAR
+
+        found = [h for h in found if h[0] != "proprietary" or not beside(h[2], h[3])]
+    if any(k in SHARED for _, k, *_ in found):
+        named = {name for name, k, *_ in found if k not in SHARED}
+        found = [(_one_of(SHARED[h[1]], named), *h[1:]) if h[1] in SHARED else h for h in found]
+    return found
+
+
+def _in_copyright_line(text: str, start: int, end: int) -> bool:
+    begin = text.rfind("\n", max(start - 200, 0), start) + 1
+    return (begin > 0 or start < 200) and end - begin < 200 and bool(_COPYRIGHT.match(text[begin:end]))
+
+
+def _one_of(licenses: tuple[str, ...], named: set[str]) -> str:
+    return " OR ".join([n for n in licenses if n in named] or licenses)
+
+
+def _hits(text: str | None, matcher: Matcher) -> list[tuple[str, int, int, int, float]]:
     found = []
     for start, end in pieces(text or ""):
         hit = matcher.best(text[start:end])
@@ -278,18 +332,22 @@ def scan(text: str | None, matcher: Matcher) -> list[tuple[str, int, int, int, f
         for word in normalised(m[0]):
             spans.append(m.span())
             words.append(word)
-    known: dict[str, list[tuple[int, int]]] = {}
-    for name, _, start, end, _ in found:
-        known.setdefault(name, []).append((start, end))
+    known: dict[str, list[list[int]]] = {}  # spans of a licence, joined where they overlap
+    for name, _, start, end, _ in sorted(found, key=lambda h: h[2]):
+        spans_of = known.setdefault(name, [])
+        if spans_of and start <= spans_of[-1][1]:
+            spans_of[-1][1] = max(spans_of[-1][1], end)
+        else:
+            spans_of.append([start, end])
     more = []
     for name, k, a, b, d in matcher.windows(words):
         start, end = spans[a][0], spans[b - 1][1]
-        covered, upto = 0, start
-        for s, e in sorted(known.get(name, ())):
-            covered += max(0, min(e, end) - max(s, upto))
-            upto = max(upto, min(e, end))
-        line = text[text.rfind("\n", 0, start) + 1 : end]
-        if 2 * covered < end - start and not (name == "proprietary" and len(line) < 200 and _COPYRIGHT.match(line)):
+        covered, joined = 0, known.get(name, ())
+        for s, e in joined[bisect_right(joined, start, key=lambda x: x[1]) :]:
+            if s >= end:
+                break
+            covered += min(e, end) - max(s, start)
+        if 2 * covered < end - start and not (name == "proprietary" and _in_copyright_line(text, start, end)):
             more.append((name, k, start, end, d))
     return found + sorted(more, key=lambda s: (s[2], s[3]))
 

@@ -211,3 +211,30 @@ def test_strings_close_as_written():
     tokens = [(k, t) for k, _, _, t in secrets._Line(text, 0, len(text)).tokens]
     assert ("string", '"a\\"b"') in tokens and ("string", "'c\" `d'") in tokens
     assert [t for k, t in tokens if k == "other"].count('"') == 2
+
+
+def test_shared_paragraphs_and_reservations():
+    matcher, text = licenses.Matcher(), [t for _, t in licenses.TEMPLATES]
+    names = lambda t: {h[0] for h in licenses.scan(t, matcher)}
+    assert names("\n\n".join([text[14], text[34]])) == {"GPL-2.0"}
+    assert names("\n\n".join([text[12], text[34]])) == {"GPL-3.0"}
+    assert names(text[34]) == {"GPL-2.0 OR GPL-3.0"}
+    assert names(text[30]) == {"BSD-2-Clause OR BSD-3-Clause"}
+    bsd = [text[k] for k in (16, 30, 31, 32, 17)]
+    assert names("\n\n".join(["Copyright (c) 2020, X\nAll rights reserved.", *bsd])) == {"BSD-3-Clause"}
+    assert names("\n\n".join(["Copyright (c) 2020, X. All rights reserved.", *bsd[:3], bsd[4]])) == {"BSD-2-Clause"}
+    assert names("A memo.\nAll rights reserved.\n" + "word " * 60 + "\nReleased under the MIT License.") == {"proprietary", "MIT"}
+    head = "   GNU LESSER GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Copyright (C) 2007 A foundation\n\n"
+    assert names(head + text[38].replace("General", "General\n")) == {"LGPL-3.0"}
+
+
+def test_many_notices_take_time_in_proportion():
+    import time
+
+    matcher, times = licenses.Matcher(), []
+    for line in ("Released under the MIT License. Some words stand here.\n", "Released under the MIT License. Some words stand here. "):
+        for count in (1200, 4800):
+            start = time.perf_counter()
+            assert len(licenses.scan(line * count, matcher)) == count
+            times.append(time.perf_counter() - start)
+    assert times[1] < 8 * times[0] + 0.2 and times[3] < 8 * times[2] + 0.2
