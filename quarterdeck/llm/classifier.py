@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import fold_of, id_text
+from quarterdeck.llm.common import fold_of, fresh, id_text
 
 BUCKETS = 1 << 14
 DIMENSIONS = 8
@@ -185,5 +185,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs`, with their columns, that the classifier does not reject. `_score` is reserved."""
-    return scored(docs, fit(docs, labels), out="_score").filter(F.col("_score") >= THRESHOLD).drop("_score")
+    """The rows of `docs`, with their columns, that the classifier does not reject; null and empty texts are judged by the
+    bias alone, repeated rows each like the first."""
+    score = fresh("_score", docs)
+    return scored(docs, fit(docs, labels), out=score).filter(F.col(score) >= THRESHOLD).select(docs.columns)

@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """The name with as many underscores before it as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def landed(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back."""
     return land(df, scratch_path(df.sparkSession, name))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import landed
+from quarterdeck.llm.common import fresh, landed
 
 WINDOW = 8
 #: Least number of ordinary words in a window; an item with fewer is not searched for.
@@ -399,7 +399,8 @@ def _leaks(rows: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs` without a leak, each judged by itself. The column `_row` is reserved."""
-    rows = landed(docs.withColumn("_row", F.monotonically_increasing_id()), "decontamination")
-    found = _leaks(rows.select("_row", "doc_id", "text"), items).select("_row").distinct()
-    return rows.join(found, "_row", "left_anti").select(docs.columns)
+    """The rows of `docs`, with their columns, without a leak; each is judged by itself, repeated rows and null ids too."""
+    row = fresh("_row", docs)
+    rows = landed(docs.withColumn(row, F.monotonically_increasing_id()), "decontamination")
+    found = _leaks(rows.select(F.col(row).alias("_row"), "doc_id", "text"), items).select(F.col("_row").alias(row)).distinct()
+    return rows.join(found, row, "left_anti").select(docs.columns)

@@ -1,8 +1,9 @@
-"""Bulk-synchronous best-fit packing of token sequences.
+"""Best-fit packing of token sequences.
 
-Pieces and the gaps of open sequences are kept sorted by size. In a round the longest unplaced pieces look for the next
-larger gap (their successor in the order), ranks settle which piece gets which gap, and the gaps shrink; pieces without
-a successor open new sequences. Pieces of one length are interchangeable, and so are the gaps of sequences with one
+The rounds of the bulk-synchronous method run in one loop over lengths on the driver (`place_runs`), not in Spark: pieces
+and the gaps of open sequences are kept sorted by size, the longest unplaced pieces take the next larger gap (their
+successor in the order), ranks settle which piece gets which gap, and the gaps shrink; pieces without a successor open new
+sequences. Pieces of one length are interchangeable, and so are the gaps of sequences with one
 content, so a run of either is held as its count and its range of ranks: the rounds run over at most `capacity` runs,
 whatever the number of documents. Spark range-sorts the pieces by length, which gives every piece its rank, and each range
 partition sweeps over the table of placed runs, sorted the same way, to give its pieces their places.

@@ -309,7 +309,10 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame) -> DataFrame:
-    """All rows of `docs` with secrets in `text` replaced and `n_chars`, where there is one, as long as the new text."""
+    """All rows of `docs` with secrets in `text` replaced and `n_chars`, where there is one, as long as the new text.
+
+    Null and empty texts stay as they are, repeated rows stay repeated, an empty table stays empty.
+    """
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarterdeck.llm.common import landed
+from quarterdeck.llm.common import fresh, landed
 from quarterdeck.session import checkpointed
 
 BITS = 64
@@ -254,13 +254,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, distance: int = 3) -> DataF
 def one_of_each(docs: DataFrame, words: int = 3, distance: int = 3) -> DataFrame:
     """One row of each component, the one with the smallest doc_id, with the columns of `docs`.
 
-    Rows are numbered when they are landed, so repeated rows and null ids also leave exactly one. The columns
-    `_row` and `_fingerprint` are reserved.
+    Rows are numbered when they are landed, so repeated rows and null ids also leave exactly one.
     """
-    rows = landed(
-        fingerprints(docs.withColumn("_row", F.monotonically_increasing_id()), words, out="_fingerprint"), "deduplication"
-    )
-    keys = rows.select("_row", "doc_id", F.col("_fingerprint").alias("fingerprint"))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first")
-    kept = with_components(keys, distance).groupBy("class").agg(first).select(F.col("first._row"))
-    return rows.join(kept, "_row", "left_semi").select(docs.columns)
+    row, mark = fresh("_row", docs), fresh("_fingerprint", docs)
+    rows = landed(fingerprints(docs.withColumn(row, F.monotonically_increasing_id()), words, out=mark), "deduplication")
+    keys = rows.select(F.col(row).alias("row"), "doc_id", F.col(mark).alias("fingerprint"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    kept = with_components(keys, distance).groupBy("class").agg(first).select(F.col("first.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(docs.columns)

@@ -49,3 +49,16 @@ def test_stages_keep_other_columns(spark):
         classifier.accepted(docs, table(spark, SF, "labels")), simhash.one_of_each(docs), decontamination.clean(docs, items), secrets.redacted(docs),
     ):
         assert kept.columns == docs.columns and kept.count() == 2
+
+
+def test_columns_that_the_stages_would_use_themselves(spark):
+    """A caller's own `_row`, `_score` and `_fingerprint` come back as they were."""
+    from quarterdeck.llm import classifier, decontamination, simhash
+
+    rows = [(k, f"some words of text number {k} that stand here", "own", 7, "x") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, _score int, _fingerprint string")
+    labels = spark.createDataFrame([(k, 1) for k in range(20)], "doc_id long, quality int")
+    items = spark.createDataFrame([(1, "nothing of that kind is in any of the texts")], "item_id long, text string")
+    for kept in (classifier.accepted(docs, labels), simhash.one_of_each(docs), decontamination.clean(docs, items)):
+        assert kept.columns == docs.columns
+        assert {tuple(r)[2:] for r in kept.collect()} == {("own", 7, "x")}
