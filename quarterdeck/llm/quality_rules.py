@@ -212,8 +212,7 @@ WITH t AS MATERIALIZED (
 ), w AS MATERIALIZED (
   SELECT r, doc_id, language, list_filter(regexp_split_to_array(text, '{SPACES}'), lambda x: x <> '') AS words,
     regexp_replace(text, '{SPACES}', '', 'g') AS solid,
-    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^ 	-
-]')) AS lines
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM t
 ), windows AS (
   SELECT r, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
