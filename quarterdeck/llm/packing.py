@@ -11,6 +11,7 @@ partition sweeps over the table of placed runs, sorted the same way, to give its
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -29,6 +30,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Words whose ids a worker keeps, in each of two generations.
 KEPT_WORDS = 600_000
 _MARKS = ".,;:!?*$%&#"
+_ASCII_MARKS = _MARKS.encode()
 
 
 class WordIds:
@@ -43,6 +45,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+        self.model = self.tokenizer.model
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -55,21 +58,29 @@ class WordIds:
         self.young[word] = ids
         return ids
 
-    def _part(self, part: str) -> bytes:
-        key = part.encode()
+    def _part(self, key: bytes) -> bytes:
         ids = self.young.get(key)
         if ids is None:
-            ids = self._keep(key, self.old.get(key) or self._encode(part))
+            ids = self._keep(key, self.old.get(key) or self._new_part(key))
         return ids
 
+    def _new_part(self, key: bytes) -> bytes:
+        if key.isalpha() and key.islower():  # ASCII: nothing to normalise or to cut, so the merges alone are left
+            tokens = self.model.tokenize(key.decode())
+            return struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
+        return self._encode(key.decode())
+
     def __getitem__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
+            plain = word.rstrip(_ASCII_MARKS)
+            if plain.isalpha():  # ASCII letters
+                ids = self._part(plain.lower()) + (self._part(word[len(plain) :]) if len(plain) < len(word) else b"")
+                return self._keep(word, ids)
             text = word.decode("utf-8", "replace")
             letters = text.rstrip(_MARKS)
-            plain = unicodedata.normalize("NFC", letters).lower()
-            if plain.isalpha():  # still one pre-token when lower-cased; other scripts are left to the tokenizer's own rules
-                ids = self._part(plain if letters.isascii() else letters) + (self._part(text[len(letters) :]) if len(letters) < len(text) else b"")
+            if unicodedata.normalize("NFC", letters).lower().isalpha():  # still one pre-token; other scripts keep the tokenizer's own rules
+                ids = self._part(letters.encode()) + (self._part(text[len(letters) :].encode()) if len(letters) < len(text) else b"")
             else:
                 ids = self._encode(text)
         return self._keep(word, ids)
