@@ -31,6 +31,12 @@ VOCABULARY = "word_bpe_49k.json"
 KEPT_WORDS = 600_000
 _MARKS = ".,;:!?*$%&#"
 _ASCII_MARKS = _MARKS.encode()
+#: The letters that stand for bytes in a byte-level vocabulary: printable ones of Latin-1 for themselves, the others for the
+#: code points from 256 on.
+_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: chr(b) for b in _PRINTABLE} | {
+    b: chr(0x100 + k) for k, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))
+}
 
 
 class WordIds:
@@ -65,10 +71,11 @@ class WordIds:
         return ids
 
     def _new_part(self, key: bytes) -> bytes:
-        if key.isalpha() and key.islower():  # ASCII: nothing to normalise or to cut, so the merges alone are left
-            tokens = self.model.tokenize(key.decode())
+        text = key.decode()
+        if text.isalpha() and text.islower() and max(text) <= "ÿ":  # nothing to normalise or to cut: the merges alone are left
+            tokens = self.model.tokenize(text if text.isascii() else "".join(map(_BYTE_LETTERS.__getitem__, key)))
             return struct.pack(f"<{len(tokens)}I", *(t.id for t in tokens))
-        return self._encode(key.decode())
+        return self._encode(text)
 
     def __getitem__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
@@ -79,7 +86,9 @@ class WordIds:
                 return self._keep(word, ids)
             text = word.decode("utf-8", "replace")
             letters = text.rstrip(_MARKS)
-            if unicodedata.normalize("NFC", letters).lower().isalpha():  # still one pre-token; other scripts keep the tokenizer's own rules
+            if letters.isalpha() and max(letters) <= "ÿ":  # Latin letters, in their composed form
+                ids = self._part(letters.lower().encode()) + (self._part(text[len(letters) :].encode()) if len(letters) < len(text) else b"")
+            elif unicodedata.normalize("NFC", letters).lower().isalpha():  # still one pre-token; other scripts keep the tokenizer's own rules
                 ids = self._part(letters.encode()) + (self._part(text[len(letters) :].encode()) if len(letters) < len(text) else b"")
             else:
                 ids = self._encode(text)
