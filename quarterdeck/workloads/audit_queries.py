@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarterdeck.operators import audit as A
 from quarterdeck.sinks.writers import join_lists
 from quarterdeck.workloads.panels import STRUCTURE_SQL, structure, table
-from quarterdeck.workloads.scans import rejected_files
+from quarterdeck.workloads.scans import FAULTS, rejected_files
 
 
 def row_counts(spark, sf):
@@ -47,7 +47,7 @@ def dictionary(spark, sf):
 
 
 def gate(spark, sf):
-    """The gate over the line-item structure, beside the workbooks of all suppliers that can't be read."""
+    """The gate over the line-item structure, beside what is rejected of the workbooks of all suppliers."""
     rows = structure(spark, sf)
     return A.audit_gate(A.audit_report(rows), A.data_dictionary(rows, ["A", "N", "R"]), rejected_files(spark, sf))
 
@@ -113,7 +113,7 @@ QUERIES = {
         g AS (SELECT (SELECT count(*) FROM report WHERE check_type IN ('chi_tieu_drift', 'row_count_diff')) AS n_blocking,
           (SELECT count(*) FROM d WHERE item IN (SELECT item FROM d GROUP BY item HAVING count(*) > 1)) AS n_repeated)
         SELECT n_blocking, n_repeated,
-          (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey % 10 IN (3, 5)) AS n_rejected,
+          (SELECT count(DISTINCT l_suppkey) FROM lineitem WHERE l_suppkey % 20 IN ({', '.join(str(k) for k, *_ in FAULTS)})) AS n_rejected,
           n_blocking = 0 AND n_repeated = 0 AS publish FROM g""",
     ),
 }
