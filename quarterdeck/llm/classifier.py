@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,9 +153,15 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
     sample = met.groupBy("doc_id", "_label").agg(first).select("doc_id", "_label", "first.text")
     got = sample.select("doc_id", "_label", bags_of("text").alias("b")).select("doc_id", "_label", "b.*").toArrow()
-    got = got.sort_by([("doc_id", "ascending"), ("shares", "ascending")]).to_pylist()
-    bags = [(np.frombuffer(r["rows"], np.int32), np.frombuffer(r["shares"], np.float32)) for r in got]
-    return train(bags, np.array([r["_label"] for r in got], dtype=np.int64))
+    order = pc.sort_indices(got, sort_keys=[("doc_id", "ascending"), ("shares", "ascending")]).to_pylist()
+    # Views of the table, not copies: it is the most that the driver holds.
+    view = lambda column, k, kind: np.frombuffer(got[column][k].as_buffer(), kind)
+    bags = [(view("rows", k, np.int32), view("shares", k, np.float32)) for k in order]
+    marks = got["_label"].to_pylist()
+    model = train(bags, np.array([marks[k] for k in order], dtype=np.int64))
+    del bags, got
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
