@@ -13,9 +13,10 @@ import io
 import json
 import re
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from fnmatch import fnmatchcase
+from functools import lru_cache
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -35,8 +36,10 @@ _ARROW = pa.schema(
      ("col_pos", pa.int32()), ("text", pa.string()), ("error", pa.string())]
 )
 _BATCH_ROWS = 20000
-#: Bytes and files of a partition; a larger file is a partition by itself.
-PARTITION_BYTES, PARTITION_FILES = 32 << 20, 64
+#: Bytes of a workbook's sheets that are parsed once and held; what is beyond is streamed, twice.
+HELD_BYTES = 1 << 20
+#: Bytes and files of a partition; a larger file is a partition by itself. Beyond so many partitions they hold more files.
+PARTITION_BYTES, PARTITION_FILES, MANY_PARTITIONS = 32 << 20, 64, 512
 #: Suffixes of the container that the decoder reads; a file of any other kind is rejected unread. Fixed values.
 DECODED = (".xlsx", ".xlsm")
 #: Start of the names of files that an open workbook leaves beside it. Fixed value.
@@ -79,14 +82,20 @@ def _shared_strings(book: zipfile.ZipFile) -> list[str]:
 
 
 def _raw(cell) -> str | None:
-    return next((v.text for v in cell if v.tag.endswith("v")), None)
+    for v in cell:
+        if v.tag.endswith("v"):
+            return v.text
+    return None
 
 
 def _is_filled(cell, shared: Sequence[str]) -> bool:
     """Whether `_cell_text` would find a text, without making one."""
     kind = cell.attrib.get("t", "n")
     if kind == "inlineStr":
-        return any(t.text for t in cell.iter() if _tag(t) == "t")
+        for t in cell.iter():
+            if t.text and _tag(t) == "t":
+                return True
+        return False
     raw = _raw(cell)
     return raw is not None and kind != "e" and (kind != "s" or bool(shared[int(raw)]))
 
@@ -104,27 +113,44 @@ def _cell_text(cell, shared: Sequence[str]) -> str:
     return raw
 
 
-def _filled_cells(book: zipfile.ZipFile, part: str, shared: Sequence[str]) -> Iterator[tuple[int, int, object]]:
-    """Filled cells with their 1-based row and column; rows are dropped from memory as they are read."""
-    before = 0
+@lru_cache(1 << 16)
+def _place(reference: str) -> tuple[int, int]:
+    """1-based row and column."""
+    letters, number = _CELL_REF.fullmatch(reference).groups()
+    column = 0
+    for letter in letters:
+        column = column * 26 + ord(letter) - 64
+    return int(number), column
+
+
+def _rows(book: zipfile.ZipFile, part: str, whole: bool) -> Iterator[ElementTree.Element]:
+    """Row elements of a sheet. One that is not parsed as a whole drops them from memory as they are read."""
+    if whole:
+        yield from (e for e in ElementTree.fromstring(book.read(part)).iter() if e.tag.endswith("row"))
+        return
     with book.open(part) as stream:
         for _, element in ElementTree.iterparse(stream):
-            if not element.tag.endswith("row"):
-                continue
-            for cell in element:
-                if _is_filled(cell, shared):
-                    letters, number = _CELL_REF.fullmatch(cell.attrib["r"]).groups()
-                    row, column = int(number), 0
-                    for letter in letters:
-                        column = column * 26 + ord(letter) - 64
-                    if row < before:
-                        raise ValueError(f"row {row} stands below row {before}")
-                    before = row
-                    yield row, column, cell
-            element.clear()
-
-
-def _used_from(cells: Iterator[tuple[int, int, object]]) -> tuple[int, int]:
+            if element.tag.endswith("row"):
+                yield element
+                element.clear()
+
+
+def _filled_cells(
+    book: zipfile.ZipFile, part: str, shared: Sequence[str], whole: bool = False
+) -> Iterator[tuple[int, int, ElementTree.Element]]:
+    """Filled cells with their 1-based row and column."""
+    before = 0
+    for element in _rows(book, part, whole):
+        for cell in element:
+            if _is_filled(cell, shared):
+                row, column = _place(cell.attrib["r"])
+                if row < before:
+                    raise ValueError(f"row {row} stands below row {before}")
+                before = row
+                yield row, column, cell
+
+
+def _used_from(cells: Iterable[tuple[int, int, object]]) -> tuple[int, int]:
     """First used row and column."""
     first_row = first_column = 0
     for row, column, _ in cells:
@@ -181,15 +207,23 @@ def _chosen(names: Sequence[str], file: str, wanted: Wanted) -> tuple[list[str],
 def workbook_cells(content: bytes, file: str = "", wanted: Wanted = Wanted()) -> Iterator[tuple]:
     """(sheet, row, column, text, error) of the filled cells, 0-based within the sheet's used range.
 
-    The first pass finds the used ranges and so meets any damage before a cell is handed out; the second streams the
-    cells, so a sheet of any size is never held. Of a cell given twice the first text counts; the others are errors.
+    The first pass finds the used ranges and so meets any damage before a cell is handed out; the second hands out the cells.
+    Small sheets are parsed for both at once, others streamed, so a sheet of any size is never held. Of a cell given twice the
+    first text counts; the others are errors.
     """
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         parts = _sheet_parts(book)
         sheets, errors = _chosen(list(parts), file, wanted)
         sheets = [name for name in sheets if wanted.sheet(name)]
         shared = _shared_strings(book) if sheets else []
-        origins = {name: _used_from(_filled_cells(book, parts[name], shared)) for name in sheets}
+        held: dict[str, list] = {}
+        room, origins = HELD_BYTES, {}
+        for name in sheets:
+            size = book.getinfo(parts[name]).file_size
+            if size <= room:
+                room -= size
+                held[name] = list(_filled_cells(book, parts[name], shared, whole=True))
+            origins[name] = _used_from(held[name] if name in held else _filled_cells(book, parts[name], shared))
         if wanted.titles:  # elsewhere sheets without use are common
             errors += [f"EmptySheet: {name}" for name, used in origins.items() if used == (0, 0)]
         if not errors and not any(map(any, origins.values())):
@@ -200,7 +234,7 @@ def workbook_cells(content: bytes, file: str = "", wanted: Wanted = Wanted()) ->
             keep, row, seen = None, -1, set()
             if wanted.columns:
                 keep = set()
-            for at, column, cell in _filled_cells(book, parts[name], shared):
+            for at, column, cell in held[name] if name in held else _filled_cells(book, parts[name], shared):
                 if at != row:
                     row, seen = at, set()
                 if keep is not None and at - first_row > wanted.header_row and column not in keep:
@@ -317,17 +351,27 @@ class WorkbookReader(DataSourceReader):
             f for f in list_workbooks(self.folder, self.name_part, self.by_frequency)
             if self._passes("path", f.path) and self._passes("freq", f.freq) and self._passes("file", f.path.rsplit("/", 1)[-1])
         ]
-        return in_partitions(files, PARTITION_BYTES, PARTITION_FILES) or [WorkbookPartition([])]
+        most_files = max(PARTITION_FILES, -(-len(files) // MANY_PARTITIONS))
+        return in_partitions(files, PARTITION_BYTES, most_files) or [WorkbookPartition([])]
 
     def read(self, partition):
         wanted = Wanted(self.titles, self.sheets, self.columns, self.header_row, lambda name: self._passes("sheet", name))
         store = fs.FileSystem.from_uri(self.folder)[0] if "://" in self.folder else fs.LocalFileSystem()
+        held: list[tuple] = []  # of many small files
         for file in partition.files:
             name = file.path.rsplit("/", 1)[-1]
             for rows in self._rows(store, file, name, wanted):
-                constant = [pa.array([v] * len(rows), pa.string()) for v in (file.path, name, file.freq)]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types[3:], strict=True)]
-                yield pa.RecordBatch.from_arrays(constant + columns, schema=_ARROW)
+                held += [(file.path, name, file.freq, *row) for row in rows]
+                if len(held) >= _BATCH_ROWS:
+                    yield self._batch(held)
+                    held = []
+        if held:
+            yield self._batch(held)
+
+    @staticmethod
+    def _batch(rows: list[tuple]) -> pa.RecordBatch:
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ARROW.types, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     def _rows(self, store: fs.FileSystem, file: WorkbookFile, name: str, wanted: Wanted) -> Iterator[list[tuple]]:
         if file.error:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
+from functools import cache, lru_cache
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from quarterdeck.workloads.panels import PART_ITEMS_SQL, cents, part_cells, r4,
 _EPOCH = (1980, 1, 1, 0, 0, 0)
 
 
+@lru_cache(1 << 14)
 def _letters(column: int) -> str:
     name = ""
     while column:
@@ -73,11 +76,11 @@ FAULTS = (
 )
 
 
-def _sheet_rows(key: str, supplier: int, frame: pd.DataFrame, fault: str) -> list[list]:
-    """Rows of a statement sheet; a fault that names the sheet, or the sheet of its kind, is put in."""
+def _sheet_rows(key: str, supplier: int, frame: list[tuple[str, int, int]], fault: str) -> list[list]:
+    """Rows of a statement sheet from (header, money, lines); a fault that names the sheet, or the sheet of its kind, is put in."""
     top = [["Report"], ["-" if fault == "no export date" else f"Exported: 0{supplier % 9 + 1}/03/2024"], *[["-"]] * 6]
-    header = ["Chỉ tiêu", "Đơn vị", *frame["header"]]
-    money, lines = [int(v) for v in frame["money"]], [int(v) if v % 5 else "n/a" for v in frame["lines"]]
+    header = ["Chỉ tiêu", "Đơn vị", *(h for h, _, _ in frame)]
+    money, lines = [int(m) for _, m, _ in frame], [n if n % 5 else "n/a" for _, _, n in frame]
     body = [[f"{key} section"], [f"{key} money", "VND", *money], [f"{key} lines", "count", *lines]]
     where, _, what = fault.partition(": ")
     if fault == "EmptySheet" and key == "IS":
@@ -96,19 +99,24 @@ def _sheet_rows(key: str, supplier: int, frame: pd.DataFrame, fault: str) -> lis
     return [*top, header, *body]
 
 
-def _supplier_books(pdf: pd.DataFrame) -> list[tuple[str, bytes]]:
-    """The workbooks of one supplier, its rows being one per quarter: path below the root and content."""
-    pdf = pdf.sort_values(["year", "quarter"])
-    supplier = int(pdf["supplier"].iloc[0])
+def _by_year(quarters: list[dict]) -> dict[int, tuple[int, int]]:
+    """Money and lines of every year."""
+    years: dict[int, tuple[int, int]] = {}
+    for q in quarters:
+        money, lines = years.get(q["year"], (0, 0))
+        years[q["year"]] = money + q["money"], lines + q["lines"]
+    return years
+
+
+def _supplier_books(supplier: int, quarters: list[dict]) -> Iterator[tuple[str, bytes]]:
+    """The workbooks of one supplier, given one row per quarter: path below the root and content."""
+    quarters = sorted(quarters, key=lambda q: (q["year"], q["quarter"]))
     entity = f"S{supplier}"
-    halves = pdf[pdf["quarter"] <= 2].groupby("year", as_index=False)[["money", "lines", "top"]].sum()
-    years = pdf.groupby("year", as_index=False)[["money", "lines", "top"]].sum()
     headed = {
-        "quarterly": pdf.assign(header=[f"Q{q} {y}" for y, q in zip(pdf["year"], pdf["quarter"], strict=True)]),
-        "yearly": years.assign(header=years["year"].astype(str)),
-        "cumulative": halves.assign(header="6M " + halves["year"].astype(str)),
+        "quarterly": [(f"Q{q['quarter']} {q['year']}", q["money"], q["lines"]) for q in quarters],
+        "yearly": [(str(year), *sums) for year, sums in _by_year(quarters).items()],
+        "cumulative": [(f"6M {year}", *sums) for year, sums in _by_year([q for q in quarters if q["quarter"] <= 2]).items()],
     }
-    out = []
     for freq, frame in headed.items():
         fault = next((f for k, where, f in FAULTS if k == supplier % 20 and where == freq), "")
         sheets = {f"{t} - {entity}": _sheet_rows(k, supplier, frame, fault) for k, t in SHEET_TITLES.items()}
@@ -124,12 +132,11 @@ def _supplier_books(pdf: pd.DataFrame) -> list[tuple[str, bytes]]:
         elif fault == "several frequency folders":
             folder += "/old-yearly"
         elif fault == "LockFile":
-            out.append((f"{folder}/~${name}", b"lock"))
+            yield f"{folder}/~${name}", b"lock"
         content = workbook_bytes(sheets, repeat=f"{SHEET_TITLES['BS']} - {entity}" if fault == "RepeatedCell" else None)
         if fault in ("BadZipFile", "EmptyFile"):
             content = b"not a workbook" if fault == "BadZipFile" else b""
-        out.append((f"{folder}/{name}", content))
-    return out
+        yield f"{folder}/{name}", content
 
 
 def _supplier_quarters(spark, sf):
@@ -146,11 +153,23 @@ def _supplier_quarters(spark, sf):
     )
 
 
+@cache
+def _store_of(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
+
+
+@lru_cache(1 << 10)
+def _made(folder: str, below: str) -> str:
+    """A folder, made once by a worker."""
+    store, root = _store_of(folder)
+    store.create_dir(f"{root}/{below}", recursive=True)
+    return f"{root}/{below}"
+
+
 def put_file(folder: str, relative: str, content: bytes) -> str:
     """Write a file below a shared folder; a task that runs again writes the same."""
-    store, root = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder.removeprefix("file:"))
-    store.create_dir(f"{root}/{relative}".rsplit("/", 1)[0], recursive=True)
-    with store.open_output_stream(f"{root}/{relative}") as stream:
+    below, _, name = relative.rpartition("/")
+    with _store_of(folder)[0].open_output_stream(f"{_made(folder, below)}/{name}") as stream:
         stream.write(content)
     return relative
 
@@ -169,18 +188,22 @@ def written_once(kind: str, spark, sf: str, build) -> str:
 
 
 def workbook_folder(spark, sf) -> str:
-    """Three workbooks per supplier on disk, below a root whose own name holds a frequency. A group has one row per quarter.
+    """Three workbooks per supplier on disk, below a root whose own name holds a frequency. A supplier is one row.
 
-    The rows are few but each group costs Python time, so the number of tasks is fixed rather than left to AQE.
+    The rows are few but each costs Python time, so the number of tasks is fixed rather than left to AQE.
     """
 
     def build(folder: str) -> None:
-        def put(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"path": [put_file(folder, path, content) for path, content in _supplier_books(pdf)]})
+        def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                rows = zip(batch["supplier"].to_pylist(), batch["quarters"].to_pylist(), strict=True)
+                paths = [put_file(folder, path, content) for k, q in rows for path, content in _supplier_books(int(k), q)]
+                yield pa.RecordBatch.from_pydict({"path": pa.array(paths, pa.string())})
 
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         quarters = _supplier_quarters(spark, sf).repartition(tasks, "supplier")
-        quarters.groupBy("supplier").applyInPandas(put, "path string").write.format("noop").mode("overwrite").save()
+        suppliers = quarters.groupBy("supplier").agg(F.collect_list(F.struct("year", "quarter", "money", "lines")).alias("quarters"))
+        suppliers.mapInArrow(put, "path string").write.format("noop").mode("overwrite").save()
 
     return written_once("quarterly-run", spark, sf, build)
 
