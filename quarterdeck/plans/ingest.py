@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quarterdeck.config import HEADER_ROW, LABEL_COLUMN, SHEET_TITLES, UNIT_COLUMN
 from quarterdeck.functions.text import clean_name
 from quarterdeck.operators.exports import dedup_latest_export
-from quarterdeck.session import land
+from quarterdeck.session import land, scratch_path
 from quarterdeck.sources.statements import (
     export_dates,
     statement_facts,
@@ -43,10 +43,10 @@ def _rejects(where: DataFrame, error: Column) -> DataFrame:
     return where.select("path", F.element_at(F.split("path", "/"), -1).alias("file"), error.alias("error"))
 
 
-def sheet_rejects(cells: DataFrame, items: DataFrame) -> DataFrame:
+def sheet_rejects(cells: DataFrame, items: DataFrame, filled: DataFrame) -> DataFrame:
     """Statement sheets of readable files that give no line item: (path, file, error), one row per file, entity and sheet.
 
-    `cells` are those of the statement sheets. A sheet may lack the header row, its label or unit column, or any row with a
+    `cells` are those of the statement sheets, `filled` their distinct path, entity and sheet. A sheet may lack the header row, its label or unit column, or any row with a
     unit. Files are told apart by `path`.
     """
     sheet = ["path", "entity", "sheet"]
@@ -54,7 +54,6 @@ def sheet_rejects(cells: DataFrame, items: DataFrame) -> DataFrame:
     found = heads.groupBy(*sheet).agg(
         F.bool_or(F.col("name") == LABEL_COLUMN).alias("label"), F.bool_or(F.col("name") == UNIT_COLUMN).alias("unit")
     )
-    filled = cells.select(*sheet).distinct()
     used = items.select(F.col("file").alias("path"), "entity", "sheet").distinct().withColumn("used", F.lit(True))
     joined = filled.join(found, sheet, "left")
     reason = (
@@ -85,22 +84,27 @@ def ingest(landed: DataFrame) -> Ingested:
     readable = good_cells(landed).withColumn("file", F.col("path"))
     cells = statement_sheets(readable)
     dates = export_dates(cells)
+    # One pass over all cells; what else is read of them are header and date rows.
+    sheets = land(cells.select("path", "file", "entity", "sheet").distinct(), scratch_path(landed.sparkSession, "sheets"))
     files = (
-        cells.select("path", "file", "entity").distinct()
+        sheets.select("path", "file", "entity").distinct()
         .join(dates, ["file", "entity"], "left")
         .withColumn("error", F.when(F.col("export_date").isNull(), "no export date"))
     )
     dated = files.filter(F.col("error").isNull()).select("file", "entity", "export_date")
     labelled = F.array_contains(F.map_values("header"), LABEL_COLUMN)
-    items = statement_items(cells, keep=["entity", "freq"]).filter(labelled)
+    # Facts, rejects and structure all read them.
+    items = land(
+        statement_items(cells, keep=["entity", "freq"]).filter(labelled), scratch_path(landed.sparkSession, "items")
+    )
     facts = with_period_parts(statement_facts(items, keep=["entity", "freq"]).join(dated, ["file", "entity"]))
     on_time = facts.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
     newest = dedup_latest_export(on_time, ["freq", "entity", "item", "label", "period"], "export_date", "file")
-    known = cells.join(dated, ["file", "entity"], "left_semi")
+    known, filled = (f.join(dated, ["file", "entity"], "left_semi") for f in (cells, sheets))
     rejected = (
         quarantine(landed)
         .unionByName(_rejects(files.filter(F.col("error").isNotNull()), F.col("error")))
-        .unionByName(sheet_rejects(known, items))
+        .unionByName(sheet_rejects(known, items, filled))
         .unionByName(period_rejects(facts))
     )
     structure = structure_of(items, keep=["entity", "freq"]).withColumnRenamed("freq", "folder")

@@ -271,3 +271,37 @@ def test_formula_and_dictionary_tables(spark, tmp_path):
     formulas = formula_list(read_formulas(spark, str(tmp_path / "f.csv")))
     assert [(f.metric, f.text, f.sheet) for f in formulas] == [("A", "round(IS_1, 2)", "S"), ("B, b", "BS_1", "T")]
     assert rows(read_dictionary(spark, str(tmp_path / "d.csv"))) == [("BS_1", "'=x")]
+
+
+def test_small_sheets_are_parsed_once_and_large_ones_streamed(monkeypatch):
+    content = book("AAA", ["Q1 2023", "Q2 2023"], [1, 2])
+    opened = []
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, name, *a, real=zipfile.ZipFile.open, **b: opened.append(str(name)) or real(self, name, *a, **b))
+    wanted = Wanted(tuple(SHEET_TITLES.values()))
+    once = list(workbook_cells(content, "AAA.xlsx", wanted))
+    assert sum("worksheets" in name for name in opened) == len(SHEET_TITLES)
+    opened.clear()
+    monkeypatch.setattr(workbooks, "HELD_BYTES", 0)
+    assert list(workbook_cells(content, "AAA.xlsx", wanted)) == once
+    assert sum("worksheets" in name for name in opened) == 2 * len(SHEET_TITLES)
+
+
+def test_small_files_share_a_batch(folder):
+    reader = workbooks.WorkbookReader({"path": folder, "titles": '["' + '", "'.join(SHEET_TITLES.values()) + '"]'})
+    (partition,) = reader.partitions()
+    (batch,) = reader.read(partition)
+    assert len(set(batch["path"].to_pylist())) == len(partition.files) == 8
+
+
+def test_many_files_go_into_a_bounded_number_of_partitions(tmp_path, monkeypatch):
+    monkeypatch.setattr(workbooks, "PARTITION_FILES", 1)
+    monkeypatch.setattr(workbooks, "MANY_PARTITIONS", 2)
+    for n in range(7):
+        pathlib.Path(tmp_path, f"{n}.xlsx").write_bytes(b"x")
+    assert [len(p.files) for p in workbooks.WorkbookReader({"path": str(tmp_path)}).partitions()] == [4, 3]
+
+
+def test_line_items_are_found_once(spark, folder, tmp_path):
+    done = ingest(land_cells(spark, folder, str(tmp_path / "cells")))
+    for frame in (done.facts, done.structure, done.rejected):
+        assert "collect_list" not in frame._jdf.queryExecution().executedPlan().toString()
