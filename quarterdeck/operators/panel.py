@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarterdeck.config import ItemRules
 from quarterdeck.functions.period import index_quarter, index_year, period_index
+from quarterdeck.session import dealt
 
 QUARTERLY, CUMULATIVE, YEARLY = "quarterly", "cumulative", "yearly"
 PANEL = ("entity", "item", "year", "quarter", "qidx", "value")
@@ -103,7 +104,7 @@ def _years_of_items(quarterly: DataFrame) -> DataFrame:
     by_item = Window.partitionBy("entity", "item").orderBy("year")
     first = F.lag("year").over(by_item).isNull()
     return (
-        quarterly.repartition("entity", "item")
+        dealt(quarterly, "entity", "item")
         .groupBy("entity", "item", "year")
         .agg(*quarters)
         .withColumn("after", F.when(first, F.lit(0)).otherwise(F.col("year") * 4))
@@ -156,7 +157,7 @@ def _as_reported(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     """
     covered = (F.col("freq") == CUMULATIVE) & F.array_contains("yearly_periods", F.col("qidx"))
     cells = (
-        facts.repartition("entity", "item")
+        dealt(facts, "entity", "item")
         .groupBy("entity", "item", "freq", "year", "quarter", "qidx")
         .agg(F.max("value").alias("value"), F.min("value").alias("low"))
         .withColumn("value", _one_value("value", "low"))

@@ -34,8 +34,16 @@ from quarterdeck.functions.text import map_strict
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], name: str, value: str) -> DataFrame:
-    """Wide to long over all other columns; NULL cells stay."""
-    return df.unpivot(list(ids), [c for c in df.columns if c not in ids], name, value)
+    """Wide to long over all other columns; NULL cells stay.
+
+    Columns of one type go through a generator, which unlike Spark's own unpivot keeps the partitioning of the rows.
+    """
+    columns = [c for c in df.columns if c not in ids]
+    if len({df.schema[c].dataType for c in columns}) != 1:
+        return df.unpivot(list(ids), columns, name, value)
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    cells = [F.struct(F.lit(c).alias(name), quoted(c).alias(value)) for c in columns]
+    return df.select(*map(quoted, ids), F.inline(F.array(*cells)))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

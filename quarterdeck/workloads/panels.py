@@ -12,7 +12,7 @@ from quarterdeck.config import ItemRules, PeerGroup
 from quarterdeck.functions.period import normalise_period, period_quarter, period_year
 from quarterdeck.operators.groups import membership_of
 from quarterdeck.operators.panel import CUMULATIVE, QUARTERLY, YEARLY, with_index
-from quarterdeck.session import checkpointed
+from quarterdeck.session import checkpointed, dealt, more_tasks
 
 ITEMS = ["IS_1", "IS_2", "BS_1", "CF_47", "CF_48", "NOTES_1"]
 DENSE_RULES = ItemRules(semi_annual=("NATION_0", "NATION_10", "NATION_20"))
@@ -65,15 +65,18 @@ def customer_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _long(wide: DataFrame, ids: list[str]) -> DataFrame:
-    doubles = wide.select(*ids, *[F.col(i).cast("double").alias(i) for i in ITEMS])
-    return with_index(doubles.unpivot(ids, ITEMS, "item", "value"))
+    """Wide to long by a generator, which keeps the partitioning of the rows."""
+    cells = [F.struct(F.lit(i).alias("item"), F.col(i).cast("double").alias("value")) for i in ITEMS]
+    return with_index(wide.select(*ids, F.inline(F.array(*cells))))
 
 
 def complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers x quarters with orders, every item of each."""
-    return _long(
-        customer_quarters(spark, sf_dir).withColumnRenamed("o_custkey", "entity"), ["entity", "year", "quarter"]
-    )
+    """Customers x quarters with orders, every item of each.
+
+    Large tables are dealt out by customer once, after the orders were combined: all keys below contain it.
+    """
+    rows = customer_quarters(spark, sf_dir).withColumnRenamed("o_custkey", "entity")
+    return _long(dealt(rows, "entity") if more_tasks(rows) else rows, ["entity", "year", "quarter"])
 
 
 def sparse(spark: SparkSession, sf_dir: str) -> DataFrame:

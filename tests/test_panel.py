@@ -1,8 +1,11 @@
 """Null and edge rules of the panel, each on hand-computed rows."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from quarterdeck import session
 from quarterdeck.config import ItemRules, PeerGroup
 from quarterdeck.operators.exports import dedup_latest_export, prefer_reports
 from quarterdeck.operators.groups import group_rows, membership_of, summarize_by_group
@@ -17,6 +20,7 @@ from quarterdeck.operators.panel import (
     ytd_cumulate,
 )
 from quarterdeck.operators.reshape import duplicate_keys, pivot_unique, union_strict, unpivot
+from quarterdeck.workloads.registry import QUERIES
 from tests.helpers import by_key, exchanges, facts, no_broadcasts, panel, rows
 
 RULES = ItemRules()
@@ -230,3 +234,43 @@ def test_partitioning_does_not_change_the_panel(spark):
     expected = rows(merge_panel(mixed, RULES))
     for n in (1, 3, 13):
         assert rows(merge_panel(mixed.repartition(n, F.rand(7)), RULES)) == expected
+
+
+def _orders(spark, folder):
+    spark.sql(
+        "SELECT id AS o_orderkey, id % 5 AS o_custkey, DATE'1995-01-15' + CAST(id * 11 AS INT) AS o_orderdate,"
+        " IF(id % 3 = 0, 'O', 'F') AS o_orderstatus, CAST(id AS DOUBLE) AS o_totalprice FROM range(120)"
+    ).write.parquet(f"{folder}/orders.parquet")
+    return str(folder)
+
+
+def test_large_panels_are_dealt_out_once_to_tasks_of_bounded_input(spark, tmp_path, monkeypatch):
+    sf = _orders(spark, tmp_path)
+    usual = {name: rows(QUERIES[name][0](spark, sf)) for name in ("formula_batch", "transpose_panel")}
+    monkeypatch.setattr(session, "TASK_BYTES", 64)
+    for name, expected in usual.items():
+        out = QUERIES[name][0](spark, sf)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        numbers = [int(n) for n in re.findall(r"Exchange hashpartitioning\([^\n]*?, (\d+)\), REPARTITION_BY_NUM", plan)]
+        assert numbers and min(numbers) > 8
+        assert plan.count("Exchange hashpartitioning") == 2 * len(numbers)  # the orders', then the customers'
+        assert rows(out) == expected
+
+
+def test_merged_panels_are_dealt_out_to_tasks_of_bounded_input(spark, tmp_path, monkeypatch):
+    data = facts(spark, [(e, "IS_1", f"2023_q{q}", q) for e in "ABC" for q in (1, 2, 3)]).withColumn("freq", F.lit(QUARTERLY))
+    data.write.parquet(f"{tmp_path}/facts")
+    data = spark.read.parquet(f"{tmp_path}/facts")
+    usual = rows(merge_panel(data, RULES))
+    monkeypatch.setattr(session, "TASK_BYTES", 64)
+    out = merge_panel(data, RULES)
+    assert re.search(r"REPARTITION_BY_NUM", out._jdf.queryExecution().executedPlan().toString())
+    assert rows(out) == usual
+
+
+def test_unpivot_keeps_the_partitioning(spark):
+    wide = spark.createDataFrame([("A", 1.0, None), ("B", 3.0, 4.0)], "entity string, `x.1` double, y double").repartition(3, "entity")
+    long = unpivot(wide, ["entity"], "item", "value")
+    assert rows(long) == [("A", "x.1", 1.0), ("A", "y", None), ("B", "x.1", 3.0), ("B", "y", 4.0)]
+    again = long.groupBy("entity").agg(F.sum("value"))
+    assert again._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
