@@ -30,7 +30,7 @@ from quarterdeck.operators.groups import group_rows, summarize_by_group
 from quarterdeck.operators.panel import PANEL, calendar_rows, entity_calendar, merge_panel, own_periods
 from quarterdeck.operators.ranking import published_entities
 from quarterdeck.operators.series import derive_series
-from quarterdeck.session import land, scratch_path
+from quarterdeck.session import dealt, land, more_tasks, scratch_path
 
 
 @dataclass(frozen=True)
@@ -120,6 +120,8 @@ def build_metrics(
         calendar = whole_calendar(calendars)
         shown = published_entities(F.col("entity"), peers, everyone)
         series, group_series, periods, group_periods = (x.filter(shown) for x in (series, group_series, periods, group_periods))
+    if more_tasks(series):  # in the partitioning of the vectors, whose rows are of many items
+        series = dealt(series, "entity", "year", "quarter", "qidx")
     found = vectors(series, blocks, columns, filled_calendar(periods, calendar)).unionByName(
         vectors(group_series, blocks, columns, filled_calendar(group_periods, calendar))
     )
