@@ -73,19 +73,22 @@ def period_rejects(facts: DataFrame) -> DataFrame:
     return _rejects(columns, F.concat("sheet", F.lit(": unreadable period "), F.coalesce("period", F.lit("(empty)"))))
 
 
-def ingest(landed: DataFrame) -> Ingested:
+def ingest(landed: DataFrame, work: str | None = None) -> Ingested:
     """Facts (newest export wins), structure and rejects of a landed cell table.
 
+    Line items and the list of sheets are landed too, as several results read them: in `work`, or else as scratch data.
+
     Every file ends in facts or in `rejected`, with the reason: what the source did not read (files of no bytes, of other
     kinds, damaged, locked, in none or several frequency folders; entities with missing sheets or not in the file's name;
     repeated cells), an entity's sheets without a readable export date as a whole, a sheet without line items and a header
     that is no period by themselves.
     """
+    place = lambda name: f"{work}/{name}" if work else scratch_path(landed.sparkSession, name)
     readable = good_cells(landed).withColumn("file", F.col("path"))
     cells = statement_sheets(readable)
     dates = export_dates(cells)
     # One pass over all cells; what else is read of them are header and date rows.
-    sheets = land(cells.select("path", "file", "entity", "sheet").distinct(), scratch_path(landed.sparkSession, "sheets"))
+    sheets = land(cells.select("path", "file", "entity", "sheet").distinct(), place("sheets"))
     files = (
         sheets.select("path", "file", "entity").distinct()
         .join(dates, ["file", "entity"], "left")
@@ -93,10 +96,7 @@ def ingest(landed: DataFrame) -> Ingested:
     )
     dated = files.filter(F.col("error").isNull()).select("file", "entity", "export_date")
     labelled = F.array_contains(F.map_values("header"), LABEL_COLUMN)
-    # Facts, rejects and structure all read them.
-    items = land(
-        statement_items(cells, keep=["entity", "freq"]).filter(labelled), scratch_path(landed.sparkSession, "items")
-    )
+    items = land(statement_items(cells, keep=["entity", "freq"]).filter(labelled), place("items"))
     facts = with_period_parts(statement_facts(items, keep=["entity", "freq"]).join(dated, ["file", "entity"]))
     on_time = facts.filter(F.col("year").isNotNull() & F.col("quarter").isNotNull())
     newest = dedup_latest_export(on_time, ["freq", "entity", "item", "label", "period"], "export_date", "file")
