@@ -1,22 +1,21 @@
 """SimHash near-duplicates by a binary trie self-join.
 
 Distinct 64-bit fingerprints form a binary trie. Two of its nodes at one depth are visited together with the number of
-bits in which their prefixes differ; a pair of nodes over the budget is pruned with everything below it. The first
-levels are dealt out by Spark: a fingerprint goes to its own prefix and to the prefixes within the budget, and each task
-goes on below the prefix it owns. The depth dealt out grows with the number of fingerprints, so the rows under one
-prefix stay about as many. A task reports a spanning forest of the links it finds, never all pairs of a group; its
-classes are then joined across tasks by star contraction.
+bits in which their prefixes differ; a pair of nodes over the budget is pruned with everything below it. Spark deals the
+fingerprints out by blocks of their bits, one block more than bits may differ: one block at least is equal in both of a
+pair, so each fingerprint goes to one group for each block, however many there are. A task rotates the block of a group
+to the front and walks the trie below it. It takes so many groups at once as bound its memory, and reports a spanning
+forest of the links it finds, never all pairs of a group; its classes are then joined across tasks by star contraction.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterdeck.llm.common import fresh, landed
@@ -24,10 +23,12 @@ from quarterdeck.session import checkpointed
 
 BITS = 64
 SEED = 42
-#: Distinct fingerprints under one prefix that a task should own.
+#: Fingerprints that a task walks at once; a group of four times as many is cut into parts of twice as many.
 ROWS_PER_PREFIX = 1 << 15
-#: Node pairs expanded at once; more of them wait on a stack.
-PAIRS_AT_ONCE = 1 << 20
+#: Pairs of nodes, or of fingerprints, expanded at once; more of them wait on a stack.
+PAIRS_AT_ONCE = 1 << 18
+#: Pairs of fingerprints below a pair of nodes that are compared one by one.
+LEAF_PAIRS = 1 << 10
 
 
 def simhash(text: str | None, words: int) -> int:
@@ -57,11 +58,6 @@ def fingerprints(docs: DataFrame, words: int, text: str = "text", out: str = "fi
     return docs.withColumn(out, fingerprint(F.col(text)))
 
 
-def _masks(depth: int, distance: int) -> list[int]:
-    """All numbers of `depth` bits with at most `distance` bits set, 0 first."""
-    return [sum(1 << b for b in bits) for k in range(distance + 1) for bits in combinations(range(depth), k)]
-
-
 def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Join the classes of linked rows: hook the larger label to the smaller one, then shorten the paths."""
     while True:
@@ -78,123 +74,179 @@ def _merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             labels = shorter
 
 
-class _Trie:
-    """Nodes of a binary trie over sorted distinct values, level by level: ranges of the sorted array."""
+def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every number of every range, and before it the place of its range."""
+    sizes = ends - starts
+    which = np.repeat(np.arange(len(sizes)), sizes)
+    return which, np.arange(len(which)) + (starts - np.cumsum(sizes) + sizes)[which]
 
-    def __init__(self, values: np.ndarray):
-        self.values = values
-        self.levels: dict[int, tuple] = {}
 
-    def level(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Start of each node at this depth (with the end as a last entry), and the number of each one's first child."""
-        if depth not in self.levels:
-            shift = np.uint64(BITS - depth) if depth else None
-            prefix = self.values >> shift if depth else np.zeros_like(self.values)
-            starts = np.flatnonzero(np.concatenate(([True], prefix[1:] != prefix[:-1])))
-            self.levels[depth] = np.append(starts, len(self.values))
-        return self.levels[depth]
+def _slices(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices with PAIRS_AT_ONCE in all at most, or a single entry."""
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + PAIRS_AT_ONCE, side="right")))
+        yield slice(at, to)
+        at = to
 
-    def children(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """For each node at `depth` its child on bit 0 and on bit 1 at the next depth, or -1."""
-        key = ("children", depth)
-        if key not in self.levels:
-            starts, below = self.level(depth), self.level(depth + 1)
-            bit = ((self.values[below[:-1]] >> np.uint64(BITS - depth - 1)) & np.uint64(1)).astype(bool)
-            parent = np.searchsorted(starts, below[:-1], side="right") - 1
-            child = np.full((2, len(starts) - 1), -1, dtype=np.int64)
-            child[bit.astype(np.int64), parent] = np.arange(len(bit))
-            self.levels[key] = child
-        return self.levels[key]
 
+def _walk(values: np.ndarray, depth: int, pairs: tuple[np.ndarray, ...], distance: int) -> np.ndarray:
+    """For each value the first place of its class over all links below the given pairs of nodes.
 
-def linked_classes(left: np.ndarray, right: np.ndarray, distance: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of all values of both sides that links between a left and a right value join.
-
-    Both are sorted and distinct; `depth` is how many leading bits the nodes at the start have. Returns the sorted
-    distinct values and, for each, the smallest value of its class.
+    A node is a range of `values` with equal leading bits, sorted and distinct. A pair is (start, end, start, end,
+    differing bits among the first `depth`): of a node and itself, or of one and a later one.
     """
-    values = np.union1d(left, right)
     labels = np.arange(len(values))
-    at_left, at_right = np.searchsorted(values, left), np.searchsorted(values, right)
-    tries = _Trie(left), _Trie(right)
-    first = [t.level(depth) for t in tries]
-    prefixes = [t.values[s[:-1]] >> np.uint64(BITS - depth) if depth else np.zeros(len(s) - 1, np.uint64) for t, s in zip(tries, first, strict=True)]
-    x, y = (g.ravel() for g in np.meshgrid(np.arange(len(prefixes[0])), np.arange(len(prefixes[1])), indexing="ij"))
-    errors = np.bitwise_count(prefixes[0][x] ^ prefixes[1][y]).astype(np.int64)
-    keep = errors <= distance
-    stack = [(depth, x[keep], y[keep], errors[keep])]
+    ones: dict[int, np.ndarray] = {}  # by depth: how many of the values before a place have that bit
+    stack = [(depth, pairs)]
     while stack:
-        d, x, y, errors = stack.pop()
-        if len(x) > PAIRS_AT_ONCE:
-            half = len(x) // 2
-            stack += [(d, x[:half], y[:half], errors[:half]), (d, x[half:], y[half:], errors[half:])]
+        d, pairs = stack.pop()
+        if len(pairs[0]) > PAIRS_AT_ONCE:
+            half = len(pairs[0]) // 2
+            stack += [(d, tuple(c[:half] for c in pairs)), (d, tuple(c[half:] for c in pairs))]
             continue
-        sl, sr = tries[0].level(d), tries[1].level(d)
-        single = ((sl[x + 1] - sl[x]) == 1) & ((sr[y + 1] - sr[y]) == 1)
-        if single.any():  # two leaves: the rest of their bits at once
-            i, j = sl[x[single]], sr[y[single]]
-            near = np.bitwise_count(left[i] ^ right[j]) <= distance
-            labels = _merge(labels, at_left[i[near]], at_right[j[near]])
+        x, x_end, y, y_end, errors = pairs
         # Whatever lies below can't break the budget any more: all of it is one class.
-        whole = ~single & (errors + (BITS - d) <= distance)
-        for i, j in zip(x[whole], y[whole], strict=True):
-            rows = np.concatenate((at_left[sl[i] : sl[i + 1]], at_right[sr[j] : sr[j + 1]]))
-            labels = _merge(labels, np.full(len(rows), rows[0]), rows)
-        go = ~single & ~whole
+        whole = errors + (BITS - d) <= distance
+        few = ~whole & ((x_end - x) * (y_end - y) <= LEAF_PAIRS)
+        for part in _slices((x_end - x + y_end - y)[whole]):
+            first, last, other, end = (c[whole][part] for c in pairs[:4])
+            which, i = _spans(np.concatenate((first, other)), np.concatenate((last, end)))
+            labels = _merge(labels, np.tile(first, 2)[which], i)
+        for part in _slices(((x_end - x) * (y_end - y))[few]):  # few leaves: the rest of their bits at once
+            first, last, other, end = (c[few][part] for c in pairs[:4])
+            which, i = _spans(first, last)
+            row, j = _spans(np.maximum(other[which], i + 1), end[which])
+            i = i[row]
+            near = np.bitwise_count(values[i] ^ values[j]) <= distance
+            labels = _merge(labels, i[near], j[near])
+        go = ~(whole | few)
         if not go.any():
             continue
-        x, y, errors = x[go], y[go], errors[go]
-        below = tries[0].children(d)[:, x], tries[1].children(d)[:, y]
+        x, x_end, y, y_end, errors = (c[go] for c in pairs)
+        if d not in ones:
+            bit = (values >> np.uint64(BITS - d - 1)) & np.uint64(1)
+            ones[d] = np.append(np.zeros(1, np.int32), np.cumsum(bit, dtype=np.int32))
+        x_mid, y_mid = x_end - (ones[d][x_end] - ones[d][x]), y_end - (ones[d][y_end] - ones[d][y])
+        two = x != y  # the children of a node and itself meet once
         found = []
-        for a in (0, 1):
-            for b in (0, 1):
-                e = errors + (a != b)
-                alive = (below[0][a] >= 0) & (below[1][b] >= 0) & (e <= distance)
-                found.append((below[0][a][alive], below[1][b][alive], e[alive]))
-        stack.append((d + 1, *(np.concatenate(c) for c in zip(*found, strict=True))))
-    return values, values[labels]
+        for a, a_end, b, b_end, differ, meet in (
+            (x, x_mid, y, y_mid, 0, True), (x_mid, x_end, y_mid, y_end, 0, True),
+            (x, x_mid, y_mid, y_end, 1, True), (x_mid, x_end, y, y_mid, 1, two),
+        ):
+            alive = (a < a_end) & (b < b_end) & (errors + differ <= distance) & meet
+            found.append((a[alive], a_end[alive], b[alive], b_end[alive], errors[alive] + differ))
+        stack.append((d + 1, tuple(np.concatenate(c) for c in zip(*found, strict=True))))
+    return labels
 
 
-def prefix_depth(distinct: int) -> int:
-    """Bits to deal out: enough that a prefix has about ROWS_PER_PREFIX fingerprints, and some work for many tasks."""
-    return min(40, max(5, int(np.ceil(np.log2(max(distinct, 1) / ROWS_PER_PREFIX))) if distinct else 5))
+def linked_classes(left: np.ndarray, right: np.ndarray, distance: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of all values of both sides that links between a left and a right value join.
 
+    Both are sorted and distinct; `depth` is how many leading bits the nodes at the start have. Returns the sorted
+    distinct values and, for each, the smallest value of its class.
+    """
+    nodes = []
+    for side in (left, right):
+        prefix = side >> np.uint64(BITS - depth) if depth else np.zeros_like(side)
+        starts = np.flatnonzero(np.concatenate((np.ones(min(1, len(side)), bool), prefix[1:] != prefix[:-1])))
+        nodes.append((starts, np.append(starts, len(side))[1:], prefix[starts]))
+    x, y = (g.ravel() for g in np.meshgrid(*(np.arange(len(n[0])) for n in nodes), indexing="ij"))
+    errors = np.bitwise_count(nodes[0][2][x] ^ nodes[1][2][y]).astype(np.int64)
+    x, y, errors = (c[errors <= distance] for c in (x, y, errors))
+    pairs = nodes[0][0][x], nodes[0][1][x], nodes[1][0][y] + len(left), nodes[1][1][y] + len(left), errors
+    labels = _walk(np.concatenate((left, right)), depth, pairs, distance)
+    values = np.union1d(left, right)
+    place = np.searchsorted(values, np.concatenate((left, right)))
+    # A value of both sides may have two labels: it joins them.
+    smallest = _merge(np.arange(len(values)), place, place[labels])
+    return values, values[smallest]
 
-def links(distinct: DataFrame, distance: int) -> DataFrame:
-    """Spanning links (a, b) with a > b between distinct fingerprints of at most `distance` differing bits.
 
-    An owner prefix with far more rows than planned is salted: its own rows are split, the others copied to each part.
+def blocks(distance: int) -> list[tuple[int, int]]:
+    """(first bit, number of bits) of `distance` + 1 blocks, of which two near fingerprints have one in common."""
+    edges = [BITS * k // (distance + 1) for k in range(distance + 2)]
+    return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def grouped(distinct: DataFrame, distance: int) -> DataFrame:
+    """(block, prefix, parts, fingerprint): every fingerprint once for each block, `prefix` being the bits of that block.
+
+    Two near fingerprints meet in a group of equal (block, prefix, parts). A group with far more rows than planned is cut
+    by the fingerprints' hashes, and its rows go to every pair of parts that has theirs.
     """
-    depth = prefix_depth(distinct.count())
-    masks = _masks(depth, distance)
-    prefix = F.shiftrightunsigned("fingerprint", BITS - depth)
-    keyed = distinct.select("fingerprint", prefix.alias("prefix"))
-    crowded = (
-        keyed.groupBy("prefix").count().filter(F.col("count") > 4 * ROWS_PER_PREFIX)
-        .select(F.col("prefix").alias("owner"), F.ceil(F.col("count") / ROWS_PER_PREFIX).cast("int").alias("parts"))
-    )
-    spread = (
-        keyed.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
-        .withColumn("owner", F.col("prefix").bitwiseXOR(F.col("mask")))
-        .filter("owner <= prefix")  # of two prefixes, the smaller one owns the pair
-        .join(crowded, "owner", "left")
-        .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .withColumn("own", F.when(F.col("mask") == 0, F.pmod(F.xxhash64("fingerprint"), "parts").cast("int")))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("owner", "part", "fingerprint", F.coalesce(F.col("own") == F.col("part"), F.lit(False)).alias("own"))
+    none = F.lit(0).cast("long")
+
+    def prefix(start: int, width: int) -> Column:
+        if width in (0, BITS):
+            return F.col("fingerprint") if width else none
+        return F.shiftrightunsigned(F.shiftleft("fingerprint", start), BITS - width)
+
+    keys = [F.struct(F.lit(k).alias("block"), prefix(*b).alias("prefix")) for k, b in enumerate(blocks(distance))]
+    keyed = distinct.select("fingerprint", F.explode(F.array(*keys)).alias("key")).select("fingerprint", "key.*")
+    crowded = landed(
+        keyed.groupBy("block", "prefix").count().filter(F.col("count") > 4 * ROWS_PER_PREFIX)
+        .select("block", "prefix", F.ceil(F.col("count") / (2 * ROWS_PER_PREFIX)).cast("int").alias("cut")), "crowded",
+    )
+    if crowded.isEmpty():
+        return keyed.select("block", "prefix", none.alias("parts"), "fingerprint")
+    cut, own, other = F.coalesce("cut", F.lit(1)).cast("long"), F.col("own"), F.col("other")
+    others = F.when(cut == 1, F.array(none)).otherwise(F.array_remove(F.sequence(none, cut - 1), own))
+    return (
+        keyed.join(crowded, ["block", "prefix"], "left")
+        .withColumn("own", F.pmod(F.xxhash64("fingerprint"), cut))
+        .withColumn("other", F.explode(others))
+        .select("block", "prefix", (F.least(own, other) * cut + F.greatest(own, other)).alias("parts"), "fingerprint")
     )
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        right = np.sort(group["fingerprint"].to_numpy(np.int64).view(np.uint64))
-        mine = group["own"].to_numpy(bool)
-        left = np.sort(group["fingerprint"].to_numpy(np.int64)[mine].view(np.uint64))
-        if not len(left):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        values, smallest = linked_classes(left, right, distance, depth)
-        joined = values != smallest
-        return pd.DataFrame({"a": values[joined].view(np.int64), "b": smallest[joined].view(np.int64)})
-
-    return spread.groupBy("owner", "part").applyInPandas(join, "a long, b long")
+
+def whole_groups(batches: Iterator[pd.DataFrame], keys: list[str], rows: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Rows that come with equal keys together, cut anew between groups: of `rows` rows, or of one group if it has more.
+
+    With each frame come the places where its groups begin.
+    """
+    held: list[pd.DataFrame] = []
+
+    def joined() -> tuple[pd.DataFrame, np.ndarray]:
+        frame = pd.concat(held, ignore_index=True)
+        columns = [frame[k].to_numpy() for k in keys]
+        return frame, np.flatnonzero(np.logical_or.reduce([np.append(True, c[1:] != c[:-1]) for c in columns]))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            frame, starts = joined()
+            if len(starts) > 1:
+                yield frame[: starts[-1]], starts[:-1]
+            held = [frame[starts[-1] :]]
+    if held:
+        yield joined()
+
+
+def links(distinct: DataFrame, distance: int) -> DataFrame:
+    """Spanning links (a, b) between distinct fingerprints of at most `distance` differing bits."""
+    first_bits = np.array([start for start, _ in blocks(distance)], dtype=np.uint64)
+    depth, rows = BITS // (distance + 1), ROWS_PER_PREFIX
+    keys = ["block", "prefix", "parts"]
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame, starts in whole_groups(batches, keys, rows):
+            sizes = np.diff(np.append(starts, len(frame)))
+            fingerprint = frame["fingerprint"].to_numpy(np.int64)
+            bits, by = fingerprint.view(np.uint64), first_bits[frame["block"].to_numpy()]
+            rotated = (bits << by) | (bits >> ((np.uint64(BITS) - by) % np.uint64(BITS)))
+            order = np.lexsort((rotated, np.repeat(np.arange(len(starts)), sizes)))
+            x, end = starts[sizes > 1], (starts + sizes)[sizes > 1]
+            labels = _walk(rotated[order], depth, (x, end, x, end, np.zeros(len(x), np.int64)), distance)
+            linked = labels != np.arange(len(labels))
+            fingerprint = fingerprint[order]
+            yield pd.DataFrame({"a": fingerprint[linked], "b": fingerprint[labels[linked]]})
+
+    dealt = grouped(distinct, distance).repartition(*keys).sortWithinPartitions(*keys)
+    return dealt.mapInPandas(join, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -1,6 +1,9 @@
 import collections
+import itertools
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from quarterdeck.llm import simhash
@@ -62,6 +65,70 @@ def test_links_across_prefixes_and_crowded_ones(spark, monkeypatch, rows_per_pre
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_trie_join_of_many_values_keeps_no_tables_of_them():
+    rng = np.random.default_rng(2)
+    right = np.unique(rng.integers(0, 1 << 57, 200_000, dtype=np.uint64))
+    left = right[:8000]
+    tracemalloc.start()
+    try:
+        simhash.linked_classes(left, right, 3, 7)
+        assert tracemalloc.get_traced_memory()[1] < 100e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_two_sides_are_joined_with_each_other_only():
+    left, right = np.array([8, 9, 1 << 40], dtype=np.uint64), np.array([9, 1 << 50, (1 << 50) + 1], dtype=np.uint64)
+    values, smallest = simhash.linked_classes(left, right, 1, 0)
+    assert values.tolist() == [8, 9, 1 << 40, 1 << 50, (1 << 50) + 1] and smallest.tolist() == [8, 8, 1 << 40, 1 << 50, (1 << 50) + 1]
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 6])
+def test_copies_of_a_fingerprint_do_not_grow_with_the_table(spark, monkeypatch, distance):
+    monkeypatch.setattr(simhash, "ROWS_PER_PREFIX", 64)
+    values = np.random.default_rng(4).integers(-(1 << 63), (1 << 63) - 1, 3000, dtype=np.int64)
+    frame = spark.createDataFrame([(int(v),) for v in values], "fingerprint long")
+    got = collections.Counter(r["fingerprint"] for r in simhash.grouped(frame, distance).collect())
+    assert got == dict.fromkeys(values.tolist(), distance + 1)
+
+
+def test_crowded_groups_are_cut_and_all_pairs_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS_PER_PREFIX", 8)
+    values = [(k * 2654435761 % (1 << 48)) - (1 << 60) for k in range(200)]  # the first block is equal in all
+    groups = collections.defaultdict(list)
+    for r in simhash.grouped(spark.createDataFrame([(v,) for v in values], "fingerprint long"), 3).collect():
+        if r["block"] == 0:
+            groups[r["prefix"], r["parts"]].append(r["fingerprint"])
+    assert len(groups) > 1 and max(map(len, groups.values())) <= 8 * 8
+    assert {p for g in groups.values() for p in itertools.combinations(sorted(g), 2)} == set(itertools.combinations(sorted(values), 2))
+
+
+@pytest.mark.parametrize("distance", [0, 1, 3, 6])
+def test_links_give_the_classes_of_all_pairs(spark, monkeypatch, distance):
+    monkeypatch.setattr(simhash, "ROWS_PER_PREFIX", 16)
+    values = clustered(11, 150)
+    frame = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fingerprint long")
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(frame, distance)).collect()}
+    signed = values.view(np.int64).tolist()
+    got, want = collections.defaultdict(set), collections.defaultdict(set)
+    for v, i in zip(signed, brute.components(values.tolist(), distance), strict=True):
+        got[roots.get(v, v)].add(v)
+        want[i].add(v)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_a_task_holds_few_groups_at_once(rows):
+    keys = [k for k in range(60) for _ in range(1 + k % 5)]
+    frame = pd.DataFrame({"block": 0, "prefix": keys, "fingerprint": range(len(keys))})
+    batches = [frame[at : at + 4] for at in range(0, len(frame), 4)]
+    got = list(simhash.whole_groups(iter([frame[:0], *batches]), ["block", "prefix"], rows))
+    assert [f for part, _ in got for f in part["fingerprint"]] == list(range(len(keys)))
+    assert all(len(part) < rows + 4 + 5 for part, _ in got)
+    begins = [part["fingerprint"].iloc[s] for part, starts in got for s in starts]
+    assert begins == [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
+
+
 def test_documents_match_plain_python(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = sorted(docs.select("doc_id", "text").collect())
